@@ -283,3 +283,47 @@ def batch_sql() -> dict:
             "CAST(hour(event_timestamp) AS INTEGER) AS hour_of_day, count(*) AS event_count "
             f"FROM flows WHERE {not_benign} GROUP BY ALL"),
     }
+
+
+_MID_TS = ("(SELECT CAST(CAST(min(ts) AS DATE) + CAST((date_diff('day', CAST(min(ts) AS DATE), "
+           "CAST(max(ts) AS DATE)) + 1) // 2 AS INTEGER) AS TIMESTAMP) FROM events)")
+_CLOSE = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 MINUTE FROM events)"
+_MS_TS = "date_trunc('millisecond', e.ts)"
+
+ALERT_TEXT = (
+    "concat('\U0001f6a8 ALERT [', upper(coalesce(dataset_source, '?')), '] ', "
+    "coalesce(strftime(window_start, '%Y-%m-%dT%H:%M:%S'), ''), chr(10), "
+    "'   src_ip       : ', coalesce(src_ip, 'N/A'), chr(10), "
+    "'   reason       : ', coalesce(alert_reason, 'UNKNOWN'), chr(10), "
+    "'   event_count  : ', format('{:,}', coalesce(event_count, 0)), chr(10), "
+    "'   syn_ratio    : ', printf('%.3f', coalesce(syn_flag_ratio, 0.0)), chr(10), "
+    "'   unique_ports : ', CAST(coalesce(unique_dst_ports, 0) AS VARCHAR), chr(10))"
+)
+
+
+def stream_sql() -> dict:
+    ms_flows = flows_cte(_MS_TS)
+    norm_out = ", ".join(
+        R(c) + f" AS {c}" if c in ("flow_duration", "flow_bytes_s", "flow_packets_s") else c
+        for c in NORM_COLS)
+    late = "late AS (SELECT * FROM flows WHERE event_timestamp >= " + _MID_TS + ")"
+    return {
+        "stream_normalize": _with(ms_flows) + f"SELECT {norm_out} FROM flows",
+        "stream_archive": _with(flows_cte()) + (
+            "SELECT CAST(dst_port AS VARCHAR) AS destination_port, "
+            "CAST(flow_duration AS VARCHAR) AS flow_duration, "
+            "CAST(total_fwd_packets AS VARCHAR) AS total_fwd_packets, "
+            "CAST(total_bwd_packets AS VARCHAR) AS total_backward_packets, "
+            "CAST(flow_bytes_s AS VARCHAR) AS flow_bytes_s, "
+            "CAST(flow_packets_s AS VARCHAR) AS flow_packets_s, "
+            "CAST(syn_flag_count AS VARCHAR) AS syn_flag_count, label, partition_date, "
+            "produced_at_ts FROM flows"),
+        "stream_windows_append": _with(ms_flows, windows_cte("5 minutes", 500, 0.8)) + (
+            f"SELECT {WINDOW_OUT} FROM windows WHERE window_end <= {_CLOSE}"),
+        "stream_windows_late": _with(ms_flows, late, windows_cte("5 minutes", 500, 0.8, src="late")) + (
+            f"SELECT {WINDOW_OUT} FROM windows WHERE window_end <= {_CLOSE}"),
+        "stream_alerts_latest": _with(flows_cte(), windows_cte("1 day", 3, 0.8)) + (
+            f"SELECT {WINDOW_OUT} FROM windows WHERE is_alert"),
+        "alert_text": _with(flows_cte(), windows_cte("1 day", 3, 0.8)) + (
+            f"SELECT {ALERT_TEXT} AS alert_text FROM windows WHERE is_alert"),
+    }

@@ -16,6 +16,15 @@ from pyspark.sql.types import (
 )
 
 
+def with_fields(schema: StructType, *fields) -> StructType:
+    """A copy of ``schema`` with ``(name, type)`` fields appended."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    extra = [StructField(n, _parse_datatype_string(t) if isinstance(t, str) else t, True)
+             for n, t in fields]
+    return StructType(list(schema.fields) + extra)
+
+
 def _strings(names):
     return [StructField(n, StringType(), True) for n in names]
 

@@ -28,13 +28,13 @@ def forward_payload(df: DataFrame, key: str = "src_ip") -> DataFrame:
     return df.select(F.col(key).cast("string").alias("key"), row_json(df).alias("value"))
 
 
-def publish_payload(raw: DataFrame, key: str = "src_ip") -> DataFrame:
+def publish_payload(raw: DataFrame, key: str = "src_ip", keep=()) -> DataFrame:
     """K7: raw message payload; a NULL or empty address is keyed ``unknown``.
-    ``raw`` holds RAW_SCHEMA columns."""
+    ``raw`` holds RAW_SCHEMA columns; ``keep`` names columns carried along."""
     fields = FLOW_FIELDS + ["dataset_source", "produced_at_ts"]
     body = raw.select(*fields)
     k = F.coalesce(F.nullif(F.col(key), F.lit("")), F.lit("unknown"))
-    return raw.select(k.alias("key"), row_json(body, keep_nulls=True).alias("value"))
+    return raw.select(k.alias("key"), row_json(body, keep_nulls=True).alias("value"), *keep)
 
 
 # The alert text layout and the defaults for absent fields.

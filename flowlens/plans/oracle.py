@@ -327,3 +327,58 @@ def stream_sql() -> dict:
         "alert_text": _with(flows_cte(), windows_cte("1 day", 3, 0.8)) + (
             f"SELECT {ALERT_TEXT} AS alert_text FROM windows WHERE is_alert"),
     }
+
+
+def _text(c: str) -> str:
+    return f"coalesce(CAST({c} AS VARCHAR), '')"
+
+
+def _json_str(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN 'null' ELSE '\"' || {c} || '\"' END"
+
+
+def source_sql() -> dict:
+    flows = flows_cte()
+    texts = {c: _text(c) for c in FLOW_COLS}
+    texts["label"] = "coalesce(label, '')"
+    first_half = f"event_timestamp < {_MID_TS}"
+    cic_syn = (f"CASE WHEN dataset_source <> 'cicids' AND {first_half} THEN NULL "
+               f"ELSE {texts['syn_flag_count']} END")
+    unsw_label = "CASE WHEN label = '' THEN CAST(event_id % 2 AS VARCHAR) ELSE label END"
+
+    def select(overrides: dict, source: str) -> str:
+        cols = [f"{overrides.get(c, texts[c])} AS {c}" for c in list(FLOW_COLS) + ["label"]]
+        return "SELECT " + ", ".join(cols) + f", {source} AS dataset_source FROM flows"
+
+    cic_source = "CASE WHEN dataset_source = 'cicids' THEN 'cicids' ELSE 'cicdos' END"
+    unsw_over = {"syn_flag_count": "CAST(NULL AS VARCHAR)", "label": unsw_label}
+    # published payload: the ingest reads cicids/cicdos rows as CICFlow CSV and unsw rows as UNSW
+    pub = ("pub AS (SELECT *, CASE dataset_source WHEN 'unsw' THEN 'raw-unsw' WHEN 'cicids' "
+           "THEN 'raw-cicids' ELSE 'raw-cicdos' END AS topic FROM (SELECT "
+           + ", ".join(
+               f"CASE WHEN dataset_source = 'unsw' THEN {unsw_over.get(c, texts[c])} "
+               f"WHEN {c!r} = 'syn_flag_count' THEN {cic_syn} ELSE {texts[c]} END AS {c}".replace(
+                   f"WHEN '{c}' = 'syn_flag_count' THEN {cic_syn} ",
+                   f"WHEN TRUE THEN {cic_syn} " if c == "syn_flag_count" else "")
+               for c in list(FLOW_COLS) + ["label"])
+           + ", dataset_source FROM flows))")
+    fields = list(FLOW_COLS) + ["label", "dataset_source"]
+    body = " || ',' || ".join(f"'\"{c}\":' || {_json_str(c)}" for c in fields)
+    value = f"'{{' || {body} || ',\"produced_at_ts\":1704067200000}}'"
+    key = "coalesce(nullif(src_ip, ''), 'unknown')"
+    ms_flows = flows_cte(_MS_TS)
+    norm_out = ", ".join(
+        R(c) + f" AS {c}" if c in ("flow_duration", "flow_bytes_s", "flow_packets_s") else c
+        for c in NORM_COLS)
+    return {
+        "csv_cicflow_source": _with(flows) + select({"syn_flag_count": cic_syn}, cic_source),
+        "csv_unsw_source": _with(flows) + select(unsw_over, "'unsw'"),
+        "zip_csv_source": _with(flows) + select({}, "'cicids'"),
+        "publish_payload": _with(flows, pub) + f"SELECT {key} AS key, {value} AS value, topic FROM pub",
+        "json_round_trip": _with(ms_flows) + f"SELECT {norm_out} FROM flows",
+        "partitioned_tables": _with(flows) + (
+            "SELECT attack_category, partition_date, count(*) AS event_count, "
+            "CAST(NULL AS BIGINT) AS benign_count FROM flows GROUP BY ALL UNION ALL "
+            "SELECT 'Benign', NULL, NULL, count(*) FROM flows WHERE attack_category = 'Benign' "
+            "HAVING count(*) > 0"),
+    }

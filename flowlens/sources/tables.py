@@ -63,14 +63,15 @@ REPORT_TABLES = {
 
 def register_tables(spark: SparkSession, normalized_path: str, windows_path: str,
                     reports_path: str | None = None, database: str = DATABASE,
-                    batch_partition: bool = True) -> None:
+                    batch_partition: bool = True, location: str | None = None) -> None:
     """C1 + C2: a database with the external tables over the folders, and
     their partitions discovered (``MSCK REPAIR TABLE``).
 
     ``batch_partition`` adds the innermost ``batch_id`` partition written by
     the idempotent micro-batch sink.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
     extra = ["batch_id"] if batch_partition else []
     for name, path, schema, parts in (
         ("normalized_logs", normalized_path, NORMALIZED_SCHEMA, NORMALIZED_PARTITIONS),

@@ -2,8 +2,12 @@
 
 Raw cells are text. ``safe_text`` turns text that reads as NaN or an
 infinity into NULL and keeps everything else; the casts turn text into
-numbers the way a non-ANSI cast does, with ``try_cast`` so one bad cell
-never fails a job.
+numbers the way a non-ANSI cast does and give NULL for anything else, so
+one bad cell never fails a job.
+
+Every cast is guarded by a pattern test: only text of the right shape
+reaches the cast, because a cast that fails costs far more than the test
+(it raises and catches an exception per cell).
 """
 
 from __future__ import annotations
@@ -11,37 +15,52 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Characters a cast trims around a number.
+_PAD = " \t\n\r\x0b\x0c"
+
+# Text shapes of the casts (matched after trimming).
+LONG_SHAPE = r"^[+-]?[0-9]+([.][0-9]*)?$"
+LONG_DIGITS = r"^[+-]?[0-9]+"
+DOUBLE_SHAPE = r"^[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[dDfF]?)$"
+SPECIAL_SHAPE = r"(?i)^[+-]?(nan|inf|infinity)$"
+
 
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_text(c) -> Column:
-    """NULL when the text parses as NaN or +-infinity (overflow included)."""
-    c = _as_col(c)
-    d = c.try_cast("double")
-    return F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(None).cast("string")).otherwise(c)
+def _trimmed(c: Column) -> Column:
+    return F.btrim(c, F.lit(_PAD))
 
 
-def label_fallback(attack_cat, binary_label) -> Column:
-    """UNSW label: ``attack_cat`` unless it is NULL or empty, else the 0/1 label."""
-    a = _as_col(attack_cat)
-    return F.when(a.isNull() | (a == ""), _as_col(binary_label)).otherwise(a)
+def to_double(c) -> Column:
+    """Text to double: numbers (with exponent), NaN and +-Infinity/inf;
+    NULL for anything else."""
+    t = _trimmed(_as_col(c))
+    return F.when(t.rlike(DOUBLE_SHAPE) | t.rlike(SPECIAL_SHAPE), t.try_cast("double"))
 
 
 def to_long(c) -> Column:
-    """Text to bigint as a non-ANSI cast: ``' 80 '`` and ``'80.9'`` give 80,
-    ``''``, ``'-'`` and ``'0x000b'`` give NULL."""
+    """Text to bigint as a non-ANSI cast: ``' 80 '``, ``'80.0'`` and
+    ``'80.9'`` give 80, ``'-3.7'`` gives -3; ``''``, ``'-'``, ``'0x000b'``
+    and ``'1e3'`` give NULL (so does a value beyond the bigint range)."""
+    t = _trimmed(_as_col(c))
+    return F.when(t.rlike(LONG_SHAPE), F.regexp_extract(t, LONG_DIGITS, 0).try_cast("bigint"))
+
+
+def safe_text(c) -> Column:
+    """NULL when the text parses as NaN or +-infinity (overflow such as
+    ``1e400`` included); every other text is kept as it is."""
     c = _as_col(c)
-    direct = c.try_cast("bigint")
-    via_decimal = F.when(
-        ~F.lower(c).contains("e"), c.try_cast("decimal(38,10)").try_cast("bigint")
-    )
-    return F.coalesce(direct, via_decimal)
+    t = _trimmed(c)
+    overflow = t.rlike(DOUBLE_SHAPE) & (F.abs(t.try_cast("double")) == F.lit(float("inf")))
+    return F.when(t.rlike(SPECIAL_SHAPE) | overflow, F.lit(None).cast("string")).otherwise(c)
 
 
-def to_double(c) -> Column:
-    return _as_col(c).try_cast("double")
+def label_fallback(attack_cat, binary_label) -> Column:
+    """UNSW label: ``attack_cat`` unless it is NULL or empty, else the 0/1 label."""
+    a = _as_col(attack_cat)
+    return F.when(a.isNull() | (a == ""), _as_col(binary_label)).otherwise(a)
 
 
 def stable_round(c, places: int = 4) -> Column:

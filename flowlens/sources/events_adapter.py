@@ -27,7 +27,19 @@ JUNK_CELLS = ["", " ", "NaN", "Infinity", "-", "0x000b"]
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    """The ``events`` table, spread over the cores when it is small.
+
+    A table stored as a single row group scans as one task, which would
+    run every per-row projection on one core. When the scan has fewer
+    partitions than the default parallelism the rows are spread evenly
+    (round robin); a large table already has one partition per file split
+    and is returned as it is, without a shuffle.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _source() -> Column:

@@ -229,7 +229,7 @@ def batch_sql() -> dict:
             "dataset_source, count(*) AS event_count FROM flows GROUP BY ALL"),
         "behavioral_profiles": _with(flows) + (
             "SELECT src_ip, dataset_source, count(*) AS total_events, "
-            f"CAST(count_if({not_benign}) AS BIGINT) AS attack_events, "
+            f"count(*) FILTER (WHERE {not_benign}) AS attack_events, "
             f"{R('avg(flow_duration)')} AS avg_flow_duration, {R('avg(flow_bytes_s)')} AS avg_flow_bytes_s, "
             "CAST(sum(syn_flag_count) AS BIGINT) AS total_syn_flags FROM flows "
             "WHERE src_ip IS NOT NULL GROUP BY src_ip, dataset_source "
@@ -247,11 +247,11 @@ def batch_sql() -> dict:
             "SELECT dataset_source, window_start_date, count(*) AS window_count, "
             "CAST(sum(event_count) AS BIGINT) AS total_events, "
             f"{R('avg(avg_flow_bytes_s)')} AS avg_flow_bytes_s, "
-            "CAST(count_if(is_alert) AS BIGINT) AS alert_windows FROM windows GROUP BY ALL"),
+            "count(*) FILTER (WHERE is_alert) AS alert_windows FROM windows GROUP BY ALL"),
         "recent_attacks": _with(flows) + recent,
         "top_src_ips": _with(flows) + (
             "SELECT src_ip, dataset_source, count(*) AS total_events, "
-            f"CAST(count_if({not_benign}) AS BIGINT) AS attack_events, "
+            f"count(*) FILTER (WHERE {not_benign}) AS attack_events, "
             "max(syn_flag_count) AS max_syn_flag_count FROM flows WHERE src_ip IS NOT NULL "
             "GROUP BY ALL ORDER BY attack_events DESC, src_ip, dataset_source LIMIT 1000"),
         "hourly_traffic": _with(flows) + (

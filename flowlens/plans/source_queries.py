@@ -25,6 +25,7 @@ from flowlens.schemas import (
     WINDOW_PARTITIONS,
 )
 from flowlens.session import new_work_dir
+from flowlens.sinks.writers import write_partitioned
 from flowlens.sources.csv_sources import as_raw_messages, read_cicflow_csv, read_unsw_csv
 from flowlens.sources.events_adapter import load_events, raw_flows
 from flowlens.sources.files import CICDOS_DIRS, CICIDS_DIR, UNSW_DIR, dataset_files
@@ -125,9 +126,9 @@ def q_partitioned_tables(spark, sf_dir):
     root = new_work_dir(spark, "tables")
     norm_path, win_path = f"{root}/normalized-logs", f"{root}/aggregations-5min"
     norm = flows(spark, sf_dir)
-    norm.write.mode("overwrite").partitionBy(*NORMALIZED_PARTITIONS).parquet(norm_path)
+    write_partitioned(norm, norm_path, NORMALIZED_PARTITIONS)
     w = window_metrics(norm, width=ALERT_WIDTH, events_threshold=ALERT_EVENTS_THRESHOLD)
-    w.write.mode("overwrite").partitionBy(*WINDOW_PARTITIONS).parquet(win_path)
+    write_partitioned(w, win_path, WINDOW_PARTITIONS)
     db = "flowlens_check_" + root.rstrip("/").rsplit("-", 1)[-1]
     register_tables(spark, norm_path, win_path, database=db, batch_partition=False,
                     location=f"{root}/catalog")

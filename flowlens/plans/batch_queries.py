@@ -9,6 +9,8 @@ columns carry the same names as the matching DuckDB SQL in
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -115,6 +117,20 @@ def q_active_alerts(spark, sf_dir):
     return rounded(views.active_alerts(day_windows(spark, sf_dir), as_of=AS_OF))
 
 
+def q_sample_active_alerts(spark, sf_dir):
+    """``SELECT * FROM active_alerts LIMIT 20`` over the registered view."""
+    view = f"active_alerts_{zlib.crc32(sf_dir.encode())}"
+    views.active_alerts(day_windows(spark, sf_dir), as_of=AS_OF).createOrReplaceTempView(view)
+    return rounded(spark.sql(f"SELECT * FROM {view} LIMIT 20"))
+
+
+def q_sample_top_src_ips(spark, sf_dir):
+    """``SELECT * FROM top_src_ips LIMIT 10`` over the registered view."""
+    view = f"top_src_ips_{zlib.crc32(sf_dir.encode())}"
+    views.top_src_ips(flows(spark, sf_dir)).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT * FROM {view} LIMIT 10")
+
+
 def q_attack_counts_24h(spark, sf_dir):
     return views.attack_counts_24h(flows(spark, sf_dir), as_of=AS_OF)
 
@@ -159,6 +175,8 @@ QUERIES = {
     "hourly_traffic": q_hourly_traffic,
     "active_alerts": q_active_alerts,
     "attack_counts_24h": q_attack_counts_24h,
+    "sample_active_alerts": q_sample_active_alerts,
+    "sample_top_src_ips": q_sample_top_src_ips,
     "total_attacks_24h": q_total_attacks_24h,
     "category_distribution": q_category_distribution,
     "hourly_attack_volume": q_hourly_attack_volume,

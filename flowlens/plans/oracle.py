@@ -262,6 +262,16 @@ def batch_sql() -> dict:
             f"SELECT src_ip, dataset_source, event_count, {R('syn_flag_ratio')} AS syn_flag_ratio, "
             "alert_reason, window_start, window_end FROM windows "
             f"WHERE is_alert AND {_since_yesterday('window_start_date')}"),
+        "sample_active_alerts": _with(flows, day) + (
+            f"SELECT src_ip, dataset_source, event_count, {R('syn_flag_ratio')} AS syn_flag_ratio, "
+            "alert_reason, window_start, window_end FROM windows "
+            f"WHERE is_alert AND {_since_yesterday('window_start_date')} "
+            "ORDER BY window_start DESC, src_ip NULLS FIRST, dataset_source LIMIT 20"),
+        "sample_top_src_ips": _with(flows) + (
+            "SELECT src_ip, dataset_source, count(*) AS total_events, "
+            f"count(*) FILTER (WHERE {not_benign}) AS attack_events, "
+            "max(syn_flag_count) AS max_syn_flag_count FROM flows WHERE src_ip IS NOT NULL "
+            "GROUP BY ALL ORDER BY attack_events DESC, src_ip, dataset_source LIMIT 10"),
         "attack_counts_24h": _with(flows) + (
             "SELECT attack_category, severity_level, count(*) AS cnt FROM flows "
             f"WHERE {_since_yesterday('partition_date')} GROUP BY ALL"),

@@ -186,3 +186,13 @@ def start_alert_text(messages: DataFrame, checkpoint: str, fmt: str = "console",
     if path:
         writer = writer.option("path", path)
     return _start(writer, checkpoint, trigger, name)
+
+
+def late_rows_dropped(query: StreamingQuery) -> int:
+    """Rows dropped behind the watermark over the query's recent
+    progress reports (Spark keeps no side output of them)."""
+    total = 0
+    for progress in query.recentProgress:
+        for op in progress.stateOperators:
+            total += op.numRowsDroppedByWatermark or 0
+    return total

@@ -33,6 +33,11 @@ from flowlens.streaming import jobs
 AVAILABLE_NOW = {"availableNow": True}
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    """State partitions of the check streams: one per core."""
+    return spark.sparkContext.defaultParallelism
+
+
 def day_splits(events: DataFrame):
     """(first day, middle day, three-quarter day) of ``events`` as dates."""
     row = events.agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")).first()
@@ -90,7 +95,7 @@ def q_stream_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
             _messages(spark, src), table, ckpt,
             forward={"fmt": "json", "path": fwd},
             event_time=F.timestamp_millis(F.col("produced_at_ts")),
-            trigger=AVAILABLE_NOW,
+            trigger=AVAILABLE_NOW, state_partitions=_state_partitions(spark),
         )
 
     run_steps(events, in_order_steps(events),
@@ -137,8 +142,8 @@ def _window_table(spark, sf_dir, steps_fn, name, **window_args) -> DataFrame:
     src, table, ckpt = (f"{work}/{x}" for x in ("src", "table", "ckpt"))
 
     def start():
-        return jobs.start_window_table(_messages(spark, src), table, ckpt,
-                                       trigger=AVAILABLE_NOW, **window_args)
+        return jobs.start_window_table(_messages(spark, src), table, ckpt, trigger=AVAILABLE_NOW,
+                                       state_partitions=_state_partitions(spark), **window_args)
 
     run_steps(events, steps_fn(events), _unified_messages, start, src)
     out = spark.read.schema(WINDOW_SCHEMA).parquet(table).drop("processed_at")
@@ -167,6 +172,7 @@ def q_stream_alerts_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         return jobs.start_alert_stream(
             _messages(spark, src), updates, ckpt, alert_sink={"fmt": "json", "path": sink},
             trigger=AVAILABLE_NOW, width=ALERT_WIDTH, events_threshold=ALERT_EVENTS_THRESHOLD,
+            state_partitions=_state_partitions(spark),
         )
 
     run_steps(events, in_order_steps(events), _unified_messages, start, src)

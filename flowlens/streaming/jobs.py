@@ -43,11 +43,24 @@ DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
 DEFAULT_WATERMARK = "2 minutes"
 
 
-def _start(writer, checkpoint: str, trigger: dict | None, name: str | None) -> StreamingQuery:
+def _start(writer, checkpoint: str, trigger: dict | None, name: str | None,
+           df: DataFrame | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """Start a query. ``state_partitions`` fixes the shuffle (and state
+    store) partitions of a new query; a restarted query keeps the number
+    recorded in its checkpoint. The session setting is restored after the
+    start (the running query works on its own copy of the session)."""
     writer = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER))
     if name:
         writer = writer.queryName(name)
-    return writer.start()
+    if state_partitions is None or df is None:
+        return writer.start()
+    conf = df.sparkSession.conf
+    old = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    try:
+        return writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", old)
 
 
 def normalized_stream(messages: DataFrame, event_time: Column | str | None = None) -> DataFrame:
@@ -63,6 +76,7 @@ def start_normalizer(
     event_time: Column | str | None = None,
     trigger: dict | None = None,
     name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """J1. ``forward`` holds ``write_keyed`` arguments for the normalised
     message stream (K2), e.g. ``{"fmt": "kafka", "topic": .., "options": ..}``.
@@ -83,7 +97,8 @@ def start_normalizer(
         finally:
             batch.unpersist()
 
-    return _start(norm.writeStream.foreachBatch(process), checkpoint, trigger, name)
+    return _start(norm.writeStream.foreachBatch(process), checkpoint, trigger, name,
+                  norm, state_partitions)
 
 
 def window_stream(
@@ -106,6 +121,7 @@ def start_window_table(
     checkpoint: str,
     trigger: dict | None = None,
     name: str | None = None,
+    state_partitions: int | None = None,
     **window_args,
 ) -> StreamingQuery:
     """J2, table half (K3): append mode; one final row per closed window."""
@@ -116,7 +132,7 @@ def start_window_table(
         .partitionBy(*WINDOW_PARTITIONS)
         .option("path", table_path)
     )
-    return _start(writer, checkpoint, trigger, name)
+    return _start(writer, checkpoint, trigger, name, windows, state_partitions)
 
 
 def start_alert_stream(
@@ -126,6 +142,7 @@ def start_alert_stream(
     alert_sink: dict | None = None,
     trigger: dict | None = None,
     name: str | None = None,
+    state_partitions: int | None = None,
     **window_args,
 ) -> StreamingQuery:
     """J2, alert half (T3, K4): update mode. Every updated window goes to
@@ -147,17 +164,19 @@ def start_alert_stream(
             batch.unpersist()
 
     writer = windows.writeStream.outputMode("update").foreachBatch(process)
-    return _start(writer, checkpoint, trigger, name)
+    return _start(writer, checkpoint, trigger, name, windows, state_partitions)
 
 
 def start_aggregator(messages: DataFrame, table_path: str, updates_path: str,
                      checkpoint_root: str, alert_sink: dict | None = None,
-                     trigger: dict | None = None, **window_args):
+                     trigger: dict | None = None, state_partitions: int | None = None,
+                     **window_args):
     """J2 as two queries over one source: the window table and the alerts."""
     root = checkpoint_root.rstrip("/")
-    table = start_window_table(messages, table_path, f"{root}/windows", trigger, **window_args)
+    table = start_window_table(messages, table_path, f"{root}/windows", trigger,
+                               state_partitions=state_partitions, **window_args)
     alert_q = start_alert_stream(messages, updates_path, f"{root}/alerts", alert_sink, trigger,
-                                 **window_args)
+                                 state_partitions=state_partitions, **window_args)
     return table, alert_q
 
 

@@ -10,9 +10,17 @@ from tests.compare import compare, duck  # noqa: E402
 import __spark_entry__ as E  # noqa: E402
 from flowlens.session import local_session  # noqa: E402
 
-sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-names = sys.argv[2:]
-spark = local_session()
+plain = "--plain" in sys.argv
+args = [a for a in sys.argv[1:] if a != "--plain"]
+sf = args[0] if args else "/root/testdata/sf0.01"
+names = args[1:]
+if plain:  # a session with Spark's defaults only, as a driver may build it
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.builder.master("local[8]").getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+else:
+    spark = local_session()
 con = duck(sf)
 qs, sql = E.queries(), E.oracle_sql()
 bad = 0

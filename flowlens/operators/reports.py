@@ -19,6 +19,36 @@ def _not_benign() -> Column:
     return F.col("attack_category") != F.lit(BENIGN)
 
 
+def traffic_rollup(norm: DataFrame, time_col: str = "event_timestamp") -> DataFrame:
+    """Event counts per hour, category, severity and source: one scan of the
+    normalised table from which the attack distribution and the hourly
+    series are both derived (its size is hours x categories x sources,
+    independent of the number of flows)."""
+    return norm.groupBy(
+        F.date_trunc("hour", F.col(time_col)).alias("hour_bucket"),
+        "attack_category", "severity_level", "dataset_source",
+    ).agg(F.count(F.lit(1)).alias("event_count"))
+
+
+def attack_distribution_from_rollup(rollup: DataFrame) -> DataFrame:
+    """A2 from ``traffic_rollup``."""
+    keys = ["attack_category", "severity_level", "dataset_source"]
+    return (
+        rollup.groupBy(*keys)
+        .agg(F.sum("event_count").alias("event_count"))
+        .orderBy(F.desc("event_count"), *keys)
+    )
+
+
+def hourly_timeseries_from_rollup(rollup: DataFrame) -> DataFrame:
+    """A3 from ``traffic_rollup``."""
+    return (
+        rollup.groupBy("hour_bucket", "attack_category", "dataset_source")
+        .agg(F.sum("event_count").alias("event_count"))
+        .orderBy("hour_bucket", "attack_category", "dataset_source")
+    )
+
+
 def attack_distribution(norm: DataFrame) -> DataFrame:
     """A2: events per category, severity and source, most first."""
     keys = ["attack_category", "severity_level", "dataset_source"]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flowlens.functions.payload import publish_payload
 from flowlens.operators import reports
 from flowlens.schemas import NORMALIZED_SCHEMA, WINDOW_SCHEMA
+from flowlens.session import shared_dir
 from flowlens.sinks.writers import write_report
 from flowlens.sources.csv_sources import as_raw_messages, read_cicflow_csv, read_unsw_csv
 from flowlens.sources.files import dataset_files
@@ -67,8 +68,12 @@ def run_reports(spark: SparkSession, normalized_path: str, windows_path: str, re
     if norm is None or norm.limit(1).count() == 0:
         return False
     norm = norm.select(*[c for c in NORMALIZED_SCHEMA.fieldNames() if c in norm.columns])
-    write_report(reports.attack_distribution(norm), f"{out}/attack_distribution")
-    write_report(reports.hourly_timeseries(norm), f"{out}/hourly_timeseries")
+    # one scan feeds both the distribution and the hourly series; the
+    # rollup is small and is written to the shared checkpoint folder
+    shared_dir(spark)
+    rollup = reports.traffic_rollup(norm).checkpoint()
+    write_report(reports.attack_distribution_from_rollup(rollup), f"{out}/attack_distribution")
+    write_report(reports.hourly_timeseries_from_rollup(rollup), f"{out}/hourly_timeseries")
     write_report(reports.behavioral_profiles(norm), f"{out}/behavioral_profiles")
     baseline = reports.benign_baseline(norm)
     if baseline.limit(1).count() > 0:

@@ -117,3 +117,15 @@ def test_report_job_writes_five_reports(spark, workdir):
     for name in ("attack_distribution", "hourly_timeseries", "behavioral_profiles",
                  "benign_baseline", "aggregation_summary"):
         assert spark.read.parquet(f"{rpath}/{name}").count() > 0, name
+
+
+def test_rollup_reports_equal_direct(spark):
+    from flowlens.operators import reports
+
+    norm = flows(spark, SF_SMALL)
+    rollup = reports.traffic_rollup(norm)
+    for direct, derived in (
+        (reports.attack_distribution(norm), reports.attack_distribution_from_rollup(rollup)),
+        (reports.hourly_timeseries(norm), reports.hourly_timeseries_from_rollup(rollup)),
+    ):
+        assert direct.collect() == derived.collect()

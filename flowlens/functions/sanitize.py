@@ -29,14 +29,46 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql_lit(s: str) -> str:
+    out = []
+    for ch in s:
+        out.append("\\u%04x" % ord(ch) if ch in "'\\" or not (" " <= ch <= "~") else ch)
+    return "'" + "".join(out) + "'"
+
+
 def _trimmed(c: Column) -> Column:
     return F.btrim(c, F.lit(_PAD))
 
 
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def to_double_sql(c: str) -> str:
+    t = f"btrim({c}, {_sql_lit(_PAD)})"
+    return (f"CASE WHEN {t} RLIKE {_sql_lit(DOUBLE_SHAPE)} OR {t} RLIKE {_sql_lit(SPECIAL_SHAPE)} "
+            f"THEN try_cast({t} AS DOUBLE) END")
+
+
+def to_long_sql(c: str) -> str:
+    t = f"btrim({c}, {_sql_lit(_PAD)})"
+    return (f"CASE WHEN {t} RLIKE {_sql_lit(LONG_SHAPE)} "
+            f"THEN try_cast(regexp_extract({t}, {_sql_lit(LONG_DIGITS)}, 0) AS BIGINT) END")
+
+
+def safe_text_sql(c: str) -> str:
+    t = f"btrim({c}, {_sql_lit(_PAD)})"
+    overflow = f"({t} RLIKE {_sql_lit(DOUBLE_SHAPE)} AND abs(try_cast({t} AS DOUBLE)) = double('inf'))"
+    return (f"CASE WHEN {t} RLIKE {_sql_lit(SPECIAL_SHAPE)} OR {overflow} "
+            f"THEN CAST(NULL AS STRING) ELSE {c} END")
+
+
 def to_double(c) -> Column:
     """Text to double: numbers (with exponent), NaN and +-Infinity/inf;
-    NULL for anything else."""
-    t = _trimmed(_as_col(c))
+    NULL for anything else. ``c`` is a column or its name."""
+    if isinstance(c, str):
+        return F.expr(to_double_sql(_quote(c)))
+    t = _trimmed(c)
     return F.when(t.rlike(DOUBLE_SHAPE) | t.rlike(SPECIAL_SHAPE), t.try_cast("double"))
 
 
@@ -44,14 +76,17 @@ def to_long(c) -> Column:
     """Text to bigint as a non-ANSI cast: ``' 80 '``, ``'80.0'`` and
     ``'80.9'`` give 80, ``'-3.7'`` gives -3; ``''``, ``'-'``, ``'0x000b'``
     and ``'1e3'`` give NULL (so does a value beyond the bigint range)."""
-    t = _trimmed(_as_col(c))
+    if isinstance(c, str):
+        return F.expr(to_long_sql(_quote(c)))
+    t = _trimmed(c)
     return F.when(t.rlike(LONG_SHAPE), F.regexp_extract(t, LONG_DIGITS, 0).try_cast("bigint"))
 
 
 def safe_text(c) -> Column:
     """NULL when the text parses as NaN or +-infinity (overflow such as
     ``1e400`` included); every other text is kept as it is."""
-    c = _as_col(c)
+    if isinstance(c, str):
+        return F.expr(safe_text_sql(_quote(c)))
     t = _trimmed(c)
     overflow = t.rlike(DOUBLE_SHAPE) & (F.abs(t.try_cast("double")) == F.lit(float("inf")))
     return F.when(t.rlike(SPECIAL_SHAPE) | overflow, F.lit(None).cast("string")).otherwise(c)

@@ -42,21 +42,21 @@ def normalize(raw: DataFrame, event_time: str | Column | None = None) -> DataFra
     out = []
     for name in FLOW_FIELDS:
         if name in LONG_FIELDS:
-            out.append(to_long(F.col(name)).alias(name))
+            out.append(to_long(name).alias(name))
         elif name in DOUBLE_FIELDS:
-            out.append(to_double(F.col(name)).alias(name))
+            out.append(to_double(name).alias(name))
         else:
             out.append(F.col(name))
     out += [
         F.col("dataset_source"),
         F.col("produced_at_ts"),
-        classify_expr(F.col("label")).alias("attack_category"),
+        classify_expr("label").alias("attack_category"),
         ts.alias("event_timestamp"),
     ]
     # severity reads the category column; partition_date the same time stamp
     return (
         raw.select(*out)
-        .withColumn("severity_level", severity_expr(F.col("attack_category")))
+        .withColumn("severity_level", severity_expr("attack_category"))
         .withColumn("partition_date", F.date_format(F.col("event_timestamp"), "yyyy-MM-dd"))
         .select(*NORMALIZED_COLUMNS)
     )

@@ -35,60 +35,70 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     (round robin); a large table already has one partition per file split
     and is returned as it is, without a shuffle.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    df = spark.read.parquet(path)
     try:
         cores = spark.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()  # planning only, no job
+        parts = _scan_partitions(df, path, cores)
     except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
         return df
     return df.repartition(cores) if parts < cores else df
 
 
-def _source() -> Column:
-    et = F.col("event_type")
-    return (
-        F.when(et.isin("click", "view"), F.lit("cicids"))
-        .when(et == "error", F.lit("cicdos"))
-        .otherwise(F.lit("unsw"))
-    )
+_SCAN_PARTITIONS: dict = {}
 
 
-def _flow_columns() -> dict:
-    """Typed flow columns, keyed by field name."""
-    eid, k, value = F.col("event_id"), F.get_json_object("props", "$.k"), F.col("value")
-    uid = F.col("user_id")
-    src_ip = F.when(
-        eid % 97 == 0, F.lit(None).cast("string")
-    ).otherwise(
-        F.concat(F.lit("10.0."), F.floor(uid / 256).cast("bigint").cast("string"),
-                 F.lit("."), (uid % 256).cast("string"))
-    )
+def _scan_partitions(df: DataFrame, path: str, cores: int) -> int:
+    """Scan partitions of a table (planning only, no job), kept per path."""
+    key = (path, cores)
+    if key not in _SCAN_PARTITIONS:
+        _SCAN_PARTITIONS[key] = df.rdd.getNumPartitions()
+    return _SCAN_PARTITIONS[key]
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+SOURCE_SQL = ("CASE WHEN event_type IN ('click', 'view') THEN 'cicids' "
+              "WHEN event_type = 'error' THEN 'cicdos' ELSE 'unsw' END")
+
+
+def _flow_sql() -> dict:
+    """Typed flow columns as Spark SQL over an ``events`` row, by field."""
+    k = "get_json_object(props, '$.k')"
+    labels = "array(" + ", ".join(_lit(x) for x in TEST_LABELS) + ")"
     return {
-        "src_ip": src_ip,
-        "dst_ip": F.concat(F.lit("192.168.0."), k),
-        "src_port": (F.lit(1024) + eid % 50000).cast("bigint"),
-        "dst_port": k.cast("bigint"),
-        "protocol": F.when(eid % 3 == 0, "6").when(eid % 3 == 1, "17").otherwise("0"),
-        "flow_duration": value * 1000,
-        "total_fwd_packets": (eid % 11).cast("bigint"),
-        "total_bwd_packets": (eid % 7).cast("bigint"),
-        "flow_bytes_s": F.when(eid % 101 == 0, F.lit(None).cast("double")).otherwise(value),
-        "flow_packets_s": value / 10,
-        "syn_flag_count": F.when(
-            F.col("event_type").isin("click", "view", "error"), (eid % 3).cast("bigint")
-        ),
-        "label": F.element_at(F.array(*[F.lit(x) for x in TEST_LABELS]),
-                              (eid % len(TEST_LABELS)).cast("int") + 1),
+        "src_ip": ("CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS STRING) ELSE concat('10.0.', "
+                   "CAST(CAST(floor(user_id / 256) AS BIGINT) AS STRING), '.', "
+                   "CAST(user_id % 256 AS STRING)) END"),
+        "dst_ip": f"concat('192.168.0.', {k})",
+        "src_port": "CAST(1024 + event_id % 50000 AS BIGINT)",
+        "dst_port": f"CAST({k} AS BIGINT)",
+        "protocol": "CASE WHEN event_id % 3 = 0 THEN '6' WHEN event_id % 3 = 1 THEN '17' ELSE '0' END",
+        "flow_duration": "value * 1000",
+        "total_fwd_packets": "CAST(event_id % 11 AS BIGINT)",
+        "total_bwd_packets": "CAST(event_id % 7 AS BIGINT)",
+        "flow_bytes_s": "CASE WHEN event_id % 101 = 0 THEN CAST(NULL AS DOUBLE) ELSE value END",
+        "flow_packets_s": "value / 10",
+        "syn_flag_count": ("CASE WHEN event_type IN ('click', 'view', 'error') "
+                           "THEN CAST(event_id % 3 AS BIGINT) END"),
+        "label": f"element_at({labels}, CAST(event_id % {len(TEST_LABELS)} AS INT) + 1)",
     }
 
 
+def _flow_columns() -> dict:
+    """Typed flow columns, keyed by field name."""
+    return {n: F.expr(e) for n, e in _flow_sql().items()}
+
+
 def raw_flows(events: DataFrame, with_event_time: bool = True, keep=()) -> DataFrame:
     """``events`` as raw messages: RAW_SCHEMA columns, every flow field as
     text, ``produced_at_ts`` from the event time, plus ``event_time``."""
     cols = _flow_columns()
     ts = F.col("ts").cast("timestamp")
     out = [c.cast("string").alias(n) for n, c in cols.items()]
-    out += [_source().alias("dataset_source"), F.unix_millis(ts).alias("produced_at_ts")]
+    out += [F.expr(SOURCE_SQL).alias("dataset_source"), F.unix_millis(ts).alias("produced_at_ts")]
     if with_event_time:
         out.append(ts.alias("event_time"))
     return events.select(*out, *keep)

@@ -103,3 +103,18 @@ def test_alert_text_format(spark):
     )
     # Python rounds the exact binary value: 0.1235 is just below the tie
     assert "   syn_ratio    : 0.123\n" in got[2]
+
+
+def test_name_and_column_forms_agree(spark):
+    """The SQL-text form (column name) and the Column form are the same rules."""
+    from flowlens.functions.classify import classify_expr, severity_expr
+    from flowlens.sources.events_adapter import JUNK_CELLS, TEST_LABELS
+
+    cells = TEST_LABELS + JUNK_CELLS + [" 80 ", "80.9", "-3.7", "1e400", "1e3", "+inf", None]
+    df = spark.createDataFrame([(c,) for c in cells], "v string")
+    pairs = [(to_long, "bigint"), (to_double, "double"), (safe_text, "string"),
+             (classify_expr, "string"), (severity_expr, "string")]
+    for fn, _ in pairs:
+        a = [r[0] for r in df.select(fn("v")).collect()]
+        b = [r[0] for r in df.select(fn(F.col("v"))).collect()]
+        assert [str(x) for x in a] == [str(x) for x in b], fn.__name__

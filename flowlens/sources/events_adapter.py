@@ -31,9 +31,10 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A table stored as a single row group scans as one task, which would
     run every per-row projection on one core. When the scan has fewer
-    partitions than the default parallelism the rows are spread evenly
-    (round robin); a large table already has one partition per file split
-    and is returned as it is, without a shuffle.
+    partitions than the default parallelism the rows are hashed on the
+    unique ``event_id`` (even, and deterministic on a retried task without
+    the local sort a round-robin split needs); a large table already has
+    one partition per file split and is returned as it is, without a shuffle.
     """
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     df = spark.read.parquet(path)
@@ -42,7 +43,7 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts = _scan_partitions(df, path, cores)
     except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
         return df
-    return df.repartition(cores) if parts < cores else df
+    return df.repartition(cores, "event_id") if parts < cores else df
 
 
 _SCAN_PARTITIONS: dict = {}

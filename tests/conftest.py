@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,7 +13,6 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    ckpt = tempfile.mkdtemp(prefix="flowlens-test-ckpt-")
     s = (
         SparkSession.builder.master("local[*]")
         .appName("flowlens-tests")
@@ -22,10 +20,12 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.checkpoint.dir", ckpt)
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    from flowlens.session import shared_dir
+
+    shared_dir(s)  # the configured spark.checkpoint.dir; a temporary one only when unset
     yield s
     s.stop()
 

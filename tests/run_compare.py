@@ -17,7 +17,7 @@ names = args[1:]
 if plain:  # a session with Spark's defaults only, as a driver may build it
     from pyspark.sql import SparkSession
 
-    spark = SparkSession.builder.master("local[8]").getOrCreate()
+    spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 else:
     spark = local_session()

@@ -129,3 +129,70 @@ def test_rollup_reports_equal_direct(spark):
         (reports.hourly_timeseries(norm), reports.hourly_timeseries_from_rollup(rollup)),
     ):
         assert direct.collect() == derived.collect()
+
+
+def test_alert_text_stream_matches_batch(spark, workdir):
+    """Alert messages (K4 JSON) -> streaming text projection."""
+    from flowlens.functions.payload import alert_text_from_json, forward_payload
+    from flowlens.operators.windows import alerts, window_metrics
+    from flowlens.sources.streams import stream_source
+
+    win = window_metrics(flows(spark, SF_SMALL), width="1 day", events_threshold=3)
+    msgs = forward_payload(alerts(win))
+    src, out, ckpt = (f"{workdir}/{x}" for x in ("src", "out", "ckpt"))
+    msgs.select("value").write.text(f"{src}/step0")
+    q = jobs.start_alert_text(stream_source(spark, fmt="text", path=f"{src}/*"), ckpt,
+                              fmt="json", path=out, trigger={"availableNow": True})
+    q.awaitTermination()
+    got = spark.read.schema("alert_text string").json(out)
+    want = alert_text_from_json(msgs)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0
+
+
+def test_cli_report(spark, workdir):
+    from flowlens import cli
+    from flowlens.operators.windows import window_metrics
+
+    norm = flows(spark, SF_SMALL)
+    npath, wpath, rpath = f"{workdir}/n", f"{workdir}/w", f"{workdir}/r"
+    write_partitioned(norm, npath, NORMALIZED_PARTITIONS)
+    write_partitioned(window_metrics(norm), wpath, WINDOW_PARTITIONS)
+    cli.main(["report", "--normalized", npath, "--windows", wpath, "--reports", rpath])
+    assert spark.read.parquet(f"{rpath}/attack_distribution").count() > 0
+
+
+def test_hot_source_address(spark):
+    """One address holds a third of the rows: window metrics still match a
+    brute-force count, and the distinct values are part of the first
+    shuffle key, so the hot address is spread over its ports and labels."""
+    import pandas as pd
+
+    from flowlens.operators.windows import window_metrics
+
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("10.9.9.9"))
+        .otherwise(F.concat(F.lit("10.0.0."), (F.col("id") % 50).cast("string"))).alias("src_ip"),
+        F.lit("cicids").alias("dataset_source"),
+        (F.col("id") % 997).alias("dst_port"),
+        F.concat(F.lit("L"), (F.col("id") % 7).cast("string")).alias("label"),
+        (F.col("id") % 13).cast("double").alias("flow_duration"),
+        (F.col("id") % 17).cast("double").alias("flow_bytes_s"),
+        (F.col("id") % 2).alias("syn_flag_count"),
+        (F.col("id") % 5).alias("total_fwd_packets"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 3600).alias("event_timestamp"),
+    )
+    w = window_metrics(df, width="1 hour")
+    plan = w._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" in plan
+    got = {r.src_ip: (r.event_count, r.unique_dst_ports, r.unique_labels, r.total_syn_flags)
+           for r in w.collect()}
+    pdf = df.toPandas()
+    want = pdf.groupby("src_ip").agg(
+        n=("dst_port", "size"), ports=("dst_port", "nunique"), labels=("label", "nunique"),
+        syn=("syn_flag_count", "sum"))
+    assert len(got) == len(want)
+    for ip, row in want.iterrows():
+        assert got[ip] == (row.n, row.ports, row.labels, row.syn), ip
+    assert got["10.9.9.9"][0] == n // 3

@@ -18,7 +18,13 @@ def _env(name: str, default: str) -> str:
     return os.environ.get(name, default)
 
 
-def _session(app: str, shuffle_partitions: int):
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _session(app: str, stateful: bool = False):
+    """The cluster's session. Shuffle sizing is left to the cluster's
+    settings and AQE; a stateful stream uses the RocksDB state store (state
+    off the JVM heap, many keys per executor) unless one is configured."""
     from pyspark.sql import SparkSession
 
     spark = (
@@ -27,8 +33,8 @@ def _session(app: str, shuffle_partitions: int):
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
         .getOrCreate()
     )
-    if spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if stateful and not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return spark
 
 
@@ -70,43 +76,48 @@ def main(argv=None) -> None:
     t.add_argument("--checkpoint", required=True)
     t.add_argument("--topic", default=_env("ALERT_TOPIC", streams.ALERT_TOPIC))
 
+    for stream_cmd in (n, a, c, t):
+        stream_cmd.add_argument(
+            "--state-partitions", type=int, default=None,
+            help="shuffle/state partitions of a new stream (fixed by its checkpoint afterwards)")
     args = p.parse_args(argv)
     kafka = {"kafka.bootstrap.servers": brokers}
 
     if args.job == "report":
         from flowlens.plans.jobs import run_reports
 
-        run_reports(_session("flowlens-report", 4), args.normalized, args.windows, args.reports)
+        run_reports(_session("flowlens-report"), args.normalized, args.windows, args.reports)
         return
     if args.job == "ingest":
         from flowlens.plans.jobs import run_ingest
 
-        run_ingest(_session("flowlens-ingest", 8), args.data_dir, fmt="kafka", options=kafka)
+        run_ingest(_session("flowlens-ingest"), args.data_dir, fmt="kafka", options=kafka)
         return
 
     from flowlens.streaming import jobs
 
     if args.job == "normalize":
-        spark = _session("flowlens-normalize", 6)
+        spark = _session("flowlens-normalize")
         src = streams.stream_source(spark, topics=args.topics, brokers=brokers)
         q = jobs.start_normalizer(src, args.table, args.checkpoint,
-                                  forward={"fmt": "kafka", "topic": args.output_topic, "options": kafka})
+                                  forward={"fmt": "kafka", "topic": args.output_topic, "options": kafka},
+                                  state_partitions=args.state_partitions)
         q.awaitTermination()
     elif args.job == "aggregate":
-        spark = _session("flowlens-aggregate", 6)
+        spark = _session("flowlens-aggregate", stateful=True)
         src = streams.stream_source(spark, topics=args.topic, brokers=brokers)
         table_q, alert_q = jobs.start_aggregator(
             src, args.table, args.updates, args.checkpoint,
             alert_sink={"fmt": "kafka", "topic": args.alert_topic, "options": kafka},
             width=args.width, events_threshold=args.events_threshold,
-            syn_threshold=args.syn_threshold)
+            syn_threshold=args.syn_threshold, state_partitions=args.state_partitions)
         spark.streams.awaitAnyTermination()
     elif args.job == "archive":
-        spark = _session("flowlens-archive", 3)
+        spark = _session("flowlens-archive")
         src = streams.stream_source(spark, topics=args.topic, brokers=brokers, fail_on_data_loss=None)
         jobs.start_archive(src, args.table, args.checkpoint).awaitTermination()
     elif args.job == "alert-text":
-        spark = _session("flowlens-alert-text", 2)
+        spark = _session("flowlens-alert-text")
         src = streams.stream_source(spark, topics=args.topic, brokers=brokers)
         jobs.start_alert_text(src, args.checkpoint).awaitTermination()
 

@@ -93,6 +93,13 @@ def q_window_metrics_1d(spark, sf_dir):
     return _windows_out(day_windows(spark, sf_dir))
 
 
+def q_window_metrics_dst_port(spark, sf_dir):
+    """Windows keyed by destination port (1 hour, threshold 5,000)."""
+    w = window_metrics(flows(spark, sf_dir), width="1 hour", keys=("dst_port", "dataset_source"),
+                       events_threshold=5000)
+    return _windows_out(w)
+
+
 def q_window_alerts(spark, sf_dir):
     return _windows_out(alerts(day_windows(spark, sf_dir)))
 
@@ -168,6 +175,7 @@ QUERIES = {
     "benign_baseline": q_benign_baseline,
     "window_metrics_5m": q_window_metrics_5m,
     "window_metrics_1d": q_window_metrics_1d,
+    "window_metrics_dst_port": q_window_metrics_dst_port,
     "window_alerts": q_window_alerts,
     "aggregation_summary": q_aggregation_summary,
     "recent_attacks": q_recent_attacks,

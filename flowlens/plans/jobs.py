@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.payload import publish_payload
 from flowlens.operators import reports
-from flowlens.schemas import NORMALIZED_SCHEMA, WINDOW_SCHEMA
+from flowlens.schemas import NORMALIZED_SCHEMA, WINDOW_SCHEMA, with_fields
 from flowlens.session import shared_dir
 from flowlens.sinks.writers import write_report
 from flowlens.sources.csv_sources import as_raw_messages, read_cicflow_csv, read_unsw_csv
@@ -64,10 +64,11 @@ def run_reports(spark: SparkSession, normalized_path: str, windows_path: str, re
     only the ``attack_category=Benign`` directories.
     """
     out = reports_path.rstrip("/")
-    norm = read_parquet_or_none(spark, normalized_path)
+    norm = read_parquet_or_none(spark, normalized_path,
+                                with_fields(NORMALIZED_SCHEMA, ("batch_id", "bigint")))
     if norm is None or norm.limit(1).count() == 0:
         return False
-    norm = norm.select(*[c for c in NORMALIZED_SCHEMA.fieldNames() if c in norm.columns])
+    norm = norm.select(*NORMALIZED_SCHEMA.fieldNames())
     # one scan feeds both the distribution and the hourly series; the
     # rollup is small and is written to the shared checkpoint folder
     shared_dir(spark)
@@ -78,8 +79,7 @@ def run_reports(spark: SparkSession, normalized_path: str, windows_path: str, re
     baseline = reports.benign_baseline(norm)
     if baseline.limit(1).count() > 0:
         write_report(baseline, f"{out}/benign_baseline")
-    windows = read_parquet_or_none(spark, windows_path)
+    windows = read_parquet_or_none(spark, windows_path, WINDOW_SCHEMA)
     if windows is not None:
-        windows = windows.select(*[c for c in WINDOW_SCHEMA.fieldNames() if c in windows.columns])
         write_report(reports.aggregation_summary(windows), f"{out}/aggregation_summary")
     return True

@@ -93,11 +93,11 @@ def flows_cte(ts_expr: str = "e.ts") -> str:
 
 
 def windows_cte(width: str, events_threshold: int, syn_threshold: float,
-                src: str = "flows", name: str = "windows") -> str:
+                src: str = "flows", name: str = "windows", key: str = "src_ip") -> str:
     """``windows``: the window table over ``src`` (DuckDB dialect)."""
     agg = (
         f"agg AS (SELECT time_bucket(INTERVAL '{width}', event_timestamp) AS window_start, "
-        "src_ip, dataset_source, count(*) AS event_count, "
+        f"{key}, dataset_source, count(*) AS event_count, "
         "count(DISTINCT label) AS unique_labels, count(DISTINCT dst_port) AS unique_dst_ports, "
         "avg(flow_duration) AS avg_flow_duration, avg(flow_bytes_s) AS avg_flow_bytes_s, "
         "CAST(sum(syn_flag_count) AS BIGINT) AS total_syn_flags, "
@@ -111,7 +111,7 @@ def windows_cte(width: str, events_threshold: int, syn_threshold: float,
     win = (
         f"{name} AS (SELECT *, {vol} OR {syn} AS is_alert, "
         f"CASE WHEN {vol} AND {syn} THEN 'HIGH_VOLUME+SYN_FLOOD' WHEN {vol} THEN 'HIGH_VOLUME' "
-        f"WHEN {syn} THEN 'SYN_FLOOD' END AS alert_reason FROM (SELECT src_ip, dataset_source, "
+        f"WHEN {syn} THEN 'SYN_FLOOD' END AS alert_reason FROM (SELECT {key}, dataset_source, "
         "event_count, unique_labels, unique_dst_ports, avg_flow_duration, avg_flow_bytes_s, "
         f"total_syn_flags, total_fwd_packets, {ratio} AS syn_flag_ratio, window_start, "
         f"window_start + INTERVAL '{width}' AS window_end, "
@@ -242,6 +242,8 @@ def batch_sql() -> dict:
             "HAVING count(*) > 0"),
         "window_metrics_5m": _with(flows, five) + f"SELECT {WINDOW_OUT} FROM windows",
         "window_metrics_1d": _with(flows, day) + f"SELECT {WINDOW_OUT} FROM windows",
+        "window_metrics_dst_port": _with(flows, windows_cte("1 hour", 5000, 0.8, key="dst_port")) + (
+            "SELECT " + WINDOW_OUT.replace("src_ip, ", "dst_port, ", 1) + " FROM windows"),
         "window_alerts": _with(flows, day) + f"SELECT {WINDOW_OUT} FROM windows WHERE is_alert",
         "aggregation_summary": _with(flows, day) + (
             "SELECT dataset_source, window_start_date, count(*) AS window_count, "

@@ -187,24 +187,24 @@ def archive_stream(messages: DataFrame, schema=LEGACY_SCHEMA) -> DataFrame:
 
 def start_archive(messages: DataFrame, table_path: str, checkpoint: str,
                   schema=LEGACY_SCHEMA, trigger: dict | None = None,
-                  name: str | None = None) -> StreamingQuery:
+                  name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """J4 (K5): native Parquet sink partitioned by ``partition_date``."""
     writer = (
         archive_stream(messages, schema).writeStream.format("parquet")
         .partitionBy("partition_date")
         .option("path", table_path)
     )
-    return _start(writer, checkpoint, trigger, name)
+    return _start(writer, checkpoint, trigger, name, messages, state_partitions)
 
 
 def start_alert_text(messages: DataFrame, checkpoint: str, fmt: str = "console",
                      path: str | None = None, trigger: dict | None = None,
-                     name: str | None = None) -> StreamingQuery:
+                     name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """J6 (K8): alert messages to text, on the console or as text files."""
     writer = alert_text_from_json(messages).writeStream.format(fmt)
     if path:
         writer = writer.option("path", path)
-    return _start(writer, checkpoint, trigger, name)
+    return _start(writer, checkpoint, trigger, name, messages, state_partitions)
 
 
 def late_rows_dropped(query: StreamingQuery) -> int:

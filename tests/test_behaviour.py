@@ -196,3 +196,17 @@ def test_hot_source_address(spark):
     for ip, row in want.iterrows():
         assert got[ip] == (row.n, row.ports, row.labels, row.syn), ip
     assert got["10.9.9.9"][0] == n // 3
+
+
+def test_processing_time_stamp(spark):
+    """Without an event-time column rows are stamped with the clock."""
+    import datetime as dt
+
+    from flowlens.operators.normalize import normalize
+    from flowlens.sources.events_adapter import raw_flows
+
+    raw = raw_flows(load_events(spark, SF_SMALL), with_event_time=False)
+    row = normalize(raw).select("event_timestamp", "partition_date").first()
+    assert row.event_timestamp is not None
+    assert row.partition_date == row.event_timestamp.strftime("%Y-%m-%d")
+    assert abs((dt.datetime.now() - row.event_timestamp).total_seconds()) < 3600 * 24

@@ -28,13 +28,25 @@ def forward_payload(df: DataFrame, key: str = "src_ip") -> DataFrame:
     return df.select(F.col(key).cast("string").alias("key"), row_json(df).alias("value"))
 
 
+# Fields a dataset's messages do not carry at all (UNSW has no SYN count).
+ABSENT_FIELDS = {"unsw": ("syn_flag_count",)}
+
+
 def publish_payload(raw: DataFrame, key: str = "src_ip", keep=()) -> DataFrame:
     """K7: raw message payload; a NULL or empty address is keyed ``unknown``.
-    ``raw`` holds RAW_SCHEMA columns; ``keep`` names columns carried along."""
+
+    ``raw`` holds RAW_SCHEMA columns; ``keep`` names columns carried along.
+    NULL fields are written as ``null``; a field the dataset does not have
+    (``ABSENT_FIELDS``) is left out of its messages.
+    """
     fields = FLOW_FIELDS + ["dataset_source", "produced_at_ts"]
-    body = raw.select(*fields)
+    opts = {"ignoreNullFields": "false"}
+    value = F.to_json(F.struct(*[F.col(c) for c in fields]), opts)
+    for source, absent in ABSENT_FIELDS.items():
+        narrow = F.to_json(F.struct(*[F.col(c) for c in fields if c not in absent]), opts)
+        value = F.when(F.col("dataset_source") == source, narrow).otherwise(value)
     k = F.coalesce(F.nullif(F.col(key), F.lit("")), F.lit("unknown"))
-    return raw.select(k.alias("key"), row_json(body, keep_nulls=True).alias("value"), *keep)
+    return raw.select(k.alias("key"), value.alias("value"), *keep)
 
 
 # The alert text layout and the defaults for absent fields.

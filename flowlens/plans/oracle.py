@@ -376,7 +376,10 @@ def source_sql() -> dict:
            + ", dataset_source FROM flows))")
     fields = list(FLOW_COLS) + ["label", "dataset_source"]
     body = " || ',' || ".join(f"'\"{c}\":' || {_json_str(c)}" for c in fields)
-    value = f"'{{' || {body} || ',\"produced_at_ts\":1704067200000}}'"
+    unsw_body = " || ',' || ".join(f"'\"{c}\":' || {_json_str(c)}" for c in fields
+                                   if c != "syn_flag_count")
+    value = (f"'{{' || CASE WHEN dataset_source = 'unsw' THEN {unsw_body} ELSE {body} END "
+             "|| ',\"produced_at_ts\":1704067200000}'")
     key = "coalesce(nullif(src_ip, ''), 'unknown')"
     ms_flows = flows_cte(_MS_TS)
     norm_out = ", ".join(

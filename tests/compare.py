@@ -42,6 +42,24 @@ def rows_of(columns, records):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+# Spark type name -> DuckDB type name of the same values.
+TYPE_PAIRS = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
+def type_problems(spark_df, rel) -> list:
+    s_types = {f.name: f.dataType.simpleString() for f in spark_df.schema.fields}
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for name, st in s_types.items():
+        dt = d_types.get(name)
+        if dt is not None and TYPE_PAIRS.get(st) != dt:
+            out.append(f"type of {name}: spark={st} duck={dt}")
+    return out
+
+
 def compare(spark_df, con, sql: str):
     s_cols = spark_df.columns
     s_rows = rows_of(s_cols, [tuple(r) for r in spark_df.collect()])
@@ -51,6 +69,7 @@ def compare(spark_df, con, sql: str):
     problems = []
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}")
+    problems += type_problems(spark_df, rel)
     if len(s_rows) != len(d_rows):
         problems.append(f"row count spark={len(s_rows)} duck={len(d_rows)}")
     if not problems and s_rows != d_rows:

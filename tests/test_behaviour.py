@@ -166,8 +166,6 @@ def test_hot_source_address(spark):
     """One address holds a third of the rows: window metrics still match a
     brute-force count, and the distinct values are part of the first
     shuffle key, so the hot address is spread over its ports and labels."""
-    import pandas as pd
-
     from flowlens.operators.windows import window_metrics
 
     n = 30_000

@@ -84,3 +84,48 @@ def attack_counts_24h(norm: DataFrame, as_of=None) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("cnt"))
         .orderBy(F.desc("cnt"), "attack_category", "severity_level")
     )
+
+
+# The views as Spark SQL over the catalog tables (C3), for SQL clients.
+# ``{db}`` is the database, ``{as_of}`` a date expression (``current_date()``).
+VIEW_SQL = {
+    "recent_attacks": (
+        "SELECT attack_category, severity_level, label, dataset_source, COUNT(*) AS event_count "
+        "FROM {db}.normalized_logs "
+        "WHERE partition_date >= date_format(date_sub({as_of}, 1), 'yyyy-MM-dd') "
+        "AND attack_category <> 'Benign' "
+        "GROUP BY attack_category, severity_level, label, dataset_source "
+        "ORDER BY event_count DESC, attack_category, severity_level, label, dataset_source"
+    ),
+    "top_src_ips": (
+        "SELECT src_ip, dataset_source, COUNT(*) AS total_events, "
+        "COUNT_IF(attack_category <> 'Benign') AS attack_events, "
+        "MAX(syn_flag_count) AS max_syn_flag_count "
+        "FROM {db}.normalized_logs WHERE src_ip IS NOT NULL "
+        "GROUP BY src_ip, dataset_source "
+        "ORDER BY attack_events DESC, src_ip, dataset_source LIMIT 1000"
+    ),
+    "hourly_traffic": (
+        "SELECT date_trunc('HOUR', event_timestamp) AS hour_bucket, attack_category, "
+        "dataset_source, COUNT(*) AS event_count, AVG(flow_bytes_s) AS avg_flow_bytes_s "
+        "FROM {db}.normalized_logs GROUP BY 1, 2, 3 "
+        "ORDER BY hour_bucket DESC, attack_category, dataset_source"
+    ),
+    "active_alerts": (
+        "SELECT src_ip, dataset_source, event_count, syn_flag_ratio, alert_reason, "
+        "window_start, window_end FROM {db}.aggregations_5min "
+        "WHERE is_alert = true "
+        "AND window_start_date >= date_format(date_sub({as_of}, 1), 'yyyy-MM-dd') "
+        "ORDER BY window_start DESC, src_ip, dataset_source"
+    ),
+}
+
+
+def as_of_sql(as_of=None) -> str:
+    """``current_date()`` or a date literal for ``VIEW_SQL``."""
+    if as_of is None:
+        return "current_date()"
+    text = str(as_of)
+    if not (len(text) == 10 and text[4] == "-" and text[7] == "-" and text.replace("-", "").isdigit()):
+        raise ValueError(f"as_of must be yyyy-MM-dd, got {as_of!r}")
+    return f"DATE '{text}'"

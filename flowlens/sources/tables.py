@@ -95,8 +95,19 @@ def register_tables(spark: SparkSession, normalized_path: str, windows_path: str
             )
 
 
-def register_views(spark: SparkSession, database: str = DATABASE, as_of=None) -> None:
-    """The four views (A7-A10) as temporary views over the tables."""
+def register_views(spark: SparkSession, database: str = DATABASE, as_of=None,
+                   persistent: bool = False) -> None:
+    """The four views (A7-A10) over the tables.
+
+    By default temporary views built from the DataFrame functions; with
+    ``persistent`` they are ``CREATE OR REPLACE VIEW`` statements in the
+    database, so any SQL client of the catalog can query them.
+    """
+    if persistent:
+        for name, body in views.VIEW_SQL.items():
+            sql = body.format(db=database, as_of=views.as_of_sql(as_of))
+            spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {sql}")
+        return
     norm = spark.table(f"{database}.normalized_logs")
     windows = spark.table(f"{database}.aggregations_5min")
     views.recent_attacks(norm, as_of).createOrReplaceTempView("recent_attacks")

@@ -99,6 +99,16 @@ def test_catalog_tables_and_views(spark, workdir):
     assert via_sql.exceptAll(direct).count() == 0 and direct.exceptAll(via_sql).count() == 0
     assert spark.sql("SELECT count(*) AS n FROM active_alerts").first().n == \
         views.active_alerts(win, as_of="2024-01-30").count()
+    register_views(spark, database=db, as_of="2024-01-30", persistent=True)
+    for name, direct in (
+        ("recent_attacks", views.recent_attacks(norm, as_of="2024-01-30")),
+        ("top_src_ips", views.top_src_ips(norm)),
+        ("hourly_traffic", views.hourly_traffic(norm)),
+        ("active_alerts", views.active_alerts(win, as_of="2024-01-30")),
+    ):
+        stored = spark.table(f"{db}.{name}")
+        assert stored.columns == direct.columns, name
+        assert stored.exceptAll(direct).count() == 0 and direct.exceptAll(stored).count() == 0, name
     # the benign filter reads only the Benign partition directories
     plan = spark.table(f"{db}.normalized_logs").filter("attack_category = 'Benign'") \
         ._jdf.queryExecution().executedPlan().toString()

@@ -80,9 +80,27 @@ def main(argv=None) -> None:
         stream_cmd.add_argument(
             "--state-partitions", type=int, default=None,
             help="shuffle/state partitions of a new stream (fixed by its checkpoint afterwards)")
+        stream_cmd.add_argument("--source-format", default="kafka",
+                                help="kafka, or a file format whose lines are messages (text)")
+        stream_cmd.add_argument("--source-path", default=None, help="folder of message files")
+        stream_cmd.add_argument("--available-now", action="store_true",
+                                help="process what is there and stop (backfill)")
+    for fwd_cmd in (n, a):
+        fwd_cmd.add_argument("--sink-format", default="kafka",
+                             help="kafka, or a file format for the forwarded messages")
+        fwd_cmd.add_argument("--sink-path", default=None, help="folder for file-format messages")
     args = p.parse_args(argv)
     kafka = {"kafka.bootstrap.servers": brokers}
 
+    def source(spark, topics, fail_on_data_loss=False):
+        return streams.stream_source(spark, fmt=args.source_format, topics=topics, brokers=brokers,
+                                     path=args.source_path, fail_on_data_loss=fail_on_data_loss)
+
+    def sink(topic):
+        if args.sink_format == "kafka":
+            return {"fmt": "kafka", "topic": topic, "options": kafka}
+        return {"fmt": args.sink_format, "path": args.sink_path}
+
     if args.job == "report":
         from flowlens.plans.jobs import run_reports
 
@@ -96,30 +114,33 @@ def main(argv=None) -> None:
 
     from flowlens.streaming import jobs
 
+    trigger = {"availableNow": True} if args.available_now else None
+    started = []
     if args.job == "normalize":
         spark = _session("flowlens-normalize")
-        src = streams.stream_source(spark, topics=args.topics, brokers=brokers)
-        q = jobs.start_normalizer(src, args.table, args.checkpoint,
-                                  forward={"fmt": "kafka", "topic": args.output_topic, "options": kafka},
-                                  state_partitions=args.state_partitions)
-        q.awaitTermination()
+        started.append(jobs.start_normalizer(
+            source(spark, args.topics), args.table, args.checkpoint,
+            forward=sink(args.output_topic), trigger=trigger,
+            state_partitions=args.state_partitions))
     elif args.job == "aggregate":
         spark = _session("flowlens-aggregate", stateful=True)
-        src = streams.stream_source(spark, topics=args.topic, brokers=brokers)
-        table_q, alert_q = jobs.start_aggregator(
-            src, args.table, args.updates, args.checkpoint,
-            alert_sink={"fmt": "kafka", "topic": args.alert_topic, "options": kafka},
+        started.extend(jobs.start_aggregator(
+            source(spark, args.topic), args.table, args.updates, args.checkpoint,
+            alert_sink=sink(args.alert_topic), trigger=trigger,
             width=args.width, events_threshold=args.events_threshold,
-            syn_threshold=args.syn_threshold, state_partitions=args.state_partitions)
-        spark.streams.awaitAnyTermination()
+            syn_threshold=args.syn_threshold, state_partitions=args.state_partitions))
     elif args.job == "archive":
         spark = _session("flowlens-archive")
-        src = streams.stream_source(spark, topics=args.topic, brokers=brokers, fail_on_data_loss=None)
-        jobs.start_archive(src, args.table, args.checkpoint).awaitTermination()
+        started.append(jobs.start_archive(source(spark, args.topic, None), args.table,
+                                          args.checkpoint, trigger=trigger,
+                                          state_partitions=args.state_partitions))
     elif args.job == "alert-text":
         spark = _session("flowlens-alert-text")
-        src = streams.stream_source(spark, topics=args.topic, brokers=brokers)
-        jobs.start_alert_text(src, args.checkpoint).awaitTermination()
+        started.append(jobs.start_alert_text(source(spark, args.topic), args.checkpoint,
+                                             trigger=trigger,
+                                             state_partitions=args.state_partitions))
+    for q in started:
+        q.awaitTermination()
 
 
 if __name__ == "__main__":

@@ -247,3 +247,23 @@ def test_cli_streams_from_files(spark, workdir):
     # still open: the append table is empty, the update history is not
     assert spark.read.parquet(f"{workdir}/upd").count() > 0
     assert spark.read.json(f"{workdir}/alerts").count() > 0
+
+
+def test_approximate_distinct_option(spark):
+    """distinct="approx" (HyperLogLog) stays close to the exact counts."""
+    from flowlens.operators.windows import window_metrics
+
+    norm = flows(spark, SF_SMALL)
+    exact = window_metrics(norm, width="1 day").select(
+        "window_start", "src_ip", "dataset_source", "unique_dst_ports", "unique_labels")
+    approx = window_metrics(norm, width="1 day", distinct="approx").select(
+        "window_start", "src_ip", "dataset_source",
+        F.col("unique_dst_ports").alias("a_ports"), F.col("unique_labels").alias("a_labels"))
+    joined = exact.join(approx, exact["window_start"].eqNullSafe(approx["window_start"])
+                        & exact["src_ip"].eqNullSafe(approx["src_ip"])
+                        & exact["dataset_source"].eqNullSafe(approx["dataset_source"]))
+    rows = joined.collect()
+    assert len(rows) == exact.count()
+    for r in rows:
+        assert abs(r.a_ports - r.unique_dst_ports) <= max(1, 0.1 * r.unique_dst_ports)
+        assert abs(r.a_labels - r.unique_labels) <= max(1, 0.1 * r.unique_labels)

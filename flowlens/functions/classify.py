@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Characters a label is stripped of before the equality rules (Python's
@@ -145,9 +145,18 @@ def _sql_any(u: str, tokens) -> str:
     return "(" + " OR ".join(f"contains({u}, {_sql_str(t)})" for t in tokens) + ")"
 
 
-def classify_sql(label: str) -> str:
-    """The P10 ``CASE`` as SQL text over the SQL expression ``label``."""
-    u = f"upper(btrim({label}, {_sql_str(_BLANKS)}))"
+def label_key_sql(label: str) -> str:
+    """The trimmed, upper-cased label the category rules test."""
+    return f"upper(btrim({label}, {_sql_str(_BLANKS)}))"
+
+
+def classify_sql(label: str, key: str | None = None) -> str:
+    """The P10 ``CASE`` as SQL text over the SQL expression ``label``.
+
+    ``key`` names an already computed ``label_key_sql(label)``; without it
+    the key expression is repeated in every rule.
+    """
+    u = key or label_key_sql(label)
     parts = [f"CASE WHEN {label} IS NULL OR {label} = '' THEN {_sql_str(CATEGORY_EMPTY)}"]
     for rule in CATEGORY_RULES:
         if rule.equals:
@@ -163,9 +172,10 @@ def classify_sql(label: str) -> str:
     return " ".join(parts)
 
 
-def severity_sql(category: str) -> str:
-    """The P11 ``CASE`` as SQL text over the SQL expression ``category``."""
-    c = f"upper({category})"
+def severity_sql(category: str, key: str | None = None) -> str:
+    """The P11 ``CASE`` as SQL text over the SQL expression ``category``;
+    ``key`` names an already computed ``upper(category)``."""
+    c = key or f"upper({category})"
     parts = [
         f"CASE WHEN {category} IS NULL OR {category} = '' THEN {_sql_str(SEVERITY_DEFAULT)}",
         f"WHEN {c} = {_sql_str(SEVERITY_BENIGN[0])} THEN {_sql_str(SEVERITY_BENIGN[1])}",
@@ -176,6 +186,23 @@ def severity_sql(category: str) -> str:
     return " ".join(parts)
 
 
+def with_category(df: DataFrame, label: str = "label", category: str = "attack_category",
+                  severity: str | None = "severity_level") -> DataFrame:
+    """Add the category (and severity) columns to ``df``.
+
+    The upper-cased keys are computed once per row as their own columns,
+    which the rule chains then test; the optimizer keeps them apart because
+    each is used many times. The helper columns are dropped again.
+    """
+    lk, ck = "__label_key", "__category_key"
+    out = df.withColumn(lk, F.expr(label_key_sql(_quote(label))))
+    out = out.withColumn(category, F.expr(classify_sql(_quote(label), _quote(lk))))
+    if severity:
+        out = out.withColumn(ck, F.upper(F.col(category)))
+        out = out.withColumn(severity, F.expr(severity_sql(_quote(category), _quote(ck))))
+    return out.drop(lk, ck)
+
+
 def register_sql_functions(spark: SparkSession) -> None:
     """Expose the two mappings to SQL as ``classify_label(label)`` and
     ``severity_of(category)`` (U1, U2).

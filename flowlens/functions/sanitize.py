@@ -44,14 +44,22 @@ def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def to_double_sql(c: str) -> str:
-    t = f"btrim({c}, {_sql_lit(_PAD)})"
+def trimmed_sql(c: str) -> str:
+    """The cell without the blanks a cast ignores."""
+    return f"btrim({c}, {_sql_lit(_PAD)})"
+
+
+def to_double_sql(c: str, trimmed: str | None = None) -> str:
+    """Text to double as SQL; ``trimmed`` names an already computed
+    ``trimmed_sql(c)``."""
+    t = trimmed or trimmed_sql(c)
     return (f"CASE WHEN {t} RLIKE {_sql_lit(DOUBLE_SHAPE)} OR {t} RLIKE {_sql_lit(SPECIAL_SHAPE)} "
             f"THEN try_cast({t} AS DOUBLE) END")
 
 
-def to_long_sql(c: str) -> str:
-    t = f"btrim({c}, {_sql_lit(_PAD)})"
+def to_long_sql(c: str, trimmed: str | None = None) -> str:
+    """Text to bigint as SQL; ``trimmed`` as for ``to_double_sql``."""
+    t = trimmed or trimmed_sql(c)
     return (f"CASE WHEN {t} RLIKE {_sql_lit(LONG_SHAPE)} "
             f"THEN try_cast(regexp_extract({t}, {_sql_lit(LONG_DIGITS)}, 0) AS BIGINT) END")
 

@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.functions.classify import classify_expr, severity_expr
-from flowlens.functions.sanitize import to_double, to_long
+from flowlens.functions.classify import with_category
+from flowlens.functions.sanitize import to_double_sql, to_long_sql, trimmed_sql
 from flowlens.schemas import DOUBLE_FIELDS, FLOW_FIELDS, LONG_FIELDS, NORMALIZED_COLUMNS, RAW_SCHEMA
 
 
@@ -39,24 +39,25 @@ def normalize(raw: DataFrame, event_time: str | Column | None = None) -> DataFra
     else:
         ts = event_time.cast("timestamp")
 
+    # stage 1: each numeric cell trimmed once (the casts test it several times)
+    numeric = LONG_FIELDS + DOUBLE_FIELDS
+    staged = raw.select(
+        *FLOW_FIELDS, "dataset_source", "produced_at_ts", ts.alias("event_timestamp"),
+        *[F.expr(trimmed_sql(f"`{n}`")).alias(f"__t_{n}") for n in numeric],
+    )
+    # stage 2: the casts
     out = []
     for name in FLOW_FIELDS:
         if name in LONG_FIELDS:
-            out.append(to_long(name).alias(name))
+            out.append(F.expr(to_long_sql(f"`{name}`", f"`__t_{name}`")).alias(name))
         elif name in DOUBLE_FIELDS:
-            out.append(to_double(name).alias(name))
+            out.append(F.expr(to_double_sql(f"`{name}`", f"`__t_{name}`")).alias(name))
         else:
             out.append(F.col(name))
-    out += [
-        F.col("dataset_source"),
-        F.col("produced_at_ts"),
-        classify_expr("label").alias("attack_category"),
-        ts.alias("event_timestamp"),
-    ]
-    # severity reads the category column; partition_date the same time stamp
+    typed = staged.select(*out, "dataset_source", "produced_at_ts", "event_timestamp")
+    # stage 3: category and severity; partition_date from the same time stamp
     return (
-        raw.select(*out)
-        .withColumn("severity_level", severity_expr("attack_category"))
+        with_category(typed)
         .withColumn("partition_date", F.date_format(F.col("event_timestamp"), "yyyy-MM-dd"))
         .select(*NORMALIZED_COLUMNS)
     )

@@ -40,8 +40,11 @@ def shared_dir(spark: SparkSession) -> str:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="flowlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - a session may refuse core settings at run time
+            pass
     return d
 
 

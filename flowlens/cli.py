@@ -20,6 +20,13 @@ def _env(name: str, default: str) -> str:
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# Producer settings of the ingest (batching, linger, compression).
+INGEST_PRODUCER = {
+    "kafka.linger.ms": "50",
+    "kafka.batch.size": "65536",
+    "kafka.compression.type": "lz4",
+}
+
 
 def _session(app: str, stateful: bool = False):
     """The cluster's session. Shuffle sizing is left to the cluster's
@@ -72,8 +79,10 @@ def main(argv=None) -> None:
     i = sub.add_parser("ingest", help="J5: dataset files -> raw topics, once")
     i.add_argument("--data-dir", default=_env("DATA_DIR", "/app/data"))
 
-    t = sub.add_parser("alert-text", help="J6: alert topic -> console text")
+    t = sub.add_parser("alert-text", help="J6: alert topic -> printed alert text")
     t.add_argument("--checkpoint", required=True)
+    t.add_argument("--output", default="print", help="print, console, or a file format")
+    t.add_argument("--output-path", default=None)
     t.add_argument("--topic", default=_env("ALERT_TOPIC", streams.ALERT_TOPIC))
 
     for stream_cmd in (n, a, c, t):
@@ -109,7 +118,8 @@ def main(argv=None) -> None:
     if args.job == "ingest":
         from flowlens.plans.jobs import run_ingest
 
-        run_ingest(_session("flowlens-ingest"), args.data_dir, fmt="kafka", options=kafka)
+        run_ingest(_session("flowlens-ingest"), args.data_dir, fmt="kafka",
+                   options={**kafka, **INGEST_PRODUCER})
         return
 
     from flowlens.streaming import jobs
@@ -137,6 +147,7 @@ def main(argv=None) -> None:
     elif args.job == "alert-text":
         spark = _session("flowlens-alert-text")
         started.append(jobs.start_alert_text(source(spark, args.topic), args.checkpoint,
+                                             fmt=args.output, path=args.output_path,
                                              trigger=trigger,
                                              state_partitions=args.state_partitions))
     for q in started:

@@ -200,13 +200,29 @@ def start_archive(messages: DataFrame, table_path: str, checkpoint: str,
 def start_alert_text(messages: DataFrame, checkpoint: str, fmt: str = "console",
                      path: str | None = None, trigger: dict | None = None,
                      name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
-    """J6 (K8): alert messages to text, on the console or as text files."""
-    writer = alert_text_from_json(messages).writeStream.format(fmt)
-    if path:
-        writer = writer.option("path", path)
+    """J6 (K8): alert messages to text.
+
+    ``fmt="print"`` prints each alert's text as it is (a ``foreach`` writer,
+    so every task prints its own rows; nothing is gathered on the driver);
+    ``"console"`` shows the untruncated column; a file format writes to
+    ``path``.
+    """
+    texts = alert_text_from_json(messages)
+    if fmt == "print":
+        writer = texts.writeStream.foreach(_print_alert)
+    else:
+        writer = texts.writeStream.format(fmt)
+        if fmt == "console":
+            writer = writer.option("truncate", "false")
+        if path:
+            writer = writer.option("path", path)
     return _start(writer, checkpoint, trigger, name, messages, state_partitions)
 
 
+def _print_alert(row) -> None:
+    print(row["alert_text"], flush=True)
+
+
 def late_rows_dropped(query: StreamingQuery) -> int:
     """Rows dropped behind the watermark over the query's recent
     progress reports (Spark keeps no side output of them)."""

@@ -267,3 +267,26 @@ def test_approximate_distinct_option(spark):
     for r in rows:
         assert abs(r.a_ports - r.unique_dst_ports) <= max(1, 0.1 * r.unique_dst_ports)
         assert abs(r.a_labels - r.unique_labels) <= max(1, 0.1 * r.unique_labels)
+
+
+def test_alert_text_printed(spark, workdir, capsys):
+    """J6 print mode: the stream runs the foreach printer; each alert's text
+    is printed as it is (workers print to their own stdout)."""
+    from pyspark.sql import Row
+
+    from flowlens.functions.payload import forward_payload
+    from flowlens.operators.windows import alerts, window_metrics
+    from flowlens.sources.streams import stream_source
+
+    win = window_metrics(flows(spark, SF_SMALL), width="1 day", events_threshold=3)
+    msgs = forward_payload(alerts(win).limit(3))
+    src = f"{workdir}/src"
+    msgs.select("value").write.text(f"{src}/step0")
+    q = jobs.start_alert_text(stream_source(spark, fmt="text", path=f"{src}/*"), f"{workdir}/ck",
+                              fmt="print", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+    assert q.recentProgress[-1].numInputRows in (0, 3) and sum(
+        p.numInputRows for p in q.recentProgress) == 3
+    jobs._print_alert(Row(alert_text="line one\nline two\n"))
+    assert capsys.readouterr().out == "line one\nline two\n\n"

@@ -290,3 +290,12 @@ def test_alert_text_printed(spark, workdir, capsys):
         p.numInputRows for p in q.recentProgress) == 3
     jobs._print_alert(Row(alert_text="line one\nline two\n"))
     assert capsys.readouterr().out == "line one\nline two\n\n"
+
+
+def test_no_benign_rows_no_baseline(spark):
+    """without benign flows the baseline report has no row."""
+    from flowlens.operators import reports
+
+    attacks_only = flows(spark, SF_SMALL).filter("attack_category <> 'Benign'")
+    assert reports.benign_baseline(attacks_only).count() == 0
+    assert reports.benign_baseline(flows(spark, SF_SMALL)).count() == 1

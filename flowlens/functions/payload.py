@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 from flowlens.schemas import FLOW_FIELDS
 
 
-def _as_col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def row_json(df: DataFrame, keep_nulls: bool = False) -> Column:
     """JSON text of the whole row. Spark drops NULL fields by default (the
     job's forwarders); ``keep_nulls`` writes them as ``null`` (the producer)."""

@@ -61,7 +61,9 @@ def run_reports(spark: SparkSession, normalized_path: str, windows_path: str, re
 
     Returns False (and writes nothing) when there is no normalised data
     yet. Each report reads only its columns; the benign baseline reads
-    only the ``attack_category=Benign`` directories.
+    only the ``attack_category=Benign`` directories. The big table is
+    scanned three times: the hourly rollup (feeds two reports), the source
+    profiles and the benign baseline.
     """
     out = reports_path.rstrip("/")
     norm = read_parquet_or_none(spark, normalized_path,
@@ -76,7 +78,9 @@ def run_reports(spark: SparkSession, normalized_path: str, windows_path: str, re
     write_report(reports.attack_distribution_from_rollup(rollup), f"{out}/attack_distribution")
     write_report(reports.hourly_timeseries_from_rollup(rollup), f"{out}/hourly_timeseries")
     write_report(reports.behavioral_profiles(norm), f"{out}/behavioral_profiles")
-    baseline = reports.benign_baseline(norm)
+    # at most one row, computed once (benign flows are most of the table):
+    # checkpointed, then tested and written from the checkpoint
+    baseline = reports.benign_baseline(norm).checkpoint()
     if baseline.limit(1).count() > 0:
         write_report(baseline, f"{out}/benign_baseline")
     windows = read_parquet_or_none(spark, windows_path, WINDOW_SCHEMA)

@@ -15,13 +15,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters a cast trims around a number.
-_PAD = " \t\n\r\x0b\x0c"
-
-# Text shapes of the casts (matched after trimming).
-LONG_SHAPE = r"^[+-]?[0-9]+([.][0-9]*)?$"
-LONG_DIGITS = r"^[+-]?[0-9]+"
-DOUBLE_SHAPE = r"^[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[dDfF]?)$"
+# Characters the casts trim: the integer parser drops ASCII blanks and
+# control characters (0x00-0x20, 0x7f); the number parser drops 0x00-0x20.
+LONG_PAD = "".join(chr(i) for i in range(0x21)) + "\x7f"
+DOUBLE_PAD = "".join(chr(i) for i in range(0x21))
+# Characters Python strips around a float (``str.isspace``), by rule.
+_PY_SPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+# Text shapes (matched after trimming).
+# Integer text of the non-ANSI cast: sign, digits, an ignored fraction.
+LONG_SHAPE = r"^[+-]?(?=[0-9.])[0-9]*([.][0-9]*)?$"
+LONG_DIGITS = r"^[+-]?([0-9]*)"
+# Number text the double cast reads (decimal or hexadecimal, f/d suffix).
+DOUBLE_SHAPE = (r"^[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
+                r"|0[xX]([0-9a-fA-F]+[.]?[0-9a-fA-F]*|[.][0-9a-fA-F]+)[pP][+-]?[0-9]+)[dDfF]?$")
+# Named values of the double cast, by their lower-case text.
+DOUBLE_WORDS = {
+    "inf": "Infinity", "+inf": "Infinity", "infinity": "Infinity", "+infinity": "Infinity",
+    "-inf": "-Infinity", "-infinity": "-Infinity", "nan": "NaN", "+nan": "NaN", "-nan": "NaN",
+}
+# Python float text: digits with single underscores between them.
+_PY_DIGITS = r"[0-9](?:_?[0-9])*"
+PY_FLOAT_SHAPE = (rf"^[+-]?(?:(?:{_PY_DIGITS})?[.]{_PY_DIGITS}|{_PY_DIGITS}[.]?)"
+                  rf"(?:[eE][+-]?{_PY_DIGITS})?$")
 SPECIAL_SHAPE = r"(?i)^[+-]?(nan|inf|infinity)$"
 
 
@@ -36,67 +52,82 @@ def _sql_lit(s: str) -> str:
     return "'" + "".join(out) + "'"
 
 
-def _trimmed(c: Column) -> Column:
-    return F.btrim(c, F.lit(_PAD))
-
-
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def trimmed_sql(c: str) -> str:
-    """The cell without the blanks a cast ignores."""
-    return f"btrim({c}, {_sql_lit(_PAD)})"
+def trimmed_sql(c: str, pad: str = DOUBLE_PAD) -> str:
+    """The cell without the characters a cast ignores around it."""
+    return f"btrim({c}, {_sql_lit(pad)})"
 
 
 def to_double_sql(c: str, trimmed: str | None = None) -> str:
-    """Text to double as SQL; ``trimmed`` names an already computed
-    ``trimmed_sql(c)``."""
+    """Text to double as SQL (see ``to_double``); ``trimmed`` names an
+    already computed ``trimmed_sql(c)``."""
     t = trimmed or trimmed_sql(c)
-    return (f"CASE WHEN {t} RLIKE {_sql_lit(DOUBLE_SHAPE)} OR {t} RLIKE {_sql_lit(SPECIAL_SHAPE)} "
-            f"THEN try_cast({t} AS DOUBLE) END")
+    words = " ".join(f"WHEN {_sql_lit(k)} THEN double({_sql_lit(v)})"
+                     for k, v in DOUBLE_WORDS.items())
+    return (f"CASE WHEN {t} RLIKE {_sql_lit(DOUBLE_SHAPE)} THEN try_cast({t} AS DOUBLE) "
+            f"ELSE CASE lower({t}) {words} END END")
 
 
 def to_long_sql(c: str, trimmed: str | None = None) -> str:
-    """Text to bigint as SQL; ``trimmed`` as for ``to_double_sql``."""
-    t = trimmed or trimmed_sql(c)
-    return (f"CASE WHEN {t} RLIKE {_sql_lit(LONG_SHAPE)} "
-            f"THEN try_cast(regexp_extract({t}, {_sql_lit(LONG_DIGITS)}, 0) AS BIGINT) END")
+    """Text to bigint as SQL (see ``to_long``); ``trimmed`` names an already
+    computed ``trimmed_sql(c, LONG_PAD)``."""
+    t = trimmed or trimmed_sql(c, LONG_PAD)
+    digits = f"regexp_extract({t}, {_sql_lit(LONG_DIGITS)}, 1)"
+    sign = f"CASE WHEN startswith({t}, '-') THEN '-' ELSE '' END"
+    number = f"concat({sign}, CASE WHEN {digits} = '' THEN '0' ELSE {digits} END)"
+    return f"CASE WHEN {t} RLIKE {_sql_lit(LONG_SHAPE)} THEN try_cast({number} AS BIGINT) END"
 
 
 def safe_text_sql(c: str) -> str:
-    t = f"btrim({c}, {_sql_lit(_PAD)})"
-    overflow = f"({t} RLIKE {_sql_lit(DOUBLE_SHAPE)} AND abs(try_cast({t} AS DOUBLE)) = double('inf'))"
+    """NaN/infinity text to NULL as SQL (see ``safe_text``)."""
+    t = f"btrim({c}, {_sql_lit(_PY_SPACE)})"
+    number = f"try_cast(replace({t}, '_', '') AS DOUBLE)"
+    overflow = f"({t} RLIKE {_sql_lit(PY_FLOAT_SHAPE)} AND abs({number}) = double('inf'))"
     return (f"CASE WHEN {t} RLIKE {_sql_lit(SPECIAL_SHAPE)} OR {overflow} "
             f"THEN CAST(NULL AS STRING) ELSE {c} END")
 
 
 def to_double(c) -> Column:
-    """Text to double: numbers (with exponent), NaN and +-Infinity/inf;
-    NULL for anything else. ``c`` is a column or its name."""
+    """Text to double as the non-ANSI cast reads it: decimal or hexadecimal
+    numbers (an f/d suffix allowed), ``NaN``/``Infinity`` and the words
+    inf, infinity and nan (any case, signed); NULL for anything else.
+    ``c`` is a column or its name."""
     if isinstance(c, str):
         return F.expr(to_double_sql(_quote(c)))
-    t = _trimmed(c)
-    return F.when(t.rlike(DOUBLE_SHAPE) | t.rlike(SPECIAL_SHAPE), t.try_cast("double"))
+    t = F.btrim(c, F.lit(DOUBLE_PAD))
+    words = F.lower(t)
+    expr = F.when(t.rlike(DOUBLE_SHAPE), t.try_cast("double"))
+    for k, v in DOUBLE_WORDS.items():
+        expr = expr.when(words == k, F.lit(v).cast("double"))
+    return expr
 
 
 def to_long(c) -> Column:
-    """Text to bigint as a non-ANSI cast: ``' 80 '``, ``'80.0'`` and
-    ``'80.9'`` give 80, ``'-3.7'`` gives -3; ``''``, ``'-'``, ``'0x000b'``
-    and ``'1e3'`` give NULL (so does a value beyond the bigint range)."""
+    """Text to bigint as the non-ANSI cast reads it: ``' 80 '``, ``'80.0'``
+    and ``'80.9'`` give 80, ``'-3.7'`` gives -3, ``'.5'`` gives 0; ``''``,
+    ``'-'``, ``'0x000b'`` and ``'1e3'`` give NULL, as does a value beyond
+    the bigint range."""
     if isinstance(c, str):
         return F.expr(to_long_sql(_quote(c)))
-    t = _trimmed(c)
-    return F.when(t.rlike(LONG_SHAPE), F.regexp_extract(t, LONG_DIGITS, 0).try_cast("bigint"))
+    t = F.btrim(c, F.lit(LONG_PAD))
+    digits = F.regexp_extract(t, LONG_DIGITS, 1)
+    number = F.concat(F.when(t.startswith("-"), F.lit("-")).otherwise(F.lit("")),
+                      F.when(digits == "", F.lit("0")).otherwise(digits))
+    return F.when(t.rlike(LONG_SHAPE), number.try_cast("bigint"))
 
 
 def safe_text(c) -> Column:
-    """NULL when the text parses as NaN or +-infinity (overflow such as
-    ``1e400`` included); every other text is kept as it is."""
+    """NULL when Python's ``float()`` would read the text as NaN or an
+    infinity (overflow such as ``1e400`` included); every other text is
+    kept as it is."""
     if isinstance(c, str):
         return F.expr(safe_text_sql(_quote(c)))
-    t = _trimmed(c)
-    overflow = t.rlike(DOUBLE_SHAPE) & (F.abs(t.try_cast("double")) == F.lit(float("inf")))
+    t = F.btrim(c, F.lit(_PY_SPACE))
+    number = F.regexp_replace(t, "_", "").try_cast("double")
+    overflow = t.rlike(PY_FLOAT_SHAPE) & (F.abs(number) == F.lit(float("inf")))
     return F.when(t.rlike(SPECIAL_SHAPE) | overflow, F.lit(None).cast("string")).otherwise(c)
 
 

@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.classify import with_category
-from flowlens.functions.sanitize import to_double_sql, to_long_sql, trimmed_sql
+from flowlens.functions.sanitize import (
+    DOUBLE_PAD,
+    LONG_PAD,
+    to_double_sql,
+    to_long_sql,
+    trimmed_sql,
+)
 from flowlens.schemas import DOUBLE_FIELDS, FLOW_FIELDS, LONG_FIELDS, NORMALIZED_COLUMNS, RAW_SCHEMA
 
 
@@ -43,7 +49,8 @@ def normalize(raw: DataFrame, event_time: str | Column | None = None) -> DataFra
     numeric = LONG_FIELDS + DOUBLE_FIELDS
     staged = raw.select(
         *FLOW_FIELDS, "dataset_source", "produced_at_ts", ts.alias("event_timestamp"),
-        *[F.expr(trimmed_sql(f"`{n}`")).alias(f"__t_{n}") for n in numeric],
+        *[F.expr(trimmed_sql(f"`{n}`", LONG_PAD if n in LONG_FIELDS else DOUBLE_PAD))
+          .alias(f"__t_{n}") for n in numeric],
     )
     # stage 2: the casts
     out = []

@@ -11,9 +11,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Characters a label is stripped of before the equality rules (Python's
-# ``str.strip`` set for ASCII and Latin-1).
-_BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+# Characters a label is stripped of before the rules: the characters
+# Python's ``str.strip`` removes (``str.isspace``), derived by rule.
+_BLANKS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 @dataclass(frozen=True)

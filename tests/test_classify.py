@@ -60,3 +60,29 @@ def test_classify_stays_in_codegen(spark):
     df = spark.range(10).select(F.lit("DDoS").alias("label")).select(classify_expr("label").alias("c"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_rules_compile_to_the_same_decisions(spark):
+    """The CASE expressions (SQL text and Column forms) decide every label
+    as a plain evaluation of the rule tables does, on random labels built
+    from the rule words."""
+    import random
+
+    from tests import rule_model
+
+    words = ["ddos", "DrDoS", "syn", "UDP", "lag", "LDAP", "Web Attack", "web_attack", "brute",
+             "XSS", "sql", "dos", "PortScan", "bot", "patator", "0", "1", "benign", "normal",
+             "Generic", "worms", "x", "-", " ", "\t", "　", "\xa0"]
+    rng = random.Random(7)
+    labels = ["".join(rng.choice(words) for _ in range(rng.randint(0, 3))) for _ in range(600)]
+    labels += [None, "", " ", " Syn ", "UDP-lag", "udplag"]
+    df = spark.createDataFrame([(x,) for x in labels], "label string")
+    got = df.select(
+        "label",
+        classify_expr("label").alias("a"),
+        classify_expr(F.col("label")).alias("b"),
+    ).withColumn("s", severity_expr("a")).collect()
+    for r in got:
+        want = rule_model.category(r.label)
+        assert r.a == want and r.b == want, (r.label, r.a, r.b, want)
+        assert r.s == rule_model.severity(want), (r.label, r.s)

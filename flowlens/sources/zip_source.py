@@ -13,8 +13,10 @@ from __future__ import annotations
 import csv
 import io
 import json
+import sys
 import zipfile
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -23,6 +25,12 @@ from flowlens.functions.sanitize import safe_text
 from flowlens.schemas import CICFLOW_COLUMN_MAP, FLOW_FIELDS
 
 
+# The source runs in Python workers (planning and reading). Its classes are
+# sent by value, so the workers need only the standard library and pyspark,
+# not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class _ZipFile(InputPartition):
     def __init__(self, path: str):
         self.path = path

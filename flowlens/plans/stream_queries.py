@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from flowlens.functions.payload import alert_text_from_json, forward_payload, publish_payload
 from flowlens.operators.normalize import normalize
 from flowlens.operators.windows import alerts, latest_per_window
-from flowlens.plans.batch_queries import ALERT_EVENTS_THRESHOLD, ALERT_WIDTH, rounded
+from flowlens.plans.batch_queries import ALERT_EVENTS_THRESHOLD, ALERT_WIDTH, day_windows, rounded
 from flowlens.schemas import (
     LEGACY_SCHEMA,
     NORMALIZED_COLUMNS,
@@ -183,8 +183,6 @@ def q_stream_alerts_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_alert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J6 over the alert messages (K4) of the batch window alerts."""
-    from flowlens.plans.batch_queries import day_windows
-
     msgs = forward_payload(alerts(day_windows(spark, sf_dir)))
     return alert_text_from_json(msgs)
 

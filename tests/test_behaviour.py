@@ -299,3 +299,35 @@ def test_no_benign_rows_no_baseline(spark):
     attacks_only = flows(spark, SF_SMALL).filter("attack_category <> 'Benign'")
     assert reports.benign_baseline(attacks_only).count() == 0
     assert reports.benign_baseline(flows(spark, SF_SMALL)).count() == 1
+
+
+def test_alert_then_not_alert(spark, workdir):
+    """Update mode: a window alerts in one micro-batch and stops being an
+    alert in the next. The alert messages keep the early alert; the newest
+    version of the window says it is no longer one."""
+    import json
+
+    from flowlens.sources.streams import stream_source
+
+    def rows(n, syn, fwd, second):
+        return [json.dumps({
+            "src_ip": "10.5.5.5", "dst_port": 80 + i, "label": "Syn", "dataset_source": "cicdos",
+            "flow_duration": 1.0, "flow_bytes_s": 2.0, "syn_flag_count": syn,
+            "total_fwd_packets": fwd, "event_timestamp": f"2024-01-01T10:00:{second + i:02d}.000Z",
+        }) for i in range(n)]
+
+    src, upd, sink = f"{workdir}/src", f"{workdir}/upd", f"{workdir}/alerts"
+    steps = [rows(2, 9, 10, 0), rows(2, 0, 10, 10)]
+    for i, lines in enumerate(steps):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1) \
+            .write.text(f"{src}/step{i}")
+        q = jobs.start_alert_stream(stream_source(spark, fmt="text", path=f"{src}/*"), upd,
+                                    f"{workdir}/ck", alert_sink={"fmt": "json", "path": sink},
+                                    trigger={"availableNow": True}, width="1 day",
+                                    state_partitions=2)
+        q.awaitTermination()
+    sent = spark.read.json(sink).select(F.get_json_object("value", "$.syn_flag_ratio").alias("r"))
+    assert [float(r.r) for r in sent.collect()] == [0.9]
+    hist = spark.read.schema(with_fields(WINDOW_SCHEMA, ("batch_id", "bigint"))).parquet(upd)
+    latest = latest_per_window(hist.drop("processed_at")).first()
+    assert latest.event_count == 4 and latest.syn_flag_ratio == 0.45 and latest.is_alert is False

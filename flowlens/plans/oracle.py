@@ -391,6 +391,9 @@ def source_sql() -> dict:
         "zip_csv_source": _with(flows) + select({}, "'cicids'"),
         "publish_payload": _with(flows, pub) + f"SELECT {key} AS key, {value} AS value, topic FROM pub",
         "json_round_trip": _with(ms_flows) + f"SELECT {norm_out} FROM flows",
+        "report_job": _with(flows) + (
+            "SELECT date_trunc('hour', event_timestamp) AS hour_bucket, attack_category, "
+            "dataset_source, count(*) AS event_count FROM flows GROUP BY ALL"),
         "partitioned_tables": _with(flows) + (
             "SELECT attack_category, partition_date, count(*) AS event_count, "
             "CAST(NULL AS BIGINT) AS benign_count FROM flows GROUP BY ALL UNION ALL "

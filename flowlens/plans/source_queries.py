@@ -16,7 +16,7 @@ from flowlens.operators.normalize import decode_json
 from flowlens.operators.windows import window_metrics
 from flowlens.plans import fixtures
 from flowlens.plans.batch_queries import ALERT_EVENTS_THRESHOLD, ALERT_WIDTH, flows, rounded
-from flowlens.plans.jobs import run_ingest
+from flowlens.plans.jobs import run_ingest, run_reports
 from flowlens.plans.stream_queries import day_splits
 from flowlens.schemas import (
     FLOW_FIELDS,
@@ -142,6 +142,19 @@ def q_partitioned_tables(spark, sf_dir):
     return counts.unionByName(base)
 
 
+def q_report_job(spark, sf_dir):
+    """J3 + K6 + S8: write the partitioned tables, run one report pass, and
+    read back the hourly series (built from the checkpointed rollup)."""
+    root = new_work_dir(spark, "reports")
+    norm_path, win_path, out = f"{root}/normalized-logs", f"{root}/aggregations-5min", f"{root}/reports"
+    norm = flows(spark, sf_dir)
+    write_partitioned(norm, norm_path, NORMALIZED_PARTITIONS)
+    write_partitioned(window_metrics(norm), win_path, WINDOW_PARTITIONS)
+    if not run_reports(spark, norm_path, win_path, out):
+        raise RuntimeError("no normalised rows were written")
+    return spark.read.parquet(f"{out}/hourly_timeseries")
+
+
 QUERIES = {
     "csv_cicflow_source": q_csv_cicflow_source,
     "csv_unsw_source": q_csv_unsw_source,
@@ -149,4 +162,5 @@ QUERIES = {
     "publish_payload": q_publish_payload,
     "json_round_trip": q_json_round_trip,
     "partitioned_tables": q_partitioned_tables,
+    "report_job": q_report_job,
 }

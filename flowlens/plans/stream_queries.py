@@ -25,7 +25,7 @@ from flowlens.schemas import (
     WINDOW_SCHEMA,
     with_fields,
 )
-from flowlens.session import new_work_dir
+from flowlens.session import default_parallelism, new_work_dir
 from flowlens.sources.events_adapter import load_events, raw_flows
 from flowlens.sources.streams import stream_source
 from flowlens.streaming import jobs
@@ -35,7 +35,7 @@ AVAILABLE_NOW = {"availableNow": True}
 
 def _state_partitions(spark: SparkSession) -> int:
     """State partitions of the check streams: one per core."""
-    return spark.sparkContext.defaultParallelism
+    return default_parallelism(spark)
 
 
 def day_splits(events: DataFrame):

@@ -37,10 +37,16 @@ def shared_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext in a remote session
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="flowlens-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:  # noqa: BLE001 - no SparkContext in a remote session
+            pass
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # noqa: BLE001 - a session may refuse core settings at run time
@@ -48,6 +54,15 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores of the application, or the shuffle partitions when the session
+    has no SparkContext (a remote session)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def new_work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared folder for one run."""
     base = shared_dir(spark).rstrip("/")

@@ -7,8 +7,9 @@ spread over its distinct values before the per-window merge. A stream
 cannot run a distinct aggregate, so there the exact form is
 ``size(collect_set(..))``: its state per group is the set of distinct
 labels and destination ports of one window (ports are 16-bit, so at most
-65,536 entries), never the group's rows. ``distinct="approx"`` switches to
-HyperLogLog sketches of fixed size.
+65,536 entries), never the group's rows. ``distinct="set"`` uses that form
+in batch too (one shuffle instead of two, for small value domains), and
+``distinct="approx"`` switches to HyperLogLog sketches of fixed size.
 """
 
 from __future__ import annotations

@@ -40,6 +40,9 @@ from flowlens.schemas import (
 from flowlens.sinks.writers import write_batch_partitioned, write_keyed
 
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
+# The alert history is partitioned by window day (then batch), so readers of
+# recent alerts prune it by date instead of reading every update ever made.
+UPDATE_PARTITIONS = ["window_start_date"]
 DEFAULT_WATERMARK = "2 minutes"
 
 
@@ -146,8 +149,9 @@ def start_alert_stream(
     **window_args,
 ) -> StreamingQuery:
     """J2, alert half (T3, K4): update mode. Every updated window goes to
-    ``updates_path`` under its ``batch_id``; alert rows also go to
-    ``alert_sink`` (``write_keyed`` arguments), skipped when there are none.
+    ``updates_path`` under its window day and ``batch_id``; alert rows also
+    go to ``alert_sink`` (``write_keyed`` arguments), skipped when there are
+    none.
     """
     windows = window_stream(messages, **window_args)
 
@@ -156,7 +160,7 @@ def start_alert_stream(
         try:
             if batch.isEmpty():
                 return
-            write_batch_partitioned(batch, updates_path, [], batch_id)
+            write_batch_partitioned(batch, updates_path, UPDATE_PARTITIONS, batch_id)
             hits = alerts(batch)
             if alert_sink and not hits.isEmpty():
                 write_keyed(forward_payload(hits), batch_id=batch_id, **alert_sink)

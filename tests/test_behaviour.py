@@ -331,3 +331,23 @@ def test_alert_then_not_alert(spark, workdir):
     hist = spark.read.schema(with_fields(WINDOW_SCHEMA, ("batch_id", "bigint"))).parquet(upd)
     latest = latest_per_window(hist.drop("processed_at")).first()
     assert latest.event_count == 4 and latest.syn_flag_ratio == 0.45 and latest.is_alert is False
+
+
+def test_alert_history_prunes_by_day(spark, workdir):
+    """The update history is partitioned by window day: a date filter is a
+    partition filter."""
+    from flowlens.sources.streams import stream_source
+
+    events = load_events(spark, SF_SMALL)
+    src, upd = f"{workdir}/src", f"{workdir}/upd"
+    sq._unified_messages(events).select("value").write.text(f"{src}/step0")
+    q = jobs.start_alert_stream(stream_source(spark, fmt="text", path=f"{src}/*"), upd,
+                                f"{workdir}/ck", trigger={"availableNow": True}, width="1 day",
+                                events_threshold=3, state_partitions=4)
+    q.awaitTermination()
+    hist = spark.read.schema(with_fields(WINDOW_SCHEMA, ("batch_id", "bigint"))).parquet(upd)
+    recent = hist.filter("window_start_date >= '2024-01-29'")
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(window_start_date" in plan
+    assert recent.count() > 0
+    assert recent.select("window_start_date").distinct().count() == 2

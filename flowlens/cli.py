@@ -55,6 +55,8 @@ def main(argv=None) -> None:
     n.add_argument("--checkpoint", required=True)
     n.add_argument("--topics", default=_env("INPUT_TOPICS", streams.RAW_TOPICS))
     n.add_argument("--output-topic", default=_env("OUTPUT_TOPIC", streams.NORMALIZED_TOPIC))
+    n.add_argument("--append-only", action="store_true",
+                   help="append batches to category/date folders (no batch_id level)")
 
     a = sub.add_parser("aggregate", help="J2: windows table (append) + alerts (update)")
     a.add_argument("--table", required=True)
@@ -131,7 +133,7 @@ def main(argv=None) -> None:
         started.append(jobs.start_normalizer(
             source(spark, args.topics), args.table, args.checkpoint,
             forward=sink(args.output_topic), trigger=trigger,
-            state_partitions=args.state_partitions))
+            state_partitions=args.state_partitions, idempotent=not args.append_only))
     elif args.job == "aggregate":
         spark = _session("flowlens-aggregate", stateful=True)
         started.extend(jobs.start_aggregator(

@@ -37,7 +37,7 @@ from flowlens.schemas import (
     UNIFIED_SCHEMA,
     WINDOW_PARTITIONS,
 )
-from flowlens.sinks.writers import write_batch_partitioned, write_keyed
+from flowlens.sinks.writers import write_batch_partitioned, write_keyed, write_partitioned
 
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
 # The alert history is partitioned by window day (then batch), so readers of
@@ -80,12 +80,18 @@ def start_normalizer(
     trigger: dict | None = None,
     name: str | None = None,
     state_partitions: int | None = None,
+    idempotent: bool = True,
 ) -> StreamingQuery:
     """J1. ``forward`` holds ``write_keyed`` arguments for the normalised
     message stream (K2), e.g. ``{"fmt": "kafka", "topic": .., "options": ..}``.
 
     Each micro-batch is persisted once and feeds both sinks; an empty batch
-    writes nothing.
+    writes nothing. With ``idempotent`` (the default) the table gets an
+    innermost ``batch_id`` partition, so a micro-batch run again after a
+    failure replaces its own files; without it batches are appended to the
+    ``attack_category``/``partition_date`` folders directly (fewer folders
+    for short triggers; a whole re-run batch would be written twice, task
+    retries never are).
     """
     norm = normalized_stream(messages, event_time)
 
@@ -94,7 +100,10 @@ def start_normalizer(
         try:
             if batch.isEmpty():
                 return
-            write_batch_partitioned(batch, table_path, NORMALIZED_PARTITIONS, batch_id)
+            if idempotent:
+                write_batch_partitioned(batch, table_path, NORMALIZED_PARTITIONS, batch_id)
+            else:
+                write_partitioned(batch, table_path, NORMALIZED_PARTITIONS, mode="append")
             if forward:
                 write_keyed(forward_payload(batch), batch_id=batch_id, **forward)
         finally:

@@ -351,3 +351,26 @@ def test_alert_history_prunes_by_day(spark, workdir):
     assert "PartitionFilters: [isnotnull(window_start_date" in plan
     assert recent.count() > 0
     assert recent.select("window_start_date").distinct().count() == 2
+
+
+def test_normalizer_append_only_layout(spark, workdir):
+    """idempotent=False: category/date folders only, every row once."""
+    import os
+
+    from flowlens.functions.payload import publish_payload
+    from flowlens.sources.events_adapter import raw_flows
+    from flowlens.sources.streams import stream_source
+
+    events = load_events(spark, SF_SMALL)
+    src, table = f"{workdir}/src", f"{workdir}/table"
+    publish_payload(raw_flows(events, with_event_time=False)).select("value").write.text(f"{src}/a")
+    q = jobs.start_normalizer(stream_source(spark, fmt="text", path=f"{src}/*"), table,
+                              f"{workdir}/ck", trigger={"availableNow": True},
+                              state_partitions=4, idempotent=False)
+    q.awaitTermination()
+    assert spark.read.parquet(table).count() == events.count()
+    local = table[5:] if table.startswith("file:") else table
+    cat_dir = sorted(d for d in os.listdir(local) if d.startswith("attack_category="))[0]
+    inner = os.listdir(os.path.join(local, cat_dir))
+    assert inner and all(d.startswith("partition_date=") for d in inner)
+    assert not any("batch_id=" in d for d in os.listdir(os.path.join(local, cat_dir, inner[0])))

@@ -96,6 +96,8 @@ def main(argv=None) -> None:
         stream_cmd.add_argument("--source-path", default=None, help="folder of message files")
         stream_cmd.add_argument("--available-now", action="store_true",
                                 help="process what is there and stop (backfill)")
+        stream_cmd.add_argument("--max-per-trigger", type=int, default=None,
+                                help="bound a micro-batch: Kafka offsets (or files) per trigger")
     for fwd_cmd in (n, a):
         fwd_cmd.add_argument("--sink-format", default="kafka",
                              help="kafka, or a file format for the forwarded messages")
@@ -104,8 +106,13 @@ def main(argv=None) -> None:
     kafka = {"kafka.bootstrap.servers": brokers}
 
     def source(spark, topics, fail_on_data_loss=False):
+        options = {}
+        if args.max_per_trigger:
+            key = "maxOffsetsPerTrigger" if args.source_format == "kafka" else "maxFilesPerTrigger"
+            options[key] = str(args.max_per_trigger)
         return streams.stream_source(spark, fmt=args.source_format, topics=topics, brokers=brokers,
-                                     path=args.source_path, fail_on_data_loss=fail_on_data_loss)
+                                     path=args.source_path, fail_on_data_loss=fail_on_data_loss,
+                                     options=options)
 
     def sink(topic):
         if args.sink_format == "kafka":

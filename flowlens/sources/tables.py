@@ -67,16 +67,18 @@ def register_tables(spark: SparkSession, normalized_path: str, windows_path: str
     """C1 + C2: a database with the external tables over the folders, and
     their partitions discovered (``MSCK REPAIR TABLE``).
 
-    ``batch_partition`` adds the innermost ``batch_id`` partition written by
-    the idempotent micro-batch sink.
+    ``batch_partition`` declares the innermost ``batch_id`` partition that
+    the normaliser's idempotent micro-batch writes add to the normalised
+    table; the window table comes from the Parquet file sink and has none.
     """
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
-    extra = ["batch_id"] if batch_partition else []
-    for name, path, schema, parts in (
-        ("normalized_logs", normalized_path, NORMALIZED_SCHEMA, NORMALIZED_PARTITIONS),
-        ("aggregations_5min", windows_path, WINDOW_SCHEMA, WINDOW_PARTITIONS),
+    for name, path, schema, parts, batch_level in (
+        ("normalized_logs", normalized_path, NORMALIZED_SCHEMA, NORMALIZED_PARTITIONS,
+         batch_partition),
+        ("aggregations_5min", windows_path, WINDOW_SCHEMA, WINDOW_PARTITIONS, False),
     ):
+        extra = ["batch_id"] if batch_level else []
         cols = _ddl(schema, parts)
         if extra:
             cols += ", `batch_id` bigint"
@@ -85,7 +87,10 @@ def register_tables(spark: SparkSession, normalized_path: str, windows_path: str
             f"CREATE TABLE {database}.{name} ({cols}) USING parquet "
             f"PARTITIONED BY ({', '.join(list(parts) + extra)}) LOCATION '{path}'"
         )
-        spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+        if _is_partitioned(spark, f"{database}.{name}"):
+            spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+        # else: the folder is a streaming file sink's output; Spark then reads
+        # it through the sink's log (committed files only, partitions from it)
     if reports_path:
         for name, (sub, ddl) in REPORT_TABLES.items():
             spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
@@ -95,6 +100,10 @@ def register_tables(spark: SparkSession, normalized_path: str, windows_path: str
             )
 
 
+def _is_partitioned(spark: SparkSession, table: str) -> bool:
+    return any(c.isPartition for c in spark.catalog.listColumns(table))
+
+
 def register_views(spark: SparkSession, database: str = DATABASE, as_of=None,
                    persistent: bool = False) -> None:
     """The four views (A7-A10) over the tables.

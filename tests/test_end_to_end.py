@@ -65,10 +65,37 @@ def test_pipeline(spark, workdir):
     dist = spark.read.parquet(f"{reports}/attack_distribution")
     assert dist.agg(F.sum("event_count")).first()[0] == n_events
     db = "e2e_" + workdir.rstrip("/").rsplit("-", 1)[-1]
-    register_tables(spark, norm_path, upd_path, reports_path=reports, database=db,
+    register_tables(spark, norm_path, win_path, reports_path=reports, database=db,
                     location=f"{workdir}/catalog")
     register_views(spark, database=db, persistent=True)
     assert spark.sql(f"SELECT count(*) AS n FROM {db}.normalized_logs").first().n == n_events
     assert spark.sql(f"SELECT sum(event_count) AS n FROM {db}.recent_attacks").first().n > 0
     assert spark.sql(f"SELECT count(*) AS n FROM {db}.report_attack_distribution").first().n > 0
     assert spark.sql(f"SELECT * FROM {db}.top_src_ips LIMIT 10").count() == 10
+    assert spark.sql(f"SELECT count(*) AS n FROM {db}.active_alerts").first().n == 0  # all open
+
+
+def test_window_table_from_the_file_sink_registers(spark, workdir):
+    """The append-mode window table (file sink, no batch level) and the
+    normaliser's table (batch level) both register and read back whole."""
+    from flowlens.plans import stream_queries as sq
+    from flowlens.plans.batch_queries import flows
+    from flowlens.schemas import NORMALIZED_PARTITIONS
+    from flowlens.sinks.writers import write_batch_partitioned
+
+    events = load_events(spark, SF_SMALL)
+    src, win = f"{workdir}/src", f"{workdir}/win"
+    sq._unified_messages(events).select("value").write.text(f"{src}/step0")
+    jobs.start_window_table(stream_source(spark, fmt="text", path=f"{src}/*"), win,
+                            f"{workdir}/ck", trigger=NOW, state_partitions=4,
+                            width="1 day", events_threshold=3).awaitTermination()
+    norm_path = f"{workdir}/norm"
+    write_batch_partitioned(flows(spark, SF_SMALL), norm_path, NORMALIZED_PARTITIONS, 0)
+    db = "wt_" + workdir.rstrip("/").rsplit("-", 1)[-1]
+    register_tables(spark, norm_path, win, database=db, location=f"{workdir}/catalog")
+    closed = spark.read.schema(WINDOW_SCHEMA).parquet(win).count()
+    assert closed > 0
+    assert spark.table(f"{db}.aggregations_5min").count() == closed
+    assert spark.table(f"{db}.normalized_logs").count() == events.count()
+    register_views(spark, database=db, as_of="2024-01-30", persistent=True)
+    assert spark.sql(f"SELECT count(*) AS n FROM {db}.active_alerts").first().n > 0

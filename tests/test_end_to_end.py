@@ -99,3 +99,50 @@ def test_window_table_from_the_file_sink_registers(spark, workdir):
     assert spark.table(f"{db}.normalized_logs").count() == events.count()
     register_views(spark, database=db, as_of="2024-01-30", persistent=True)
     assert spark.sql(f"SELECT count(*) AS n FROM {db}.active_alerts").first().n > 0
+
+
+def test_cli_archive_and_alert_text(spark, workdir):
+    """J4 and J6 through the command line on message files."""
+    from flowlens import cli
+    from flowlens.functions.payload import alert_text_from_json, forward_payload
+    from flowlens.operators.windows import alerts, window_metrics
+    from flowlens.plans import stream_queries as sq
+    from flowlens.plans.batch_queries import flows
+    from flowlens.schemas import LEGACY_SCHEMA
+
+    events = load_events(spark, SF_SMALL)
+    sq._legacy_messages(events).write.text(f"{workdir}/legacy/a")
+    cli.main(["archive", "--table", f"{workdir}/archive", "--checkpoint", f"{workdir}/c1",
+              "--source-format", "text", "--source-path", f"{workdir}/legacy/*",
+              "--available-now"])
+    archived = spark.read.schema(with_fields(LEGACY_SCHEMA, ("processed_at", "timestamp"))) \
+        .parquet(f"{workdir}/archive")
+    assert archived.count() == events.count()
+    assert archived.filter("processed_at IS NULL OR partition_date IS NULL").count() == 0
+
+    win = window_metrics(flows(spark, SF_SMALL), width="1 day", events_threshold=3)
+    msgs = forward_payload(alerts(win))
+    msgs.select("value").write.text(f"{workdir}/alerts/a")
+    cli.main(["alert-text", "--checkpoint", f"{workdir}/c2", "--source-format", "text",
+              "--source-path", f"{workdir}/alerts/*", "--output", "json",
+              "--output-path", f"{workdir}/texts", "--available-now"])
+    got = spark.read.schema("alert_text string").json(f"{workdir}/texts")
+    want = alert_text_from_json(msgs)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def test_ingest_reads_csv_and_zip_together(spark, workdir):
+    """J5 over a CIC-IDS-2017 folder holding plain and zipped CSV files."""
+    from flowlens.plans import fixtures
+
+    raw, _ = srcq._raw(spark, SF_SMALL)
+    cic = raw.filter(F.col("dataset_source") == "cicids")
+    plain, zipped = cic.filter(F.col("binary_label") == "0"), cic.filter(F.col("binary_label") == "1")
+    A = fixtures.CIC_HEADER_A
+    fixtures.write_files(fixtures.cic_layout(plain, A), f"{workdir}/CIC-IDS-2017", "Mon_", A, 2)
+    fixtures.write_files(fixtures.cic_layout(zipped, A), f"{workdir}/CIC-IDS-2017", "Tue_", A, 2,
+                         zipped=True)
+    run_ingest(spark, workdir, fmt="json", path=f"{workdir}/out")
+    got = spark.read.json(f"{workdir}/out")
+    assert got.count() == cic.count()
+    assert {r.topic for r in got.select("topic").distinct().collect()} == {"raw-cicids"}

@@ -1,7 +1,7 @@
 """Message payloads (P8, K2, K4, K7) and the alert text.
 
-All are projections of built-in expressions (``to_json``, ``format_number``),
-so they run in generated code on the executors.
+All are projections of built-in expressions (``to_json``, ``format_number``,
+plain double arithmetic), so they run in generated code on the executors.
 """
 
 from __future__ import annotations
@@ -71,21 +71,54 @@ ALERT_JSON_SCHEMA = (
 )
 
 
+def python_fixed(x: Column, places: int = 3) -> Column:
+    """``x`` as text with ``places`` decimals, rounded the way Python's
+    ``f"{x:.3f}"`` rounds: half-even on the exact binary value of the double.
+
+    ``x * 10**places`` is rounded by the double product, so its exact error
+    is recovered with Dekker's error-free product (split ``x`` in halves of
+    26 bits); that error decides round-up, round-down and true ties exactly.
+    NaN and infinities print as ``nan`` and ``inf``.
+    """
+    scale = float(10 ** places)
+    a = F.abs(x)
+    p = a * F.lit(scale)
+    c = a * F.lit(134217729.0)  # 2**27 + 1 splits a into two 26-bit halves
+    hi = c - (c - a)
+    lo = a - hi
+    err = (hi * F.lit(scale) - p) + lo * F.lit(scale)  # a * scale == p + err exactly
+    k0 = F.floor(p)
+    k = F.when((p == k0) & (err < 0), k0 - 1).otherwise(k0)
+    d = (p - (k + F.lit(0.5))) + err
+    r = (
+        F.when(d > 0, k + 1)
+        .when(d < 0, k)
+        .otherwise(F.when(k % 2 == 0, k).otherwise(k + 1))
+    ).cast("bigint")
+    unit = int(scale)
+    body = F.format_string(f"%d.%0{places}d", (r / unit).cast("bigint"), r % unit)
+    signed = F.when(x < 0, F.concat(F.lit("-"), body)).otherwise(body)
+    return (
+        F.when(F.isnan(x), F.lit("nan"))
+        .when(x == F.lit(float("inf")), F.lit("inf"))
+        .when(x == F.lit(float("-inf")), F.lit("-inf"))
+        .otherwise(signed)
+    )
+
+
 def alert_text(alert: Column) -> Column:
     """Six-line alert text from a parsed alert message struct.
 
     The event count gets thousands separators, the ratio three decimals
-    rounded half-even on the exact binary value (``format_number``), the
-    window start its first 19 characters; absent fields take defaults.
+    rounded as Python rounds (``python_fixed``), the window start its first
+    19 characters; absent fields take defaults.
     """
     d = ALERT_DEFAULTS
     f = lambda name: alert.getField(name)
     source = F.upper(F.coalesce(f("dataset_source"), F.lit(d["dataset_source"])))
     window = F.substring(F.coalesce(f("window_start"), F.lit(d["window_start"])), 1, 19)
     count = F.format_number(F.coalesce(f("event_count"), F.lit(d["event_count"])).cast("bigint"), 0)
-    ratio = F.regexp_replace(
-        F.format_number(F.coalesce(f("syn_flag_ratio"), F.lit(d["syn_flag_ratio"])), 3), ",", ""
-    )
+    ratio = python_fixed(F.coalesce(f("syn_flag_ratio"), F.lit(d["syn_flag_ratio"])), 3)
     values = {
         "src_ip": F.coalesce(f("src_ip"), F.lit(d["src_ip"])),
         "alert_reason": F.coalesce(f("alert_reason"), F.lit(d["alert_reason"])),

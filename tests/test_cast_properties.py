@@ -107,3 +107,28 @@ def test_to_double_cases(spark):
     assert [math.isinf(v) and v > 0 for v in vals[:2]] == [True, False]
     assert math.isinf(vals[2]) and math.isinf(vals[3]) and vals[4] < 0
     assert all(math.isnan(v) for v in vals[5:])
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(min_value=0, max_value=2 ** 62),
+                          st.floats(min_value=0, max_value=5000, allow_nan=False)),
+                min_size=100, max_size=100))
+def test_alert_numbers_format_like_python(spark, pairs):
+    """Event counts with thousands separators and ratios to three decimals,
+    rounded as Python rounds the exact binary value (ties included)."""
+    from flowlens.functions.payload import alert_text
+
+    ties = [(k, m / 16) for k, m in enumerate(range(1, 64, 2))]
+    near = [(7, 0.1235), (8, 2.675), (9, 0.0005), (10, 1.0005), (11, 999.9995)]
+    pairs = pairs + ties + near
+    df = spark.createDataFrame(pairs, "event_count long, syn_flag_ratio double")
+    row = F.struct(
+        F.lit(None).cast("string").alias("src_ip"), F.lit(None).cast("string").alias("alert_reason"),
+        F.col("event_count"), F.col("syn_flag_ratio"),
+        F.lit(None).cast("string").alias("dataset_source"),
+        F.lit(None).cast("string").alias("window_start"),
+        F.lit(None).cast("bigint").alias("unique_dst_ports"))
+    got = [r.t for r in df.select(alert_text(row).alias("t")).collect()]
+    for (n, r), text in zip(pairs, got):
+        assert f"   event_count  : {n:,}\n" in text, (n, text)
+        assert f"   syn_ratio    : {r:.3f}\n" in text, (r, text)

@@ -19,9 +19,13 @@ from flowlens.functions.sanitize import label_fallback, safe_text
 from flowlens.schemas import CICFLOW_COLUMN_MAP, FLOW_FIELDS, UNSW_COLUMN_MAP, UNSW_SCHEMA
 from flowlens.sources.files import group_by_first_line
 
+# Quoting as RFC 4180 and pandas read it: a doubled quote inside a quoted
+# cell is one quote; a backslash is an ordinary character.
 CSV_OPTIONS = {
     "encoding": "UTF-8",
     "mode": "PERMISSIVE",
+    "quote": '"',
+    "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }

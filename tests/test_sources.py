@@ -25,7 +25,8 @@ def test_cicflow_header_order_and_line_endings(spark, workdir):
     d = f"{workdir}/CIC-IDS-2017"
     _write(f"{d}/a.csv", " Source IP, Destination Port, Label, SYN Flag Count\n"
            "10.0.0.1,80,BENIGN,0\n10.0.0.2,,DDoS,Infinity\n", newline="\r\n")
-    _write(f"{d}/b.csv", "Label,Source IP,Flow Bytes/s\nPortScan,10.0.0.3,NaN\n\"\",10.0.0.4, 12.5\n")
+    _write(f"{d}/b.csv", "Label,Source IP,Flow Bytes/s\nPortScan,10.0.0.3,NaN\n\"\",10.0.0.4, 12.5\n"
+           '"Web Attack ""XSS""",10.0.0.5,"1,5"\nback\\slash,10.0.0.6,1\n')
     files = list_files(spark, d, (".csv",))
     assert [os.path.basename(f) for f in files] == ["a.csv", "b.csv"]
     rows = {r.src_ip: r for r in read_cicflow_csv(spark, files).collect()}
@@ -35,6 +36,8 @@ def test_cicflow_header_order_and_line_endings(spark, workdir):
     assert rows["10.0.0.3"].label == "PortScan" and rows["10.0.0.3"].flow_bytes_s is None
     assert rows["10.0.0.3"].dst_port is None  # b.csv has no destination port column
     assert rows["10.0.0.4"].label == "" and rows["10.0.0.4"].flow_bytes_s == " 12.5"
+    assert rows["10.0.0.5"].label == 'Web Attack "XSS"' and rows["10.0.0.5"].flow_bytes_s == "1,5"
+    assert rows["10.0.0.6"].label == "back\\slash"
 
 
 def test_unsw_quoted_header_and_skip(spark, workdir):

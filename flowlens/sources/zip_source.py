@@ -3,8 +3,8 @@
 A zip is not splittable, so each file is one input partition, read on an
 executor as a stream (never loaded whole): the first ``.csv`` member is
 decoded as UTF-8 with bad bytes replaced, its header names are trimmed,
-and each row yields the mapped columns as text (``''`` for an empty cell,
-NULL for a column the file lacks). Paths must be readable by the
+and each row yields the mapped columns as text (``''`` for an empty or
+missing cell, NULL for a column the file lacks). Paths must be readable by the
 executors through the local file system (a shared mount on a cluster).
 """
 
@@ -64,8 +64,9 @@ class _ZipCsvReader(DataSourceReader):
                     index.setdefault(n, i)
                 picks = [index.get(src) for src in self.mapping]
                 for row in rows:
+                    # absent column: NULL; a short row's missing cells: '' (as pandas)
                     yield tuple(
-                        None if i is None else (row[i] if i < len(row) else None) for i in picks
+                        None if i is None else (row[i] if i < len(row) else "") for i in picks
                     )
 
 

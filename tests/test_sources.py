@@ -24,7 +24,7 @@ def _write(path, text, newline="\n"):
 def test_cicflow_header_order_and_line_endings(spark, workdir):
     d = f"{workdir}/CIC-IDS-2017"
     _write(f"{d}/a.csv", " Source IP, Destination Port, Label, SYN Flag Count\n"
-           "10.0.0.1,80,BENIGN,0\n10.0.0.2,,DDoS,Infinity\n", newline="\r\n")
+           "10.0.0.1,80,BENIGN,0\n10.0.0.2,,DDoS,Infinity\n10.0.0.7\n", newline="\r\n")
     _write(f"{d}/b.csv", "Label,Source IP,Flow Bytes/s\nPortScan,10.0.0.3,NaN\n\"\",10.0.0.4, 12.5\n"
            '"Web Attack ""XSS""",10.0.0.5,"1,5"\nback\\slash,10.0.0.6,1\n')
     files = list_files(spark, d, (".csv",))
@@ -38,6 +38,8 @@ def test_cicflow_header_order_and_line_endings(spark, workdir):
     assert rows["10.0.0.4"].label == "" and rows["10.0.0.4"].flow_bytes_s == " 12.5"
     assert rows["10.0.0.5"].label == 'Web Attack "XSS"' and rows["10.0.0.5"].flow_bytes_s == "1,5"
     assert rows["10.0.0.6"].label == "back\\slash"
+    # a short row: its missing cells are '' as pandas reads them
+    assert (rows["10.0.0.7"].dst_port, rows["10.0.0.7"].label) == ("", "")
 
 
 def test_unsw_quoted_header_and_skip(spark, workdir):
@@ -66,8 +68,8 @@ def test_zip_first_csv_member(spark, workdir):
     os.makedirs(d, exist_ok=True)
     with zipfile.ZipFile(f"{d}/MachineLearningCSV.zip", "w") as zf:
         zf.writestr("notes/readme.txt", "not a table\n")
-        zf.writestr("first.csv", " Source IP, Label\r\n10.2.2.2,Bot\r\n10.2.2.3,\r\n")
+        zf.writestr("first.csv", " Source IP, Label\r\n10.2.2.2,Bot\r\n10.2.2.3,\r\n10.2.2.4\r\n")
         zf.writestr("second.csv", " Source IP, Label\n10.9.9.9,Ignored\n")
     files = list_files(spark, d, (".zip",))
     rows = sorted((r.src_ip, r.label, r.dst_port) for r in read_zip_csv(spark, files).collect())
-    assert rows == [("10.2.2.2", "Bot", None), ("10.2.2.3", "", None)]
+    assert rows == [("10.2.2.2", "Bot", None), ("10.2.2.3", "", None), ("10.2.2.4", "", None)]

@@ -37,6 +37,8 @@ def _session(app: str, stateful: bool = False):
     spark = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
+        # checkpointed intermediates (the report rollup) are removed once unused
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
         .getOrCreate()
     )

@@ -69,6 +69,8 @@ def main(argv=None) -> None:
     a.add_argument("--events-threshold", type=int, default=int(_env("ALERT_THRESHOLD_EVENTS", "500")))
     a.add_argument("--syn-threshold", type=float, default=float(_env("ALERT_THRESHOLD_SYN", "0.8")))
     a.add_argument("--width", default="5 minutes")
+    a.add_argument("--keys", default="src_ip,dataset_source",
+                   help="grouping columns besides the window, comma separated")
 
     r = sub.add_parser("report", help="J3: one pass of the five reports")
     r.add_argument("--normalized", required=True)
@@ -149,7 +151,8 @@ def main(argv=None) -> None:
             source(spark, args.topic), args.table, args.updates, args.checkpoint,
             alert_sink=sink(args.alert_topic), trigger=trigger,
             width=args.width, events_threshold=args.events_threshold,
-            syn_threshold=args.syn_threshold, state_partitions=args.state_partitions))
+            syn_threshold=args.syn_threshold, state_partitions=args.state_partitions,
+            keys=tuple(k.strip() for k in args.keys.split(",") if k.strip())))
     elif args.job == "archive":
         spark = _session("flowlens-archive")
         started.append(jobs.start_archive(source(spark, args.topic, None), args.table,

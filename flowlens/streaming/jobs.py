@@ -25,6 +25,7 @@ from flowlens.functions.payload import alert_text_from_json, forward_payload
 from flowlens.operators.normalize import decode_json, normalize
 from flowlens.operators.windows import (
     DEFAULT_EVENTS_THRESHOLD,
+    DEFAULT_KEYS,
     DEFAULT_SYN_THRESHOLD,
     DEFAULT_WIDTH,
     alerts,
@@ -120,10 +121,13 @@ def window_stream(
     syn_threshold: float = DEFAULT_SYN_THRESHOLD,
     watermark: str = DEFAULT_WATERMARK,
     distinct: str = "set",
+    keys=DEFAULT_KEYS,
 ) -> DataFrame:
-    """J2's plan: decode unified rows (P7), watermark (T1), window."""
+    """J2's plan: decode unified rows (P7), watermark (T1), window.
+    ``keys`` are the grouping columns besides the window (D6: e.g.
+    ``("dst_port", "dataset_source")``)."""
     flows = decode_json(messages, UNIFIED_SCHEMA).withWatermark("event_timestamp", watermark)
-    return window_metrics(flows, width=width, events_threshold=events_threshold,
+    return window_metrics(flows, width=width, keys=keys, events_threshold=events_threshold,
                           syn_threshold=syn_threshold, distinct=distinct)
 
 

@@ -146,3 +146,24 @@ def test_ingest_reads_csv_and_zip_together(spark, workdir):
     got = spark.read.json(f"{workdir}/out")
     assert got.count() == cic.count()
     assert {r.topic for r in got.select("topic").distinct().collect()} == {"raw-cicids"}
+
+
+def test_windows_by_destination_port_stream(spark, workdir):
+    """D6 on the stream: windows keyed by destination port match the batch."""
+    from flowlens.operators.windows import window_metrics
+    from flowlens.plans import stream_queries as sq
+    from flowlens.plans.batch_queries import flows
+
+    events = load_events(spark, SF_SMALL)
+    sq._unified_messages(events).select("value").write.text(f"{workdir}/src/a")
+    keys = ("dst_port", "dataset_source")
+    jobs.start_window_table(stream_source(spark, fmt="text", path=f"{workdir}/src/*"),
+                            f"{workdir}/win", f"{workdir}/ck", trigger=NOW, state_partitions=4,
+                            width="1 hour", keys=keys, events_threshold=5000).awaitTermination()
+    got = spark.read.parquet(f"{workdir}/win").select("window_start", *keys, "event_count")
+    batch = window_metrics(flows(spark, SF_SMALL), width="1 hour", keys=keys) \
+        .select("window_start", *keys, "event_count")
+    closed = batch.filter(F.col("window_start") < F.lit("2024-01-30 23:00:00").cast("timestamp"))
+    assert got.count() > 0
+    assert got.exceptAll(batch).count() == 0
+    assert closed.exceptAll(got).count() == 0

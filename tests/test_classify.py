@@ -48,6 +48,9 @@ def test_sql_functions(spark):
     ).collect()
     bad = [(r.label, r.c, r.s) for r in got if (r.cat, r.sev) != (r.c, r.s)]
     assert not bad, bad
+    plan = spark.sql("SELECT severity_of(classify_label(label)) FROM golden_labels") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
 def test_severity_of_free_text(spark):

@@ -1,9 +1,10 @@
 """Run every registered query against its oracle: python tests/run_compare.py [sf_dir] [names...]"""
 
+import os
 import sys
 import time
 
-sys.path.insert(0, ".")
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tests.compare import compare, duck  # noqa: E402
 

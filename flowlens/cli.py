@@ -49,6 +49,9 @@ def _session(app: str, stateful: bool = False):
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="flowlens")
+    p.add_argument("--kafka-option", action="append", default=[], metavar="KEY=VALUE",
+                   help="extra Kafka client setting for sources and sinks (e.g. "
+                        "security.protocol=SASL_SSL); repeatable")
     sub = p.add_subparsers(dest="job", required=True)
     brokers = _env("KAFKA_BOOTSTRAP_SERVERS", streams.DEFAULT_BROKERS)
 
@@ -108,9 +111,13 @@ def main(argv=None) -> None:
         fwd_cmd.add_argument("--sink-path", default=None, help="folder for file-format messages")
     args = p.parse_args(argv)
     kafka = {"kafka.bootstrap.servers": brokers}
+    for item in args.kafka_option:
+        key, _, value = item.partition("=")
+        kafka[key if key.startswith("kafka.") else f"kafka.{key}"] = value
 
     def source(spark, topics, fail_on_data_loss=False):
-        options = {}
+        options = {k: v for k, v in kafka.items() if k != "kafka.bootstrap.servers"} \
+            if args.source_format == "kafka" else {}
         if args.max_per_trigger:
             key = "maxOffsetsPerTrigger" if args.source_format == "kafka" else "maxFilesPerTrigger"
             options[key] = str(args.max_per_trigger)

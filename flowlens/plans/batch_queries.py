@@ -55,8 +55,8 @@ def q_classify_severity(spark, sf_dir):
 def q_normalize_raw(spark, sf_dir):
     dirty = dirty_raw_flows(load_events(spark, sf_dir))
     cleaned = dirty.select(
-        *[safe_text(F.col(c)).alias(c) for c in FLOW_FIELDS],
-        "dataset_source", "produced_at_ts", "event_time", safe_text(F.col("binary_label")).alias("binary_label"),
+        *[safe_text(c).alias(c) for c in FLOW_FIELDS],
+        "dataset_source", "produced_at_ts", "event_time", safe_text("binary_label").alias("binary_label"),
     )
     is_unsw = F.col("dataset_source") == "unsw"
     with_label = cleaned.withColumn(

@@ -61,6 +61,23 @@ def main() -> None:
     }
     for title, df in shown.items():
         print(f"### {title}\n\n```\n{plan_text(df)}\n```\n")
+    # the streaming window aggregation (J2) over a message folder
+    from flowlens.plans import stream_queries as sq
+    from flowlens.sources.streams import stream_source
+    from flowlens.streaming.jobs import window_stream
+
+    src = f"{work}/stream-src"
+    sq._unified_messages(spark.read.parquet(f"{sf}/events.parquet").limit(10)) \
+        .select("value").write.text(f"{src}/a")
+    stream = window_stream(stream_source(spark, fmt="text", path=f"{src}/*"))
+    print("### window_stream (J2, streaming, before start)\n\n```")
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        stream.explain(True)
+    text = buf.getvalue()
+    physical = text[text.index("== Physical Plan =="):]
+    print("\n".join(line[:160] for line in physical.splitlines()))
+    print("```\n")
 
 
 if __name__ == "__main__":

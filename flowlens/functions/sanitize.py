@@ -126,7 +126,7 @@ def safe_text(c) -> Column:
     if isinstance(c, str):
         return F.expr(safe_text_sql(_quote(c)))
     t = F.btrim(c, F.lit(_PY_SPACE))
-    number = F.regexp_replace(t, "_", "").try_cast("double")
+    number = F.replace(t, F.lit("_"), F.lit("")).try_cast("double")
     overflow = t.rlike(PY_FLOAT_SHAPE) & (F.abs(number) == F.lit(float("inf")))
     return F.when(t.rlike(SPECIAL_SHAPE) | overflow, F.lit(None).cast("string")).otherwise(c)
 

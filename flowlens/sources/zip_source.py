@@ -1,11 +1,14 @@
-"""Zipped CSV source (S2) as a Python Data Source.
-
-A zip is not splittable, so each file is one input partition, read on an
-executor as a stream (never loaded whole): the first ``.csv`` member is
-decoded as UTF-8 with bad bytes replaced, its header names are trimmed,
-and each row yields the mapped columns as text (``''`` for an empty or
-missing cell, NULL for a column the file lacks). Paths must be readable by the
-executors through the local file system (a shared mount on a cluster).
+"""Zipped CSV source.
+
+A zip is not splittable, so each file is one task. The first ``.csv``
+member is decoded as UTF-8 with bad bytes replaced, its header names are
+trimmed, and each row yields the mapped columns as text (``''`` for an
+empty or missing cell, NULL for a column the file lacks).
+
+Files the executors can open directly are read by a Python Data Source
+that streams the member (never loaded whole); on other file systems
+(HDFS, object stores) Spark's ``binaryFile`` source fetches each zip's
+bytes and a ``mapInPandas`` task parses them.
 """
 
 from __future__ import annotations
@@ -48,26 +51,33 @@ class _ZipCsvReader(DataSourceReader):
         path = partition.path
         if path.startswith("file:"):
             path = path[5:]
-        with zipfile.ZipFile(path) as zf:
-            member = next((n for n in zf.namelist() if n.lower().endswith(".csv")), None)
-            if member is None:
+        with open(path, "rb") as fh:
+            yield from zip_rows(fh, self.mapping)
+
+
+def zip_rows(fileobj, mapping: dict):
+    """Rows of the first ``.csv`` member of a zip: the mapped columns as text
+    (absent column: NULL; a short row's missing cells: '', as pandas reads
+    them). The member is decoded as UTF-8 with bad bytes replaced and read
+    as a stream."""
+    with zipfile.ZipFile(fileobj) as zf:
+        member = next((n for n in zf.namelist() if n.lower().endswith(".csv")), None)
+        if member is None:
+            return
+        with zf.open(member) as raw:
+            text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
+            rows = csv.reader(text)
+            header = next(rows, None)
+            if header is None:
                 return
-            with zf.open(member) as raw:
-                text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
-                rows = csv.reader(text)
-                header = next(rows, None)
-                if header is None:
-                    return
-                names = [h.strip() for h in header]
-                index = {}
-                for i, n in enumerate(names):
-                    index.setdefault(n, i)
-                picks = [index.get(src) for src in self.mapping]
-                for row in rows:
-                    # absent column: NULL; a short row's missing cells: '' (as pandas)
-                    yield tuple(
-                        None if i is None else (row[i] if i < len(row) else "") for i in picks
-                    )
+            index = {}
+            for i, n in enumerate(h.strip() for h in header):
+                index.setdefault(n, i)
+            picks = [index.get(src) for src in mapping]
+            for row in rows:
+                yield tuple(
+                    None if i is None else (row[i] if i < len(row) else "") for i in picks
+                )
 
 
 class ZipCsvDataSource(DataSource):
@@ -86,16 +96,56 @@ class ZipCsvDataSource(DataSource):
         return _ZipCsvReader(json.loads(self.options["paths"]), mapping)
 
 
-def read_zip_csv(spark: SparkSession, files: list[str], mapping: dict = CICFLOW_COLUMN_MAP) -> DataFrame:
+def _zip_bytes_reader(spark: SparkSession, files: list[str], mapping: dict) -> DataFrame:
+    """Zips on any Hadoop file system: ``binaryFile`` reads each file's bytes
+    (one row per zip, at most Spark's 2 GB binary limit), a ``mapInPandas``
+    task unzips and parses them, emitting rows in batches."""
+    names = list(mapping.values())
+    schema = ", ".join(f"`{n}` string" for n in names)
+
+    def parse(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            for content in pdf["content"]:
+                chunk = []
+                for row in zip_rows(io.BytesIO(content), mapping):
+                    chunk.append(row)
+                    if len(chunk) == 10_000:
+                        yield pd.DataFrame(chunk, columns=names, dtype=object)
+                        chunk = []
+                if chunk:
+                    yield pd.DataFrame(chunk, columns=names, dtype=object)
+
+    raw = spark.read.format("binaryFile").load(list(files)).select("content")
+    return raw.mapInPandas(parse, schema)
+
+
+def _is_local(path: str) -> bool:
+    return path.startswith("file:") or "://" not in path
+
+
+def read_zip_csv(spark: SparkSession, files: list[str], mapping: dict = CICFLOW_COLUMN_MAP,
+                 local: bool | None = None) -> DataFrame:
     """Zipped CICFlowMeter CSV files -> the flow fields, NaN/infinity
-    text to NULL (P3)."""
-    spark.dataSource.register(ZipCsvDataSource)
-    df = (
-        spark.read.format("zipcsv")
-        .option("paths", json.dumps(list(files)))
-        .option("mapping", json.dumps(mapping))
-        .load()
-    )
+    text to NULL (P3).
+
+    Files the executors can open directly (``local``, the default for
+    ``file:`` and plain paths) are streamed by the Python Data Source; other
+    file systems go through ``binaryFile`` and ``mapInPandas``.
+    """
+    if local is None:
+        local = all(_is_local(f) for f in files)
+    if local:
+        spark.dataSource.register(ZipCsvDataSource)
+        df = (
+            spark.read.format("zipcsv")
+            .option("paths", json.dumps(list(files)))
+            .option("mapping", json.dumps(mapping))
+            .load()
+        )
+    else:
+        df = _zip_bytes_reader(spark, files, mapping)
     out = df.select(*[safe_text(df[c]).alias(c) for c in df.columns])
     missing = [c for c in FLOW_FIELDS if c not in out.columns]
     for c in missing:

@@ -73,3 +73,7 @@ def test_zip_first_csv_member(spark, workdir):
     files = list_files(spark, d, (".zip",))
     rows = sorted((r.src_ip, r.label, r.dst_port) for r in read_zip_csv(spark, files).collect())
     assert rows == [("10.2.2.2", "Bot", None), ("10.2.2.3", "", None), ("10.2.2.4", "", None)]
+    # the route for other file systems (binaryFile + mapInPandas) reads the same rows
+    remote = sorted((r.src_ip, r.label, r.dst_port)
+                    for r in read_zip_csv(spark, files, local=False).collect())
+    assert remote == rows

@@ -2,13 +2,14 @@
 
 Listing goes through Spark's ``binaryFile`` source with only the ``path``
 column selected, so it works on any Hadoop file system and never reads
-file contents. Header lines are read with one ``limit(1)`` text read per
-file, which touches only the first block of each file; only file names
-and header lines reach the driver.
+file contents. Header lines are read directly where the driver can open
+the file, else with one ``limit(1)`` text read per file, which touches only
+the first block; only file names and header lines reach the driver.
 """
 
 from __future__ import annotations
 
+import os
 import posixpath
 from concurrent.futures import ThreadPoolExecutor
 
@@ -43,10 +44,25 @@ def list_files(spark: SparkSession, directory: str, exts=(".csv", ".zip"),
     return sorted(out)
 
 
+def _local_first_line(path: str) -> str | None:
+    """First line of a file the driver can open directly, else None."""
+    local = path[5:] if path.startswith("file:") else path
+    if "://" in local or not os.path.isfile(local):
+        return None
+    with open(local, "rb") as fh:
+        line = fh.readline(1 << 20)  # a header line, never a whole file
+    return line.decode("utf-8", errors="replace").rstrip("\r\n")
+
+
 def first_lines(spark: SparkSession, files: list[str], threads: int = 8) -> dict[str, str]:
-    """The first line of each file (empty string for an empty file)."""
+    """The first line of each file (empty string for an empty file): read
+    directly when the driver can open the file, else with a one-line Spark
+    text read."""
 
     def one(f: str) -> tuple[str, str]:
+        line = _local_first_line(f)
+        if line is not None:
+            return f, line
         rows = spark.read.text(f).limit(1).collect()
         return f, (rows[0]["value"] if rows else "")
 

@@ -77,3 +77,18 @@ def test_zip_first_csv_member(spark, workdir):
     remote = sorted((r.src_ip, r.label, r.dst_port)
                     for r in read_zip_csv(spark, files, local=False).collect())
     assert remote == rows
+
+
+def test_first_lines_spark_fallback(spark, workdir, monkeypatch):
+    """Header lines read directly and through Spark (other file systems) agree."""
+    from flowlens.sources import files as F_
+
+    d = f"{workdir}/heads"
+    a = _write(f"{d}/a.csv", " Source IP, Label\n1,2\n", newline="\r\n")
+    b = _write(f"{d}/b.csv", "")
+    c = _write(f"{d}/c.csv", "srcip,sport\n")
+    paths = [f"file:{a}", f"file:{b}", f"file:{c}"]
+    direct = F_.first_lines(spark, paths)
+    monkeypatch.setattr(F_, "_local_first_line", lambda path: None)
+    via_spark = F_.first_lines(spark, paths)
+    assert direct == via_spark == {paths[0]: " Source IP, Label", paths[1]: "", paths[2]: "srcip,sport"}

@@ -96,7 +96,10 @@ def python_fixed(x: Column, places: int = 3) -> Column:
         .otherwise(F.when(k % 2 == 0, k).otherwise(k + 1))
     ).cast("bigint")
     unit = int(scale)
-    body = F.format_string(f"%d.%0{places}d", (r / unit).cast("bigint"), r % unit)
+    if places == 0:
+        body = F.format_string("%d", r)
+    else:
+        body = F.format_string(f"%d.%0{places}d", (r / unit).cast("bigint"), r % unit)
     signed = F.when(x < 0, F.concat(F.lit("-"), body)).otherwise(body)
     return (
         F.when(F.isnan(x), F.lit("nan"))

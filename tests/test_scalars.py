@@ -118,3 +118,14 @@ def test_name_and_column_forms_agree(spark):
         a = [r[0] for r in df.select(fn("v")).collect()]
         b = [r[0] for r in df.select(fn(F.col("v"))).collect()]
         assert [str(x) for x in a] == [str(x) for x in b], fn.__name__
+
+
+@pytest.mark.parametrize("value", [0.0625, -0.0625, -0.0001, 2.675, 1e-9, 123456.7895, 0.5, 1.5,
+                                   2.5, float("nan"), float("inf"), float("-inf"), 0.0])
+@pytest.mark.parametrize("places", [0, 2, 3])
+def test_python_fixed(spark, value, places):
+    from flowlens.functions.payload import python_fixed
+
+    got = spark.createDataFrame([(value,)], "v double").select(
+        python_fixed(F.col("v"), places).alias("t")).first().t
+    assert got == f"{value:.{places}f}"

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from flowlens.llm.common import read_table
 from flowlens.llm.decontam import contained_items
+from flowlens.llm import langid
 from flowlens.llm.line_dedup import line_dedup
 from flowlens.llm.mixing import mix_sources
 from flowlens.llm.simhash import simhash_components
 from flowlens.llm.toxicity import fit, score_toxicity
+from flowlens.llm.winnow import fingerprint_text, fingerprints_and_edits
 
 
 def remainder(id_col: str, n: int) -> Column:
@@ -47,6 +49,20 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_shared", "n_item", "containment")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    fitted = langid.fit(docs, remainder("doc_id", 3) != 1)
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    return langid.identify_language(docs.select("doc_id", "text"), fitted).select("doc_id", held_out, "lang_pred", "score")
+
+
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints_and_edits(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                        fingerprint_text(F.col("chosen")).alias("fingerprint"),
+                        fingerprint_text(F.col("edited_chosen")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -54,7 +70,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_toxicity, op3_simhash, op5_mixing, op7_line_dedup, op9_decontamination, pipeline)}
+    op2_toxicity, op3_simhash, op5_mixing, op7_line_dedup, op8_language, op9_decontamination,
+    op10_winnowing, pipeline)}
 
 _SQL_OP7 = r"""
 WITH lines AS (

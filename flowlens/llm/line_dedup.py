@@ -8,8 +8,8 @@ that holds them.
 1. Each document gives its distinct keys as 128-bit hashes; counting them by
    hash pre-aggregates before the shuffle, so a line that a third of all
    documents share costs one partial row a task.
-2. The frequent hashes are dealt to shards of about ``shard_keys`` keys. A
-   shard becomes one row: a minimal perfect hash (levels of bit arrays; a key
+2. The frequent hashes are dealt to shards of at most about ``shard_keys``
+   keys and ``cell_rows`` probes. A shard becomes one row: a minimal perfect hash (levels of bit arrays; a key
    belongs to the first level where its bit is set, its index is the rank of
    that bit) that indexes arrays of fingerprints, document counts and keepers.
 3. Documents probe the arrays: their line hashes meet the shard's arrays,
@@ -172,7 +172,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     frequent = shared_table(
         keys.dropDuplicates(["k", "id"]).groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
         .where(F.col("n") >= min_docs), "frequent")
-    shards = -(-frequent.count() // shard_keys) or 1
+    shards = max(1, -(-frequent.count() // shard_keys), -(-keys.count() // cell_rows))
     shard = F.pmod(F.xxhash64("k"), F.lit(shards)).alias("shard")
     arrays = frequent.select("*", shard).groupBy("shard").applyInArrow(_shard_row, _SHARD_SCHEMA)
     probes = keys.select("*", shard)

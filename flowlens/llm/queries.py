@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from flowlens.llm.common import read_table
 from flowlens.llm.decontam import contained_items
-from flowlens.llm import langid
+from flowlens.llm import langid, pii
+from flowlens.llm.license_scan import TEMPLATES, THRESHOLD, license_scan, template_terms
 from flowlens.llm.line_dedup import line_dedup
 from flowlens.llm.mixing import mix_sources
 from flowlens.llm.simhash import simhash_components
@@ -20,6 +21,20 @@ def remainder(id_col: str, n: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(n))
 
 
+def document_path() -> Column:
+    """Documents as a file tree: the source, then directories by hundreds of the
+    id (two levels from 10,000 on), so the least ids lie nearest the root."""
+    doc, hundreds = F.col("doc_id"), F.floor(F.col("doc_id") / 100)
+    folders = (F.when(doc < 100, F.lit("")).when(doc < 10_000, F.concat(hundreds.cast("string"), F.lit("/")))
+               .otherwise(F.concat(F.floor(doc / 10_000).cast("string"), F.lit("/"), F.pmod(hundreds, F.lit(100)).cast("string"), F.lit("/"))))
+    return F.concat(F.coalesce("source", F.lit("none")), F.lit("/"), folders, doc.cast("string"))
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", document_path().alias("path"))
+    return license_scan(docs).withColumnRenamed("id", "doc_id")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     fitted = fit(docs, read_table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
@@ -34,6 +49,13 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs, pii.fit(docs))
+    return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS],
+                        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans", "n_added")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mix_sources(read_table(spark, sf_dir, "documents"))
             .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies"))
@@ -70,7 +92,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_toxicity, op3_simhash, op5_mixing, op7_line_dedup, op8_language, op9_decontamination,
+    op1_license_scan, op2_toxicity, op3_simhash, op4_personal_data, op5_mixing, op7_line_dedup, op8_language, op9_decontamination,
     op10_winnowing, pipeline)}
 
 _SQL_OP7 = r"""
@@ -105,4 +127,46 @@ FROM shingles d JOIN items i ON d.s = i.s WHERE d.kind = 0
 GROUP BY d.id, i.id HAVING count(*) / any_value(i.n) >= 0.8
 """
 
-SQL = {"op7_line_dedup": _SQL_OP7, "op9_decontamination": _SQL_OP9}
+
+def _sql_op1() -> str:
+    terms = ", ".join(f"({i}, '{name}', '{t}', {n}.0)" for i, (name, text) in enumerate(TEMPLATES) for t, n in sorted(template_terms(text).items()))
+    return rf"""
+WITH template(template, licence, term, n) AS (VALUES {terms}
+), vocabulary AS (SELECT DISTINCT term FROM template
+), file AS (
+  SELECT doc_id, coalesce(source, 'none') || '/' || CASE WHEN doc_id < 100 THEN '' WHEN doc_id < 10000 THEN (doc_id // 100) || '/'
+         ELSE (doc_id // 10000) || '/' || ((doc_id // 100) % 100) || '/' END || doc_id AS path, coalesce(text, '') AS text FROM documents
+), unit AS (
+  SELECT doc_id, path, unnest(range(1, len(p) + 1)) AS line, unnest(p) AS t FROM (SELECT *, string_split(text, chr(10)) AS p FROM file)
+), term AS (
+  SELECT doc_id, path, line, lower(x) AS term, count(*) AS n
+  FROM (SELECT doc_id, path, line, unnest(regexp_extract_all(t, '[A-Za-z0-9]+')) AS x FROM unit) GROUP BY ALL
+), total AS (SELECT count(*) AS n FROM unit
+), idf AS (
+  SELECT v.term, ln((1 + (SELECT n FROM total)) / (1 + count(t.term))) + 1 AS idf FROM vocabulary v LEFT JOIN term t USING (term) GROUP BY v.term
+), norm AS (
+  SELECT doc_id, path, line, sqrt(sum(CASE WHEN idf IS NULL THEN (ln(1 + (SELECT n FROM total)) + 1) ** 2 ELSE (n * idf) ** 2 END)) AS norm
+  FROM term LEFT JOIN idf USING (term) GROUP BY ALL
+), tnorm AS (SELECT template, sqrt(sum((n * idf) ** 2)) AS norm FROM template JOIN idf USING (term) GROUP BY template
+), cosine AS (
+  SELECT u.doc_id, u.path, u.line, t.template, t.licence, round(sum(u.n * idf.idf * t.n * idf.idf) / any_value(x.norm) / any_value(m.norm), 6) AS score
+  FROM term u JOIN template t ON u.term = t.term JOIN idf ON idf.term = t.term
+  JOIN norm x ON x.doc_id = u.doc_id AND x.line = u.line JOIN tnorm m ON m.template = t.template GROUP BY ALL
+), own AS (
+  SELECT * FROM cosine WHERE score >= {THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line, licence, template) = 1
+), folder AS (
+  SELECT regexp_replace(path, '/[^/]*$', '') AS folder, licence AS inherited FROM own
+  QUALIFY row_number() OVER (PARTITION BY regexp_replace(path, '/[^/]*$', '') ORDER BY score DESC, path, line) = 1
+), placed AS (SELECT doc_id, path, regexp_replace(path, '/[^/]*$', '') AS folder FROM file
+), nearest AS (
+  SELECT p.doc_id, f.folder, f.inherited FROM placed p JOIN folder f ON p.folder = f.folder OR starts_with(p.folder, f.folder || '/')
+  QUALIFY row_number() OVER (PARTITION BY p.doc_id ORDER BY length(f.folder) DESC) = 1
+)
+SELECT p.doc_id, p.path, coalesce(o.licence, n.inherited) AS licence, o.score, CAST(o.line AS INT) AS line,
+       CASE WHEN o.licence IS NOT NULL THEN p.path ELSE n.folder END AS declared_in
+FROM placed p LEFT JOIN own o ON o.doc_id = p.doc_id LEFT JOIN nearest n ON n.doc_id = p.doc_id
+"""
+
+
+SQL = {"op1_license_scan": _sql_op1(), "op7_line_dedup": _SQL_OP7, "op9_decontamination": _SQL_OP9}

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from flowlens.llm.common import WORD_PATTERN, shared_table
 
 WEIGHTS = (5, 2, 1)
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 FAN_IN = 5_000
 _EPS = 1e-9
 

@@ -12,6 +12,7 @@ from flowlens.llm.license_scan import TEMPLATES, THRESHOLD, license_scan, templa
 from flowlens.llm.line_dedup import line_dedup
 from flowlens.llm.mixing import mix_sources
 from flowlens.llm.simhash import simhash_components
+from flowlens.llm.suffix_dedup import substring_dedup
 from flowlens.llm.toxicity import fit, score_toxicity
 from flowlens.llm.winnow import fingerprint_text, fingerprints_and_edits
 
@@ -61,6 +62,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup(read_table(spark, sf_dir, "documents"))
+    return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -92,7 +98,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_toxicity, op3_simhash, op4_personal_data, op5_mixing, op7_line_dedup, op8_language, op9_decontamination,
+    op1_license_scan, op2_toxicity, op3_simhash, op4_personal_data, op5_mixing, op6_substring_dedup,
+    op7_line_dedup, op8_language, op9_decontamination,
     op10_winnowing, pipeline)}
 
 _SQL_OP7 = r"""

@@ -2,8 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next one's ``docs``. All but the
-last return the columns of ``documents``. Rows with a null ``doc_id`` count
-as one document.
+last return the columns of ``documents``. Rows with a null ``doc_id``, and
+rows that repeat one, count as one document from the near-duplicates on.
 """
 
 from __future__ import annotations
@@ -53,9 +53,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix with the number of copies to take of each."""
-    plan = mix_sources(docs).where(F.col("copies") > 0).withColumnRenamed("id", "__id")
+    added = ["size", "source_size", "target", "copies", "taken"]
+    plan = mix_sources(docs).where(F.col("copies") > 0).select(*[F.col(c).alias(f"__{c}") for c in ["id", *added]])
     return (docs.join(plan, F.col("doc_id").eqNullSafe(F.col("__id")))
-            .select(*docs.columns, "size", "source_size", "target", "copies", "taken"))
+            .select(*[c for c in docs.columns if c not in added], *[F.col(f"__{c}").alias(c) for c in added]))
 
 
 STAGES = [("toxicity", toxicity), ("line dedup", lines), ("SimHash near-dedup", near_duplicates),

@@ -1,7 +1,7 @@
 """Label -> attack category -> severity, as native Catalyst expressions.
 
-Both mappings are single ``CASE`` expressions, so they run inside
-whole-stage codegen; there is no Python in the per-row path.
+The rules are one ``CASE`` over a label's key; there is no Python in the
+per-row path, and no form computes the key more than once.
 """
 
 from __future__ import annotations
@@ -80,57 +80,10 @@ SEVERITY_BENIGN = ("BENIGN", "Benign")
 SEVERITY_DEFAULT = "Unknown"
 
 
-def _any_contains(u: Column, tokens) -> Column:
-    cond = None
-    for t in tokens:
-        c = u.contains(t)
-        cond = c if cond is None else (cond | c)
-    return cond
-
-
-def _rule_condition(u: Column, rule: Rule) -> Column:
-    if rule.equals:
-        return u.isin(*rule.equals)
-    cond = _any_contains(u, rule.contains)
-    for group in rule.also:
-        cond = cond & _any_contains(u, group)
-    for t in rule.lacks:
-        cond = cond & ~u.contains(t)
-    return cond
-
-
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def classify_expr(label) -> Column:
-    """Attack category of a label (P10). ``label`` is a column or its name.
-
-    For a name the expression is parsed from the SQL text of the rules (one
-    call into the JVM instead of several hundred); both forms are the same
-    ``CASE`` expression.
-    """
-    if isinstance(label, str):
-        return F.expr(classify_sql(_quote(label)))
-    u = F.upper(F.btrim(label, F.lit(_BLANKS)))
-    expr = F.when(label.isNull() | (label == ""), F.lit(CATEGORY_EMPTY))
-    for rule in CATEGORY_RULES:
-        expr = expr.when(_rule_condition(u, rule), F.lit(rule.category))
-    return expr.otherwise(F.lit(CATEGORY_DEFAULT))
-
-
-def severity_expr(category) -> Column:
-    """Severity level of a category (P11); a column or its name."""
-    if isinstance(category, str):
-        return F.expr(severity_sql(_quote(category)))
-    c = F.upper(category)
-    expr = F.when(category.isNull() | (category == ""), F.lit(SEVERITY_DEFAULT))
-    expr = expr.when(c == SEVERITY_BENIGN[0], F.lit(SEVERITY_BENIGN[1]))
-    for level, tokens in SEVERITY_RULES:
-        expr = expr.when(_any_contains(c, tokens), F.lit(level))
-    return expr.otherwise(F.lit(SEVERITY_DEFAULT))
-
-
 def _sql_str(s: str) -> str:
     out = []
     for ch in s:
@@ -145,76 +98,101 @@ def _sql_any(u: str, tokens) -> str:
     return "(" + " OR ".join(f"contains({u}, {_sql_str(t)})" for t in tokens) + ")"
 
 
+def _condition_sql(u: str, rule: Rule) -> str:
+    """The rule's test of the key ``u``."""
+    if rule.equals:
+        return f"{u} IN (" + ", ".join(_sql_str(t) for t in rule.equals) + ")"
+    cond = _sql_any(u, rule.contains)
+    for group in rule.also:
+        cond += " AND " + _sql_any(u, group)
+    for t in rule.lacks:
+        cond += f" AND NOT contains({u}, {_sql_str(t)})"
+    return cond
+
+
+def _case_sql(label: str, key: str, values: list[str]) -> str:
+    """P10 as a ``CASE`` over the SQL expressions of a label and its key;
+    ``values`` are the results: empty label, each rule in order, no rule."""
+    whens = [f"WHEN {_condition_sql(key, r)} THEN {v}" for r, v in zip(CATEGORY_RULES, values[1:-1], strict=True)]
+    return f"CASE WHEN {label} IS NULL OR {label} = '' THEN {values[0]} {' '.join(whens)} ELSE {values[-1]} END"
+
+
+#: Results of P10 by rule number: 0 for an empty label, then the rules, then no rule.
+CATEGORIES = [CATEGORY_EMPTY, *[r.category for r in CATEGORY_RULES], CATEGORY_DEFAULT]
+
+
 def label_key_sql(label: str) -> str:
     """The trimmed, upper-cased label the category rules test."""
     return f"upper(btrim({label}, {_sql_str(_BLANKS)}))"
 
 
-def classify_sql(label: str, key: str | None = None) -> str:
-    """The P10 ``CASE`` as SQL text over the SQL expression ``label``.
+def classify_sql(label: str) -> str:
+    """P10 as SQL text over the SQL expression ``label``.
 
-    ``key`` names an already computed ``label_key_sql(label)``; without it
-    the key expression is repeated in every rule.
+    The key is bound once, as the only element of an array that ``transform``
+    runs the rules over, so no rule computes it again, wherever the optimiser
+    moves the expression.
     """
-    u = key or label_key_sql(label)
-    parts = [f"CASE WHEN {label} IS NULL OR {label} = '' THEN {_sql_str(CATEGORY_EMPTY)}"]
-    for rule in CATEGORY_RULES:
-        if rule.equals:
-            cond = f"{u} IN (" + ", ".join(_sql_str(t) for t in rule.equals) + ")"
-        else:
-            cond = _sql_any(u, rule.contains)
-            for group in rule.also:
-                cond += " AND " + _sql_any(u, group)
-            for t in rule.lacks:
-                cond += f" AND NOT contains({u}, {_sql_str(t)})"
-        parts.append(f"WHEN {cond} THEN {_sql_str(rule.category)}")
-    parts.append(f"ELSE {_sql_str(CATEGORY_DEFAULT)} END")
-    return " ".join(parts)
-
-
-def severity_sql(category: str, key: str | None = None) -> str:
-    """The P11 ``CASE`` as SQL text over the SQL expression ``category``;
-    ``key`` names an already computed ``upper(category)``."""
-    c = key or f"upper({category})"
-    parts = [
-        f"CASE WHEN {category} IS NULL OR {category} = '' THEN {_sql_str(SEVERITY_DEFAULT)}",
-        f"WHEN {c} = {_sql_str(SEVERITY_BENIGN[0])} THEN {_sql_str(SEVERITY_BENIGN[1])}",
-    ]
-    for level, tokens in SEVERITY_RULES:
-        parts.append(f"WHEN {_sql_any(c, tokens)} THEN {_sql_str(level)}")
+    rules = _case_sql(label, "k", [_sql_str(c) for c in CATEGORIES])
+    return f"element_at(transform(array({label_key_sql(label)}), k -> {rules}), 1)"
+
+
+def severity_sql(category: str) -> str:
+    """P11 as SQL text over the SQL expression ``category``; the upper-cased
+    category is bound once (see ``classify_sql``)."""
+    parts = [f"CASE WHEN {category} IS NULL OR {category} = '' THEN {_sql_str(SEVERITY_DEFAULT)}",
+             f"WHEN c = {_sql_str(SEVERITY_BENIGN[0])} THEN {_sql_str(SEVERITY_BENIGN[1])}"]
+    parts += [f"WHEN {_sql_any('c', tokens)} THEN {_sql_str(level)}" for level, tokens in SEVERITY_RULES]
     parts.append(f"ELSE {_sql_str(SEVERITY_DEFAULT)} END")
-    return " ".join(parts)
+    return f"element_at(transform(array(upper({category})), c -> {' '.join(parts)}), 1)"
+
+
+def classify_expr(label: str) -> Column:
+    """Attack category (P10) of the column named ``label``."""
+    return F.expr(classify_sql(_quote(label)))
+
+
+def severity_expr(category: str) -> Column:
+    """Severity level (P11) of the column named ``category``."""
+    return F.expr(severity_sql(_quote(category)))
+
+
+def category_severity(category: str) -> str:
+    """P11 of one category, for the table that ``with_category`` looks up."""
+    if not category:
+        return SEVERITY_DEFAULT
+    key = category.upper()
+    if key == SEVERITY_BENIGN[0]:
+        return SEVERITY_BENIGN[1]
+    return next((level for level, tokens in SEVERITY_RULES if any(t in key for t in tokens)), SEVERITY_DEFAULT)
 
 
 def with_category(df: DataFrame, label: str = "label", category: str = "attack_category",
                   severity: str | None = "severity_level") -> DataFrame:
     """Add the category (and severity) columns to ``df``.
 
-    The upper-cased keys are computed once per row as their own columns,
-    which the rule chains then test; the optimizer keeps them apart because
-    each is used many times. The helper columns are dropped again.
+    The rules run once a row and give a rule number, from which category and
+    severity are looked up. The number comes out of an ``explode`` of one
+    element: a filter or projection on the category, which the optimiser
+    copies the look-up into, cannot be moved below it, so it never runs the
+    rules a second time.
     """
-    lk, ck = "__label_key", "__category_key"
-    out = df.withColumn(lk, F.expr(label_key_sql(_quote(label))))
-    out = out.withColumn(category, F.expr(classify_sql(_quote(label), _quote(lk))))
+    key, rule = "__label_key", "__rule"
+    numbers = [str(i + 1) for i in range(len(CATEGORIES))]
+    out = df.withColumn(key, F.expr(label_key_sql(_quote(label))))
+    out = out.withColumn(rule, F.explode(F.array(F.expr(_case_sql(_quote(label), _quote(key), numbers)))))
+
+    def look_up(values: list[str]) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col(rule))
+
+    out = out.withColumn(category, look_up(CATEGORIES))
     if severity:
-        out = out.withColumn(ck, F.upper(F.col(category)))
-        out = out.withColumn(severity, F.expr(severity_sql(_quote(category), _quote(ck))))
-    return out.drop(lk, ck)
+        out = out.withColumn(severity, look_up([category_severity(c) for c in CATEGORIES]))
+    return out.drop(key, rule)
 
 
 def register_sql_functions(spark: SparkSession) -> None:
     """Expose the two mappings to SQL as ``classify_label(label)`` and
-    ``severity_of(category)`` (U1, U2).
-
-    They are SQL functions whose bodies are the same ``CASE`` rules, so SQL
-    callers stay in generated code too.
-    """
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION classify_label(label STRING) "
-        f"RETURNS STRING RETURN {classify_sql('label')}"
-    )
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION severity_of(category STRING) "
-        f"RETURNS STRING RETURN {severity_sql('category')}"
-    )
+    ``severity_of(category)`` (U1, U2): SQL functions over the same rules."""
+    for name, argument, body in (("classify_label", "label", classify_sql("label")), ("severity_of", "category", severity_sql("category"))):
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({argument} STRING) RETURNS STRING RETURN {body}")

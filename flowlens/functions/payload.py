@@ -45,15 +45,16 @@ def publish_payload(raw: DataFrame, key: str = "src_ip", keep=()) -> DataFrame:
     return raw.select(k.alias("key"), value.alias("value"), *keep)
 
 
-# The alert text layout and the defaults for absent fields.
-ALERT_HEAD = "\U0001f6a8 ALERT [{source}] {window}"
-ALERT_LINES = [
-    ("src_ip", "   src_ip       : "),
-    ("alert_reason", "   reason       : "),
-    ("event_count", "   event_count  : "),
-    ("syn_flag_ratio", "   syn_ratio    : "),
-    ("unique_dst_ports", "   unique_ports : "),
-]
+# The alert text, the fields in it and the defaults for absent ones.
+ALERT_LAYOUT = (
+    "\U0001f6a8 ALERT [%s] %s\n"
+    "   src_ip       : %s\n"
+    "   reason       : %s\n"
+    "   event_count  : %s\n"
+    "   syn_ratio    : %s\n"
+    "   unique_ports : %s\n"
+)
+ALERT_FIELDS = ["dataset_source", "window_start", "src_ip", "alert_reason", "event_count", "syn_flag_ratio", "unique_dst_ports"]
 ALERT_DEFAULTS = {
     "src_ip": "N/A",
     "alert_reason": "UNKNOWN",
@@ -71,6 +72,11 @@ ALERT_JSON_SCHEMA = (
 )
 
 
+#: From here on a double is an integer, and three decimals of it are zeros.
+WHOLE_FROM = 4503599627370496.0  # 2**52
+BIGINT_UNTIL = 9223372036854774784.0  # the largest double below 2**63
+
+
 def python_fixed(x: Column, places: int = 3) -> Column:
     """``x`` as text with ``places`` decimals, rounded the way Python's
     ``f"{x:.3f}"`` rounds: half-even on the exact binary value of the double.
@@ -78,10 +84,12 @@ def python_fixed(x: Column, places: int = 3) -> Column:
     ``x * 10**places`` is rounded by the double product, so its exact error
     is recovered with Dekker's error-free product (split ``x`` in halves of
     26 bits); that error decides round-up, round-down and true ties exactly.
+    From 2**52 on the number is an integer: written exactly as a bigint, and
+    beyond that type by its decimal text (shortest digits, then zeros). The sign of a negative zero is kept.
     NaN and infinities print as ``nan`` and ``inf``.
     """
     scale = float(10 ** places)
-    a = F.abs(x)
+    a = F.least(F.abs(x), F.lit(WHOLE_FROM))
     p = a * F.lit(scale)
     c = a * F.lit(134217729.0)  # 2**27 + 1 splits a into two 26-bit halves
     hi = c - (c - a)
@@ -90,8 +98,11 @@ def python_fixed(x: Column, places: int = 3) -> Column:
     k0 = F.floor(p)
     k = F.when((p == k0) & (err < 0), k0 - 1).otherwise(k0)
     d = (p - (k + F.lit(0.5))) + err
+    # from 2**52 on the product is an integer and err holds what is left to round
+    odd_half = (F.abs(err) == 0.5) & (k0 % 2 != 0)
     r = (
-        F.when(d > 0, k + 1)
+        F.when(p >= F.lit(WHOLE_FROM), k0 + F.when(odd_half, F.signum(err)).otherwise(F.rint(err)).cast("bigint"))
+        .when(d > 0, k + 1)
         .when(d < 0, k)
         .otherwise(F.when(k % 2 == 0, k).otherwise(k + 1))
     ).cast("bigint")
@@ -99,8 +110,12 @@ def python_fixed(x: Column, places: int = 3) -> Column:
     if places == 0:
         body = F.format_string("%d", r)
     else:
-        body = F.format_string(f"%d.%0{places}d", (r / unit).cast("bigint"), r % unit)
-    signed = F.when(x < 0, F.concat(F.lit("-"), body)).otherwise(body)
+        body = F.format_string(f"%d.%0{places}d", F.call_function("div", r, F.lit(unit)), r % unit)
+    zeros = F.lit("." + "0" * places if places else "")
+    whole = F.concat(F.least(F.abs(x), F.lit(BIGINT_UNTIL)).cast("bigint").cast("string"), zeros)
+    body = (F.when(F.abs(x) > F.lit(BIGINT_UNTIL), F.format_string(f"%.{places}f", F.abs(x)))
+            .when(F.abs(x) >= F.lit(WHOLE_FROM), whole).otherwise(body))
+    signed = F.when(x.cast("string").startswith("-"), F.concat(F.lit("-"), body)).otherwise(body)
     return (
         F.when(F.isnan(x), F.lit("nan"))
         .when(x == F.lit(float("inf")), F.lit("inf"))
@@ -116,28 +131,19 @@ def alert_text(alert: Column) -> Column:
     rounded as Python rounds (``python_fixed``), the window start its first
     19 characters; absent fields take defaults.
     """
-    d = ALERT_DEFAULTS
-    f = lambda name: alert.getField(name)
-    source = F.upper(F.coalesce(f("dataset_source"), F.lit(d["dataset_source"])))
-    window = F.substring(F.coalesce(f("window_start"), F.lit(d["window_start"])), 1, 19)
-    count = F.format_number(F.coalesce(f("event_count"), F.lit(d["event_count"])).cast("bigint"), 0)
-    ratio = python_fixed(F.coalesce(f("syn_flag_ratio"), F.lit(d["syn_flag_ratio"])), 3)
-    values = {
-        "src_ip": F.coalesce(f("src_ip"), F.lit(d["src_ip"])),
-        "alert_reason": F.coalesce(f("alert_reason"), F.lit(d["alert_reason"])),
-        "event_count": count,
-        "syn_flag_ratio": ratio,
-        "unique_dst_ports": F.coalesce(f("unique_dst_ports"), F.lit(d["unique_dst_ports"])).cast("string"),
-    }
-    head_prefix, rest = ALERT_HEAD.split("{source}")
-    mid, _ = rest.split("{window}")
-    parts = [F.lit(head_prefix), source, F.lit(mid), window, F.lit("\n")]
-    for name, label in ALERT_LINES:
-        parts += [F.lit(label), values[name], F.lit("\n")]
-    return F.concat(*parts)
+    values = {name: F.coalesce(alert.getField(name), F.lit(default)) for name, default in ALERT_DEFAULTS.items()}
+    values["dataset_source"] = F.upper(values["dataset_source"])
+    values["window_start"] = F.substring(values["window_start"], 1, 19)
+    values["event_count"] = F.format_number(values["event_count"].cast("bigint"), 0)
+    values["syn_flag_ratio"] = python_fixed(values["syn_flag_ratio"], 3)
+    return F.format_string(ALERT_LAYOUT, *[values[name] for name in ALERT_FIELDS])
 
 
 def alert_text_from_json(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """J6's projection: alert JSON messages -> one ``alert_text`` per message."""
-    parsed = F.from_json(F.col(value_col).cast("string"), ALERT_JSON_SCHEMA)
-    return messages.select(alert_text(parsed).alias("alert_text"))
+    """J6's projection: alert JSON messages -> one ``alert_text`` per message.
+
+    Messages are parsed in a projection of their own: the text uses the
+    fields many times, and the optimiser does not copy the parser into it.
+    """
+    parsed = messages.select(F.from_json(F.col(value_col).cast("string"), ALERT_JSON_SCHEMA).alias("alert")).select("alert.*")
+    return parsed.select(alert_text(F.struct(*[F.col(c) for c in parsed.columns])).alias("alert_text"))

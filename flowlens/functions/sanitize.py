@@ -26,6 +26,8 @@ _PY_SPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 # Integer text of the non-ANSI cast: sign, digits, an ignored fraction.
 LONG_SHAPE = r"^[+-]?(?=[0-9.])[0-9]*([.][0-9]*)?$"
 LONG_DIGITS = r"^[+-]?([0-9]*)"
+# What nearly all integer cells look like; always in the bigint range.
+LONG_PLAIN = "^[0-9]{1,18}$"
 # Number text the double cast reads (decimal or hexadecimal, f/d suffix).
 DOUBLE_SHAPE = (r"^[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
                 r"|0[xX]([0-9a-fA-F]+[.]?[0-9a-fA-F]*|[.][0-9a-fA-F]+)[pP][+-]?[0-9]+)[dDfF]?$")
@@ -78,7 +80,8 @@ def to_long_sql(c: str, trimmed: str | None = None) -> str:
     digits = f"regexp_extract({t}, {_sql_lit(LONG_DIGITS)}, 1)"
     sign = f"CASE WHEN startswith({t}, '-') THEN '-' ELSE '' END"
     number = f"concat({sign}, CASE WHEN {digits} = '' THEN '0' ELSE {digits} END)"
-    return f"CASE WHEN {t} RLIKE {_sql_lit(LONG_SHAPE)} THEN try_cast({number} AS BIGINT) END"
+    return (f"CASE WHEN {t} RLIKE {_sql_lit(LONG_PLAIN)} THEN CAST({t} AS BIGINT) "
+            f"WHEN {t} RLIKE {_sql_lit(LONG_SHAPE)} THEN try_cast({number} AS BIGINT) END")
 
 
 def safe_text_sql(c: str) -> str:
@@ -86,7 +89,9 @@ def safe_text_sql(c: str) -> str:
     t = f"btrim({c}, {_sql_lit(_PY_SPACE)})"
     number = f"try_cast(replace({t}, '_', '') AS DOUBLE)"
     overflow = f"({t} RLIKE {_sql_lit(PY_FLOAT_SHAPE)} AND abs({number}) = double('inf'))"
-    return (f"CASE WHEN {t} RLIKE {_sql_lit(SPECIAL_SHAPE)} OR {overflow} "
+    # only text with an n (nan, inf), an exponent or over 300 characters can be one
+    unusual = f"(contains(lower({c}), 'n') OR contains(lower({c}), 'e') OR length({c}) > 300)"
+    return (f"CASE WHEN {unusual} AND ({t} RLIKE {_sql_lit(SPECIAL_SHAPE)} OR {overflow}) "
             f"THEN CAST(NULL AS STRING) ELSE {c} END")
 
 
@@ -116,7 +121,7 @@ def to_long(c) -> Column:
     digits = F.regexp_extract(t, LONG_DIGITS, 1)
     number = F.concat(F.when(t.startswith("-"), F.lit("-")).otherwise(F.lit("")),
                       F.when(digits == "", F.lit("0")).otherwise(digits))
-    return F.when(t.rlike(LONG_SHAPE), number.try_cast("bigint"))
+    return F.when(t.rlike(LONG_PLAIN), t.cast("bigint")).when(t.rlike(LONG_SHAPE), number.try_cast("bigint"))
 
 
 def safe_text(c) -> Column:
@@ -128,7 +133,9 @@ def safe_text(c) -> Column:
     t = F.btrim(c, F.lit(_PY_SPACE))
     number = F.replace(t, F.lit("_"), F.lit("")).try_cast("double")
     overflow = t.rlike(PY_FLOAT_SHAPE) & (F.abs(number) == F.lit(float("inf")))
-    return F.when(t.rlike(SPECIAL_SHAPE) | overflow, F.lit(None).cast("string")).otherwise(c)
+    low = F.lower(c)
+    unusual = low.contains("n") | low.contains("e") | (F.length(c) > 300)
+    return F.when(unusual & (t.rlike(SPECIAL_SHAPE) | overflow), F.lit(None).cast("string")).otherwise(c)
 
 
 def label_fallback(attack_cat, binary_label) -> Column:

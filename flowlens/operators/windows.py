@@ -1,15 +1,19 @@
 """Tumbling-window metrics and alerts.
 
-One function serves batch and stream. Batch uses ``count(DISTINCT ..)``,
-which Catalyst plans as an Expand + two-level aggregate: the first shuffle
-is keyed by (window, keys, distinct value), so a hot source address is
-spread over its distinct values before the per-window merge. A stream
-cannot run a distinct aggregate, so there the exact form is
-``size(collect_set(..))``: its state per group is the set of distinct
-labels and destination ports of one window (ports are 16-bit, so at most
-65,536 entries), never the group's rows. ``distinct="set"`` uses that form
-in batch too (one shuffle instead of two, for small value domains), and
-``distinct="approx"`` switches to HyperLogLog sketches of fixed size.
+Batch groups twice: first by window, keys and destination port, then by
+window and keys. The first step counts rows, sums and gathers the distinct
+labels of one port, with map-side partial aggregation; the number of its
+rows with a port is the distinct count of ports. Every row is read and
+shuffled at most once (no Expand), and a hot source address is spread over
+its ports before the per-window merge.
+
+A stream has one aggregate, so its distinct counts are
+``size(collect_set(..))``: the state of a group holds the distinct labels and
+destination ports of one window, never its rows. Ports are 16-bit in valid
+flows; the parser does not enforce that, so a source that invents ports or
+labels grows its own group's state until its window closes.
+``distinct="set"`` uses that form in batch too, and ``distinct="approx"``
+HyperLogLog sketches of fixed size.
 """
 
 from __future__ import annotations
@@ -24,8 +28,6 @@ DEFAULT_SYN_THRESHOLD = 0.8
 
 
 def _distinct(col: str, mode: str) -> Column:
-    if mode == "exact":
-        return F.count_distinct(F.col(col))
     if mode == "set":
         return F.size(F.collect_set(F.col(col))).cast("bigint")
     if mode == "approx":
@@ -33,6 +35,27 @@ def _distinct(col: str, mode: str) -> Column:
     raise ValueError(f"unknown distinct mode {mode!r}")
 
 
+def _by_port_then_merged(flows: DataFrame, width: str, keys, time_col: str) -> DataFrame:
+    """The exact measures of a batch, by way of one row a port."""
+    means = ["flow_duration", "flow_bytes_s"]
+    ports = flows.groupBy(F.window(F.col(time_col), width).alias("window"), *keys, F.col("dst_port").alias("__port")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.collect_set("label").alias("labels"),
+        *[F.sum(m).alias(f"sum_{m}") for m in means], *[F.count(m).alias(f"n_{m}") for m in means],
+        F.sum("syn_flag_count").alias("syn"),
+        F.sum("total_fwd_packets").alias("fwd"),
+    )
+    mean = lambda m: F.try_divide(F.sum(f"sum_{m}"), F.sum(f"n_{m}")).alias(f"avg_{m}")
+    return ports.groupBy("window", *keys).agg(
+        F.sum("n").alias("event_count"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("labels")))).cast("bigint").alias("unique_labels"),
+        F.count("__port").alias("unique_dst_ports"),
+        *[mean(m) for m in means],
+        F.sum("syn").alias("total_syn_flags"),
+        F.sum("fwd").alias("total_fwd_packets"),
+    )
+
+
 def window_aggregate(
     flows: DataFrame,
     width: str = DEFAULT_WIDTH,
@@ -46,6 +69,8 @@ def window_aggregate(
     """
     if distinct is None:
         distinct = "set" if flows.isStreaming else "exact"
+    if distinct == "exact":
+        return _by_port_then_merged(flows, width, keys, time_col)
     return flows.groupBy(F.window(F.col(time_col), width).alias("window"), *keys).agg(
         F.count(F.lit(1)).alias("event_count"),
         _distinct("label", distinct).alias("unique_labels"),

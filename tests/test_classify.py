@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from flowlens.functions.classify import classify_expr, register_sql_functions, severity_expr
+from flowlens.functions.classify import classify_expr, register_sql_functions, severity_expr, with_category
 from flowlens.plans.oracle import GOLDEN
 from flowlens.sources.events_adapter import TEST_LABELS
 
@@ -66,7 +66,7 @@ def test_classify_stays_in_codegen(spark):
 
 
 def test_rules_compile_to_the_same_decisions(spark):
-    """The CASE expressions (SQL text and Column forms) decide every label
+    """The CASE expressions (the SQL text and the looked-up form) decide every label
     as a plain evaluation of the rule tables does, on random labels built
     from the rule words."""
     import random
@@ -80,12 +80,23 @@ def test_rules_compile_to_the_same_decisions(spark):
     labels = ["".join(rng.choice(words) for _ in range(rng.randint(0, 3))) for _ in range(600)]
     labels += [None, "", " ", " Syn ", "UDP-lag", "udplag"]
     df = spark.createDataFrame([(x,) for x in labels], "label string")
-    got = df.select(
-        "label",
-        classify_expr("label").alias("a"),
-        classify_expr(F.col("label")).alias("b"),
+    got = with_category(df, category="b", severity="t").select(
+        "label", "b", "t", classify_expr("label").alias("a"),
     ).withColumn("s", severity_expr("a")).collect()
     for r in got:
         want = rule_model.category(r.label)
         assert r.a == want and r.b == want, (r.label, r.a, r.b, want)
-        assert r.s == rule_model.severity(want), (r.label, r.s)
+        assert r.s == r.t == rule_model.severity(want), (r.label, r.s, r.t)
+
+
+def test_filters_do_not_run_the_rules_again(spark):
+    """A filter on the category neither copies the rules nor the key."""
+    labels = spark.range(10).select(F.concat(F.lit("DoS "), F.col("id")).alias("label"))
+    df = with_category(labels).filter("attack_category = 'Benign'")
+    old = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", old)
+    assert plan.count("upper(") == 1 and plan.count("PORTMAP") == 1, plan

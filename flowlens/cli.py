@@ -60,12 +60,11 @@ def main(argv=None) -> None:
     n.add_argument("--checkpoint", required=True)
     n.add_argument("--topics", default=_env("INPUT_TOPICS", streams.RAW_TOPICS))
     n.add_argument("--output-topic", default=_env("OUTPUT_TOPIC", streams.NORMALIZED_TOPIC))
-    n.add_argument("--append-only", action="store_true",
-                   help="append batches to category/date folders (no batch_id level)")
 
     a = sub.add_parser("aggregate", help="J2: windows table (append) + alerts (update)")
     a.add_argument("--table", required=True)
-    a.add_argument("--updates", required=True)
+    a.add_argument("--updates", default=None,
+                   help="folder of early alerts' window updates; without it alerts follow the table")
     a.add_argument("--checkpoint", required=True)
     a.add_argument("--topic", default=_env("INPUT_TOPIC", streams.NORMALIZED_TOPIC))
     a.add_argument("--alert-topic", default=_env("ALERT_TOPIC", streams.ALERT_TOPIC))
@@ -148,15 +147,14 @@ def main(argv=None) -> None:
     started = []
     if args.job == "normalize":
         spark = _session("flowlens-normalize")
-        started.append(jobs.start_normalizer(
+        started.extend(jobs.start_normalizer_and_forward(
             source(spark, args.topics), args.table, args.checkpoint,
-            forward=sink(args.output_topic), trigger=trigger,
-            state_partitions=args.state_partitions, idempotent=not args.append_only))
+            sink(args.output_topic), trigger=trigger))
     elif args.job == "aggregate":
         spark = _session("flowlens-aggregate", stateful=True)
         started.extend(jobs.start_aggregator(
-            source(spark, args.topic), args.table, args.updates, args.checkpoint,
-            alert_sink=sink(args.alert_topic), trigger=trigger,
+            source(spark, args.topic), args.table, args.checkpoint,
+            alert_sink=sink(args.alert_topic), updates_path=args.updates, trigger=trigger,
             width=args.width, events_threshold=args.events_threshold,
             syn_threshold=args.syn_threshold, state_partitions=args.state_partitions,
             keys=tuple(k.strip() for k in args.keys.split(",") if k.strip())))

@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from flowlens.functions.classify import register_sql_functions
 from flowlens.functions.sanitize import label_fallback, safe_text, stable_round
 from flowlens.operators import reports, views
 from flowlens.operators.normalize import normalize
 from flowlens.operators.windows import alerts, window_metrics
 from flowlens.plans.oracle import AS_OF
 from flowlens.schemas import FLOW_FIELDS
-from flowlens.sources.events_adapter import dirty_raw_flows, load_events, raw_flows
+from flowlens.sources.events_adapter import dense_raw_flows, dirty_raw_flows, load_events, raw_flows
 
 ALERT_WIDTH = "1 day"
 ALERT_EVENTS_THRESHOLD = 3
@@ -85,8 +86,27 @@ def _windows_out(w: DataFrame) -> DataFrame:
     return rounded(w.drop("processed_at"))
 
 
+def dense_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised flows of the dense variant: few addresses, full windows."""
+    return normalize(dense_raw_flows(load_events(spark, sf_dir)), event_time="event_time")
+
+
 def q_window_metrics_5m(spark, sf_dir):
-    return _windows_out(window_metrics(flows(spark, sf_dir), width="5 minutes"))
+    return _windows_out(window_metrics(dense_flows(spark, sf_dir), width="5 minutes"))
+
+
+def q_window_alerts_5m(spark, sf_dir):
+    """The default width and thresholds."""
+    return _windows_out(alerts(window_metrics(dense_flows(spark, sf_dir))))
+
+
+def q_sql_functions(spark, sf_dir):
+    """The two mappings as SQL functions."""
+    register_sql_functions(spark)
+    view = f"flows_{zlib.crc32(sf_dir.encode())}"
+    raw_flows(load_events(spark, sf_dir)).createOrReplaceTempView(view)
+    return spark.sql("SELECT label, classify_label(label) AS attack_category, severity_of(classify_label(label)) AS severity_level, "
+                     f"produced_at_ts FROM {view}")
 
 
 def q_window_metrics_1d(spark, sf_dir):
@@ -174,6 +194,8 @@ QUERIES = {
     "behavioral_profiles": q_behavioral_profiles,
     "benign_baseline": q_benign_baseline,
     "window_metrics_5m": q_window_metrics_5m,
+    "window_alerts_5m": q_window_alerts_5m,
+    "sql_functions": q_sql_functions,
     "window_metrics_1d": q_window_metrics_1d,
     "window_metrics_dst_port": q_window_metrics_dst_port,
     "window_alerts": q_window_alerts,

@@ -1,9 +1,9 @@
 """Dataset-shaped files written from ``events`` for the source checks.
 
 Each executor task writes its own partition as one CSV (or zip) file with
-a chosen header and file name, streaming Arrow batches to the file, so the
-rows never pass through the driver; only the list of written files does.
-Paths must be on a file system the executors can open directly.
+a chosen header and file name, streaming Arrow batches to the file system
+that the folder lies on, so the rows never pass through the driver; only the
+list of written files does.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.sources.files import open_output
 from flowlens.schemas import CICFLOW_COLUMN_MAP, UNSW_COLUMN_MAP, UNSW_COLUMNS
 
 # Header layouts of the fixture files. Layout A is CICIDS-like (leading
@@ -24,67 +25,60 @@ CIC_HEADER_B = ["Label", "Flow Packets/s", "Flow Bytes/s", "Total Backward Packe
                 "Destination IP", "Source Port", "Source IP", "Flow ID"]
 
 
-def _local(path: str) -> str:
-    return path[5:] if path.startswith("file:") else path
-
-
 def write_files(df: DataFrame, directory: str, prefix: str, header: list[str] | None,
-                n_files: int, zipped: bool = False, zip_decoy: bool = True) -> list[str]:
-    """Write ``df`` (text columns, in file column order) as ``n_files`` CSV
-    files ``{prefix}{i}.csv`` (or ``.zip`` holding a text member and then
-    the CSV) under ``directory``. Returns the written paths."""
-    directory = _local(directory).rstrip("/")
-    cols = df.columns
+                zipped: bool = False, blank_lines: bool = True) -> list[str]:
+    """Write ``df`` (text columns, in file column order) as one CSV file
+    ``{prefix}{i}.csv`` a partition (or ``.zip`` holding a text member and
+    then the CSV) under ``directory``, which is a qualified path. Files end
+    with a blank line and one of blanks, which are no rows. Returns the
+    written paths."""
+    directory = directory.rstrip("/")
 
     def write(batches):
         import csv
         import io
-        import os
         import zipfile
 
-        import pandas as pd
+        import pyarrow as pa
         from pyspark import TaskContext
 
-        pid = TaskContext.get().partitionId()
-        os.makedirs(directory, exist_ok=True)
-        name = f"{prefix}{pid}"
-        rows = 0
-        if zipped:
-            path = f"{directory}/{name}.zip"
-            zf = zipfile.ZipFile(path, "w", compression=zipfile.ZIP_DEFLATED)
-            if zip_decoy:
-                zf.writestr("README.txt", "fixture\n")
-            raw = zf.open(f"{name}.csv", "w")
-            fh = io.TextIOWrapper(raw, encoding="utf-8", newline="")
-        else:
-            path = f"{directory}/{name}.csv"
-            zf = None
-            fh = open(path, "w", encoding="utf-8", newline="")
-        w = csv.writer(fh, lineterminator="\n")
-        if header is not None:
-            w.writerow(header)
-        for pdf in batches:
-            w.writerows(pdf.astype(object).where(pd.notna(pdf), None).itertuples(index=False, name=None))
-            rows += len(pdf)
-        fh.close()
-        if zf is not None:
-            zf.close()
-        yield pd.DataFrame({"path": [path], "rows": [rows]})
-
-    parts = df.repartition(n_files, *[F.col(c) for c in cols])
-    out = parts.mapInPandas(write, "path string, rows long").collect()
-    return sorted(r["path"] for r in out)
+        path = f"{directory}/{prefix}{TaskContext.get().partitionId()}.{'zip' if zipped else 'csv'}"
+        with open_output(path) as out:
+            archive = zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED) if zipped else None
+            if archive:
+                archive.writestr("README.txt", "fixture\n")
+            member = archive.open("flows.csv", "w", force_zip64=True) if archive else out
+            text = io.StringIO(newline="")
+            writer = csv.writer(text, lineterminator="\n")
+            rows = 0
+            if header is not None:
+                writer.writerow(header)
+            for batch in batches:
+                writer.writerows(zip(*[c.to_pylist() for c in batch.columns]))
+                rows += batch.num_rows
+                member.write(text.getvalue().encode())
+                text.seek(0)
+                text.truncate()
+            member.write((text.getvalue() + ("\n  \n" if blank_lines else "")).encode())
+            if archive:
+                member.close()
+                archive.close()
+        yield pa.RecordBatch.from_pydict({"path": [path], "rows": [rows]})
+
+    return sorted(r["path"] for r in df.mapInArrow(write, "path string, rows long").collect())
+
+
+def _filler(text: str):
+    """A cell that no flow field comes from; some hold a line break, a few are
+    longer than 131,072 characters."""
+    return (F.when(F.col("src_port") == "1500", F.repeat(F.lit(text), 140_000))
+            .when(F.col("produced_at_ts") % 7 == 0, F.lit(f'{text}"\n{text}')).otherwise(F.lit(text)))
 
 
 def cic_layout(raw: DataFrame, header: list[str]) -> DataFrame:
-    """Raw messages in CICFlowMeter columns of ``header`` (text cells;
-    columns with no flow field get a fixed filler)."""
-    by_name = {k: v for k, v in CICFLOW_COLUMN_MAP.items()}
-    cols = []
-    for h in header:
-        field = by_name.get(h.strip())
-        cols.append(F.col(field) if field else F.lit("x"))
-    return raw.select(*[c.alias(f"c{i}") for i, c in enumerate(cols)])
+    """Raw messages in CICFlowMeter columns of ``header`` (text cells)."""
+    fields = [CICFLOW_COLUMN_MAP.get(h.strip()) for h in header]
+    return raw.select(*[(F.col(f) if f else _filler("x")).alias(f"c{i}") for i, f in enumerate(fields)])
 
 
 def unsw_layout(raw: DataFrame) -> DataFrame:
@@ -92,5 +86,5 @@ def unsw_layout(raw: DataFrame) -> DataFrame:
     out = []
     for name in UNSW_COLUMNS:
         field = "binary_label" if name == "label" else UNSW_COLUMN_MAP.get(name)
-        out.append(F.col(field) if field else F.lit("0"))
+        out.append(F.col(field) if field else _filler("0") if name == "service" else F.lit("0"))
     return raw.select(*[c.alias(f"c{i}") for i, c in enumerate(out)])

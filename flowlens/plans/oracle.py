@@ -75,9 +75,20 @@ NORM_COLS = [
 ]
 
 
-def flows_cte(ts_expr: str = "e.ts") -> str:
-    """``flows``: the normalised rows of ``events``."""
-    cols = [f"{v} AS {k}" for k, v in FLOW_COLS.items()]
+# The dense variant's own columns and time (DuckDB dialect).
+DENSE_COLS = {
+    "src_ip": ("CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 5 < 3 THEN '10.0.0.1' "
+               "ELSE concat('10.0.1.', CAST(user_id % 3 AS VARCHAR)) END"),
+    "syn_flag_count": ("CASE WHEN event_type = 'error' THEN CAST(event_id % 11 + 1 AS BIGINT) "
+                       "WHEN event_type IN ('click','view') THEN CAST(event_id % 3 AS BIGINT) END"),
+}
+DENSE_TS = ("make_timestamp(1704067200000000 + 86400000000 * (CASE WHEN event_id % 2 = 0 THEN 0 ELSE 1 + user_id % 4 END) "
+            "+ (epoch_us(e.ts) % 86400000000) // 288)")
+
+
+def flows_cte(ts_expr: str = "e.ts", own: dict | None = None) -> str:
+    """``flows``: the normalised rows of ``events``; ``own`` replaces columns."""
+    cols = [f"{v} AS {k}" for k, v in (FLOW_COLS | (own or {})).items()]
     cols += [
         "g.label AS label",
         f"{SOURCE} AS dataset_source",
@@ -213,6 +224,7 @@ def batch_sql() -> dict:
     flows = flows_cte()
     day = windows_cte("1 day", 3, 0.8)
     five = windows_cte("5 minutes", 500, 0.8)
+    dense = flows_cte(DENSE_TS, DENSE_COLS)
     recent = ("SELECT attack_category, severity_level, label, dataset_source, count(*) AS event_count "
               f"FROM flows WHERE {_since_yesterday('partition_date')} AND attack_category <> 'Benign' "
               "GROUP BY ALL")
@@ -240,16 +252,14 @@ def batch_sql() -> dict:
             f"{R('avg(total_fwd_packets)')} AS avg_fwd_packets, {R('avg(total_bwd_packets)')} AS avg_bwd_packets, "
             f"{R('max(flow_bytes_s)')} AS max_flow_bytes_s FROM flows WHERE attack_category = 'Benign' "
             "HAVING count(*) > 0"),
-        "window_metrics_5m": _with(flows, five) + f"SELECT {WINDOW_OUT} FROM windows",
+        "window_metrics_5m": _with(dense, five) + f"SELECT {WINDOW_OUT} FROM windows",
+        "window_alerts_5m": _with(dense, five) + f"SELECT {WINDOW_OUT} FROM windows WHERE is_alert",
+        "sql_functions": _with(flows) + "SELECT label, attack_category, severity_level, produced_at_ts FROM flows",
         "window_metrics_1d": _with(flows, day) + f"SELECT {WINDOW_OUT} FROM windows",
         "window_metrics_dst_port": _with(flows, windows_cte("1 hour", 5000, 0.8, key="dst_port")) + (
             "SELECT " + WINDOW_OUT.replace("src_ip, ", "dst_port, ", 1) + " FROM windows"),
         "window_alerts": _with(flows, day) + f"SELECT {WINDOW_OUT} FROM windows WHERE is_alert",
-        "aggregation_summary": _with(flows, day) + (
-            "SELECT dataset_source, window_start_date, count(*) AS window_count, "
-            "CAST(sum(event_count) AS BIGINT) AS total_events, "
-            f"{R('avg(avg_flow_bytes_s)')} AS avg_flow_bytes_s, "
-            "count(*) FILTER (WHERE is_alert) AS alert_windows FROM windows GROUP BY ALL"),
+        "aggregation_summary": _with(flows, day) + SUMMARY,
         "recent_attacks": _with(flows) + recent,
         "top_src_ips": _with(flows) + (
             "SELECT src_ip, dataset_source, count(*) AS total_events, "
@@ -321,6 +331,12 @@ def stream_sql() -> dict:
     late = "late AS (SELECT * FROM flows WHERE event_timestamp >= " + _MID_TS + ")"
     return {
         "stream_normalize": _with(ms_flows) + f"SELECT {norm_out} FROM flows",
+        "stream_forward": _with(ms_flows) + f"SELECT src_ip AS key, {norm_out} FROM flows",
+        "stream_alert_messages": _with(ms_flows, windows_cte("1 day", 3, 0.8)) + (
+            f"SELECT src_ip AS key, {WINDOW_OUT} FROM windows WHERE is_alert AND window_end <= {_CLOSE}"),
+        "stream_alert_text": _with(flows_cte(), windows_cte("1 day", 3, 0.8)) + (
+            f"SELECT {ALERT_TEXT} AS alert_text FROM windows WHERE is_alert"),
+        "catalog_follows_stream": batch_sql()["hourly_traffic"],
         "stream_archive": _with(flows_cte()) + (
             "SELECT CAST(dst_port AS VARCHAR) AS destination_port, "
             "CAST(flow_duration AS VARCHAR) AS flow_duration, "
@@ -349,8 +365,15 @@ def _json_str(c: str) -> str:
     return f"CASE WHEN {c} IS NULL THEN 'null' ELSE '\"' || {c} || '\"' END"
 
 
+SUMMARY = ("SELECT dataset_source, window_start_date, count(*) AS window_count, "
+           "CAST(sum(event_count) AS BIGINT) AS total_events, "
+           f"{R('avg(avg_flow_bytes_s)')} AS avg_flow_bytes_s, "
+           "count(*) FILTER (WHERE is_alert) AS alert_windows FROM windows GROUP BY ALL")
+
+
 def source_sql() -> dict:
     flows = flows_cte()
+    five, batch = windows_cte("5 minutes", 500, 0.8), batch_sql()
     texts = {c: _text(c) for c in FLOW_COLS}
     texts["label"] = "coalesce(label, '')"
     first_half = f"event_timestamp < {_MID_TS}"
@@ -394,6 +417,26 @@ def source_sql() -> dict:
         "report_job": _with(flows) + (
             "SELECT date_trunc('hour', event_timestamp) AS hour_bucket, attack_category, "
             "dataset_source, count(*) AS event_count FROM flows GROUP BY ALL"),
+        "report_distribution": batch["attack_distribution"],
+        "report_profiles": batch["behavioral_profiles"],
+        "report_baseline": batch["benign_baseline"],
+        "report_summary": _with(flows, five) + SUMMARY,
+        "catalog_tables": _with(flows, five) + " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST(sum({total}) AS BIGINT) AS total FROM ({body}) AS t"
+            for t, total, body in (
+                ("normalized_logs", "src_port", "SELECT src_port FROM flows"),
+                ("aggregations_5min", "event_count", "SELECT event_count FROM windows"),
+                ("report_attack_distribution", "event_count", batch["attack_distribution"]),
+                ("report_hourly_timeseries", "event_count", batch["hourly_timeseries"]),
+                ("report_behavioral_profiles", "attack_events", batch["behavioral_profiles"]),
+                ("report_benign_baseline", "benign_count", batch["benign_baseline"]),
+                ("report_aggregation_summary", "window_count", SUMMARY))),
+        "catalog_views": _with(flows, five) + " UNION ALL ".join(
+            f"SELECT '{v}' AS view_name, count(*) AS n_rows, CAST(coalesce(sum({total}), 0) AS BIGINT) AS total FROM ({body}) AS t"
+            for v, total, body in (
+                ("recent_attacks", "event_count", batch["recent_attacks"]), ("top_src_ips", "attack_events", batch["top_src_ips"]),
+                ("hourly_traffic", "event_count", batch["hourly_traffic"]),
+                ("active_alerts", "event_count", f"SELECT event_count FROM windows WHERE is_alert AND {_since_yesterday('window_start_date')}"))),
         "partitioned_tables": _with(flows) + (
             "SELECT attack_category, partition_date, count(*) AS event_count, "
             "CAST(NULL AS BIGINT) AS benign_count FROM flows GROUP BY ALL UNION ALL "

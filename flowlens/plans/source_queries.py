@@ -16,6 +16,7 @@ from flowlens.operators.normalize import decode_json
 from flowlens.operators.windows import window_metrics
 from flowlens.plans import fixtures
 from flowlens.plans.batch_queries import ALERT_EVENTS_THRESHOLD, ALERT_WIDTH, flows, rounded
+from flowlens.plans.oracle import AS_OF
 from flowlens.plans.jobs import run_ingest, run_reports
 from flowlens.plans.stream_queries import day_splits
 from flowlens.schemas import (
@@ -29,11 +30,10 @@ from flowlens.sinks.writers import write_partitioned
 from flowlens.sources.csv_sources import as_raw_messages, read_cicflow_csv, read_unsw_csv
 from flowlens.sources.events_adapter import load_events, raw_flows
 from flowlens.sources.files import CICDOS_DIRS, CICIDS_DIR, UNSW_DIR, dataset_files
-from flowlens.sources.tables import register_tables
+from flowlens.sources.tables import register_tables, register_views
 from flowlens.sources.zip_source import read_zip_csv
 
 FIXED_CLOCK = 1704067200000  # 2024-01-01T00:00:00Z, the producer clock of the checks
-N_FILES = 3
 
 
 def _raw(spark: SparkSession, sf_dir: str):
@@ -50,11 +50,11 @@ def _write_cic(raw: DataFrame, first_half, root: str) -> None:
     is_cic = F.col("dataset_source") == "cicids"
     A, B = fixtures.CIC_HEADER_A, fixtures.CIC_HEADER_B
     fixtures.write_files(fixtures.cic_layout(raw.filter(is_cic), A), f"{root}/{CICIDS_DIR}",
-                         "Monday-WorkingHours_", A, N_FILES)
+                         "Monday-WorkingHours_", A)
     fixtures.write_files(fixtures.cic_layout(raw.filter(~is_cic & first_half), B),
-                         f"{root}/{CICDOS_DIRS[0]}", "DrDoS_", B, N_FILES)
+                         f"{root}/{CICDOS_DIRS[0]}", "DrDoS_", B)
     fixtures.write_files(fixtures.cic_layout(raw.filter(~is_cic & ~first_half), A),
-                         f"{root}/{CICDOS_DIRS[1]}", "Syn_", A, N_FILES)
+                         f"{root}/{CICDOS_DIRS[1]}", "Syn_", A)
 
 
 def _write_unsw(raw: DataFrame, first_half, root: str) -> None:
@@ -63,11 +63,11 @@ def _write_unsw(raw: DataFrame, first_half, root: str) -> None:
     file whose name the selection skips."""
     d = f"{root}/{UNSW_DIR}"
     layout = fixtures.unsw_layout(raw.filter(first_half))
-    fixtures.write_files(layout, d, "UNSW-NB15_", None, N_FILES)
+    fixtures.write_files(layout, d, "UNSW-NB15_", None)
     header = [f" {c.upper()} " if i % 2 else c for i, c in enumerate(fixtures.UNSW_COLUMNS)]
-    fixtures.write_files(fixtures.unsw_layout(raw.filter(~first_half)), d, "UNSW-NB15_h", header, N_FILES)
+    fixtures.write_files(fixtures.unsw_layout(raw.filter(~first_half)), d, "UNSW-NB15_h", header)
     gt = raw.limit(0).select(F.lit("junk").alias("c0"))
-    fixtures.write_files(gt, d, "NUSW-NB15_GT", ["Attack category"], 1)
+    fixtures.write_files(gt, d, "NUSW-NB15_GT", ["Attack category"])
 
 
 def q_csv_cicflow_source(spark, sf_dir):
@@ -94,7 +94,7 @@ def q_zip_csv_source(spark, sf_dir):
     root = new_work_dir(spark, "zipcsv")
     A = fixtures.CIC_HEADER_A
     fixtures.write_files(fixtures.cic_layout(raw, A), f"{root}/{CICIDS_DIR}", "Tuesday_", A,
-                         N_FILES, zipped=True)
+                         zipped=True)
     files = dataset_files(spark, root)["cicids"]
     out = as_raw_messages(read_zip_csv(spark, files), "cicids", F.lit(FIXED_CLOCK))
     return out.select(*FLOW_FIELDS, "dataset_source")
@@ -142,17 +142,54 @@ def q_partitioned_tables(spark, sf_dir):
     return counts.unionByName(base)
 
 
-def q_report_job(spark, sf_dir):
-    """J3 + K6 + S8: write the partitioned tables, run one report pass, and
-    read back the hourly series (built from the checkpointed rollup)."""
-    root = new_work_dir(spark, "reports")
+def _tables(spark, sf_dir, name: str):
+    """The partitioned tables, written by batch, with one report pass over
+    them: (folder, normalised path, window path, reports path)."""
+    root = new_work_dir(spark, name)
     norm_path, win_path, out = f"{root}/normalized-logs", f"{root}/aggregations-5min", f"{root}/reports"
     norm = flows(spark, sf_dir)
     write_partitioned(norm, norm_path, NORMALIZED_PARTITIONS)
     write_partitioned(window_metrics(norm), win_path, WINDOW_PARTITIONS)
     if not run_reports(spark, norm_path, win_path, out):
         raise RuntimeError("no normalised rows were written")
-    return spark.read.parquet(f"{out}/hourly_timeseries")
+    return root, norm_path, win_path, out
+
+
+def _report(name: str):
+    """J3 + K6 + S8: one report pass; the named report read back."""
+    def query(spark, sf_dir):
+        out = _tables(spark, sf_dir, "reports")[-1]
+        return rounded(spark.read.parquet(f"{out}/{name}").drop("generated_at"))
+
+    return query
+
+
+def _registered(spark, sf_dir, name: str) -> str:
+    root, norm_path, win_path, out = _tables(spark, sf_dir, name)
+    db = f"flowlens_{name}_" + root.rstrip("/").rsplit("-", 1)[-1]
+    register_tables(spark, norm_path, win_path, reports_path=out, database=db, location=f"{root}/catalog")
+    return db
+
+
+def q_catalog_tables(spark, sf_dir):
+    """S9 + C1-C2: all seven tables read through the catalog: rows and one total each."""
+    db = _registered(spark, sf_dir, "catalog")
+    totals = {"normalized_logs": "sum(src_port)", "aggregations_5min": "sum(event_count)",
+              "report_attack_distribution": "sum(event_count)", "report_hourly_timeseries": "sum(event_count)",
+              "report_behavioral_profiles": "sum(attack_events)", "report_benign_baseline": "sum(benign_count)",
+              "report_aggregation_summary": "sum(window_count)"}
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, {total} AS total FROM {db}.{t}" for t, total in totals.items()))
+
+
+def q_catalog_views(spark, sf_dir):
+    """The four views in SQL over the catalog: rows and one total each."""
+    db = _registered(spark, sf_dir, "views")
+    register_views(spark, database=db, as_of=AS_OF, persistent=True)
+    totals = {"recent_attacks": "sum(event_count)", "top_src_ips": "sum(attack_events)", "hourly_traffic": "sum(event_count)",
+              "active_alerts": "sum(event_count)"}
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{v}' AS view_name, count(*) AS n_rows, coalesce({total}, 0) AS total FROM {db}.{v}" for v, total in totals.items()))
 
 
 QUERIES = {
@@ -162,5 +199,11 @@ QUERIES = {
     "publish_payload": q_publish_payload,
     "json_round_trip": q_json_round_trip,
     "partitioned_tables": q_partitioned_tables,
-    "report_job": q_report_job,
+    "report_job": _report("hourly_timeseries"),
+    "report_distribution": _report("attack_distribution"),
+    "report_profiles": _report("behavioral_profiles"),
+    "report_baseline": _report("benign_baseline"),
+    "report_summary": _report("aggregation_summary"),
+    "catalog_tables": q_catalog_tables,
+    "catalog_views": q_catalog_views,
 }

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.functions.payload import alert_text_from_json, forward_payload, publish_payload
-from flowlens.operators.normalize import normalize
-from flowlens.operators.windows import alerts, latest_per_window
+from flowlens.operators.normalize import decode_json, normalize
+from flowlens.operators.windows import alerts, latest_per_window, window_metrics
 from flowlens.plans.batch_queries import ALERT_EVENTS_THRESHOLD, ALERT_WIDTH, day_windows, rounded
 from flowlens.schemas import (
     LEGACY_SCHEMA,
@@ -28,6 +28,7 @@ from flowlens.schemas import (
 from flowlens.session import default_parallelism, new_work_dir
 from flowlens.sources.events_adapter import load_events, raw_flows
 from flowlens.sources.streams import stream_source
+from flowlens.sources.tables import refresh_tables, register_tables, register_views
 from flowlens.streaming import jobs
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -83,25 +84,84 @@ def _unified_messages(events: DataFrame) -> DataFrame:
     return forward_payload(norm)
 
 
+def _raw_messages(events: DataFrame) -> DataFrame:
+    return publish_payload(raw_flows(events, with_event_time=False))
+
+
+def _normalizer(spark: SparkSession, src: str, table: str, ckpt: str):
+    """J1's table query; event time from the producer stamp."""
+    return jobs.start_normalizer(_messages(spark, src), table, ckpt, trigger=AVAILABLE_NOW,
+                                 event_time=F.timestamp_millis(F.col("produced_at_ts")))
+
+
 def q_stream_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J1 end to end: K7 payloads -> normaliser -> partitioned table (K1) and
-    forwarded messages (K2); event time from the producer stamp."""
+    """J1 end to end: K7 payloads -> normaliser -> partitioned table (K1)."""
     events = load_events(spark, sf_dir)
     work = new_work_dir(spark, "stream-normalize")
-    src, table, fwd, ckpt = (f"{work}/{x}" for x in ("src", "table", "forward", "ckpt"))
+    src, table, ckpt = (f"{work}/{x}" for x in ("src", "table", "ckpt"))
+    run_steps(events, in_order_steps(events), _raw_messages, lambda: _normalizer(spark, src, table, ckpt), src)
+    return rounded(spark.read.schema(NORMALIZED_SCHEMA).parquet(table).select(*NORMALIZED_COLUMNS))
+
+
+def _forwarded(sink_rows: DataFrame, schema) -> DataFrame:
+    """Messages as (key, fields)."""
+    return rounded(decode_json(sink_rows, schema, keep=("key",)))
+
+
+def q_stream_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1's forwarded messages (K2): the rows that each step adds to the table."""
+    events = load_events(spark, sf_dir)
+    work = new_work_dir(spark, "stream-forward")
+    src, table, ckpt, fwd = (f"{work}/{x}" for x in ("src", "table", "ckpt", "forward"))
 
     def start():
-        return jobs.start_normalizer(
-            _messages(spark, src), table, ckpt,
-            forward={"fmt": "json", "path": fwd},
-            event_time=F.timestamp_millis(F.col("produced_at_ts")),
-            trigger=AVAILABLE_NOW, state_partitions=_state_partitions(spark),
-        )
+        _normalizer(spark, src, table, f"{ckpt}/table").awaitTermination()
+        return jobs.start_forward(spark, table, f"{ckpt}/forward", {"fmt": "json", "path": fwd}, trigger=AVAILABLE_NOW)
+
+    run_steps(events, in_order_steps(events), _raw_messages, start, src)
+    return _forwarded(spark.read.schema("key string, value string").json(fwd), NORMALIZED_SCHEMA)
 
-    run_steps(events, in_order_steps(events),
-              lambda e: publish_payload(raw_flows(e, with_event_time=False)), start, src)
-    schema = with_fields(NORMALIZED_SCHEMA, ("batch_id", "bigint"))
-    return rounded(spark.read.schema(schema).parquet(table).select(*NORMALIZED_COLUMNS))
+
+def q_stream_alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2's alert messages (K4) of closed windows, following the window table."""
+    events = load_events(spark, sf_dir)
+    work = new_work_dir(spark, "stream-alert-messages")
+    src, table, sink, ckpt = (f"{work}/{x}" for x in ("src", "table", "alerts", "ckpt"))
+
+    def start():
+        return jobs.start_aggregator(
+            _messages(spark, src), table, ckpt, alert_sink={"fmt": "json", "path": sink}, trigger=AVAILABLE_NOW,
+            state_partitions=_state_partitions(spark), width=ALERT_WIDTH, events_threshold=ALERT_EVENTS_THRESHOLD)[-1]
+
+    run_steps(events, in_order_steps(events), _unified_messages, start, src)
+    return _forwarded(spark.read.schema("key string, value string").json(sink), WINDOW_SCHEMA).drop("processed_at")
+
+
+def q_stream_alert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 as a stream (K8): alert messages -> text files."""
+    work = new_work_dir(spark, "stream-alert-text")
+    forward_payload(alerts(day_windows(spark, sf_dir))).select("value").write.text(f"{work}/src/a")
+    jobs.start_alert_text(_messages(spark, f"{work}/src"), f"{work}/ckpt", fmt="json", path=f"{work}/out",
+                          trigger=AVAILABLE_NOW).awaitTermination()
+    return spark.read.schema("alert_text string").json(f"{work}/out")
+
+
+def q_catalog_follows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + C1-C3: tables and views are registered once, after the first
+    step; rows of the second are read through the view all the same."""
+    events = load_events(spark, sf_dir)
+    work = new_work_dir(spark, "stream-catalog")
+    src, table, ckpt = (f"{work}/{x}" for x in ("src", "table", "ckpt"))
+    window_metrics(normalize(raw_flows(events.limit(0)), event_time="event_time")).write.parquet(f"{work}/windows")
+    db = "flowlens_stream_" + work.rstrip("/").rsplit("-", 1)[-1]
+    for i, step in enumerate(in_order_steps(events)):
+        _raw_messages(events.filter(step)).select("value").write.text(f"{src}/step{i}")
+        _normalizer(spark, src, table, ckpt).awaitTermination()
+        if i == 0:
+            register_tables(spark, table, f"{work}/windows", database=db, location=f"{work}/catalog")
+            register_views(spark, database=db, persistent=True)
+    refresh_tables(spark, db)
+    return rounded(spark.sql(f"SELECT * FROM {db}.hourly_traffic"))
 
 
 def _legacy_messages(events: DataFrame) -> DataFrame:
@@ -163,7 +223,7 @@ def q_stream_windows_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_alerts_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 alerts in update mode: newest version of each window, then alerts.
-    Matches the batch alerts; the alert messages (K4) go to ``alerts/``."""
+    Matches the batch alerts."""
     events = load_events(spark, sf_dir)
     work = new_work_dir(spark, "stream-alerts")
     src, updates, sink, ckpt = (f"{work}/{x}" for x in ("src", "updates", "alerts", "ckpt"))
@@ -189,6 +249,10 @@ def q_alert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "stream_normalize": q_stream_normalize,
+    "stream_forward": q_stream_forward,
+    "stream_alert_messages": q_stream_alert_messages,
+    "stream_alert_text": q_stream_alert_text,
+    "catalog_follows_stream": q_catalog_follows_stream,
     "stream_archive": q_stream_archive,
     "stream_windows_append": q_stream_windows_append,
     "stream_windows_late": q_stream_windows_late,

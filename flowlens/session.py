@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -32,26 +31,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for written intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests)
-    a folder is created and set, so ``DataFrame.checkpoint`` works too.
+    Read from ``spark.checkpoint.dir``. Only a local master may leave it
+    unset: then a temporary folder is made and set, so that
+    ``DataFrame.checkpoint`` works too. On a cluster such a folder would be
+    another one on every machine, so there an unset folder is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        try:
-            d = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - no SparkContext in a remote session
-            d = None
-    if not d:
-        d = tempfile.mkdtemp(prefix="flowlens-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(d)
-        except Exception:  # noqa: BLE001 - no SparkContext in a remote session
-            pass
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - a session may refuse core settings at run time
-            pass
-    return d
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+    d = tempfile.mkdtemp(prefix="flowlens-ckpt-")
+    spark.sparkContext.setCheckpointDir(d)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def default_parallelism(spark: SparkSession) -> int:
@@ -64,9 +57,5 @@ def default_parallelism(spark: SparkSession) -> int:
 
 
 def new_work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared folder for one run."""
-    base = shared_dir(spark).rstrip("/")
-    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh path under the shared folder for one run; writers make the folders."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -5,19 +5,25 @@ Cells stay text. Files are read in groups that share a header line, so
 every file is bound by its own column names; groups are combined with
 ``unionByName``. An unquoted empty cell, which Spark reads as NULL, is
 turned back into ``''`` for columns the file has; a column the file lacks
-is NULL.
+is NULL. Blank lines are no rows.
+
+A quoted cell may hold line breaks. Such a file cannot be cut at line ends,
+so it is read whole by one task; every other file is split as usual. By
+default (``multi_line=None``) one text scan finds the files that have a line
+with an odd number of quotes; pass True or False where that is known.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.functions.sanitize import label_fallback, safe_text
 from flowlens.schemas import CICFLOW_COLUMN_MAP, FLOW_FIELDS, UNSW_COLUMN_MAP, UNSW_SCHEMA
-from flowlens.sources.files import group_by_first_line
+from flowlens.sources.files import group_by_first_line, qualified
 
 # Quoting as RFC 4180 and pandas read it: a doubled quote inside a quoted
 # cell is one quote; a backslash is an ordinary character.
@@ -45,17 +51,47 @@ def _pick_cols(mapping: dict, present: set) -> list[Column]:
     return cols
 
 
+def _csv(spark: SparkSession, files: list[str], multi_line: bool | None, header: bool, schema=None) -> DataFrame:
+    """CSV files of one layout, those with line breaks in cells unsplit."""
+    if multi_line is None:
+        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+        odd = (spark.read.text(list(files)).where(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("path")).distinct())
+        broken = {_plain(r.path) for r in odd.collect()}  # names out of ``files``
+        parts = [([f for f in files if (_plain(f) in broken) == unsplit], unsplit) for unsplit in (False, True)]
+    else:
+        parts = [(list(files), multi_line)]
+    frames = []
+    for own, unsplit in parts:
+        if own:
+            reader = spark.read.options(**CSV_OPTIONS).option("header", header).option("multiLine", unsplit)
+            df = (reader.schema(schema) if schema is not None else reader).csv(own)
+            frames.append(_without_blank_lines(df) if unsplit else df)
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _without_blank_lines(df: DataFrame) -> DataFrame:
+    """The multi-line parser takes a line of blanks for a record; the line-wise one does not."""
+    first, *rest = [F.col(f"`{c}`") for c in df.columns]
+    alone = F.coalesce(*rest).isNull() if rest else F.lit(True)
+    return df.where(~F.coalesce((F.btrim(first) == "") & alone, F.lit(False)))
+
+
+def _plain(path: str) -> str:
+    """One spelling of a file's path, whether it comes from a listing or from a row."""
+    return unquote(path.replace("file:///", "file:/"))
+
+
 def _empty_flows(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ", ".join(f"{c} string" for c in FLOW_FIELDS))
 
 
-def read_cicflow_csv(spark: SparkSession, files: list[str]) -> DataFrame:
+def read_cicflow_csv(spark: SparkSession, files: list[str], multi_line: bool | None = None) -> DataFrame:
     """CICFlowMeter CSV files with a header row -> the 12 flow fields."""
     if not files:
         return _empty_flows(spark)
     frames = []
-    for _, group in group_by_first_line(spark, files).items():
-        df = spark.read.options(**CSV_OPTIONS).option("header", True).csv(group)
+    for _, group in group_by_first_line(spark, qualified(spark, files)).items():
+        df = _csv(spark, group, multi_line, header=True)
         trimmed = [c.strip() for c in df.columns]
         df = df.toDF(*trimmed)
         frames.append(df.select(*_pick_cols(CICFLOW_COLUMN_MAP, set(trimmed))))
@@ -67,20 +103,22 @@ def _has_unsw_header(line: str) -> bool:
     return first.startswith("srcip") or first.startswith('"srcip')
 
 
-def read_unsw_csv(spark: SparkSession, files: list[str]) -> DataFrame:
+def read_unsw_csv(spark: SparkSession, files: list[str], multi_line: bool | None = None) -> DataFrame:
     """S3: UNSW-NB15 files, headerless (49 fixed names) or with a header
     (names trimmed, lower-cased) -> the flow fields; the label falls back
     to the 0/1 ``label`` column when ``attack_cat`` is empty (P4)."""
     if not files:
         return _empty_flows(spark)
     frames = []
-    for head, group in group_by_first_line(spark, files).items():
-        if _has_unsw_header(head):
-            df = spark.read.options(**CSV_OPTIONS).option("header", True).csv(group)
+    # all headerless files are one group, whatever their first row
+    key = lambda line: line if _has_unsw_header(line) else None
+    for head, group in group_by_first_line(spark, qualified(spark, files), key).items():
+        if head is not None:
+            df = _csv(spark, group, multi_line, header=True)
             names = [c.strip().lower() for c in df.columns]
             df = df.toDF(*names)
         else:
-            df = spark.read.options(**CSV_OPTIONS).schema(UNSW_SCHEMA).option("header", False).csv(group)
+            df = _csv(spark, group, multi_line, header=False, schema=UNSW_SCHEMA)
             names = list(UNSW_SCHEMA.fieldNames())
         present = set(names)
         binary = safe_text(F.coalesce(F.col("label"), F.lit(""))) if "label" in present else F.lit("")

@@ -27,34 +27,8 @@ JUNK_CELLS = ["", " ", "NaN", "Infinity", "-", "0x000b"]
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table, spread over the cores when it is small.
-
-    A table stored as a single row group scans as one task, which would
-    run every per-row projection on one core. When the scan has fewer
-    partitions than the default parallelism the rows are hashed on the
-    unique ``event_id`` (even, and deterministic on a retried task without
-    the local sort a round-robin split needs); a large table already has
-    one partition per file split and is returned as it is, without a shuffle.
-    """
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    df = spark.read.parquet(path)
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        parts = _scan_partitions(df, path, cores)
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
-        return df
-    return df.repartition(cores, "event_id") if parts < cores else df
-
-
-_SCAN_PARTITIONS: dict = {}
-
-
-def _scan_partitions(df: DataFrame, path: str, cores: int) -> int:
-    """Scan partitions of a table (planning only, no job), kept per path."""
-    key = (path, cores)
-    if key not in _SCAN_PARTITIONS:
-        _SCAN_PARTITIONS[key] = df.rdd.getNumPartitions()
-    return _SCAN_PARTITIONS[key]
+    """The ``events`` table as it lies: one scan, one task a file split."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def _lit(s: str) -> str:
@@ -105,6 +79,27 @@ def raw_flows(events: DataFrame, with_event_time: bool = True, keep=()) -> DataF
     return events.select(*out, *keep)
 
 
+# The dense variant: five minutes of traffic on each of five days (half of all
+# events on the first), five addresses of which one is hot, and a SYN flood in
+# one dataset, so that windows hold many rows and all default alerts occur.
+DENSE_FLOWS = {
+    "src_ip": ("CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS STRING) WHEN event_id % 5 < 3 THEN '10.0.0.1' "
+               "ELSE concat('10.0.1.', CAST(user_id % 3 AS STRING)) END"),
+    "syn_flag_count": ("CASE WHEN event_type = 'error' THEN CAST(event_id % 11 + 1 AS BIGINT) "
+                       "WHEN event_type IN ('click', 'view') THEN CAST(event_id % 3 AS BIGINT) END"),
+}
+DENSE_TIME = ("timestamp_micros(1704067200000000 + 86400000000 * (CASE WHEN event_id % 2 = 0 THEN 0 ELSE 1 + user_id % 4 END) "
+              "+ (unix_micros(CAST(ts AS TIMESTAMP)) % 86400000000) div 288)")
+
+
+def dense_raw_flows(events: DataFrame) -> DataFrame:
+    """``events`` as raw messages of the dense variant, with ``event_time``."""
+    dense = {n: F.expr(e).cast("string") for n, e in DENSE_FLOWS.items()}
+    out = [dense.get(n, c.cast("string")).alias(n) for n, c in _flow_columns().items()]
+    return events.select(*out, F.expr(SOURCE_SQL).alias("dataset_source"), F.unix_millis(F.col("ts").cast("timestamp")).alias("produced_at_ts"),
+                         F.expr(DENSE_TIME).alias("event_time"))
+
+
 _INT_FIELDS = ("src_port", "dst_port", "total_fwd_packets", "total_bwd_packets", "syn_flag_count")
 
 

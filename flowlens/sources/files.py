@@ -1,20 +1,51 @@
 """File selection and header peeking for the CSV datasets.
 
 Listing goes through Spark's ``binaryFile`` source with only the ``path``
-column selected, so it works on any Hadoop file system and never reads
-file contents. Header lines are read directly where the driver can open
-the file, else with one ``limit(1)`` text read per file, which touches only
-the first block; only file names and header lines reach the driver.
+column selected, so it works on any Hadoop file system, never reads file
+contents and gives fully qualified paths. Header lines are read by tasks, one
+job for all files, each reading a file's first line only. What reaches the
+driver is what planning the read needs: file names and header lines.
+
+Tasks open single files through ``pyarrow.fs`` (local, HDFS, S3, GCS and
+Azure paths); a path without a scheme is qualified by Spark's listing first.
 """
 
 from __future__ import annotations
 
-import os
+import io
 import posixpath
-from concurrent.futures import ThreadPoolExecutor
+import sys
 
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
+# tasks run functions of this module; they travel by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def file_system(path: str):
+    """(file system, path in it) of a qualified path."""
+    from pyarrow import fs
+
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file://" + path[5:]
+    return fs.FileSystem.from_uri(path)
+
+
+def open_input(path: str) -> io.BufferedReader:
+    """A seekable binary reader of one file; nothing is loaded ahead."""
+    system, where = file_system(path)
+    return io.BufferedReader(system.open_input_file(where))
+
+
+def open_output(path: str):
+    """A binary writer of one file, whose folder is made if need be."""
+    system, where = file_system(path)
+    system.create_dir(posixpath.dirname(where), recursive=True)
+    return system.open_output_stream(where)
+
 
 def list_files(spark: SparkSession, directory: str, exts=(".csv", ".zip"),
                name_contains: str | None = None) -> list[str]:
@@ -28,7 +59,7 @@ def list_files(spark: SparkSession, directory: str, exts=(".csv", ".zip"),
             .select("path")
             .collect()
         )
-    except Exception as e:  # noqa: BLE001
+    except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return []
         raise
@@ -44,43 +75,39 @@ def list_files(spark: SparkSession, directory: str, exts=(".csv", ".zip"),
     return sorted(out)
 
 
-def _local_first_line(path: str) -> str | None:
-    """First line of a file the driver can open directly, else None."""
-    local = path[5:] if path.startswith("file:") else path
-    if "://" in local or not os.path.isfile(local):
-        return None
-    with open(local, "rb") as fh:
-        line = fh.readline(1 << 20)  # a header line, never a whole file
-    return line.decode("utf-8", errors="replace").rstrip("\r\n")
-
-
-def first_lines(spark: SparkSession, files: list[str], threads: int = 8) -> dict[str, str]:
-    """The first line of each file (empty string for an empty file): read
-    directly when the driver can open the file, else with a one-line Spark
-    text read."""
+def _first_line(batches):
+    for batch in batches:
+        lines = []
+        for path in batch.column(0).to_pylist():
+            with open_input(path) as fh:
+                lines.append(fh.readline().decode("utf-8", errors="replace").rstrip("\r\n"))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.string())], names=["path", "line"])
 
-    def one(f: str) -> tuple[str, str]:
-        line = _local_first_line(f)
-        if line is not None:
-            return f, line
-        rows = spark.read.text(f).limit(1).collect()
-        return f, (rows[0]["value"] if rows else "")
 
+def first_lines(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """The whole first line of each file (empty string for an empty file)."""
     if not files:
         return {}
-    with ThreadPoolExecutor(max_workers=min(threads, len(files))) as pool:
-        return dict(pool.map(one, files))
+    paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(len(files), "path")
+    return {r.path: r.line for r in paths.mapInArrow(_first_line, "path string, line string").collect()}
 
 
-def group_by_first_line(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
-    """Files grouped by identical first line, each group in file order."""
-    groups: dict[str, list[str]] = {}
+def group_by_first_line(spark: SparkSession, files: list[str], key=lambda line: line) -> dict:
+    """Files grouped by ``key`` of their first line, each group in file order."""
+    groups: dict = {}
     heads = first_lines(spark, files)
     for f in files:
-        groups.setdefault(heads[f], []).append(f)
+        groups.setdefault(key(heads[f]), []).append(f)
     return groups
 
 
+def qualified(spark: SparkSession, files: list[str]) -> list[str]:
+    """``files`` as Spark's file system names them, sorted."""
+    if not files:
+        return []
+    return sorted(r.path for r in spark.read.format("binaryFile").load(list(files)).select("path").collect())
+
+
 # Dataset folders under the data root.
 CICIDS_DIR = "CIC-IDS-2017"
 UNSW_DIR = "UNSW-NB15"

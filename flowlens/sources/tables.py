@@ -63,13 +63,14 @@ REPORT_TABLES = {
 
 def register_tables(spark: SparkSession, normalized_path: str, windows_path: str,
                     reports_path: str | None = None, database: str = DATABASE,
-                    batch_partition: bool = True, location: str | None = None) -> None:
+                    batch_partition: bool = False, location: str | None = None) -> None:
     """C1 + C2: a database with the external tables over the folders, and
     their partitions discovered (``MSCK REPAIR TABLE``).
 
-    ``batch_partition`` declares the innermost ``batch_id`` partition that
-    the normaliser's idempotent micro-batch writes add to the normalised
-    table; the window table comes from the Parquet file sink and has none.
+    Tables that the streaming jobs write are read through their sink's log,
+    so new batches are seen as they come. For tables that batch jobs write,
+    ``add_partitions`` adds a new batch's folders. ``batch_partition``
+    declares an innermost ``batch_id`` partition (``write_batch_partitioned``).
     """
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
@@ -100,6 +101,25 @@ def register_tables(spark: SparkSession, normalized_path: str, windows_path: str
             )
 
 
+def refresh_tables(spark: SparkSession, database: str = DATABASE) -> None:
+    """Let this session see what streams have written since it last read the
+    tables: it drops the file listings that the session keeps."""
+    for name in ("normalized_logs", "aggregations_5min"):
+        spark.catalog.refreshTable(f"{database}.{name}")
+
+
+def add_partitions(spark: SparkSession, table: str, written: DataFrame, partition_cols) -> None:
+    """C2 after a batch: make the partitions of ``written`` (the rows just
+    written, or their distinct partition values) known to the catalog. Only
+    they are added; no folder is listed. The number of rows gathered is that
+    of the batch's folders."""
+    quote = lambda v: "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    found = written.select(*partition_cols).distinct().collect()
+    if found:
+        specs = " ".join("PARTITION (" + ", ".join(f"`{c}` = {quote(r[c])}" for c in partition_cols) + ")" for r in found)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+
+
 def _is_partitioned(spark: SparkSession, table: str) -> bool:
     return any(c.isPartition for c in spark.catalog.listColumns(table))
 

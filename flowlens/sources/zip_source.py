@@ -3,12 +3,11 @@
 A zip is not splittable, so each file is one task. The first ``.csv``
 member is decoded as UTF-8 with bad bytes replaced, its header names are
 trimmed, and each row yields the mapped columns as text (``''`` for an
-empty or missing cell, NULL for a column the file lacks).
+empty or missing cell, NULL for a column the file lacks). Blank lines are no
+rows; cells may hold line breaks and be of any length.
 
-Files the executors can open directly are read by a Python Data Source
-that streams the member (never loaded whole); on other file systems
-(HDFS, object stores) Spark's ``binaryFile`` source fetches each zip's
-bytes and a ``mapInPandas`` task parses them.
+A Python Data Source streams the member from wherever the file lies
+(``flowlens.sources.files.open_input``); no archive is loaded whole.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ import io
 import json
 import sys
 import zipfile
+from collections.abc import Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -26,13 +26,16 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from flowlens.functions.sanitize import safe_text
 from flowlens.schemas import CICFLOW_COLUMN_MAP, FLOW_FIELDS
-
+from flowlens.sources.files import open_input, qualified
 
 # The source runs in Python workers (planning and reading). Its classes are
-# sent by value, so the workers need only the standard library and pyspark,
-# not this package.
+# sent by value, so the workers need only pyspark and pyarrow, not this
+# package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: The longest cell a reader accepts; Python's own default is 131,072 characters.
+LONGEST_CELL = 2**31 - 1
+
 
 class _ZipFile(InputPartition):
     def __init__(self, path: str):
@@ -48,36 +51,34 @@ class _ZipCsvReader(DataSourceReader):
         return [_ZipFile(p) for p in self.paths]
 
     def read(self, partition):
-        path = partition.path
-        if path.startswith("file:"):
-            path = path[5:]
-        with open(path, "rb") as fh:
+        with open_input(partition.path) as fh:
             yield from zip_rows(fh, self.mapping)
 
 
+def csv_records(lines) -> Iterator[list[str]]:
+    """Records of a text stream, without those of blank lines."""
+    csv.field_size_limit(LONGEST_CELL)
+    for cells in csv.reader(lines):
+        if len(cells) > 1 or (cells and (not cells[0] or cells[0].strip())):
+            yield cells
+
+
 def zip_rows(fileobj, mapping: dict):
-    """Rows of the first ``.csv`` member of a zip: the mapped columns as text
+    """Rows of the first ``.csv`` member of a zip, in the order of ``mapping``
     (absent column: NULL; a short row's missing cells: '', as pandas reads
-    them). The member is decoded as UTF-8 with bad bytes replaced and read
-    as a stream."""
-    with zipfile.ZipFile(fileobj) as zf:
-        member = next((n for n in zf.namelist() if n.lower().endswith(".csv")), None)
-        if member is None:
-            return
-        with zf.open(member) as raw:
-            text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
-            rows = csv.reader(text)
-            header = next(rows, None)
-            if header is None:
-                return
-            index = {}
-            for i, n in enumerate(h.strip() for h in header):
-                index.setdefault(n, i)
-            picks = [index.get(src) for src in mapping]
-            for row in rows:
-                yield tuple(
-                    None if i is None else (row[i] if i < len(row) else "") for i in picks
-                )
+    them)."""
+    archive = zipfile.ZipFile(fileobj)
+    names = [n for n in archive.namelist() if n[-4:].lower() == ".csv"]
+    if not names:
+        return
+    with archive.open(names[0]) as member:
+        records = csv_records(io.TextIOWrapper(member, encoding="utf-8", errors="replace", newline=""))
+        place: dict[str, int] = {}
+        for i, name in enumerate(next(records, [])):
+            place.setdefault(name.strip(), i)
+        wanted = [place.get(source) for source in mapping]
+        for cells in records:
+            yield tuple(None if i is None else cells[i] if i < len(cells) else "" for i in wanted)
 
 
 class ZipCsvDataSource(DataSource):
@@ -87,67 +88,24 @@ class ZipCsvDataSource(DataSource):
     def name(cls):
         return "zipcsv"
 
+    def _mapping(self) -> dict:
+        return json.loads(self.options.get("mapping", json.dumps(CICFLOW_COLUMN_MAP)))
+
     def schema(self):
-        mapping = json.loads(self.options.get("mapping", json.dumps(CICFLOW_COLUMN_MAP)))
-        return ", ".join(f"`{dst}` string" for dst in mapping.values())
+        return ", ".join(f"`{dst}` string" for dst in self._mapping().values())
 
     def reader(self, schema):
-        mapping = json.loads(self.options.get("mapping", json.dumps(CICFLOW_COLUMN_MAP)))
-        return _ZipCsvReader(json.loads(self.options["paths"]), mapping)
-
-
-def _zip_bytes_reader(spark: SparkSession, files: list[str], mapping: dict) -> DataFrame:
-    """Zips on any Hadoop file system: ``binaryFile`` reads each file's bytes
-    (one row per zip, at most Spark's 2 GB binary limit), a ``mapInPandas``
-    task unzips and parses them, emitting rows in batches."""
-    names = list(mapping.values())
-    schema = ", ".join(f"`{n}` string" for n in names)
-
-    def parse(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            for content in pdf["content"]:
-                chunk = []
-                for row in zip_rows(io.BytesIO(content), mapping):
-                    chunk.append(row)
-                    if len(chunk) == 10_000:
-                        yield pd.DataFrame(chunk, columns=names, dtype=object)
-                        chunk = []
-                if chunk:
-                    yield pd.DataFrame(chunk, columns=names, dtype=object)
-
-    raw = spark.read.format("binaryFile").load(list(files)).select("content")
-    return raw.mapInPandas(parse, schema)
-
-
-def _is_local(path: str) -> bool:
-    return path.startswith("file:") or "://" not in path
+        return _ZipCsvReader(json.loads(self.options["paths"]), self._mapping())
 
 
-def read_zip_csv(spark: SparkSession, files: list[str], mapping: dict = CICFLOW_COLUMN_MAP,
-                 local: bool | None = None) -> DataFrame:
+def read_zip_csv(spark: SparkSession, files: list[str], mapping: dict = CICFLOW_COLUMN_MAP) -> DataFrame:
     """Zipped CICFlowMeter CSV files -> the flow fields, NaN/infinity
-    text to NULL (P3).
-
-    Files the executors can open directly (``local``, the default for
-    ``file:`` and plain paths) are streamed by the Python Data Source; other
-    file systems go through ``binaryFile`` and ``mapInPandas``.
-    """
-    if local is None:
-        local = all(_is_local(f) for f in files)
-    if local:
-        spark.dataSource.register(ZipCsvDataSource)
-        df = (
-            spark.read.format("zipcsv")
-            .option("paths", json.dumps(list(files)))
-            .option("mapping", json.dumps(mapping))
-            .load()
-        )
-    else:
-        df = _zip_bytes_reader(spark, files, mapping)
+    text to NULL (P3)."""
+    spark.dataSource.register(ZipCsvDataSource)
+    df = (spark.read.format("zipcsv").option("paths", json.dumps(qualified(spark, files)))
+          .option("mapping", json.dumps(mapping)).load())
     out = df.select(*[safe_text(df[c]).alias(c) for c in df.columns])
-    missing = [c for c in FLOW_FIELDS if c not in out.columns]
-    for c in missing:
-        out = out.withColumn(c, F.lit(None).cast("string"))
+    for c in FLOW_FIELDS:
+        if c not in out.columns:
+            out = out.withColumn(c, F.lit(None).cast("string"))
     return out.select(*FLOW_FIELDS)

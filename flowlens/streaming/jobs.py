@@ -1,13 +1,17 @@
 """The streaming jobs (J1, J2, J4, J6) on Structured Streaming.
 
-* J1 ``start_normalizer``: messages -> unified rows -> partitioned table
-  (idempotent per micro-batch) and a forwarded message stream.
+* J1 ``start_normalizer``: messages -> unified rows -> partitioned table, by
+  the exactly-once Parquet file sink; ``start_forward`` follows that table
+  and forwards its new rows as messages, so both hold the same rows.
 * J2 ``start_window_table``: event-time tumbling windows under a watermark,
   append mode, so each window is written once, when it closes, by the
   exactly-once Parquet file sink.
-* J2 ``start_alert_stream``: the same aggregate in update mode, so alerts
-  leave as soon as a window crosses a threshold; every updated window is
-  also kept with its ``batch_id`` so readers can take the newest version.
+* J2 ``start_table_alerts``: follows the window table and sends the alert
+  messages of closed windows; no second aggregate.
+* J2 ``start_alert_stream``: the same aggregate in update mode, for alerts
+  that must leave as soon as a window crosses a threshold; every updated
+  window is also kept with its ``batch_id`` so readers can take the newest
+  version. It reads, shuffles and keeps state a second time.
 * J4 ``start_archive``: legacy messages to a date-partitioned Parquet sink.
 * J6 ``start_alert_text``: alert messages to formatted text.
 
@@ -17,9 +21,9 @@ Triggers default to the 30-second processing-time trigger; pass
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from flowlens.functions.payload import alert_text_from_json, forward_payload
 from flowlens.operators.normalize import decode_json, normalize
@@ -34,11 +38,13 @@ from flowlens.operators.windows import (
 from flowlens.schemas import (
     LEGACY_SCHEMA,
     NORMALIZED_PARTITIONS,
+    NORMALIZED_SCHEMA,
     RAW_SCHEMA,
     UNIFIED_SCHEMA,
     WINDOW_PARTITIONS,
+    WINDOW_SCHEMA,
 )
-from flowlens.sinks.writers import write_batch_partitioned, write_keyed, write_partitioned
+from flowlens.sinks.writers import write_batch_partitioned, write_keyed
 
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
 # The alert history is partitioned by window day (then batch), so readers of
@@ -76,42 +82,62 @@ def start_normalizer(
     messages: DataFrame,
     table_path: str,
     checkpoint: str,
-    forward: dict | None = None,
     event_time: Column | str | None = None,
     trigger: dict | None = None,
     name: str | None = None,
-    state_partitions: int | None = None,
-    idempotent: bool = True,
 ) -> StreamingQuery:
-    """J1. ``forward`` holds ``write_keyed`` arguments for the normalised
-    message stream (K2), e.g. ``{"fmt": "kafka", "topic": .., "options": ..}``.
-
-    Each micro-batch is persisted once and feeds both sinks; an empty batch
-    writes nothing. With ``idempotent`` (the default) the table gets an
-    innermost ``batch_id`` partition, so a micro-batch run again after a
-    failure replaces its own files; without it batches are appended to the
-    ``attack_category``/``partition_date`` folders directly (fewer folders
-    for short triggers; a whole re-run batch would be written twice, task
-    retries never are).
-    """
+    """J1's table (K1), partitioned by ``attack_category`` and
+    ``partition_date``. The sink's log makes each micro-batch visible once and
+    whole, so a batch run again after a failure adds nothing, and no folder
+    level is needed a batch."""
     norm = normalized_stream(messages, event_time)
+    writer = norm.writeStream.format("parquet").partitionBy(*NORMALIZED_PARTITIONS).option("path", table_path)
+    return _start(writer, checkpoint, trigger, name)
+
+
+def _followed(spark: SparkSession, table_path: str, schema) -> DataFrame:
+    """New rows of a table that a file sink writes, as a stream. The folder is
+    made where the sink has not written yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    return spark.readStream.schema(schema).parquet(table_path)
 
+
+def _finish_backfill(query: StreamingQuery, trigger: dict | None) -> None:
+    """Before a follower starts: an ``availableNow`` run must have written its table."""
+    if trigger and trigger.get("availableNow"):
+        query.awaitTermination()
+
+
+def _start_messages(rows: DataFrame, sink: dict, checkpoint: str, trigger: dict | None, name: str | None) -> StreamingQuery:
+    """Send rows as keyed messages; ``sink`` holds ``write_keyed`` arguments."""
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            if idempotent:
-                write_batch_partitioned(batch, table_path, NORMALIZED_PARTITIONS, batch_id)
-            else:
-                write_partitioned(batch, table_path, NORMALIZED_PARTITIONS, mode="append")
-            if forward:
-                write_keyed(forward_payload(batch), batch_id=batch_id, **forward)
-        finally:
-            batch.unpersist()
+        write_keyed(batch, batch_id=batch_id, **sink)
+
+    return _start(forward_payload(rows).writeStream.foreachBatch(process), checkpoint, trigger, name)
+
 
-    return _start(norm.writeStream.foreachBatch(process), checkpoint, trigger, name,
-                  norm, state_partitions)
+def start_forward(spark: SparkSession, table_path: str, checkpoint: str, sink: dict,
+                  trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """J1's forwarded messages (K2): the normalised table's new rows."""
+    return _start_messages(_followed(spark, table_path, NORMALIZED_SCHEMA), sink, checkpoint, trigger, name)
+
+
+def start_normalizer_and_forward(messages: DataFrame, table_path: str, checkpoint_root: str, sink: dict | None,
+                                 event_time: Column | str | None = None, trigger: dict | None = None) -> list[StreamingQuery]:
+    """J1 whole: the table and, with a ``sink``, its forwarded messages."""
+    root = checkpoint_root.rstrip("/")
+    out = [start_normalizer(messages, table_path, f"{root}/table", event_time, trigger)]
+    if sink:
+        _finish_backfill(out[0], trigger)
+        out.append(start_forward(messages.sparkSession, table_path, f"{root}/forward", sink, trigger))
+    return out
+
+
+def start_table_alerts(spark: SparkSession, table_path: str, checkpoint: str, sink: dict,
+                       trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """J2's alert messages (K4) from the window table: one message a closed alert window."""
+    return _start_messages(alerts(_followed(spark, table_path, WINDOW_SCHEMA)), sink, checkpoint, trigger, name)
 
 
 def window_stream(
@@ -184,17 +210,25 @@ def start_alert_stream(
     return _start(writer, checkpoint, trigger, name, windows, state_partitions)
 
 
-def start_aggregator(messages: DataFrame, table_path: str, updates_path: str,
-                     checkpoint_root: str, alert_sink: dict | None = None,
-                     trigger: dict | None = None, state_partitions: int | None = None,
-                     **window_args):
-    """J2 as two queries over one source: the window table and the alerts."""
+def start_aggregator(messages: DataFrame, table_path: str, checkpoint_root: str, alert_sink: dict | None = None,
+                     updates_path: str | None = None, trigger: dict | None = None,
+                     state_partitions: int | None = None, **window_args) -> list[StreamingQuery]:
+    """The window table and its alerts.
+
+    Alerts follow the table, unless ``updates_path`` asks for early ones from
+    an update-mode aggregate of its own. Without an alert sink only the table
+    (and the update history) is written.
+    """
     root = checkpoint_root.rstrip("/")
-    table = start_window_table(messages, table_path, f"{root}/windows", trigger,
-                               state_partitions=state_partitions, **window_args)
-    alert_q = start_alert_stream(messages, updates_path, f"{root}/alerts", alert_sink, trigger,
-                                 state_partitions=state_partitions, **window_args)
-    return table, alert_q
+    out = [start_window_table(messages, table_path, f"{root}/windows", trigger,
+                              state_partitions=state_partitions, **window_args)]
+    if updates_path:
+        out.append(start_alert_stream(messages, updates_path, f"{root}/alerts", alert_sink, trigger,
+                                      state_partitions=state_partitions, **window_args))
+    elif alert_sink:
+        _finish_backfill(out[0], trigger)
+        out.append(start_table_alerts(messages.sparkSession, table_path, f"{root}/alerts", alert_sink, trigger))
+    return out
 
 
 def archive_stream(messages: DataFrame, schema=LEGACY_SCHEMA) -> DataFrame:
@@ -240,11 +274,33 @@ def _print_alert(row) -> None:
     print(row["alert_text"], flush=True)
 
 
-def late_rows_dropped(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark over the query's recent
-    progress reports (Spark keeps no side output of them)."""
-    total = 0
-    for progress in query.recentProgress:
-        for op in progress.stateOperators:
-            total += op.numRowsDroppedByWatermark or 0
-    return total
+class LateInputCounter(StreamingQueryListener):
+    """What stateful queries drop behind their watermark, in total.
+
+    The unit is the operator's input row. In a windowed aggregate that is a
+    partially aggregated group (late rows of one key, window and task count
+    once), not a message. Spark keeps no side output of them, and a query's
+    own progress reports only reach back ``spark.sql.streaming.numRecentProgressUpdates``
+    batches; the listener adds them up as they come.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        key = str(event.progress.id)
+        late = sum(op.numRowsDroppedByWatermark or 0 for op in event.progress.stateOperators)
+        self.dropped[key] = self.dropped.get(key, 0) + late
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+def count_late_input(spark: SparkSession) -> LateInputCounter:
+    """A counter of all queries started from now on."""
+    counter = LateInputCounter()
+    spark.streams.addListener(counter)
+    return counter

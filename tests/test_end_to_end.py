@@ -35,11 +35,10 @@ def test_pipeline(spark, workdir):
 
     # Normalise with the processing clock, forward to the next topic
     norm_path, fwd = f"{workdir}/normalized-logs", f"{workdir}/logs-normalized"
-    q1 = jobs.start_normalizer(stream_source(spark, fmt="text", path=f"{workdir}/raw-topic/*"),
-                               norm_path, f"{workdir}/ck/normalizer",
-                               forward={"fmt": "json", "path": fwd}, trigger=NOW,
-                               state_partitions=4)
-    q1.awaitTermination()
+    for q in jobs.start_normalizer_and_forward(
+            stream_source(spark, fmt="text", path=f"{workdir}/raw-topic/*"), norm_path,
+            f"{workdir}/ck/normalizer", {"fmt": "json", "path": fwd}, trigger=NOW):
+        q.awaitTermination()
     assert spark.read.parquet(norm_path).count() == n_events
     spark.read.json(fwd).select("value").write.text(f"{workdir}/normalized-topic/part0")
 
@@ -48,9 +47,8 @@ def test_pipeline(spark, workdir):
                                                                   "logs-alerts"))
     table_q, alert_q = jobs.start_aggregator(
         stream_source(spark, fmt="text", path=f"{workdir}/normalized-topic/*"),
-        win_path, upd_path, f"{workdir}/ck/aggregator",
-        alert_sink={"fmt": "json", "path": alert_path}, trigger=NOW, state_partitions=4,
-        events_threshold=3)
+        win_path, f"{workdir}/ck/aggregator", alert_sink={"fmt": "json", "path": alert_path},
+        updates_path=upd_path, trigger=NOW, state_partitions=4, events_threshold=3)
     table_q.awaitTermination()
     alert_q.awaitTermination()
     hist = spark.read.schema(with_fields(WINDOW_SCHEMA, ("batch_id", "bigint"))).parquet(upd_path)
@@ -76,8 +74,8 @@ def test_pipeline(spark, workdir):
 
 
 def test_window_table_from_the_file_sink_registers(spark, workdir):
-    """The append-mode window table (file sink, no batch level) and the
-    normaliser's table (batch level) both register and read back whole."""
+    """The append-mode window table (file sink, no batch level) and a table
+    written batch by batch (batch level) both register and read back whole."""
     from flowlens.plans import stream_queries as sq
     from flowlens.plans.batch_queries import flows
     from flowlens.schemas import NORMALIZED_PARTITIONS
@@ -92,7 +90,7 @@ def test_window_table_from_the_file_sink_registers(spark, workdir):
     norm_path = f"{workdir}/norm"
     write_batch_partitioned(flows(spark, SF_SMALL), norm_path, NORMALIZED_PARTITIONS, 0)
     db = "wt_" + workdir.rstrip("/").rsplit("-", 1)[-1]
-    register_tables(spark, norm_path, win, database=db, location=f"{workdir}/catalog")
+    register_tables(spark, norm_path, win, database=db, batch_partition=True, location=f"{workdir}/catalog")
     closed = spark.read.schema(WINDOW_SCHEMA).parquet(win).count()
     assert closed > 0
     assert spark.table(f"{db}.aggregations_5min").count() == closed
@@ -139,9 +137,8 @@ def test_ingest_reads_csv_and_zip_together(spark, workdir):
     cic = raw.filter(F.col("dataset_source") == "cicids")
     plain, zipped = cic.filter(F.col("binary_label") == "0"), cic.filter(F.col("binary_label") == "1")
     A = fixtures.CIC_HEADER_A
-    fixtures.write_files(fixtures.cic_layout(plain, A), f"{workdir}/CIC-IDS-2017", "Mon_", A, 2)
-    fixtures.write_files(fixtures.cic_layout(zipped, A), f"{workdir}/CIC-IDS-2017", "Tue_", A, 2,
-                         zipped=True)
+    fixtures.write_files(fixtures.cic_layout(plain, A), f"{workdir}/CIC-IDS-2017", "Mon_", A)
+    fixtures.write_files(fixtures.cic_layout(zipped, A), f"{workdir}/CIC-IDS-2017", "Tue_", A, zipped=True)
     run_ingest(spark, workdir, fmt="json", path=f"{workdir}/out")
     got = spark.read.json(f"{workdir}/out")
     assert got.count() == cic.count()

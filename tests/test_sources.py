@@ -73,22 +73,46 @@ def test_zip_first_csv_member(spark, workdir):
     files = list_files(spark, d, (".zip",))
     rows = sorted((r.src_ip, r.label, r.dst_port) for r in read_zip_csv(spark, files).collect())
     assert rows == [("10.2.2.2", "Bot", None), ("10.2.2.3", "", None), ("10.2.2.4", "", None)]
-    # the route for other file systems (binaryFile + mapInPandas) reads the same rows
-    remote = sorted((r.src_ip, r.label, r.dst_port)
-                    for r in read_zip_csv(spark, files, local=False).collect())
-    assert remote == rows
 
 
-def test_first_lines_spark_fallback(spark, workdir, monkeypatch):
-    """Header lines read directly and through Spark (other file systems) agree."""
+def test_first_lines(spark, workdir):
+    """Whole header lines, however long, in one job."""
     from flowlens.sources import files as F_
 
     d = f"{workdir}/heads"
-    a = _write(f"{d}/a.csv", " Source IP, Label\n1,2\n", newline="\r\n")
-    b = _write(f"{d}/b.csv", "")
-    c = _write(f"{d}/c.csv", "srcip,sport\n")
-    paths = [f"file:{a}", f"file:{b}", f"file:{c}"]
-    direct = F_.first_lines(spark, paths)
-    monkeypatch.setattr(F_, "_local_first_line", lambda path: None)
-    via_spark = F_.first_lines(spark, paths)
-    assert direct == via_spark == {paths[0]: " Source IP, Label", paths[1]: "", paths[2]: "srcip,sport"}
+    long = "srcip," + "x" * (1 << 20) + ",end"
+    paths = ["file:" + _write(f"{d}/{n}.csv", t, newline=nl) for n, t, nl in (
+        ("a", " Source IP, Label\n1,2\n", "\r\n"), ("b", "", "\n"), ("c", "srcip,sport\n", "\n"), ("d", long + "\n1\n", "\n"))]
+    assert F_.first_lines(spark, paths) == dict(zip(paths, [" Source IP, Label", "", "srcip,sport", long]))
+
+
+def test_plain_and_zipped_rows_agree(spark, workdir):
+    """Blank lines, line breaks and quotes in cells, and cells beyond 131,072
+    characters read the same from a CSV file and from a zip."""
+    body = (' Source IP, Flow ID, Label\n10.0.0.1,x,Bot\n\n10.0.0.2,"a\nb",DoS\n  \n10.0.0.3,"say ""hi""\n\nthere",""\n'
+            + "10.0.0.4," + "z" * 200_000 + ",DDoS\n10.0.0.5,y,\n\n")
+    d = _local(f"{workdir}/both")
+    plain = _write(f"{d}/flows.csv", body)
+    with zipfile.ZipFile(f"{d}/flows.zip", "w") as zf:
+        zf.writestr("flows.csv", body)
+    a = sorted((r.src_ip, r.label) for r in read_cicflow_csv(spark, [plain]).collect())
+    b = sorted((r.src_ip, r.label) for r in read_zip_csv(spark, [f"{d}/flows.zip"]).collect())
+    assert a == b == [("10.0.0.1", "Bot"), ("10.0.0.2", "DoS"), ("10.0.0.3", ""), ("10.0.0.4", "DDoS"), ("10.0.0.5", "")]
+
+
+def test_files_without_line_breaks_in_cells_are_split(spark, workdir):
+    """Only a file that needs it is read unsplit."""
+    d = _local(f"{workdir}/mixed")
+    files = [_write(f"{d}/a.csv", " Source IP, Label\n1,Bot\n"), _write(f"{d}/b.csv", ' Source IP, Label\n2,"a\nb"\n')]
+    df = read_cicflow_csv(spark, files)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.src_ip, r.label) for r in df.collect()) == [("1", "Bot"), ("2", "a\nb")]
+    assert plan.count("FileScan csv") == 2
+
+
+def test_headerless_files_are_one_group(spark, workdir):
+    d = _local(f"{workdir}/unsw")
+    files = [_write(f"{d}/UNSW-NB15_{i}.csv", ",".join([f"10.0.0.{i}"] + ["0"] * 48) + "\n") for i in range(4)]
+    df = read_unsw_csv(spark, files, multi_line=False)
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    assert df.count() == 4

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from flowlens.functions.classify import with_category
 from flowlens.functions.sanitize import (
@@ -31,6 +32,15 @@ def decode_json(df: DataFrame, schema=RAW_SCHEMA, value_col: str = "value", keep
     return parsed.select("d.*", *keep)
 
 
+def malformed_json(df: DataFrame, schema=RAW_SCHEMA, value_col: str = "value", keep=()) -> DataFrame:
+    """The messages that ``decode_json`` turns into all-NULL rows, as they
+    came (``value``), for a side table. A NULL message counts as malformed."""
+    text = F.col(value_col).cast("string")
+    corrupt = StructType([*schema.fields, StructField("_corrupt", StringType())])
+    parsed = df.select(text.alias("value"), F.from_json(text, corrupt, {"columnNameOfCorruptRecord": "_corrupt"}).alias("d"), *keep)
+    return parsed.where(F.col("d").isNull() | F.col("d._corrupt").isNotNull()).select("value", *keep)
+
+
 def normalize(raw: DataFrame, event_time: str | Column | None = None) -> DataFrame:
     """Enrich and type raw rows.
 

@@ -336,6 +336,7 @@ def stream_sql() -> dict:
             f"SELECT src_ip AS key, {WINDOW_OUT} FROM windows WHERE is_alert AND window_end <= {_CLOSE}"),
         "stream_alert_text": _with(flows_cte(), windows_cte("1 day", 3, 0.8)) + (
             f"SELECT {ALERT_TEXT} AS alert_text FROM windows WHERE is_alert"),
+        "stream_quarantine": "SELECT '{\"src_ip\": ' || event_id AS value FROM events WHERE event_id % 10 = 0",
         "catalog_follows_stream": batch_sql()["hourly_traffic"],
         "stream_archive": _with(flows_cte()) + (
             "SELECT CAST(dst_port AS VARCHAR) AS destination_port, "

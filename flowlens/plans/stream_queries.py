@@ -164,6 +164,17 @@ def q_catalog_follows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.sql(f"SELECT * FROM {db}.hourly_traffic"))
 
 
+def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth message is broken: the side table of messages that do not parse."""
+    events = load_events(spark, sf_dir)
+    work = new_work_dir(spark, "stream-quarantine")
+    good = _raw_messages(events.where("event_id % 10 <> 0")).select("value")
+    bad = events.where("event_id % 10 = 0").select(F.concat(F.lit('{"src_ip": '), F.col("event_id").cast("string")).alias("value"))
+    good.unionByName(bad).write.text(f"{work}/src/a")
+    jobs.start_quarantine(_messages(spark, f"{work}/src"), f"{work}/bad", f"{work}/ckpt", trigger=AVAILABLE_NOW).awaitTermination()
+    return spark.read.parquet(f"{work}/bad").select("value")
+
+
 def _legacy_messages(events: DataFrame) -> DataFrame:
     raw = raw_flows(events)
     body = raw.select(
@@ -252,6 +263,7 @@ QUERIES = {
     "stream_forward": q_stream_forward,
     "stream_alert_messages": q_stream_alert_messages,
     "stream_alert_text": q_stream_alert_text,
+    "stream_quarantine": q_stream_quarantine,
     "catalog_follows_stream": q_catalog_follows_stream,
     "stream_archive": q_stream_archive,
     "stream_windows_append": q_stream_windows_append,

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from flowlens.functions.payload import alert_text_from_json, forward_payload
-from flowlens.operators.normalize import decode_json, normalize
+from flowlens.operators.normalize import decode_json, malformed_json, normalize
 from flowlens.operators.windows import (
     DEFAULT_EVENTS_THRESHOLD,
     DEFAULT_KEYS,
@@ -123,6 +123,14 @@ def start_forward(spark: SparkSession, table_path: str, checkpoint: str, sink: d
     return _start_messages(_followed(spark, table_path, NORMALIZED_SCHEMA), sink, checkpoint, trigger, name)
 
 
+def start_quarantine(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                     name: str | None = None) -> StreamingQuery:
+    """Raw messages that do not parse, kept as they came, by topic and arrival
+    time; the normalised table holds an all-NULL ``Unknown`` row for each."""
+    rows = malformed_json(messages, RAW_SCHEMA, keep=("topic",)).withColumn("seen_at", F.current_timestamp())
+    return _start(rows.writeStream.format("parquet").option("path", path), checkpoint, trigger, name)
+
+
 def start_normalizer_and_forward(messages: DataFrame, table_path: str, checkpoint_root: str, sink: dict | None,
                                  event_time: Column | str | None = None, trigger: dict | None = None) -> list[StreamingQuery]:
     """J1 whole: the table and, with a ``sink``, its forwarded messages."""

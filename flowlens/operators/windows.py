@@ -1,11 +1,10 @@
 """Tumbling-window metrics and alerts.
 
-Batch groups twice: first by window, keys and destination port, then by
-window and keys. The first step counts rows, sums and gathers the distinct
-labels of one port, with map-side partial aggregation; the number of its
-rows with a port is the distinct count of ports. Every row is read and
-shuffled at most once (no Expand), and a hot source address is spread over
-its ports before the per-window merge.
+Batch groups twice: first by window, keys, destination port and label, then
+by window and keys. The first step only counts and sums, with map-side partial
+aggregation in generated code; the second gathers the distinct ports and
+labels of what is left. No row is copied (no Expand), and a hot source address
+is spread over its ports and labels before the per-window merge.
 
 A stream has one aggregate, so its distinct counts are
 ``size(collect_set(..))``: the state of a group holds the distinct labels and
@@ -36,20 +35,20 @@ def _distinct(col: str, mode: str) -> Column:
 
 
 def _by_port_then_merged(flows: DataFrame, width: str, keys, time_col: str) -> DataFrame:
-    """The exact measures of a batch, by way of one row a port."""
+    """The exact measures of a batch, by way of one row a port and label."""
     means = ["flow_duration", "flow_bytes_s"]
-    ports = flows.groupBy(F.window(F.col(time_col), width).alias("window"), *keys, F.col("dst_port").alias("__port")).agg(
+    fine = flows.groupBy(F.window(F.col(time_col), width).alias("window"), *keys,
+                         F.col("dst_port").alias("__port"), F.col("label").alias("__label")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.collect_set("label").alias("labels"),
         *[F.sum(m).alias(f"sum_{m}") for m in means], *[F.count(m).alias(f"n_{m}") for m in means],
         F.sum("syn_flag_count").alias("syn"),
         F.sum("total_fwd_packets").alias("fwd"),
     )
     mean = lambda m: F.try_divide(F.sum(f"sum_{m}"), F.sum(f"n_{m}")).alias(f"avg_{m}")
-    return ports.groupBy("window", *keys).agg(
+    return fine.groupBy("window", *keys).agg(
         F.sum("n").alias("event_count"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("labels")))).cast("bigint").alias("unique_labels"),
-        F.count("__port").alias("unique_dst_ports"),
+        _distinct("__label", "set").alias("unique_labels"),
+        _distinct("__port", "set").alias("unique_dst_ports"),
         *[mean(m) for m in means],
         F.sum("syn").alias("total_syn_flags"),
         F.sum("fwd").alias("total_fwd_packets"),

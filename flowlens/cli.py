@@ -1,8 +1,7 @@
 """Command line for the jobs: ``python -m flowlens.cli <job> [options]``.
 
-Settings come from options or the same environment variables the jobs
-have always read (``KAFKA_BOOTSTRAP_SERVERS``, ``INPUT_TOPICS``, ...), with
-the same defaults. Paths (tables, checkpoints) are options; on a cluster
+Settings come from options, whose defaults environment variables may set
+(``KAFKA_BOOTSTRAP_SERVERS``, ``INPUT_TOPICS``, ...). Paths (tables, checkpoints) are options; on a cluster
 they point into the shared folder.
 """
 

@@ -327,13 +327,32 @@ def merge_runs(runs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return np.concatenate(lost)
 
 
+def _equal_rows(blobs: list[bytes], h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows by place: which equal an earlier row whole, and which of the
+    rest share their anchor's hash with another of the rest."""
+    first: dict[bytes, int] = {}
+    again = np.fromiter((first.setdefault(b, i) != i for i, b in enumerate(blobs)), bool, len(blobs))
+    rest = np.flatnonzero(~again)
+    _, group, size = np.unique(h[rest], return_inverse=True, return_counts=True)
+    return np.flatnonzero(again), rest[size[group] > 1]
+
+
 def _merge_bucket(length: int):
-    """Windows that another shard holds at a smaller place, as covered stretches."""
+    """Windows that another shard holds at a smaller place, as covered stretches.
+
+    A row that equals an earlier one whole is lost whole; only different rows
+    with one anchor are compared window by window."""
     def run(table: pa.Table) -> pa.Table:
         table = _sorted(table, "id", "shard", "doc", "start")
+        shard, doc, start, h = (table[c].to_numpy() for c in ("shard", "doc", "start", "h"))
         blobs = table["bytes"].to_pylist()
-        shard, doc, start = (table[c].to_numpy() for c in ("shard", "doc", "start"))
+        whole, rest = _equal_rows(blobs, h)
         size = np.array([len(b) for b in blobs])
+        parts = [pa.table({"shard": pa.array(shard[whole]), "doc": pa.array(doc[whole]), "start": pa.array(start[whole]),
+                           "stop": pa.array(start[whole] + size[whole])})]
+        blobs, shard, doc, start, size = [blobs[i] for i in rest], shard[rest], doc[rest], start[rest], size[rest]
+        if not blobs:
+            return parts[0]
         count = size - length + 1
         row = np.repeat(np.arange(len(blobs)), count)
         offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -350,12 +369,11 @@ def _merge_bucket(length: int):
         owner = row[lost]
         order = np.lexsort((start[owner] + offset[lost], doc[owner], shard[owner]))
         owner, at = owner[order], (start[owner] + offset[lost])[order]
-        parts = []
         for s in np.unique(shard[owner]):
             own = shard[owner] == s
             d, a, b = _stretches(doc[owner[own]], at[own], length)
             parts.append(pa.table({"shard": pa.array(np.full(len(d), s)), "doc": pa.array(d), "start": pa.array(a), "stop": pa.array(b)}))
-        return pa.concat_tables(parts) if parts else pa.table({c: pa.array([], pa.int64()) for c in ("shard", "doc", "start", "stop")})
+        return pa.concat_tables(parts)
 
     return run
 

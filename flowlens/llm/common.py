@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,14 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def hash_share(place: Column, wanted: int, total) -> Column:
+    """Whether a row, by its hash ``place``, is among about twice ``wanted`` of
+    ``total`` rows. Ahead of an exact choice of the first ``wanted`` by hash:
+    what is gathered to rank stays bounded, however many tasks give rows."""
+    share = F.least(F.lit(1.0), F.lit(2.0 * wanted + 100) / total)
+    return F.shiftrightunsigned(place, 11) < share * F.lit(float(1 << 53))
+
+
 def schema_with(docs: DataFrame, added: list[tuple[str, str]], text_col: str | None = None) -> T.StructType:
     """``docs``' schema without columns that clash with ``added``, then ``added``."""
     names = {n for n, _ in added}

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import schema_with
+from flowlens.llm.common import hash_share, schema_with
 
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 32_768
@@ -151,16 +151,19 @@ def fit(docs: DataFrame, train_if: Column, id_col: str = "doc_id", text_col: str
         sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict | None:
     """Automata of the languages of the rows that meet ``train_if``; None without any."""
     order = Window.partitionBy("lang").orderBy("place", "id")
-    rows = (docs.where(train_if & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-            .select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.col(id_col).cast("bigint")).alias("place"),
+    usable = docs.where(train_if & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
+    counts = usable.groupBy(F.col(lang_col).cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row a language
+    if not counts:
+        return None
+    total = F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (r.lang, r.n)]), F.col("lang"))
+    rows = (usable.select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.col(id_col).cast("bigint")).alias("place"),
                     F.substring(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 1, sample_chars).alias("text"))
+            .where(hash_share(F.col("place"), sample_docs, total))
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_docs)
             .select("lang", "rank", "text").toArrow().sort_by([("lang", "ascending"), ("rank", "ascending")]))
     texts: dict[str, list[str]] = {}
     for lang, text in zip(rows["lang"].to_pylist(), rows["text"].to_pylist()):
         texts.setdefault(lang, []).append(text)
-    if not texts:
-        return None
     alphabet = symbol_table([t[:sample_chars // 8] for own in texts.values() for t in own])
     width = int(alphabet.max()) + 1
     training = []

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import schema_with
+from flowlens.llm.common import hash_share, schema_with, shared_table
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_REGIONS = 1_500
@@ -261,8 +261,10 @@ def _sample(batches):
 
 def fit(docs: DataFrame, text_col: str = "text", sample_regions: int = SAMPLE_REGIONS) -> dict[str, list[float]]:
     """Weights learnt from a bounded sample of distinct regions."""
-    found = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_sample, "region string, place bigint")
-             .dropDuplicates().orderBy("place", "region").limit(sample_regions).toArrow())
+    every = shared_table(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_sample, "region string, place bigint")
+                         .dropDuplicates(), "regions")
+    found = (every.where(hash_share(F.xxhash64("place"), sample_regions, F.lit(max(every.count(), 1))))
+             .orderBy(F.xxhash64("place"), "region").limit(sample_regions).toArrow())
     return train(found["region"].to_pylist())
 
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import id_and_text, shared_table
+from flowlens.llm.common import hash_share, id_and_text, shared_table
 from flowlens.llm.components import connected_components
 from flowlens.llm.textarrays import U64
 
@@ -232,8 +232,10 @@ def _link_shard(first_of_upper: int, max_bits: int):
 def fingerprint_links(distinct: DataFrame, max_bits: int = 3, sample_rows: int = SAMPLE_ROWS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """A spanning set of links (``a``, ``b``) between the distinct fingerprints of column ``fp``."""
     spark = distinct.sparkSession
-    sample = distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).toArrow()["fp"].to_numpy().view(U64)
-    leaf = max(8, -(-len(sample) * shard_rows // max(distinct.count(), 1)))
+    n = max(distinct.count(), 1)
+    sample = (distinct.select("fp").where(hash_share(F.xxhash64("fp"), sample_rows, F.lit(n)))
+              .orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).toArrow()["fp"].to_numpy().view(U64))
+    leaf = max(8, -(-len(sample) * shard_rows // n))
     radius = max_bits // 2
     trees = [build_tree(np.unique(sample & mask), radius, leaf) for mask in HALVES]
     dealt = distinct.select("fp").mapInArrow(_deal(spark.sparkContext.broadcast(trees), radius), "shard bigint, fp bigint, home boolean")

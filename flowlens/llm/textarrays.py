@@ -16,7 +16,7 @@ U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes of text that are worked on at once (one longer text is worked on alone).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

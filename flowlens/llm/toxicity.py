@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import schema_with
+from flowlens.llm.common import hash_share, schema_with
 from flowlens.llm.textarrays import U64, Words, chunks, mix, text_buffers
 
 SAMPLE_ROWS = 2_000
@@ -191,8 +191,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_if: Column, id_col: str = "doc
     """The model, its overall shift and its thresholds by language; None without both
     classes. ``train_if``: a condition on ``labels`` for the rows to learn from."""
     order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = (labels.where(train_if & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-              .groupBy(F.col(id_col).cast("bigint").alias("id")).agg(F.max(label_col).cast("int").alias("label"))
+    known = (labels.where(train_if & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+             .groupBy(F.col(id_col).cast("bigint").alias("id")).agg(F.max(label_col).cast("int").alias("label")))
+    rows = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two classes
+    total = F.when(F.col("label") == 1, F.lit(rows.get(1, 1))).otherwise(F.lit(rows.get(0, 1)))
+    chosen = (known.where(hash_share(F.xxhash64("id"), sample_rows, total))
               .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_rows).select("id", "label"))
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                         F.col(lang_col).cast("string").alias("lang"))
@@ -226,7 +229,7 @@ def _score(names: list[str], text_col: str, lang_col: str, fitted):
             score = np.zeros(batch.num_rows)
             if model is not None:
                 data, offsets = text_buffers(batch.column(text_col))
-                for first, end, part, bounds in chunks(data, offsets, 1 << 19):
+                for first, end, part, bounds in chunks(data, offsets):
                     words = Words(part, bounds)
                     value = logits(model["model"], model["table"], word_buckets(words), words.first)
                     score[first:end] = 1 / (1 + np.exp(-np.clip(value - model["shift"], -30, 30)))

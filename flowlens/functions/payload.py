@@ -77,7 +77,12 @@ WHOLE_FROM = 4503599627370496.0  # 2**52
 BIGINT_UNTIL = 9223372036854774784.0  # the largest double below 2**63
 
 
-def python_fixed(x: Column, places: int = 3) -> Column:
+def _inline(name: str, value: Column) -> Column:
+    """An intermediate value as part of the expression that uses it."""
+    return value
+
+
+def python_fixed(x: Column, places: int = 3, bind=_inline) -> Column:
     """``x`` as text with ``places`` decimals, rounded the way Python's
     ``f"{x:.3f}"`` rounds: half-even on the exact binary value of the double.
 
@@ -87,25 +92,28 @@ def python_fixed(x: Column, places: int = 3) -> Column:
     From 2**52 on the number is an integer: written exactly as a bigint, and
     beyond that type by its decimal text (shortest digits, then zeros). The sign of a negative zero is kept.
     NaN and infinities print as ``nan`` and ``inf``.
+
+    ``bind(name, value)`` may put an intermediate value, which later ones use
+    many times, in a column of its own.
     """
     scale = float(10 ** places)
-    a = F.least(F.abs(x), F.lit(WHOLE_FROM))
-    p = a * F.lit(scale)
+    a = bind("a", F.least(F.abs(x), F.lit(WHOLE_FROM)))
+    p = bind("p", a * F.lit(scale))
     c = a * F.lit(134217729.0)  # 2**27 + 1 splits a into two 26-bit halves
-    hi = c - (c - a)
+    hi = bind("hi", c - (c - a))
     lo = a - hi
-    err = (hi * F.lit(scale) - p) + lo * F.lit(scale)  # a * scale == p + err exactly
-    k0 = F.floor(p)
-    k = F.when((p == k0) & (err < 0), k0 - 1).otherwise(k0)
-    d = (p - (k + F.lit(0.5))) + err
+    err = bind("err", (hi * F.lit(scale) - p) + lo * F.lit(scale))  # a * scale == p + err exactly
+    k0 = bind("k0", F.floor(p))
+    k = bind("k", F.when((p == k0) & (err < 0), k0 - 1).otherwise(k0))
+    d = bind("d", (p - (k + F.lit(0.5))) + err)
     # from 2**52 on the product is an integer and err holds what is left to round
     odd_half = (F.abs(err) == 0.5) & (k0 % 2 != 0)
-    r = (
+    r = bind("r", (
         F.when(p >= F.lit(WHOLE_FROM), k0 + F.when(odd_half, F.signum(err)).otherwise(F.rint(err)).cast("bigint"))
         .when(d > 0, k + 1)
         .when(d < 0, k)
         .otherwise(F.when(k % 2 == 0, k).otherwise(k + 1))
-    ).cast("bigint")
+    ).cast("bigint"))
     unit = int(scale)
     if places == 0:
         body = F.format_string("%d", r)
@@ -124,7 +132,7 @@ def python_fixed(x: Column, places: int = 3) -> Column:
     )
 
 
-def alert_text(alert: Column) -> Column:
+def alert_text(alert: Column, bind=_inline) -> Column:
     """Six-line alert text from a parsed alert message struct.
 
     The event count gets thousands separators, the ratio three decimals
@@ -135,15 +143,23 @@ def alert_text(alert: Column) -> Column:
     values["dataset_source"] = F.upper(values["dataset_source"])
     values["window_start"] = F.substring(values["window_start"], 1, 19)
     values["event_count"] = F.format_number(values["event_count"].cast("bigint"), 0)
-    values["syn_flag_ratio"] = python_fixed(values["syn_flag_ratio"], 3)
+    values["syn_flag_ratio"] = python_fixed(bind("ratio", values["syn_flag_ratio"]), 3, bind)
     return F.format_string(ALERT_LAYOUT, *[values[name] for name in ALERT_FIELDS])
 
 
 def alert_text_from_json(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """J6's projection: alert JSON messages -> one ``alert_text`` per message.
 
-    Messages are parsed in a projection of their own: the text uses the
-    fields many times, and the optimiser does not copy the parser into it.
+    Messages are parsed, and the ratio is rounded, in projections of their own:
+    what later steps use many times is not copied into them.
     """
-    parsed = messages.select(F.from_json(F.col(value_col).cast("string"), ALERT_JSON_SCHEMA).alias("alert")).select("alert.*")
-    return parsed.select(alert_text(F.struct(*[F.col(c) for c in parsed.columns])).alias("alert_text"))
+    rows = messages.select(F.from_json(F.col(value_col).cast("string"), ALERT_JSON_SCHEMA).alias("alert")).select("alert.*")
+    alert = F.struct(*[F.col(c) for c in rows.columns])
+
+    def bind(name: str, value: Column) -> Column:
+        nonlocal rows
+        rows = rows.withColumn(f"__{name}", value)
+        return F.col(f"__{name}")
+
+    text = alert_text(alert, bind)
+    return rows.select(text.alias("alert_text"))

@@ -6,14 +6,16 @@ file, its whole text. A unit's terms are its ASCII letter and digit runs,
 lower-cased.
 
 Weights: ``tf * idf`` with ``idf = ln((1 + units) / (1 + df)) + 1``; document
-frequencies are counted over the lines of all files. Only terms of the
-templates have counted frequencies, a table bounded by the templates; every
-other distinct term of a unit enters its norm as a term that no unit has (the
-largest idf).
-
-A unit's own weight on template terms bounds its cosine with any template, so
-units below the threshold by that bound go before any join. The rest meet the
-template vectors term by term. A file's licence is its best unit (ties: the
+frequencies are counted over the lines of all files, for every term. A unit's
+norm is over all its terms with their own frequencies.
+
+No term's idf is below that of the commonest term outside the templates, which
+bounds a unit's cosine from its template terms and its number of words; units
+below the threshold by that bound go before any join. The rest meet the
+template vectors, and what may still reach the threshold meets the table of
+frequencies term by term: frequent terms (at most ``COMMON_TERMS``, as each has
+that share of all frequencies) are broadcast, the others joined, so no term
+gathers its units in one task. A file's licence is its best unit (ties: the
 earlier unit, then the template's name). A directory's licence is the best of
 the files that lie directly in it (ties: the lesser path). A file without its
 own takes the nearest ancestor directory's, by joining the distinct
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 from flowlens.llm.common import shared_table
 
 THRESHOLD = 0.7
+COMMON_TERMS = 10_000
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)[^/]*$"
 
 # The usual notice of each licence.
@@ -91,10 +94,13 @@ def license_scan(files: DataFrame, path_col: str = "path", text_col: str = "text
              .select("id", "path", F.col("u.line").alias("line"), _terms(F.col("u.text")).alias("terms"))
              .withColumn("own", F.array_intersect("terms", known)))
 
-    seen = units.where("line > 0").select(F.explode("own").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    seen = shared_table(units.where("line > 0").select(F.explode(F.array_distinct("terms")).alias("term"))
+                        .groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequencies")
     total = rows.select(F.sum(F.size(F.split("text", "\n")))).first()[0] or 0
-    df = {r.term: r.df for r in seen.collect()}  # at most one row a template term
-    unknown = math.log(1 + total) + 1
+    in_templates = F.col("term").isin(vocabulary)
+    df = {r.term: r.df for r in seen.where(in_templates).collect()}  # at most one row a template term
+    spread = seen.agg(F.sum("df").alias("all"), F.max(F.when(~in_templates, F.col("df"))).alias("most")).first()
+    least = math.log((1 + total) / (1 + (spread["most"] or 0))) + 1
     idf = {t: math.log((1 + total) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
 
     vectors = []
@@ -105,20 +111,32 @@ def license_scan(files: DataFrame, path_col: str = "path", text_col: str = "text
     vectors = spark.createDataFrame(vectors, "template int, licence string, term string, weight double")
 
     lookup = F.create_map(*[F.lit(x) for t in vocabulary for x in (t, idf[t])])
-    weighted = units.where(F.size("own") > 0).withColumn("vector", F.transform(
-        "own", lambda t: F.struct(t.alias("term"), (_count(F.col("terms"), t) * F.element_at(lookup, t)).alias("weight"))))
+    weighted = (units.where(F.size("own") > 0)
+                .withColumn("vector", F.transform("own", lambda t: F.struct(t.alias("term"), _count(F.col("terms"), t).alias("n"))))
+                .withColumn("vector", F.transform("vector", lambda x: F.struct(
+                    x["term"].alias("term"), x["n"].alias("n"), (x["n"] * F.element_at(lookup, x["term"])).alias("weight")))))
     known_part = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x["weight"] * x["weight"])
-    strangers = F.size(F.array_except("terms", known)).cast("double")
-    measured = (weighted.withColumn("known_part", known_part)
-                .withColumn("square", F.col("known_part") + strangers * F.lit(unknown ** 2))
-                .where(F.col("known_part") >= F.lit(threshold ** 2) * F.col("square") - F.lit(1e-9))
-                .withColumn("norm", F.sqrt("square")))
-    cosine = (measured.select("id", "path", "line", "norm", F.explode("vector").alias("v"))
-              .select("id", "path", "line", "norm", F.col("v.term").alias("term"), F.col("v.weight").alias("own_weight"))
-              .join(F.broadcast(vectors), "term")  # bounded by the templates
-              .groupBy("id", "path", "line", "template", "licence")
-              .agg((F.sum(F.col("own_weight") * F.col("weight")) / F.first("norm")).alias("cosine"))
-              .withColumn("score", F.round("cosine", 6)).where(F.col("score") >= threshold))
+    strangers = F.size("terms") - F.aggregate("vector", F.lit(0.0), lambda a, x: a + x["n"])  # of n equal ones, n * n count
+    measured = shared_table(weighted.withColumn("known_part", known_part)
+                            .withColumn("square", F.col("known_part") + strangers * F.lit(least ** 2))
+                            .where(F.col("known_part") >= F.lit(threshold ** 2) * F.col("square") - F.lit(1e-9))
+                            .select(F.monotonically_increasing_id().alias("unit"), "id", "path", "line", "terms", "vector", "square"), "candidates")
+    close = shared_table(measured.select("unit", "id", "path", "line", "square", F.explode("vector").alias("v"))
+                         .select("unit", "id", "path", "line", "square", F.col("v.term").alias("term"), F.col("v.weight").alias("own_weight"))
+                         .join(F.broadcast(vectors), "term")  # bounded by the templates
+                         .groupBy("unit", "id", "path", "line", "square", "template", "licence")
+                         .agg(F.sum(F.col("own_weight") * F.col("weight")).alias("dot"))
+                         .where(F.col("dot") >= F.lit(threshold) * F.sqrt("square") - F.lit(1e-5) * F.sqrt("square")), "close")
+    counts = (measured.join(close.select("unit").distinct(), "unit", "left_semi").select("unit", F.explode("terms").alias("term"))
+              .groupBy("unit", "term").agg(F.count(F.lit(1)).alias("n")))
+    common = seen.where(F.col("df") >= F.lit(spread["all"] or 0) / COMMON_TERMS)
+    met = counts.join(F.broadcast(common), "term", "left")
+    rest = met.where(F.col("df").isNull()).drop("df").join(seen, "term")
+    term_idf = F.log(F.lit(1.0 + total) / (F.col("df") + 1)) + 1
+    norms = (met.where(F.col("df").isNotNull()).unionByName(rest).groupBy("unit")
+             .agg(F.sqrt(F.sum(F.pow(F.col("n") * term_idf, F.lit(2.0)))).alias("norm")))
+    cosine = (close.join(norms, "unit").withColumn("score", F.round(F.col("dot") / F.col("norm"), 6))
+              .where(F.col("score") >= threshold))
     best = F.min_by(F.struct("licence", "score", "line"), F.struct(-F.col("score"), "line", "licence", "template")).alias("b")
     own = shared_table(cosine.groupBy("id", "path").agg(best).select("id", "path", "b.*"), "own")
 

@@ -1,11 +1,14 @@
 """Decontamination, winnowing and licences against brute force and SQL."""
 
+import math
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from flowlens.llm import winnow
 from flowlens.llm.decontam import allowed_misses, contained_items, sketch_length
-from flowlens.llm.license_scan import license_scan
+from flowlens.llm.license_scan import TEMPLATES, THRESHOLD, license_scan, template_terms
 from flowlens.llm.queries import QUERIES, SQL
 from tests.compare import compare
 from tests.conftest import SF_SMALL
@@ -126,3 +129,28 @@ def test_licences_inherit_from_the_nearest_directory(spark):
 
 def test_licence_empty(empty):
     assert license_scan(empty, path_col="source").count() == 0
+
+
+def test_licence_terms_weigh_by_their_own_frequencies(spark):
+    """The cosine by its definition, over the lines of all files."""
+    notices = ["This project is released under the MIT License, see LICENSE.", "Released under the MIT License. Acme Acme Acme Acme Acme",
+               "# Copyright 2020 The Foo Authors. Licensed under the Apache License, Version 2.0."]
+    prose = ["this project is what we see here", "see this project of 2020, copyright authors", "the is a project"] * 40
+    rows = [(i, f"f{i}", t) for i, t in enumerate([*prose, *notices, f"plain\n{notices[0]}"])]
+    lines = [(i, n + 1, template_terms(x)) for i, _, t in rows for n, x in enumerate(t.split("\n"))]
+    df = Counter(t for _, _, own in lines for t in own)
+    idf = lambda t: math.log((1 + len(lines)) / (1 + df[t])) + 1
+    vector = lambda own: {t: n * idf(t) for t, n in own.items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    want = {}
+    for i, n, own in lines:
+        for name, text in TEMPLATES:
+            u, v = vector(own), vector(template_terms(text))
+            score = round(sum(x * v.get(t, 0) for t, x in u.items()) / norm(u) / norm(v), 6)
+            if score >= THRESHOLD and score > want.get(i, (0,))[0]:
+                want[i] = (score, name, n)
+    got = {r.id: (r.score, r.licence, r.line) for r in license_scan(spark.createDataFrame(rows, "doc_id bigint, path string, text string")).collect() if r.score}
+    assert got.keys() == want.keys() and {120, 123} <= set(got) and 121 not in got
+    assert all(abs(got[i][0] - want[i][0]) < 2e-6 and got[i][1:] == want[i][1:] for i in got)
+    twice = license_scan(spark.createDataFrame([(1, "a", notices[0])] * 2, "doc_id bigint, path string, text string")).collect()
+    assert len(twice) == 2 and all(r.score is None or r.score <= 1 for r in twice)

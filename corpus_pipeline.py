@@ -2,13 +2,15 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next one's ``docs``. All but the
-last return the columns of ``documents``. Rows with a null ``doc_id``, and
-rows that repeat one, count as one document from the near-duplicates on.
+last return the columns of ``documents``. From the near-duplicates on, a
+document is known by a hash of its whole row, not by its ``doc_id``: rows with
+a null ``doc_id``, and rows that repeat one, are documents of their own. Rows
+that are equal in every column are near-duplicates of each other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowlens.llm.common import read_table, shared_table
@@ -35,28 +37,41 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup(docs).withColumn("n_chars", F.char_length("text").cast("bigint")).select(docs.columns)
 
 
+def row_key(names: list[str]) -> Column:
+    """A 64-bit hash of the columns; nulls, which the hash skips, count by their place."""
+    return F.xxhash64(*[x for n in names for x in (F.col(n), F.col(n).isNull())]).alias("__key")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id."""
-    found = simhash_components(docs, k=3, max_bits=3)
-    kept = found.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("__id")).distinct()
+    """Of each group of near-duplicates, the document with the smallest id (nulls last)."""
+    keyed = docs.select("*", row_key(docs.columns))
+    groups = simhash_components(keyed, id_col="__key", k=3, max_bits=3).select(F.col("id").alias("__key"), "component").distinct()
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__key")).alias("least")
+    kept = keyed.select("__key", "doc_id").distinct().join(groups, "__key").groupBy("component").agg(least).select("least.__key")
     rest = [c for c in docs.columns if c != "doc_id"]
-    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-            .groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("__row"))
+    return (keyed.join(kept, "__key", "left_semi")  # equal rows are left; one of them stays
+            .groupBy("__key", "doc_id").agg(F.min(F.struct(*rest)).alias("__row"))
             .select("doc_id", "__row.*").select(docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = contained_items(docs, read_table(spark, sf_dir, "benchmark")).select(F.col("id").alias("__id")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    keyed = docs.select("*", row_key(docs.columns))
+    found = contained_items(keyed, read_table(spark, sf_dir, "benchmark"), id_col="__key").select(F.col("id").alias("__key")).distinct()
+    return keyed.join(found, "__key", "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix with the number of copies to take of each."""
     added = ["size", "source_size", "target", "copies", "taken"]
-    plan = mix_sources(docs).where(F.col("copies") > 0).select(*[F.col(c).alias(f"__{c}") for c in ["id", *added]])
-    return (docs.join(plan, F.col("doc_id").eqNullSafe(F.col("__id")))
-            .select(*[c for c in docs.columns if c not in added], *[F.col(f"__{c}").alias(c) for c in added]))
+    keyed = docs.select("*", row_key(docs.columns))
+    # equal rows are units of their own, told apart by number
+    units = (mix_sources(keyed, id_col="__key").groupBy(F.col("id").alias("__key"))
+             .agg(F.sort_array(F.collect_list(F.struct("copies", *[c for c in added if c != "copies"]))).alias("__units")))
+    number = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    return (keyed.join(units.where(F.exists("__units", lambda u: u["copies"] > 0)), "__key")
+            .withColumn("__unit", F.element_at("__units", number)).where("__unit.copies > 0")
+            .select(*[c for c in docs.columns if c not in added], *[F.col(f"__unit.{c}").alias(c) for c in added]))
 
 
 STAGES = [("toxicity", toxicity), ("line dedup", lines), ("SimHash near-dedup", near_duplicates),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from flowlens.llm.mixing import cube_flight, cube_landing, mix_sources
 from flowlens.llm.queries import QUERIES, remainder
+from flowlens.llm.simhash import simhash_components
 from flowlens.llm.toxicity import fit, score_toxicity
 from tests.conftest import SF_SMALL
 from tests.llm import brute
@@ -119,3 +120,23 @@ def test_pipeline_stages_odd_rows(spark, odd, empty):
             else:
                 assert out.columns == start.columns
                 start = spark.createDataFrame(out.collect(), out.schema)
+
+
+def test_pipeline_rows_without_an_id_of_their_own(spark):
+    """Null and repeated ids: every text that is nobody's near-duplicate reaches the mix."""
+    rng = np.random.default_rng(3)
+    text = lambda: " ".join("".join(rng.choice(list("abcdefghijklmnop"), 7)) for _ in range(60))
+    plain, copy = [text() for _ in range(40)], text()
+    rows = [(None if i % 3 == 0 else i // 2, t, "en", "ab"[i % 2]) for i, t in enumerate(plain)]
+    rows += [(900, copy, "en", "a"), (901, copy, "en", "a"), (901, plain[0] + " tail", "en", "b"), (None, copy, "en", "a")] + [(None, copy, None, "a")] * 2
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    groups = {r.id: r.component for r in simhash_components(docs.select(F.monotonically_increasing_id().alias("doc_id"), "text").localCheckpoint()).collect()}
+    stage = dict(corpus_pipeline.STAGES)
+    three = stage["SimHash near-dedup"](spark, docs, SF_SMALL).localCheckpoint()
+    assert three.columns == docs.columns and three.count() == len(set(groups.values()))
+    assert set(plain[1:]) <= {r.text for r in three.collect()}
+    assert [r.doc_id for r in three.where(F.col("text") == copy).collect()] == [900]
+    four = stage["benchmark decontamination"](spark, three.unionByName(docs.where(F.col("text") == copy)), SF_SMALL)
+    assert four.count() == three.count() + 5
+    five = stage["mixing sources"](spark, docs.withColumn("source", F.lit("a")), SF_SMALL).collect()  # of one source every document is taken
+    assert sorted((r.doc_id or -1, r.text) for r in five) == sorted((r[0] or -1, r[1]) for r in rows)

@@ -7,10 +7,17 @@ zero, feeds a logistic output.
 
 Training reads a bounded sample of labelled rows: at most ``sample_rows`` of
 each class, chosen by a hash of the id, and of each at most ``sample_words``
-words. A fifth of the sample is held back to calibrate: the score is shifted
-so that 0.5 is the best overall cut, and each language with enough held-back
-rows of both classes gets its own threshold on the score (0.5 elsewhere).
-Language only selects that threshold; scores see the text alone.
+words. A fifth of the sample, by another hash, is not learnt from.
+
+Calibration reads all labelled rows that the model did not learn from. They
+are scored on Spark and counted by language, label and a narrow step of the
+logit. The score is shifted so that 0.5 is the best overall cut, and each
+language with at least ``least_rows`` of those rows in both classes gets its
+own threshold on the score. In a rarer language the rows that were learnt from
+count too, each by a model trained without that row's fifth of the sample and
+shifted by its own best cut there (cross-fitting); a language that still has
+fewer rows of a class keeps 0.5, the cut of all languages pooled. Language only
+selects that threshold; scores see the text alone.
 
 Scoring streams whole texts once. After training, every filter tap times
 every embedding row is one table, so a word costs three row look-ups.
@@ -30,12 +37,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import hash_share, schema_with
+from flowlens.llm.common import hash_share, schema_with, shared_table
 from flowlens.llm.textarrays import U64, Words, chunks, mix, text_buffers
 
 SAMPLE_ROWS = 2_000
 SAMPLE_WORDS = 4_096
 BUCKETS = 1 << 15
+LEAST_ROWS = 10
+#: Steps of a logit in which labelled rows are counted.
+STEPS = 256
 DIM, FILTERS, WIDTHS, EPOCHS, BATCH, RATE = 12, 4, (1, 2, 3), 8, 32, 0.1
 _PREFIXES = (None, 4, 5)
 
@@ -157,16 +167,21 @@ def logits(model: dict, table: np.ndarray, buckets: np.ndarray, first: np.ndarra
     return np.maximum(best + model["bias"], 0) @ model["out"] + model["out_bias"][0]
 
 
+def cut_of_counts(low: np.ndarray, high: np.ndarray, rows: np.ndarray, hits: np.ndarray) -> float:
+    """The cut with the best F1 (ties: the widest gap), in the middle between two
+    neighbouring steps. A step holds values from ``low`` to ``high``: ``rows``, of
+    them ``hits`` of class 1."""
+    above, found = (np.concatenate([np.cumsum(x[::-1])[::-1], [0]]) for x in (rows, hits))
+    f1 = 2 * found / (above + hits.sum())
+    cuts = np.concatenate([[low[0] - 1], (low[1:] + high[:-1]) / 2, [high[-1] + 1]])
+    gaps = np.concatenate([[0], low[1:] - high[:-1], [0]])
+    return float(cuts[max(range(len(cuts)), key=lambda i: (round(f1[i], 12), gaps[i]))])
+
+
 def best_cut(values: np.ndarray, labels: np.ndarray) -> float:
     """The middle of the widest-scoring gap: the cut with the best F1."""
-    order = np.argsort(values, kind="stable")
-    v, y = values[order], labels[order]
-    hits = np.concatenate([np.cumsum(y[::-1])[::-1], [0]])
-    f1 = 2 * hits / (np.arange(len(y), -1, -1) + y.sum())
-    allowed = np.concatenate([[True], v[1:] > v[:-1], [True]])
-    cuts = np.concatenate([[v[0] - 1], (v[1:] + v[:-1]) / 2, [v[-1] + 1]])
-    gaps = np.concatenate([[0], np.diff(v), [0]])
-    return float(cuts[max(np.flatnonzero(allowed), key=lambda i: (round(f1[i], 12), gaps[i]))])
+    steps, at = np.unique(values, return_inverse=True)
+    return cut_of_counts(steps, steps, np.bincount(at), np.bincount(at, weights=labels))
 
 
 # ---------------------------------------------------------------- Spark side
@@ -186,8 +201,71 @@ def _sample_buckets(sample_words: int):
     return run
 
 
+def _logits(fitted):
+    """Rows (id, lang, value): the network's output before the logistic function."""
+    def run(batches):
+        model, table = fitted.value
+        for batch in batches:
+            data, offsets = text_buffers(batch.column("text"))
+            value = [np.zeros(0)]
+            for _, _, part, bounds in chunks(data, offsets):
+                words = Words(part, bounds)
+                value.append(logits(model, table, word_buckets(words), words.first))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), pa.array(np.clip(np.concatenate(value), -30, 30))],
+                                             names=["id", "lang", "value"])
+
+    return run
+
+
+
+def _histogram(scored: DataFrame) -> DataFrame:
+    """Rows (lang, value, label) counted by language and step of the value."""
+    step = F.floor(F.col("value") * STEPS).cast("bigint").alias("step")
+    return (scored.groupBy("lang", step).agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count(F.lit(1)).alias("rows"),
+                                             F.sum("label").cast("bigint").alias("hits")))
+
+
+def _merged(steps: DataFrame, *by: str) -> DataFrame:
+    return steps.groupBy(*by, "step").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("rows").alias("rows"), F.sum("hits").alias("hits"))
+
+
+def _cut(steps: pa.Table) -> tuple[float, int]:
+    """The best cut of a histogram and the rows of its rarer class."""
+    low, high, rows, hits = (steps[c].to_numpy() for c in ("low", "high", "rows", "hits"))
+    order = np.argsort(low)
+    least = int(min(hits.sum(), rows.sum() - hits.sum())) if len(low) else 0
+    return (cut_of_counts(low[order], high[order], rows[order], hits[order]) if least else 0.0), least
+
+
+def _language_cut(steps: pa.Table) -> pa.Table:
+    cut, least = _cut(steps)
+    return pa.table({"lang": steps["lang"].slice(0, 1), "cut": pa.array([cut]), "least": pa.array([least], pa.int64())})
+
+
+def _language_cuts(steps: DataFrame, least_rows: int) -> dict[str, float]:
+    """Each language's cut, where both classes have ``least_rows``."""
+    found = (_merged(steps.where("lang IS NOT NULL"), "lang").groupBy("lang")
+             .applyInArrow(_language_cut, "lang string, cut double, least bigint").where(F.col("least") >= least_rows))
+    return {r.lang: r.cut for r in found.collect()}  # one row a language
+
+
+def _cross_fitted(words: list[np.ndarray], label: np.ndarray, fold: np.ndarray, shift: float) -> np.ndarray:
+    """Values of the sample's rows of folds 1 to 4, each by a model that has not seen
+    its fold, moved so that the model's own best cut is at ``shift``; else nan."""
+    value = np.full(len(words), np.nan)
+    for f in range(1, 5):
+        own = np.flatnonzero(fold == f)
+        rest = np.flatnonzero(fold != f)
+        if len(set(label[own].tolist())) == 2 and len(set(label[rest].tolist())) == 2:
+            model = train([words[i] for i in rest], label[rest])
+            table = tap_table(model)
+            got = np.concatenate([logits(model, table, words[i], np.array([0, len(words[i])])) for i in own])
+            value[own] = np.clip(got - best_cut(got, label[own]) + shift, -30, 30)
+    return value
+
+
 def fit(docs: DataFrame, labels: DataFrame, train_if: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, sample_words: int = SAMPLE_WORDS) -> dict | None:
+        label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, sample_words: int = SAMPLE_WORDS, least_rows: int = LEAST_ROWS) -> dict | None:
     """The model, its overall shift and its thresholds by language; None without both
     classes. ``train_if``: a condition on ``labels`` for the rows to learn from."""
     order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
@@ -204,22 +282,35 @@ def fit(docs: DataFrame, labels: DataFrame, train_if: Column, id_col: str = "doc
             .mapInArrow(_sample_buckets(sample_words), "id bigint, lang string, label int, words binary")
             .toArrow().sort_by([("id", "ascending"), ("words", "ascending")]))
     label = rows["label"].to_numpy().astype(np.float64)
-    held = (mix(rows["id"].to_numpy().view(U64)) % U64(5) == U64(0))
+    fold = mix(rows["id"].to_numpy().view(U64)) % U64(5)
+    held = fold == U64(0)
     words = [np.frombuffer(w, np.int32).reshape(-1, 3) for w in rows["words"].to_pylist()]
     if len(set(label[~held].tolist())) < 2:
         return None
     model = train([w for w, h in zip(words, held) if not h], label[~held])
     table = tap_table(model)
-    value = np.concatenate([logits(model, table, w, np.array([0, len(w)])) for w in words])
-    fresh = held if len(set(label[held].tolist())) == 2 else ~held
-    shift = best_cut(value[fresh], label[fresh])
-    score, langs = 1 / (1 + np.exp(-np.clip(value - shift, -30, 30))), np.array(rows["lang"].to_pylist(), dtype=object)
-    thresholds = {}
-    for lang in {x for x in langs[held] if x is not None}:
-        own = held & (langs == lang)
-        if min(label[own].sum(), (1 - label[own]).sum()) >= 10:
-            thresholds[lang] = min(max(best_cut(score[own], label[own]), 0.05), 0.95)
-    return {"model": {k: v for k, v in model.items() if k != "embed"}, "table": table, "shift": shift, "thresholds": thresholds}
+    small = {k: v for k, v in model.items() if k != "embed"}
+    spark = docs.sparkSession
+    learnt = spark.createDataFrame(pa.table({"id": np.unique(rows["id"].to_numpy()[~held])}))  # bounded by the sample
+    scored = texts.where(F.col("id").isNotNull()).mapInArrow(_logits(spark.sparkContext.broadcast((small, table))), "id bigint, lang string, value double")
+    steps = shared_table(_histogram(scored.join(known.join(F.broadcast(learnt), "id", "left_anti"), "id")), "histogram")
+    shift, least = _cut(_merged(steps).toArrow())  # one row a step
+    if not least:
+        value = np.concatenate([logits(model, table, w, np.array([0, len(w)])) for w in words])
+        shift = best_cut(value[~held], label[~held])
+    cuts = _language_cuts(steps, least_rows)
+    sample_langs = np.array(rows["lang"].to_pylist(), dtype=object)
+    rare = ~held & np.array([x is not None and x not in cuts for x in sample_langs], dtype=bool)
+    if rare.any():
+        value = _cross_fitted(words, label, fold, shift)
+        pick = np.flatnonzero(rare & np.isfinite(value))
+        if len(pick):
+            crossed = spark.createDataFrame(pa.table({"lang": pa.array(sample_langs[pick].tolist(), pa.string()), "value": value[pick],
+                                                      "label": pa.array(label[pick].astype(np.int32))}))
+            both = steps.unionByName(_histogram(crossed)).where(F.col("lang").isin(sorted(set(sample_langs[pick]))))
+            cuts = _language_cuts(both, least_rows) | cuts
+    thresholds = {lang: float(min(max(1 / (1 + np.exp(-np.clip(cut - shift, -30, 30))), 0.05), 0.95)) for lang, cut in cuts.items()}
+    return {"model": small, "table": table, "shift": shift, "thresholds": thresholds}
 
 
 def _score(names: list[str], text_col: str, lang_col: str, fitted):

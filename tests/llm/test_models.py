@@ -86,6 +86,39 @@ def test_best_cut():
     assert toxicity.best_cut(np.array([1.0, 1.0]), np.array([0, 1.0])) < 1
 
 
+def labelled(spark, n, lang_of, toxic_of, before=""):
+    """Documents of clean words, with a bad one in the toxic ones, and their labels."""
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, before + " ".join([*rng.choice(words, 12), *(["vile"] if toxic_of(i) else [])]), lang_of(i)) for i in range(n)]
+    return (spark.createDataFrame(rows, "doc_id bigint, text string, lang string"),
+            spark.createDataFrame([(i, int(toxic_of(i))) for i in range(n)], "doc_id bigint, toxic int"))
+
+
+def test_thresholds_from_all_labelled_rows(spark):
+    """A language that is rare in the bounded sample has labels enough outside of it."""
+    docs, labels = labelled(spark, 3000, lambda i: "fr" if i % 20 < 2 else "en", lambda i: i % 4 == 0)
+    fitted = toxicity.fit(docs, labels, F.lit(True), sample_rows=40)
+    assert set(fitted["thresholds"]) == {"en", "fr"}
+
+
+def test_thresholds_of_a_rare_language_are_cross_fitted(spark):
+    docs, labels = labelled(spark, 700, lambda i: "fr" if i % 20 < 2 else "xx" if i == 2 else "en", lambda i: i % 4 == 0)  # fr: 35 toxic, about 7 not learnt from
+    fitted = toxicity.fit(docs, labels, F.lit(True))
+    assert set(fitted["thresholds"]) == {"en", "fr"}
+    rows = toxicity.score_toxicity(docs, fitted).collect()
+    assert np.mean([r.flagged == (r.doc_id % 4 == 0) for r in rows]) > 0.95
+
+
+def test_cut_of_counts_is_the_cut_of_the_values():
+    rng = np.random.default_rng(6)
+    values, labels = np.round(rng.normal(size=300), 1), rng.integers(0, 2, 300).astype(float)
+    allowed = sorted(set(values))
+    cuts = [allowed[0] - 1, *((a + b) / 2 for a, b in zip(allowed, allowed[1:])), allowed[-1] + 1]
+    f1 = [2 * labels[values >= c].sum() / ((values >= c).sum() + labels.sum()) for c in cuts]
+    assert math.isclose(max(f1), 2 * labels[values >= toxicity.best_cut(values, labels)].sum() / ((values >= toxicity.best_cut(values, labels)).sum() + labels.sum()))
+
+
 # ---------------------------------------------------------------- language
 
 def test_language_held_out(spark):

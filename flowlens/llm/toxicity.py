@@ -5,9 +5,9 @@ four and five bytes (stems carry over to inflected forms). Filters of one,
 two and three words slide over the text; each filter's largest value, cut at
 zero, feeds a logistic output.
 
-Training reads a bounded sample of labelled rows: at most ``sample_rows`` of
-each class, chosen by a hash of the id, and of each at most ``sample_words``
-words. A fifth of the sample, by another hash, is not learnt from.
+Training reads a bounded sample of labelled rows, whole texts: at most
+``sample_rows`` of each class, in the order of a hash of the id, and no more
+rows once the texts of a class reach ``sample_bytes``. A fifth of the sample, by another hash, is not learnt from.
 
 Calibration reads all labelled rows that the model did not learn from. They
 are scored on Spark and counted by language, label and a narrow step of the
@@ -41,7 +41,7 @@ from flowlens.llm.common import hash_share, schema_with, shared_table
 from flowlens.llm.textarrays import U64, Words, chunks, mix, text_buffers
 
 SAMPLE_ROWS = 2_000
-SAMPLE_WORDS = 4_096
+SAMPLE_BYTES = 16 << 20
 BUCKETS = 1 << 15
 LEAST_ROWS = 10
 #: Steps of a logit in which labelled rows are counted.
@@ -186,19 +186,16 @@ def best_cut(values: np.ndarray, labels: np.ndarray) -> float:
 
 # ---------------------------------------------------------------- Spark side
 
-def _sample_buckets(sample_words: int):
-    def run(batches):
-        for batch in batches:
-            out = []
-            data, offsets = text_buffers(batch.column("text"))
-            for _, _, part, bounds in chunks(data, offsets):
-                words = Words(part, bounds)
-                buckets = word_buckets(words)
-                out += [buckets[a:min(b, a + sample_words)].tobytes() for a, b in zip(words.first[:-1], words.first[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), batch.column("label"), pa.array(out, pa.binary())],
-                                             names=["id", "lang", "label", "words"])
-
-    return run
+def _sample_buckets(batches):
+    for batch in batches:
+        out = []
+        data, offsets = text_buffers(batch.column("text"))
+        for _, _, part, bounds in chunks(data, offsets):
+            words = Words(part, bounds)
+            buckets = word_buckets(words)
+            out += [buckets[a:b].tobytes() for a, b in zip(words.first[:-1], words.first[1:])]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), batch.column("label"), pa.array(out, pa.binary())],
+                                         names=["id", "lang", "label", "words"])
 
 
 def _logits(fitted):
@@ -265,7 +262,7 @@ def _cross_fitted(words: list[np.ndarray], label: np.ndarray, fold: np.ndarray,
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_if: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, sample_words: int = SAMPLE_WORDS, least_rows: int = LEAST_ROWS) -> dict | None:
+        label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, least_rows: int = LEAST_ROWS) -> dict | None:
     """The model, its overall shift and its thresholds by language; None without both
     classes. ``train_if``: a condition on ``labels`` for the rows to learn from."""
     order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
@@ -277,9 +274,13 @@ def fit(docs: DataFrame, labels: DataFrame, train_if: Column, id_col: str = "doc
               .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_rows).select("id", "label"))
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                         F.col(lang_col).cast("string").alias("lang"))
-    # at most 2 * sample_rows ids: the parameter bounds what is broadcast and what is gathered
-    rows = (texts.join(F.broadcast(chosen), "id").select("id", "lang", "label", "text")
-            .mapInArrow(_sample_buckets(sample_words), "id bigint, lang string, label int, words binary")
+    # at most 2 * sample_rows ids: the parameter bounds what is broadcast, sample_bytes what is gathered
+    sample = texts.join(F.broadcast(chosen), "id")
+    before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
+    within = (sample.groupBy("id", "label").agg(F.sum(F.octet_length("text").cast("bigint")).alias("size"))
+              .withColumn("before", before).where(F.col("before") < sample_bytes).select("id"))
+    rows = (sample.join(F.broadcast(within), "id").select("id", "lang", "label", "text")
+            .mapInArrow(_sample_buckets, "id bigint, lang string, label int, words binary")
             .toArrow().sort_by([("id", "ascending"), ("words", "ascending")]))
     label = rows["label"].to_numpy().astype(np.float64)
     fold = mix(rows["id"].to_numpy().view(U64)) % U64(5)

@@ -110,6 +110,13 @@ def test_thresholds_of_a_rare_language_are_cross_fitted(spark):
     assert np.mean([r.flagged == (r.doc_id % 4 == 0) for r in rows]) > 0.95
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    docs, labels = labelled(spark, 120, lambda i: "en", lambda i: i % 2 == 0, before="w0 w1 w2 " * 1_400)
+    rows = toxicity.score_toxicity(docs, toxicity.fit(docs, labels, F.col("doc_id") < 90)).collect()
+    assert np.mean([r.predicted == (r.doc_id % 2 == 0) for r in rows if r.doc_id >= 90]) > 0.9
+    assert toxicity.fit(docs, labels, F.lit(True), sample_bytes=100_000) is not None
+
+
 def test_cut_of_counts_is_the_cut_of_the_values():
     rng = np.random.default_rng(6)
     values, labels = np.round(rng.normal(size=300), 1), rng.integers(0, 2, 300).astype(float)

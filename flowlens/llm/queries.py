@@ -10,8 +10,11 @@ from flowlens.llm.decontam import contained_items
 from flowlens.llm import langid, pii
 from flowlens.llm.license_scan import TEMPLATES, THRESHOLD, license_scan, template_terms
 from flowlens.llm.line_dedup import line_dedup
+from flowlens.llm.merkle import merkle_manifest
 from flowlens.llm.mixing import mix_sources
+from flowlens.llm.periodic import periodic_runs
 from flowlens.llm.simhash import simhash_components
+from flowlens.llm.sql import manifest_sql
 from flowlens.llm.suffix_dedup import substring_dedup
 from flowlens.llm.toxicity import fit, score_toxicity
 from flowlens.llm.winnow import fingerprint_text, fingerprints_and_edits
@@ -91,6 +94,37 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         fingerprint_text(F.col("edited_chosen")).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
+def with_planted_run(docs: DataFrame) -> DataFrame:
+    """``docs`` where, in every tenth document by hash, the words from one on repeat with one period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    words = F.when(chosen, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"), F.size(words).cast("bigint").alias("n"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    edited = F.expr("array_join(transform(words, (w, i) -> if(i < a, w, words[cast(a + (i - a) % p as int)])), ' ')")
+    return rows.select("doc_id", F.when(F.col("n") > 0, edited).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_run(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = F.array_max(F.expr("transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period))"))
+    listed = F.array_join(F.expr("transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n'))"), "")
+    return (found.select(F.col("id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"),
+                         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+            .select("doc_id", "n_runs", (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+                    F.expr("1000 * best.length div -best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    found = {"text": F.when(remainder("doc_id", 5) == 0, lowered).otherwise(F.col("text"))}
+    out = merkle_manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], found=found)
+    proof = F.array_join(F.transform("path", lambda p: F.concat(p["left"], p["right"])), "")
+    return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(proof, 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -100,7 +134,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_toxicity, op3_simhash, op4_personal_data, op5_mixing, op6_substring_dedup,
     op7_line_dedup, op8_language, op9_decontamination,
-    op10_winnowing, pipeline)}
+    op10_winnowing, op11_periodic_runs, op13_manifest, pipeline)}
 
 _SQL_OP7 = r"""
 WITH lines AS (
@@ -176,4 +210,5 @@ FROM placed p LEFT JOIN own o ON o.doc_id = p.doc_id LEFT JOIN nearest n ON n.do
 """
 
 
-SQL = {"op1_license_scan": _sql_op1(), "op7_line_dedup": _SQL_OP7, "op9_decontamination": _SQL_OP9}
+SQL = {"op1_license_scan": _sql_op1(), "op7_line_dedup": _SQL_OP7, "op9_decontamination": _SQL_OP9,
+       "op13_manifest": manifest_sql()}

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 #: crc32 of the id as decimal text, unsigned.
-CRC = ("xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), c -> ascii(c)::BIGINT)), "
-       "(a, b) -> list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), (x, y) -> xor(x >> 1, 3988292384 * (x & 1)))))")
+CRC = ("xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), "
+       "lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))")
 
 
 def _digest(text: str) -> str:

@@ -2,10 +2,13 @@
 
 Large-star links every larger neighbour of a node to the least of its
 neighbourhood; small-star does so for the smaller neighbours. Repeated, the
-edges become one star a component whose centre is its smallest node. The
-least neighbour is a pre-aggregated minimum joined back to the edges, so the
-neighbours of a hot node are never gathered; each round's edges are written
-to the shared folder, which cuts the lineage.
+edges become one star a component whose centre is its smallest node.
+
+A hub's edges are never gathered: they are split by a hash of the other end
+into ``salts`` parts, whose number grows with the edges so that a part holds
+some ``PART_ROWS`` of them at most. The least neighbour is a minimum of the
+parts' minima, handed back to each part. Each round's edges are written to the
+shared folder, which cuts the lineage. Nodes may be of any ordered type.
 """
 
 from __future__ import annotations
@@ -16,16 +19,27 @@ from pyspark.sql import functions as F
 from flowlens.llm.common import shared_table
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+PART_ROWS = 1 << 16
+LEAST_SALTS = 16
+
+
+def _with_least(rows: DataFrame, salts: int) -> DataFrame:
+    """``rows (a, b)`` with ``m``, the least ``b`` of each ``a``."""
+    salted = rows.withColumn("s", F.pmod(F.xxhash64("b"), F.lit(salts)))
+    parts = salted.groupBy("a", "s").agg(F.min("b").alias("m"))
+    handed = parts.select("a", "s").join(parts.groupBy("a").agg(F.min("m").alias("m")), "a")
+    return salted.join(handed, ["a", "s"]).select("a", "b", "m")
+
+
+def _large_star(edges: DataFrame, salts: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return _with_least(both, salts).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.withColumnRenamed("m", "b")).dropDuplicates()
+def _small_star(edges: DataFrame, salts: int) -> DataFrame:
+    near = _with_least(edges, salts)
+    moved = near.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.unionByName(near.where(F.col("b") == F.col("m")).select("a", "b")).dropDuplicates()
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -40,5 +54,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     state = None
     while (new := _state(now)) != state:
         state = new
-        now = shared_table(_small_star(_large_star(now)), "edges")
+        salts = max(LEAST_SALTS, new[0] // PART_ROWS)
+        now = shared_table(_small_star(_large_star(now, salts), salts), "edges")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

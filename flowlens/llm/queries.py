@@ -12,9 +12,10 @@ from flowlens.llm.license_scan import TEMPLATES, THRESHOLD, license_scan, templa
 from flowlens.llm.line_dedup import line_dedup
 from flowlens.llm.merkle import merkle_manifest
 from flowlens.llm.mixing import mix_sources
+from flowlens.llm.ngram_join import jaccard_components
 from flowlens.llm.periodic import periodic_runs
 from flowlens.llm.simhash import simhash_components
-from flowlens.llm.sql import manifest_sql
+from flowlens.llm.sql import JACCARD_SQL, manifest_sql
 from flowlens.llm.suffix_dedup import substring_dedup
 from flowlens.llm.toxicity import fit, score_toxicity
 from flowlens.llm.winnow import fingerprint_text, fingerprints_and_edits
@@ -116,6 +117,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.expr("1000 * best.length div -best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_components(read_table(spark, sf_dir, "documents"), k=3, percent=90)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -134,7 +140,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_toxicity, op3_simhash, op4_personal_data, op5_mixing, op6_substring_dedup,
     op7_line_dedup, op8_language, op9_decontamination,
-    op10_winnowing, op11_periodic_runs, op13_manifest, pipeline)}
+    op10_winnowing, op11_periodic_runs, op12_jaccard_join, op13_manifest, pipeline)}
 
 _SQL_OP7 = r"""
 WITH lines AS (
@@ -211,4 +217,4 @@ FROM placed p LEFT JOIN own o ON o.doc_id = p.doc_id LEFT JOIN nearest n ON n.do
 
 
 SQL = {"op1_license_scan": _sql_op1(), "op7_line_dedup": _SQL_OP7, "op9_decontamination": _SQL_OP9,
-       "op13_manifest": manifest_sql()}
+       "op12_jaccard_join": JACCARD_SQL, "op13_manifest": manifest_sql()}

@@ -45,3 +45,21 @@ WITH leaf AS (
 SELECT doc_id, leaf, subroot, t.h AS root, sha256({' || '.join(proof)}) AS proof_sha256, f AS folded_root, f = t.h AS verified
 FROM {last} CROSS JOIN t{top} t
 """
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : least(i + 2, len(w))], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM words WHERE len(w) > 0)
+), size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+  SELECT x, y FROM common JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)
+), reach(x, y) AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y
+), least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(l.y, w.doc_id)) AS component_id
+FROM words w LEFT JOIN size USING (doc_id) LEFT JOIN least l ON l.x = w.doc_id
+"""

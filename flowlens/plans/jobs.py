@@ -11,7 +11,7 @@ from flowlens.functions.payload import publish_payload
 from flowlens.operators import reports
 from flowlens.schemas import NORMALIZED_SCHEMA, WINDOW_SCHEMA, with_fields
 from flowlens.session import shared_dir
-from flowlens.sinks.writers import write_report
+from flowlens.sinks.reports import publish_reports
 from flowlens.sources.csv_sources import as_raw_messages, read_cicflow_csv, read_unsw_csv
 from flowlens.sources.files import dataset_files
 from flowlens.sources.tables import read_parquet_or_none
@@ -57,15 +57,15 @@ def run_ingest(spark: SparkSession, root: str, fmt: str = "kafka", path: str | N
 
 
 def run_reports(spark: SparkSession, normalized_path: str, windows_path: str, reports_path: str) -> bool:
-    """J3, one pass: the five reports, each overwriting its folder (K6).
+    """J3, one pass over the whole history: the five reports, published as one
+    version (K6). ``streaming.report_state`` does it from new rows alone.
 
-    Returns False (and writes nothing) when there is no normalised data
+    Returns False (and publishes nothing) when there is no normalised data
     yet. Each report reads only its columns; the benign baseline reads
     only the ``attack_category=Benign`` directories. The big table is
     scanned three times: the hourly rollup (feeds two reports), the source
     profiles and the benign baseline.
     """
-    out = reports_path.rstrip("/")
     norm = read_parquet_or_none(spark, normalized_path,
                                 with_fields(NORMALIZED_SCHEMA, ("batch_id", "bigint")))
     if norm is None or norm.limit(1).count() == 0:
@@ -75,15 +75,14 @@ def run_reports(spark: SparkSession, normalized_path: str, windows_path: str, re
     # rollup is small and is written to the shared checkpoint folder
     shared_dir(spark)
     rollup = reports.traffic_rollup(norm).checkpoint()
-    write_report(reports.attack_distribution_from_rollup(rollup), f"{out}/attack_distribution")
-    write_report(reports.hourly_timeseries_from_rollup(rollup), f"{out}/hourly_timeseries")
-    write_report(reports.behavioral_profiles(norm), f"{out}/behavioral_profiles")
-    # at most one row, computed once (benign flows are most of the table):
-    # checkpointed, then tested and written from the checkpoint
-    baseline = reports.benign_baseline(norm).checkpoint()
-    if baseline.limit(1).count() > 0:
-        write_report(baseline, f"{out}/benign_baseline")
+    frames = {
+        "attack_distribution": reports.attack_distribution_from_rollup(rollup),
+        "hourly_timeseries": reports.hourly_timeseries_from_rollup(rollup),
+        "behavioral_profiles": reports.behavioral_profiles(norm),
+        "benign_baseline": reports.benign_baseline(norm),  # no row, no new report
+    }
     windows = read_parquet_or_none(spark, windows_path, WINDOW_SCHEMA)
     if windows is not None:
-        write_report(reports.aggregation_summary(windows), f"{out}/aggregation_summary")
+        frames["aggregation_summary"] = reports.aggregation_summary(windows)
+    publish_reports(spark, frames, reports_path)
     return True

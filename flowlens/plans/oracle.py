@@ -323,6 +323,16 @@ ALERT_TEXT = (
 )
 
 
+def incremental_sql() -> str:
+    """The five reports over all flows, in the common layout."""
+    from flowlens.plans.stream_queries import layout_columns
+
+    batch = batch_sql()
+    bodies = {name: batch[name] for name in ("attack_distribution", "hourly_timeseries", "behavioral_profiles", "benign_baseline")}
+    bodies["aggregation_summary"] = _with(flows_cte(), windows_cte("5 minutes", 500, 0.8)) + SUMMARY
+    return " UNION ALL ".join(f"SELECT {', '.join(layout_columns(name))} FROM ({body}) AS t" for name, body in bodies.items())
+
+
 def stream_sql() -> dict:
     ms_flows = flows_cte(_MS_TS)
     norm_out = ", ".join(
@@ -338,6 +348,9 @@ def stream_sql() -> dict:
             f"SELECT {ALERT_TEXT} AS alert_text FROM windows WHERE is_alert"),
         "stream_quarantine": "SELECT '{\"src_ip\": ' || event_id AS value FROM events WHERE event_id % 10 = 0",
         "catalog_follows_stream": batch_sql()["hourly_traffic"],
+        "compacted_view": _with(ms_flows) + (
+            f"SELECT read_from, {norm_out} FROM flows CROSS JOIN (VALUES ('view'), ('follower')) AS r(read_from)"),
+        "incremental_reports": incremental_sql(),
         "stream_archive": _with(flows_cte()) + (
             "SELECT CAST(dst_port AS VARCHAR) AS destination_port, "
             "CAST(flow_duration AS VARCHAR) AS flow_duration, "

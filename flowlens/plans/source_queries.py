@@ -26,6 +26,7 @@ from flowlens.schemas import (
     WINDOW_PARTITIONS,
 )
 from flowlens.session import new_work_dir
+from flowlens.sinks.reports import read_report
 from flowlens.sinks.writers import write_partitioned
 from flowlens.sources.csv_sources import as_raw_messages, read_cicflow_csv, read_unsw_csv
 from flowlens.sources.events_adapter import load_events, raw_flows
@@ -159,7 +160,7 @@ def _report(name: str):
     """J3 + K6 + S8: one report pass; the named report read back."""
     def query(spark, sf_dir):
         out = _tables(spark, sf_dir, "reports")[-1]
-        return rounded(spark.read.parquet(f"{out}/{name}").drop("generated_at"))
+        return rounded(read_report(spark, out, name).drop("generated_at"))
 
     return query
 

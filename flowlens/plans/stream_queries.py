@@ -10,6 +10,7 @@ start, which arrives behind the watermark and is dropped whole.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,14 +23,18 @@ from flowlens.schemas import (
     LEGACY_SCHEMA,
     NORMALIZED_COLUMNS,
     NORMALIZED_SCHEMA,
+    WINDOW_PARTITIONS,
     WINDOW_SCHEMA,
     with_fields,
 )
+from flowlens.sinks.compaction import compact, publish_view
+from flowlens.sinks.reports import read_report
 from flowlens.session import default_parallelism, new_work_dir
 from flowlens.sources.events_adapter import load_events, raw_flows
 from flowlens.sources.streams import stream_source
 from flowlens.sources.tables import refresh_tables, register_tables, register_views
 from flowlens.streaming import jobs
+from flowlens.streaming.report_state import update_reports
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -74,8 +79,9 @@ def run_steps(events: DataFrame, steps, to_messages, start, src: str) -> None:
             raise q.exception()
 
 
-def _messages(spark: SparkSession, src: str) -> DataFrame:
-    return stream_source(spark, fmt="text", path=f"{src}/*")
+def _messages(spark: SparkSession, src: str, files_per_batch: int | None = None) -> DataFrame:
+    options = {"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else None
+    return stream_source(spark, fmt="text", path=f"{src}/*", options=options)
 
 
 def _unified_messages(events: DataFrame) -> DataFrame:
@@ -164,6 +170,76 @@ def q_catalog_follows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.sql(f"SELECT * FROM {db}.hourly_traffic"))
 
 
+def compacted_rounds(spark: SparkSession, events: DataFrame, work: str, database: str, batches: int, event_time=None):
+    """Half of the events in ``batches / 2`` micro-batches, a compaction and a
+    new view, then the other half and a second compaction and view; a follower
+    forwards the table's rows all the while. Yields after each round."""
+    src, table, root, ckpt = (f"{work}/{x}" for x in ("src", "table", "compacted", "ckpt"))
+    event_time = F.timestamp_millis(F.col("produced_at_ts")) if event_time is None else event_time
+    follower = None
+    for i, step in enumerate(in_order_steps(events)):
+        _raw_messages(events.filter(step)).select("value").repartition(batches // 2, F.xxhash64("value")).write.text(f"{src}/step{i}")
+        jobs.start_normalizer(_messages(spark, src, files_per_batch=1), table, f"{ckpt}/table", event_time,
+                              trigger=AVAILABLE_NOW).awaitTermination()
+        if follower is None:
+            follower = jobs.start_forward(spark, table, f"{ckpt}/forward", {"fmt": "json", "path": f"{work}/forward"},
+                                          trigger={"processingTime": "0 seconds"})
+        compact(spark, table, root, settle_seconds=0.05)
+        publish_view(spark, table, root, database=database)
+        yield
+    follower.processAllAvailable()
+    follower.stop()
+
+
+def q_compacted_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 compacted: the view's rows, and the rows that a follower of the table
+    saw meanwhile, after 20 micro-batches and two compactions."""
+    work = new_work_dir(spark, "compacted")
+    db = "flowlens_compacted_" + work.rstrip("/").rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{work}/catalog'")
+    for _ in compacted_rounds(spark, load_events(spark, sf_dir), work, db, batches=20):
+        pass
+    seen = spark.read.schema("key string, value string").json(f"{work}/forward")
+    parts = [spark.table(f"{db}.normalized_logs").withColumn("read_from", F.lit("view")),
+             decode_json(seen, NORMALIZED_SCHEMA).withColumn("read_from", F.lit("follower"))]
+    return rounded(parts[0].unionByName(parts[1]).select("read_from", *NORMALIZED_COLUMNS))
+
+
+#: One layout for the rows of all five reports: names, counts and means.
+REPORT_LAYOUT = {
+    "attack_distribution": (["attack_category", "severity_level", "dataset_source"], ["event_count"], []),
+    "hourly_timeseries": (["CAST(hour_bucket AS STRING)", "attack_category", "dataset_source"], ["event_count"], []),
+    "behavioral_profiles": (["src_ip", "dataset_source"], ["total_events", "attack_events", "total_syn_flags"], ["avg_flow_duration", "avg_flow_bytes_s"]),
+    "benign_baseline": ([], ["benign_count"], ["avg_flow_duration", "avg_flow_bytes_s", "avg_flow_packets_s", "avg_fwd_packets", "avg_bwd_packets", "max_flow_bytes_s"]),
+    "aggregation_summary": (["dataset_source", "window_start_date"], ["window_count", "total_events", "alert_windows"], ["avg_flow_bytes_s"]),
+}
+
+
+def layout_columns(name: str) -> list[str]:
+    """SQL columns of a report in the common layout."""
+    texts, counts, means = REPORT_LAYOUT[name]
+    pad = lambda own, n, kind: own + [f"CAST(NULL AS {kind})"] * (n - len(own))
+    columns = {"k": pad(texts, 3, "STRING"), "n": pad(counts, 3, "BIGINT"), "x": pad(means, 6, "DOUBLE")}
+    return [f"'{name}' AS report"] + [f"{c} AS {p}{i + 1}" for p, own in columns.items() for i, c in enumerate(own)]
+
+
+def q_incremental_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 + K6 from partial aggregates: two passes, each over what is new; all
+    five reports as the second pass published them."""
+    events = load_events(spark, sf_dir)
+    work = new_work_dir(spark, "incremental")
+    src, table, windows, state, out, ckpt = (f"{work}/{x}" for x in ("src", "table", "windows", "state", "reports", "ckpt"))
+    for i, step in enumerate(in_order_steps(events)):
+        own = events.filter(step)
+        _raw_messages(own).select("value").write.text(f"{src}/step{i}")
+        _normalizer(spark, src, table, f"{ckpt}/table").awaitTermination()
+        closed = window_metrics(normalize(raw_flows(own), event_time="event_time"))
+        closed.write.mode("append").partitionBy(*WINDOW_PARTITIONS).parquet(windows)
+        update_reports(spark, table, windows, state, f"{ckpt}/reports", out)
+    found = [read_report(spark, out, name).selectExpr(*layout_columns(name)) for name in REPORT_LAYOUT]
+    return rounded(reduce(DataFrame.unionByName, found))
+
+
 def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tenth message is broken: the side table of messages that do not parse."""
     events = load_events(spark, sf_dir)
@@ -265,6 +341,8 @@ QUERIES = {
     "stream_alert_text": q_stream_alert_text,
     "stream_quarantine": q_stream_quarantine,
     "catalog_follows_stream": q_catalog_follows_stream,
+    "compacted_view": q_compacted_view,
+    "incremental_reports": q_incremental_reports,
     "stream_archive": q_stream_archive,
     "stream_windows_append": q_stream_windows_append,
     "stream_windows_late": q_stream_windows_late,

@@ -1,4 +1,4 @@
-"""Sinks (K1-K8).
+"""Sinks (K1-K5, K7, K8).
 
 Table writes are retry-safe: a micro-batch is written under its own
 ``batch_id`` partition with dynamic partition overwrite, so a batch that
@@ -20,15 +20,27 @@ def clustered(df: DataFrame, partition_cols) -> DataFrame:
     return df.hint("rebalance", *partition_cols) if partition_cols else df
 
 
+def refuse_sink_table(df: DataFrame, path: str) -> None:
+    """A folder that a streaming file sink writes is read through the sink's
+    log: files written beside it are never seen, and overwriting it removes the
+    log or leaves it naming files that are gone. See ``sinks.compaction``."""
+    spark = df.sparkSession
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
+    if log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
+        raise ValueError(f"{path} is the table of a streaming file sink; batch jobs must not write there")
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols, mode: str = "overwrite",
                       fmt: str = "parquet") -> None:
-    """K1/K3/K6 in batch: a table partitioned by ``partition_cols``."""
+    """K1/K3 in batch: a table partitioned by ``partition_cols``."""
+    refuse_sink_table(df, path)
     clustered(df, partition_cols).write.mode(mode).partitionBy(*partition_cols).format(fmt).save(path)
 
 
 def write_batch_partitioned(df: DataFrame, path: str, partition_cols, batch_id: int,
                             fmt: str = "parquet") -> None:
     """K1/K3 from ``foreachBatch``: append one micro-batch, idempotently."""
+    refuse_sink_table(df, path)
     (
         clustered(df, partition_cols)
         .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
@@ -62,7 +74,3 @@ def write_keyed(payload: DataFrame, fmt: str = "kafka", path: str | None = None,
     mode = "append" if batch_id is None else "overwrite"
     payload.write.mode(mode).format(fmt).options(**options).save(target)
 
-
-def write_report(df: DataFrame, path: str) -> None:
-    """K6: a report replaces its previous version."""
-    df.write.mode("overwrite").parquet(path)

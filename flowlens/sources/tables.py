@@ -12,6 +12,7 @@ from flowlens.schemas import (
     WINDOW_PARTITIONS,
     WINDOW_SCHEMA,
 )
+from flowlens.sinks.reports import report_path
 
 DATABASE = "security_logs"
 
@@ -61,6 +62,22 @@ REPORT_TABLES = {
 }
 
 
+def create_table(spark: SparkSession, name: str, schema, partitions, path: str) -> None:
+    """An external table over a folder, with the partitions that are there. Over
+    a file sink's folder Spark keeps none: it reads the sink's log."""
+    spark.sql(f"CREATE TABLE {name} ({_ddl(schema, partitions)}) USING parquet PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'")
+    if _is_partitioned(spark, name):
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def point_report_tables(spark: SparkSession, reports_path: str, database: str = DATABASE) -> None:
+    """Point the report tables at the current version's folders."""
+    for name, (sub, _) in REPORT_TABLES.items():
+        if spark.catalog.tableExists(f"{database}.{name}"):
+            spark.sql(f"ALTER TABLE {database}.{name} SET LOCATION '{report_path(spark, reports_path, sub)}'")
+            spark.catalog.refreshTable(f"{database}.{name}")
+
+
 def register_tables(spark: SparkSession, normalized_path: str, windows_path: str,
                     reports_path: str | None = None, database: str = DATABASE,
                     batch_partition: bool = False, location: str | None = None) -> None:
@@ -97,7 +114,7 @@ def register_tables(spark: SparkSession, normalized_path: str, windows_path: str
             spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
             spark.sql(
                 f"CREATE TABLE {database}.{name} ({ddl}) USING parquet "
-                f"LOCATION '{reports_path.rstrip('/')}/{sub}'"
+                f"LOCATION '{report_path(spark, reports_path, sub)}'"
             )
 
 

@@ -53,7 +53,7 @@ UPDATE_PARTITIONS = ["window_start_date"]
 DEFAULT_WATERMARK = "2 minutes"
 
 
-def _start(writer, checkpoint: str, trigger: dict | None, name: str | None,
+def start_query(writer, checkpoint: str, trigger: dict | None, name: str | None,
            df: DataFrame | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Start a query. ``state_partitions`` fixes the shuffle (and state
     store) partitions of a new query; a restarted query keeps the number
@@ -92,10 +92,10 @@ def start_normalizer(
     level is needed a batch."""
     norm = normalized_stream(messages, event_time)
     writer = norm.writeStream.format("parquet").partitionBy(*NORMALIZED_PARTITIONS).option("path", table_path)
-    return _start(writer, checkpoint, trigger, name)
+    return start_query(writer, checkpoint, trigger, name)
 
 
-def _followed(spark: SparkSession, table_path: str, schema) -> DataFrame:
+def follow_table(spark: SparkSession, table_path: str, schema) -> DataFrame:
     """New rows of a table that a file sink writes, as a stream. The folder is
     made where the sink has not written yet."""
     path = spark._jvm.org.apache.hadoop.fs.Path(table_path)
@@ -114,13 +114,13 @@ def _start_messages(rows: DataFrame, sink: dict, checkpoint: str, trigger: dict
     def process(batch: DataFrame, batch_id: int) -> None:
         write_keyed(batch, batch_id=batch_id, **sink)
 
-    return _start(forward_payload(rows).writeStream.foreachBatch(process), checkpoint, trigger, name)
+    return start_query(forward_payload(rows).writeStream.foreachBatch(process), checkpoint, trigger, name)
 
 
 def start_forward(spark: SparkSession, table_path: str, checkpoint: str, sink: dict,
                   trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
     """J1's forwarded messages (K2): the normalised table's new rows."""
-    return _start_messages(_followed(spark, table_path, NORMALIZED_SCHEMA), sink, checkpoint, trigger, name)
+    return _start_messages(follow_table(spark, table_path, NORMALIZED_SCHEMA), sink, checkpoint, trigger, name)
 
 
 def start_quarantine(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
@@ -128,7 +128,7 @@ def start_quarantine(messages: DataFrame, path: str, checkpoint: str, trigger: d
     """Raw messages that do not parse, kept as they came, by topic and arrival
     time; the normalised table holds an all-NULL ``Unknown`` row for each."""
     rows = malformed_json(messages, RAW_SCHEMA, keep=("topic",)).withColumn("seen_at", F.current_timestamp())
-    return _start(rows.writeStream.format("parquet").option("path", path), checkpoint, trigger, name)
+    return start_query(rows.writeStream.format("parquet").option("path", path), checkpoint, trigger, name)
 
 
 def start_normalizer_and_forward(messages: DataFrame, table_path: str, checkpoint_root: str, sink: dict | None,
@@ -145,7 +145,7 @@ def start_normalizer_and_forward(messages: DataFrame, table_path: str, checkpoin
 def start_table_alerts(spark: SparkSession, table_path: str, checkpoint: str, sink: dict,
                        trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
     """J2's alert messages (K4) from the window table: one message a closed alert window."""
-    return _start_messages(alerts(_followed(spark, table_path, WINDOW_SCHEMA)), sink, checkpoint, trigger, name)
+    return _start_messages(alerts(follow_table(spark, table_path, WINDOW_SCHEMA)), sink, checkpoint, trigger, name)
 
 
 def window_stream(
@@ -182,7 +182,7 @@ def start_window_table(
         .partitionBy(*WINDOW_PARTITIONS)
         .option("path", table_path)
     )
-    return _start(writer, checkpoint, trigger, name, windows, state_partitions)
+    return start_query(writer, checkpoint, trigger, name, windows, state_partitions)
 
 
 def start_alert_stream(
@@ -215,7 +215,7 @@ def start_alert_stream(
             batch.unpersist()
 
     writer = windows.writeStream.outputMode("update").foreachBatch(process)
-    return _start(writer, checkpoint, trigger, name, windows, state_partitions)
+    return start_query(writer, checkpoint, trigger, name, windows, state_partitions)
 
 
 def start_aggregator(messages: DataFrame, table_path: str, checkpoint_root: str, alert_sink: dict | None = None,
@@ -253,7 +253,7 @@ def start_archive(messages: DataFrame, table_path: str, checkpoint: str,
         .partitionBy("partition_date")
         .option("path", table_path)
     )
-    return _start(writer, checkpoint, trigger, name, messages, state_partitions)
+    return start_query(writer, checkpoint, trigger, name, messages, state_partitions)
 
 
 def start_alert_text(messages: DataFrame, checkpoint: str, fmt: str = "console",
@@ -275,7 +275,7 @@ def start_alert_text(messages: DataFrame, checkpoint: str, fmt: str = "console",
             writer = writer.option("truncate", "false")
         if path:
             writer = writer.option("path", path)
-    return _start(writer, checkpoint, trigger, name, messages, state_partitions)
+    return start_query(writer, checkpoint, trigger, name, messages, state_partitions)
 
 
 def _print_alert(row) -> None:

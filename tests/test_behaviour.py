@@ -10,6 +10,7 @@ from flowlens.operators.windows import latest_per_window
 from flowlens.plans import stream_queries as sq
 from flowlens.plans.batch_queries import flows
 from flowlens.plans.jobs import run_reports
+from flowlens.sinks.reports import read_report
 from flowlens.schemas import NORMALIZED_PARTITIONS, WINDOW_PARTITIONS, WINDOW_SCHEMA, with_fields
 from flowlens.sinks.writers import write_batch_partitioned, write_partitioned
 from flowlens.sources.events_adapter import load_events
@@ -132,7 +133,7 @@ def test_report_job_writes_five_reports(spark, workdir):
     assert run_reports(spark, npath, wpath, rpath) is True
     for name in ("attack_distribution", "hourly_timeseries", "behavioral_profiles",
                  "benign_baseline", "aggregation_summary"):
-        assert spark.read.parquet(f"{rpath}/{name}").count() > 0, name
+        assert read_report(spark, rpath, name).count() > 0, name
 
 
 def test_rollup_reports_equal_direct(spark):

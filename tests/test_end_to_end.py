@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from flowlens.operators.windows import latest_per_window
 from flowlens.plans import source_queries as srcq
 from flowlens.plans.jobs import run_ingest, run_reports
+from flowlens.sinks.reports import read_report
 from flowlens.schemas import WINDOW_SCHEMA, with_fields
 from flowlens.sources.events_adapter import load_events
 from flowlens.sources.streams import stream_source
@@ -60,7 +61,7 @@ def test_pipeline(spark, workdir):
     # J3 over the tables, then the catalog and the views
     reports = f"{workdir}/reports"
     assert run_reports(spark, norm_path, upd_path, reports)
-    dist = spark.read.parquet(f"{reports}/attack_distribution")
+    dist = read_report(spark, reports, "attack_distribution")
     assert dist.agg(F.sum("event_count")).first()[0] == n_events
     db = "e2e_" + workdir.rstrip("/").rsplit("-", 1)[-1]
     register_tables(spark, norm_path, win_path, reports_path=reports, database=db,

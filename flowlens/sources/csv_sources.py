@@ -7,14 +7,16 @@ every file is bound by its own column names; groups are combined with
 turned back into ``''`` for columns the file has; a column the file lacks
 is NULL. Blank lines are no rows.
 
-A quoted cell may hold line breaks. Such a file cannot be cut at line ends,
-so it is read whole by one task; every other file is split as usual. By
-default (``multi_line=None``) one text scan finds the files that have a line
-with an odd number of quotes; pass True or False where that is known.
+A quoted cell may hold line breaks. Such files are cut into splits whose
+state (inside quotes or not) is worked out first (``sources.split_csv``); every
+other file is split by Spark as usual. By default (``multi_line=None``) one text
+scan finds the files that have a line with an odd number of quotes; pass True
+or False where that is known.
 """
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 from urllib.parse import unquote
 
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from flowlens.functions.sanitize import label_fallback, safe_text
 from flowlens.schemas import CICFLOW_COLUMN_MAP, FLOW_FIELDS, UNSW_COLUMN_MAP, UNSW_SCHEMA
 from flowlens.sources.files import group_by_first_line, qualified
+from flowlens.sources.split_csv import SPLIT_BYTES, read_split_csv
 
 # Quoting as RFC 4180 and pandas read it: a doubled quote inside a quoted
 # cell is one quote; a backslash is an ordinary character.
@@ -51,29 +54,36 @@ def _pick_cols(mapping: dict, present: set) -> list[Column]:
     return cols
 
 
-def _csv(spark: SparkSession, files: list[str], multi_line: bool | None, header: bool, schema=None) -> DataFrame:
-    """CSV files of one layout, those with line breaks in cells unsplit."""
+def _csv(spark: SparkSession, files: list[str], multi_line: bool | None, names: list[str], header: bool,
+         split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """CSV files of one layout as text columns ``names``."""
     if multi_line is None:
         quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
         odd = (spark.read.text(list(files)).where(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("path")).distinct())
         broken = {_plain(r.path) for r in odd.collect()}  # names out of ``files``
-        parts = [([f for f in files if (_plain(f) in broken) == unsplit], unsplit) for unsplit in (False, True)]
+        parts = [([f for f in files if (_plain(f) in broken) == cut], cut) for cut in (False, True)]
     else:
         parts = [(list(files), multi_line)]
     frames = []
-    for own, unsplit in parts:
-        if own:
-            reader = spark.read.options(**CSV_OPTIONS).option("header", header).option("multiLine", unsplit)
-            df = (reader.schema(schema) if schema is not None else reader).csv(own)
-            frames.append(_without_blank_lines(df) if unsplit else df)
+    for own, cut in parts:
+        if own and cut:
+            frames.append(read_split_csv(spark, own, names, header, CSV_OPTIONS, split_bytes))
+        elif own:
+            reader = spark.read.options(**CSV_OPTIONS).option("header", header).option("enforceSchema", "true")
+            frames.append(reader.schema(", ".join(f"c{i} string" for i in range(len(names)))).csv(own).toDF(*names))
     return reduce(DataFrame.unionByName, frames)
 
 
-def _without_blank_lines(df: DataFrame) -> DataFrame:
-    """The multi-line parser takes a line of blanks for a record; the line-wise one does not."""
-    first, *rest = [F.col(f"`{c}`") for c in df.columns]
-    alone = F.coalesce(*rest).isNull() if rest else F.lit(True)
-    return df.where(~F.coalesce((F.btrim(first) == "") & alone, F.lit(False)))
+def _header_names(line: str) -> list[str]:
+    """Column names of a header line, trimmed; a repeated or empty name gets its place."""
+    cells = [c.strip() for c in next(csv.reader([line.lstrip("\ufeff")]), [])]
+    seen: set[str] = set()
+    out = []
+    for i, c in enumerate(cells):
+        name = c if c and c.lower() not in seen else f"{c}#{i}"
+        seen.add(name.lower())
+        out.append(name)
+    return out
 
 
 def _plain(path: str) -> str:
@@ -85,16 +95,17 @@ def _empty_flows(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ", ".join(f"{c} string" for c in FLOW_FIELDS))
 
 
-def read_cicflow_csv(spark: SparkSession, files: list[str], multi_line: bool | None = None) -> DataFrame:
+def read_cicflow_csv(spark: SparkSession, files: list[str], multi_line: bool | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """CICFlowMeter CSV files with a header row -> the 12 flow fields."""
     if not files:
         return _empty_flows(spark)
     frames = []
-    for _, group in group_by_first_line(spark, qualified(spark, files)).items():
-        df = _csv(spark, group, multi_line, header=True)
-        trimmed = [c.strip() for c in df.columns]
-        df = df.toDF(*trimmed)
-        frames.append(df.select(*_pick_cols(CICFLOW_COLUMN_MAP, set(trimmed))))
+    for head, group in group_by_first_line(spark, qualified(spark, files)).items():
+        names = _header_names(head)
+        if names:  # else empty files
+            frames.append(_csv(spark, group, multi_line, names, True, split_bytes).select(*_pick_cols(CICFLOW_COLUMN_MAP, set(names))))
+    if not frames:
+        return _empty_flows(spark)
     return _union(frames).select(*FLOW_FIELDS)
 
 
@@ -103,7 +114,7 @@ def _has_unsw_header(line: str) -> bool:
     return first.startswith("srcip") or first.startswith('"srcip')
 
 
-def read_unsw_csv(spark: SparkSession, files: list[str], multi_line: bool | None = None) -> DataFrame:
+def read_unsw_csv(spark: SparkSession, files: list[str], multi_line: bool | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """S3: UNSW-NB15 files, headerless (49 fixed names) or with a header
     (names trimmed, lower-cased) -> the flow fields; the label falls back
     to the 0/1 ``label`` column when ``attack_cat`` is empty (P4)."""
@@ -113,13 +124,8 @@ def read_unsw_csv(spark: SparkSession, files: list[str], multi_line: bool | None
     # all headerless files are one group, whatever their first row
     key = lambda line: line if _has_unsw_header(line) else None
     for head, group in group_by_first_line(spark, qualified(spark, files), key).items():
-        if head is not None:
-            df = _csv(spark, group, multi_line, header=True)
-            names = [c.strip().lower() for c in df.columns]
-            df = df.toDF(*names)
-        else:
-            df = _csv(spark, group, multi_line, header=False, schema=UNSW_SCHEMA)
-            names = list(UNSW_SCHEMA.fieldNames())
+        names = list(UNSW_SCHEMA.fieldNames()) if head is None else [c.lower() for c in _header_names(head)]
+        df = _csv(spark, group, multi_line, names, head is not None, split_bytes)
         present = set(names)
         binary = safe_text(F.coalesce(F.col("label"), F.lit(""))) if "label" in present else F.lit("")
         picked = df.select(*_pick_cols(UNSW_COLUMN_MAP, present), binary.alias("_binary_label"))

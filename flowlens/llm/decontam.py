@@ -4,18 +4,19 @@ Which documents hold a (short) benchmark item? The measure is containment:
 the share of the item's distinct ``k``-word shingles that the document has.
 
 1. Items are partitioned by size into classes ``[2^c, 2^(c+1))`` of distinct
-   shingles. An item's sketch is its ``m`` smallest shingle hashes, ``m``
-   fixed by the class: one more than the shingles that an item of the class
-   may miss at the threshold. The sketch of a random order estimates the
-   containment without bias, and of ``m`` values at least
-   ``m - (n - ceil(t n)) >= 1`` must be in any document that reaches the
-   threshold, so the search misses nothing.
+   shingles. An item's sketch is its ``m`` smallest shingles by (number of
+   items that have it, hash), ``m`` fixed by the class: one more than the
+   shingles that an item of the class may miss at the threshold. Of ``m``
+   shingles at least ``m - (n - ceil(t n)) >= 1`` must be in any document that
+   reaches the threshold, whatever the order, so the search misses nothing;
+   phrases that many items share come last, so they are in few sketches.
 2. Documents stream through once. A document's shingle hashes are tested
    against two fixed-size bit maps (``2^bits`` bits each, whatever the number
    of items): of the sketches, and of all item shingles. Only documents with
    a sketch hit emit rows: their distinct shingles that may belong to items.
-3. Those rows join the items on the shingle itself. Pairs with too few
-   sketch values go; the rest are verified by exact shingle containment.
+3. Those rows join the sketches alone, on the shingle itself. Only pairs with
+   enough sketch hits meet the items' other shingles, and are verified by
+   exact shingle containment.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. A text of fewer than
 ``k`` words has its whole word sequence as its only shingle; such an item is
@@ -30,7 +31,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.llm.common import id_and_text, shared_table
@@ -66,7 +67,7 @@ def allowed_misses(n: int, threshold: float) -> int:
 
 
 def _item_rows(k: int, threshold: float):
-    names = ["item", "version", "n", "need", "h", "shingle", "in_sketch"]
+    names = ["item", "version", "n", "m", "need", "h", "shingle"]
 
     def run(batches):
         for batch in batches:
@@ -81,15 +82,26 @@ def _item_rows(k: int, threshold: float):
                     if n:
                         m = sketch_length(n, threshold)
                         version = int(np.bitwise_xor.reduce(np.array(list(own), U64)).astype(np.int64))
-                        rows += [(batch.column(0)[first + i].as_py(), version, n, m - allowed_misses(n, threshold),
-                                  int(np.uint64(x).astype(np.int64)), own[x], rank < m) for rank, x in enumerate(sorted(own))]
+                        rows += [(batch.column(0)[first + i].as_py(), version, n, m, m - allowed_misses(n, threshold),
+                                  int(np.uint64(x).astype(np.int64)), own[x]) for x in own]
             yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=pa.schema([
-                ("item", pa.int64()), ("version", pa.int64()), ("n", pa.int64()), ("need", pa.int64()),
-                ("h", pa.int64()), ("shingle", pa.string()), ("in_sketch", pa.bool_())]))
+                ("item", pa.int64()), ("version", pa.int64()), ("n", pa.int64()), ("m", pa.int64()), ("need", pa.int64()),
+                ("h", pa.int64()), ("shingle", pa.string())]))
 
     return run
 
 
+def item_sketches(items: DataFrame, k: int, threshold: float) -> DataFrame:
+    """Every shingle of every item, and whether it is in the item's sketch."""
+    rows = shared_table(items.mapInArrow(_item_rows(k, threshold), "item bigint, version bigint, n bigint, m bigint, need bigint, h bigint, shingle string")
+                        .dropDuplicates(), "item_shingles")
+    shared_by = rows.groupBy("h", "shingle").agg(F.count(F.lit(1)).alias("items"))
+    # an item is one row of a bounded text: its shingles are ranked in one task
+    place = F.row_number().over(Window.partitionBy("item", "version").orderBy("items", F.xxhash64("h"), "h", "shingle"))
+    ranked = rows.join(shared_by, ["h", "shingle"]).withColumn("in_sketch", place <= F.col("m"))
+    return shared_table(ranked.select("item", "version", "n", "need", "h", "shingle", "in_sketch"), "items")
+
+
 def _bit_map(hashes: DataFrame, bits: int) -> np.ndarray:
     """The set of hashes as ``2^bits`` bits: at most ``2^bits / 64`` rows reach the driver."""
     place = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
@@ -138,17 +150,20 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     ``n_shared``, ``n_item`` (distinct shingles) and ``containment``. Where
     several rows carry one item id, the largest containment counts."""
     spark = docs.sparkSession
-    rows = shared_table(
-        id_and_text(items, item_id_col, item_text_col).mapInArrow(
-            _item_rows(k, threshold), "item bigint, version bigint, n bigint, need bigint, h bigint, shingle string, in_sketch boolean")
-        .dropDuplicates(), "items")
+    rows = item_sketches(id_and_text(items, item_id_col, item_text_col), k, threshold)
     sketches = spark.sparkContext.broadcast(_bit_map(rows.where("in_sketch"), bits))
     shingles = spark.sparkContext.broadcast(_bit_map(rows, bits))
     hits = id_and_text(docs, id_col, text_col).mapInArrow(_hits(sketches, shingles, k, bits), "id bigint, h bigint, shingle string").dropDuplicates()
-    pairs = (hits.join(rows, ["h", "shingle"]).groupBy("id", "item", "version", "n", "need")
-             .agg(F.count(F.lit(1)).alias("n_shared"), F.count_if("in_sketch").alias("n_sketch"))
-             .where(F.col("n_sketch") >= F.col("need"))
+    # a null id is an id; joins take its place and a flag instead
+    hits = shared_table(hits.select(F.coalesce("id", F.lit(0)).alias("doc"), F.col("id").isNull().alias("no_id"), "h", "shingle"), "hits")
+    rows = rows.select(F.coalesce("item", F.lit(0)).alias("own"), F.col("item").isNull().alias("no_item"), "version", "n", "need", "h", "shingle", "in_sketch")
+    pair = ["doc", "no_id", "own", "no_item", "version"]
+    near = (hits.join(rows.where("in_sketch"), ["h", "shingle"]).groupBy(*pair, "n", "need").agg(F.count(F.lit(1)).alias("n_sketch"))
+            .where(F.col("n_sketch") >= F.col("need")).select(*pair))
+    wanted = near.join(rows.drop("need", "in_sketch"), ["own", "no_item", "version"])
+    pairs = (wanted.join(hits, ["doc", "no_id", "h", "shingle"]).groupBy(*pair, "n").agg(F.count(F.lit(1)).alias("n_shared"))
              .withColumn("containment", F.col("n_shared") / F.col("n"))
-             .where(F.col("containment") >= threshold))
+             .where(F.col("containment") >= threshold)
+             .withColumns({"id": F.when(~F.col("no_id"), F.col("doc")), "item": F.when(~F.col("no_item"), F.col("own"))}))
     best = F.max(F.struct("containment", "n_shared", F.col("n").alias("n_item"))).alias("best")
     return pairs.groupBy("id", "item").agg(best).select("id", "item", "best.n_shared", "best.n_item", "best.containment")

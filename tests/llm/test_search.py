@@ -41,6 +41,20 @@ def test_contained_items_odd_rows(spark, odd):
     assert len(got) >= 8
 
 
+def test_shared_phrase_gives_no_pairs(spark):
+    """Documents and items that share one phrase meet in no join: it is in no sketch."""
+    phrase = "in the text above find"
+    tail = lambda kind, i: " ".join(f"{kind}{i}x{j}" for j in range(30))
+    items = spark.createDataFrame([(i, f"{phrase} {tail('q', i)}") for i in range(300)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, f"{phrase} {tail('d', i)}") for i in range(300)] + [(1000, f"see {phrase} {tail('q', 7)} end")], "doc_id bigint, text string")
+    from flowlens.llm.decontam import item_sketches
+
+    rows = item_sketches(items.selectExpr("item_id AS id", "text"), 5, 0.8)
+    assert rows.where(F.col("shingle") == phrase).count() == 300
+    assert rows.where((F.col("shingle") == phrase) & F.col("in_sketch")).count() == 0
+    assert [tuple(r) for r in contained_items(docs, items).select("id", "item").collect()] == [(1000, 7)]
+
+
 def test_contained_items_empty(spark, odd, empty):
     bench = spark.createDataFrame([(1, "one")], "item_id bigint, text string")
     assert contained_items(empty, bench).count() == 0

@@ -351,6 +351,17 @@ def stream_sql() -> dict:
         "compacted_view": _with(ms_flows) + (
             f"SELECT read_from, {norm_out} FROM flows CROSS JOIN (VALUES ('view'), ('follower')) AS r(read_from)"),
         "incremental_reports": incremental_sql(),
+        "stream_late_rows": _with(
+            ms_flows,
+            "dealt AS (SELECT *, CASE WHEN produced_at_ts % 100 = 0 THEN 'NO_EVENT_TIME' "
+            f"WHEN event_timestamp < {_MID_TS} THEN 'BEHIND_WATERMARK' ELSE 'ON_TIME' END AS kind FROM flows)",
+            "ontime AS (SELECT * FROM dealt WHERE kind = 'ON_TIME')", windows_cte("5 minutes", 500, 0.8, src="ontime")) + (
+            "SELECT kind, src_ip, dst_port, CASE WHEN kind <> 'NO_EVENT_TIME' THEN event_timestamp END AS event_timestamp, "
+            "CAST(1 AS BIGINT) AS n FROM dealt "
+            "UNION ALL SELECT 'TOTAL_' || k.kind, NULL, NULL, NULL, count(d.kind) FROM (VALUES ('ON_TIME'), ('BEHIND_WATERMARK'), ('NO_EVENT_TIME')) "
+            "AS k(kind) LEFT JOIN dealt d ON d.kind = k.kind GROUP BY k.kind "
+            "UNION ALL SELECT 'WINDOW', src_ip, unique_dst_ports, window_start, event_count FROM windows "
+            "WHERE window_end <= (SELECT max(event_timestamp) - INTERVAL 2 MINUTE FROM ontime)"),
         "stream_archive": _with(flows_cte()) + (
             "SELECT CAST(dst_port AS VARCHAR) AS destination_port, "
             "CAST(flow_duration AS VARCHAR) AS flow_duration, "

@@ -23,6 +23,7 @@ from flowlens.schemas import (
     LEGACY_SCHEMA,
     NORMALIZED_COLUMNS,
     NORMALIZED_SCHEMA,
+    UNIFIED_SCHEMA,
     WINDOW_PARTITIONS,
     WINDOW_SCHEMA,
     with_fields,
@@ -34,6 +35,7 @@ from flowlens.sources.events_adapter import load_events, raw_flows
 from flowlens.sources.streams import stream_source
 from flowlens.sources.tables import refresh_tables, register_tables, register_views
 from flowlens.streaming import jobs
+from flowlens.streaming.late_rows import gate_totals, kept_rows, start_gate
 from flowlens.streaming.report_state import update_reports
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -205,6 +207,38 @@ def q_compacted_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(parts[0].unionByName(parts[1]).select("read_from", *NORMALIZED_COLUMNS))
 
 
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three steps, each a restart, the third behind the watermark; every
+    hundredth row has no event time. Rows of both tables, the totals that the
+    restarts kept, and the windows of the rows on time."""
+    events = load_events(spark, sf_dir)
+    work = new_work_dir(spark, "late-rows")
+    src, gate, table, ckpt = (f"{work}/{x}" for x in ("src", "gate", "windows", "ckpt"))
+
+    def to_messages(own: DataFrame) -> DataFrame:
+        flows = normalize(raw_flows(own, keep=["event_id"]), event_time="event_time")
+        timed = F.when(F.col("produced_at_ts") % 100 != 0, F.col("event_timestamp"))
+        return forward_payload(flows.withColumn("event_timestamp", timed))
+
+    def start():
+        start_gate(_messages(spark, src), gate, f"{ckpt}/gate", trigger=AVAILABLE_NOW).awaitTermination()
+        return jobs.start_window_table(kept_rows(spark, gate), table, f"{ckpt}/windows", trigger=AVAILABLE_NOW,
+                                       state_partitions=_state_partitions(spark))
+
+    run_steps(events, late_steps(events), to_messages, start, src)
+    rows = spark.read.schema(with_fields(UNIFIED_SCHEMA, ("late_reason", "string"))).parquet(f"{gate}/rows")
+    shown = ["src_ip", "dst_port", "event_timestamp"]
+    dealt = rows.select(F.coalesce("late_reason", F.lit("ON_TIME")).alias("kind"), *shown, F.lit(1).cast("bigint").alias("n"))
+    totals = gate_totals(spark, gate)
+    counted = spark.range(1).select(F.explode(F.create_map(*[x for k, v in (
+        ("TOTAL_ON_TIME", totals.kept), ("TOTAL_BEHIND_WATERMARK", totals.late), ("TOTAL_NO_EVENT_TIME", totals.without_time),
+    ) for x in (F.lit(k), F.lit(v).cast("bigint"))])).alias("kind", "n"))
+    closed = spark.read.schema(WINDOW_SCHEMA).parquet(table).select(
+        F.lit("WINDOW").alias("kind"), "src_ip", F.col("unique_dst_ports").alias("dst_port"), F.col("window_start").alias("event_timestamp"),
+        F.col("event_count").alias("n"))
+    return dealt.unionByName(counted, allowMissingColumns=True).unionByName(closed)
+
+
 #: One layout for the rows of all five reports: names, counts and means.
 REPORT_LAYOUT = {
     "attack_distribution": (["attack_category", "severity_level", "dataset_source"], ["event_count"], []),
@@ -341,6 +375,7 @@ QUERIES = {
     "stream_alert_text": q_stream_alert_text,
     "stream_quarantine": q_stream_quarantine,
     "catalog_follows_stream": q_catalog_follows_stream,
+    "stream_late_rows": q_stream_late_rows,
     "compacted_view": q_compacted_view,
     "incremental_reports": q_incremental_reports,
     "stream_archive": q_stream_archive,

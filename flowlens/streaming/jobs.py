@@ -160,7 +160,20 @@ def window_stream(
     """J2's plan: decode unified rows (P7), watermark (T1), window.
     ``keys`` are the grouping columns besides the window (D6: e.g.
     ``("dst_port", "dataset_source")``)."""
-    flows = decode_json(messages, UNIFIED_SCHEMA).withWatermark("event_timestamp", watermark)
+    return window_flows(decode_json(messages, UNIFIED_SCHEMA), width, events_threshold, syn_threshold, watermark, distinct, keys)
+
+
+def window_flows(
+    rows: DataFrame,
+    width: str = DEFAULT_WIDTH,
+    events_threshold: int = DEFAULT_EVENTS_THRESHOLD,
+    syn_threshold: float = DEFAULT_SYN_THRESHOLD,
+    watermark: str = DEFAULT_WATERMARK,
+    distinct: str = "set",
+    keys=DEFAULT_KEYS,
+) -> DataFrame:
+    """``window_stream`` over unified rows (for instance those that are on time)."""
+    flows = rows.withWatermark("event_timestamp", watermark)
     return window_metrics(flows, width=width, keys=keys, events_threshold=events_threshold,
                           syn_threshold=syn_threshold, distinct=distinct)
 
@@ -174,8 +187,9 @@ def start_window_table(
     state_partitions: int | None = None,
     **window_args,
 ) -> StreamingQuery:
-    """J2, table half (K3): append mode; one final row per closed window."""
-    windows = window_stream(messages, **window_args)
+    """J2, table half (K3): append mode; one final row per closed window. A
+    stream without a message column is taken as unified rows."""
+    windows = (window_stream if "value" in messages.columns else window_flows)(messages, **window_args)
     writer = (
         windows.writeStream.format("parquet")
         .outputMode("append")

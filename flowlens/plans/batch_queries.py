@@ -10,6 +10,7 @@ columns carry the same names as the matching DuckDB SQL in
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from flowlens.functions.classify import register_sql_functions
 from flowlens.functions.sanitize import label_fallback, safe_text, stable_round
 from flowlens.operators import reports, views
 from flowlens.operators.normalize import normalize
+from flowlens.operators.sketches import DEFAULT_COUNTED, distinct_counts, merge_sketches, relative_error, window_sketches
 from flowlens.operators.windows import alerts, window_metrics
 from flowlens.plans.oracle import AS_OF
 from flowlens.schemas import FLOW_FIELDS
@@ -186,7 +188,35 @@ def q_attack_heatmap(spark, sf_dir):
     return reports.attack_heatmap(flows(spark, sf_dir))
 
 
+#: Widest gap that the checks accept between a merged sketch's count and the exact one.
+SKETCH_ERRORS = 4
+
+
+def q_day_distincts(spark, sf_dir):
+    """A1 + A6 with sketches: 5-minute windows merged to hours, hours to days;
+    exact counts, and whether the sketches are within four standard errors."""
+    norm = flows(spark, sf_dir)
+    days = distinct_counts(merge_sketches(merge_sketches(window_sketches(norm), "1 hour"), "1 day"))
+    exact = norm.groupBy(F.window("event_timestamp", "1 day").getField("start").alias("window_start"), "dataset_source").agg(
+        *[F.count_distinct(c).alias(c) for c in DEFAULT_COUNTED])
+    near = lambda c: F.abs(F.col(f"unique_{c}") - F.col(c)) <= F.ceil(SKETCH_ERRORS * relative_error() * F.col(c))
+    return days.join(exact, ["window_start", "dataset_source"]).select(
+        "window_start", "dataset_source", "event_count", *DEFAULT_COUNTED, *[near(c).alias(f"near_{c}") for c in DEFAULT_COUNTED])
+
+
+def q_baseline_filters(spark, sf_dir):
+    """the benign baseline of all flows, of those without benign ones, and of
+    none; the report is skipped (no row) in the last two."""
+    norm = flows(spark, sf_dir)
+    cases = {"all": norm, "no_benign": norm.where("attack_category <> 'Benign'"), "no_flows": norm.where("partition_date IS NULL")}
+    rows = [reports.benign_baseline(own, generated_at=False).select(F.lit(name).alias("input"), "benign_count") for name, own in cases.items()]
+    sizes = [own.agg(F.count(F.lit(1)).alias("benign_count")).select(F.lit(f"{name}_flows").alias("input"), "benign_count") for name, own in cases.items()]
+    return reduce(DataFrame.unionByName, [*rows, *sizes])
+
+
 QUERIES = {
+    "day_distincts": q_day_distincts,
+    "baseline_filters": q_baseline_filters,
     "classify_severity": q_classify_severity,
     "normalize_raw": q_normalize_raw,
     "attack_distribution": q_attack_distribution,

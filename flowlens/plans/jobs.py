@@ -23,7 +23,14 @@ RAW_TOPIC = {"cicids": "raw-cicids", "unsw": "raw-unsw", "cicdos": "raw-cicdos"}
 
 def read_datasets(spark: SparkSession, root: str, produced_at: Column | None = None) -> DataFrame:
     """S1-S4 + P1-P5: every dataset file under ``root`` as raw messages."""
-    files = dataset_files(spark, root)
+    out = read_files(spark, dataset_files(spark, root), produced_at)
+    if out is None:
+        raise FileNotFoundError(f"no dataset files under {root}")
+    return out
+
+
+def read_files(spark: SparkSession, files: dict[str, list[str]], produced_at: Column | None = None) -> DataFrame | None:
+    """The given files of each dataset as raw messages; None without any."""
     frames = []
     cic_csv = [f for f in files["cicids"] if f.lower().endswith(".csv")]
     cic_zip = [f for f in files["cicids"] if f.lower().endswith(".zip")]
@@ -35,9 +42,7 @@ def read_datasets(spark: SparkSession, root: str, produced_at: Column | None = N
         frames.append(as_raw_messages(read_unsw_csv(spark, files["unsw"]), "unsw", produced_at))
     if files["cicdos"]:
         frames.append(as_raw_messages(read_cicflow_csv(spark, files["cicdos"]), "cicdos", produced_at))
-    if not frames:
-        raise FileNotFoundError(f"no dataset files under {root}")
-    return reduce(DataFrame.unionByName, frames)
+    return reduce(DataFrame.unionByName, frames) if frames else None
 
 
 def run_ingest(spark: SparkSession, root: str, fmt: str = "kafka", path: str | None = None,
@@ -45,7 +50,11 @@ def run_ingest(spark: SparkSession, root: str, fmt: str = "kafka", path: str | N
     """Read the datasets once and publish keyed JSON messages (K7) to
     the dataset's raw topic (a ``topic`` column for Kafka; a ``topic=``
     folder for file formats)."""
-    raw = read_datasets(spark, root, produced_at)
+    publish_messages(read_datasets(spark, root, produced_at), fmt, path, options)
+
+
+def publish_messages(raw: DataFrame, fmt: str, path: str | None, options: dict | None = None, mode: str = "append") -> None:
+    """K7: raw messages as keyed JSON to their dataset's topic."""
     topic = F.create_map(*[x for k, v in RAW_TOPIC.items() for x in (F.lit(k), F.lit(v))])[
         F.col("dataset_source")
     ]
@@ -53,7 +62,7 @@ def run_ingest(spark: SparkSession, root: str, fmt: str = "kafka", path: str | N
     if fmt == "kafka":
         payload.write.format("kafka").options(**(options or {})).save()
     else:
-        payload.write.mode("append").partitionBy("topic").format(fmt).options(**(options or {})).save(path)
+        payload.write.mode(mode).partitionBy("topic").format(fmt).options(**(options or {})).save(path)
 
 
 def run_reports(spark: SparkSession, normalized_path: str, windows_path: str, reports_path: str) -> bool:

@@ -447,6 +447,7 @@ def source_sql() -> dict:
         "csv_unsw_source": _with(flows) + select(unsw_over, "'unsw'"),
         "zip_csv_source": _with(flows) + select({}, "'cicids'"),
         "publish_payload": _with(flows, pub) + f"SELECT {key} AS key, {value} AS value, topic FROM pub",
+        "ingest_ledger": _with(flows, pub) + f"SELECT {key} AS key, {value} AS value, topic FROM pub",
         "json_round_trip": _with(ms_flows) + f"SELECT {norm_out} FROM flows",
         "report_job": _with(flows) + (
             "SELECT date_trunc('hour', event_timestamp) AS hour_bucket, attack_category, "

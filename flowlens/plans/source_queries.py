@@ -33,6 +33,7 @@ from flowlens.sources.events_adapter import load_events, raw_flows
 from flowlens.sources.files import CICDOS_DIRS, CICIDS_DIR, UNSW_DIR, dataset_files
 from flowlens.sources.tables import register_tables, register_views
 from flowlens.sources.zip_source import read_zip_csv
+from flowlens.streaming.ingest_files import start_ingest
 
 FIXED_CLOCK = 1704067200000  # 2024-01-01T00:00:00Z, the producer clock of the checks
 
@@ -112,6 +113,23 @@ def q_publish_payload(spark, sf_dir):
     return spark.read.schema("key string, value string, topic string").json(sink)
 
 
+def q_ingest_ledger(spark, sf_dir):
+    """J5 with a ledger: three runs over one checkpoint, files of another
+    dataset added after the first, none after the second; the published messages."""
+    raw, first_half = _raw(spark, sf_dir)
+    root = new_work_dir(spark, "ledger")
+    data, sink = f"{root}/data", f"{root}/published"
+    steps = [lambda: _write_cic(raw.filter(F.col("dataset_source") != "unsw"), first_half, data),
+             lambda: _write_unsw(raw.filter(F.col("dataset_source") == "unsw"), first_half, data), lambda: None]
+    for add_files in steps:
+        add_files()
+        q = start_ingest(spark, data, f"{root}/ledger", fmt="json", path=sink, produced_at=F.lit(FIXED_CLOCK), trigger={"availableNow": True})
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return spark.read.schema("key string, value string, topic string").json(sink).select("key", "value", "topic")
+
+
 def q_json_round_trip(spark, sf_dir):
     """P8 + P6/P7: normalised rows -> forwarded JSON (K2) -> decoded rows."""
     norm = flows(spark, sf_dir)
@@ -198,6 +216,7 @@ QUERIES = {
     "csv_unsw_source": q_csv_unsw_source,
     "zip_csv_source": q_zip_csv_source,
     "publish_payload": q_publish_payload,
+    "ingest_ledger": q_ingest_ledger,
     "json_round_trip": q_json_round_trip,
     "partitioned_tables": q_partitioned_tables,
     "report_job": _report("hourly_timeseries"),

@@ -115,6 +115,21 @@ UNSW_NAME = "UNSW-NB15_"
 CICDOS_DIRS = ("CIC-DDoS2019/01-12", "CIC-DDoS2019/03-11")
 
 
+def sort_dataset_files(paths: list[str]) -> dict[str, list[str]]:
+    """S4 over known paths: the dataset files directly in the datasets' folders."""
+    out: dict[str, list[str]] = {"cicids": [], "unsw": [], "cicdos": []}
+    for p in sorted(paths):
+        folder, name = posixpath.split(p)
+        own = name.lower()
+        if folder.endswith(f"/{CICIDS_DIR}") and own.endswith((".csv", ".zip")):
+            out["cicids"].append(p)
+        elif folder.endswith(f"/{UNSW_DIR}") and own.endswith(".csv") and UNSW_NAME in name:
+            out["unsw"].append(p)
+        elif folder.endswith(tuple(f"/{d}" for d in CICDOS_DIRS)) and own.endswith(".csv"):
+            out["cicdos"].append(p)
+    return out
+
+
 def dataset_files(spark: SparkSession, root: str) -> dict[str, list[str]]:
     """The files of each dataset under ``root``."""
     root = root.rstrip("/")

@@ -20,7 +20,16 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{new_work_dir(spark, 'llm')}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.shared_path = path
+    return out
+
+
+def remove_table(table: DataFrame) -> None:
+    """Remove a table of ``shared_table`` that nothing will read again."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.shared_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path.getParent(), True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import shared_table
+from flowlens.llm.common import remove_table, shared_table
 
 
 PART_ROWS = 1 << 16
@@ -42,8 +42,12 @@ def _small_star(edges: DataFrame, salts: int) -> DataFrame:
     return moved.unionByName(near.where(F.col("b") == F.col("m")).select("a", "b")).dropDuplicates()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or has one edge, to a centre."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("edges"), F.lit(0).alias("centre")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("edges"), F.lit(1).alias("centre")))
+    nodes = ends.groupBy("node").agg(F.sum("edges").alias("edges"), F.max("centre").alias("centre"))
+    return nodes.where(F.col("edges") + F.col("centre") > 1).isEmpty()
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -51,9 +55,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     smallest; rows with a null end and loops are no edges."""
     x, y = F.col(a), F.col(b)
     now = shared_table(edges.where(x != y).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).dropDuplicates(), "edges")
-    state = None
-    while (new := _state(now)) != state:
-        state = new
-        salts = max(LEAST_SALTS, new[0] // PART_ROWS)
-        now = shared_table(_small_star(_large_star(now, salts), salts), "edges")
+    while not _is_stars(now):
+        salts = max(LEAST_SALTS, now.count() // PART_ROWS)
+        before, now = now, shared_table(_small_star(_large_star(now, salts), salts), "edges")
+        remove_table(before)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

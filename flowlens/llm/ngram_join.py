@@ -17,7 +17,7 @@ its entries are worked out.
 3. The entries are dealt by range of (column, class) and sorted: a hot column
    spreads over many tasks, where it is worked on in blocks of ``block`` rows.
    A pair in a column is discarded if the shingles from that column on, of
-   either, are fewer than the overlap it needs; or if the sum over 64 blocks of
+   either, are fewer than the overlap it needs; or if the sum over 32 blocks of
    columns of the lesser block size is. Pairs of one component are left out.
 4. First a block's least class by a seeded hash is paired with the others of
    the block, the pairs left are counted exactly, and linked classes become
@@ -45,17 +45,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import id_and_text, shared_table
+from flowlens.llm.common import id_and_text, remove_table, shared_table
 from flowlens.llm.components import connected_components
 from flowlens.llm.decontam import shingle_rows
 from flowlens.llm.textarrays import U64, Words, chunks, mix, text_buffers
 
 SLOTS = 1 << 20
 BLOCK_ROWS = 2_048
-BANDS = 64
+BANDS = 32
 FILTER_BITS = 23
 _PARTS = 16  # of the table of counts, as rows
-_FULL = 65_535
+_FULL = 255
 _KEY = ["hi", "lo"]
 
 
@@ -87,7 +87,7 @@ def band_sizes(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     n = len(first) - 1
     text = np.repeat(np.arange(n), np.diff(first))
     count = np.bincount(text * BANDS + (h >> U64(64 - int(math.log2(BANDS)))).astype(np.int64), minlength=n * BANDS)
-    return np.minimum(count, _FULL).astype(np.uint16).reshape(n, BANDS)
+    return np.minimum(count, _FULL).astype(np.uint8).reshape(n, BANDS)
 
 
 def _slots(h: np.ndarray, slots: int) -> np.ndarray:
@@ -148,8 +148,8 @@ def needed(n, m, percent: int):
 
 
 def _entries(counts, k: int, percent: int, least: int):
-    """Rows (g, pos, n, hi, lo): the first columns of each class that a task meets."""
-    names = ["g", "pos", "n", "hi", "lo"]
+    """Rows (g, hi, pos): the first columns of each class that a task meets."""
+    names = ["g", "hi", "pos"]
 
     def run(batches):
         table = counts.value
@@ -173,10 +173,8 @@ def _entries(counts, k: int, percent: int, least: int):
                 h, text = h[order], text[order]
                 pos = np.arange(len(h)) - np.searchsorted(text, text)
                 keep = pos < (size - (percent * size + 99) // 100 + 1)[text]
-                h, text, pos = h[keep], text[keep], pos[keep]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(pos.astype(np.int32)), pa.array(size[text].astype(np.int32)), pa.array(hi[text]), pa.array(lo[text])],
-                    names=names)
+                    [pa.array(h[keep].view(np.int64)), pa.array(hi[text[keep]]), pa.array(pos[keep].astype(np.int32))], names=names)
 
     return run
 
@@ -206,9 +204,9 @@ def _no_singles(block_rows: int):
     """Entries of columns that hold more than one class; one entry a class."""
     def run(batches):
         for table, open_first, open_last in _runs(batches, block_rows):
-            g, hi, lo = (table[c].to_numpy() for c in ("g", *_KEY))
+            g, hi = table["g"].to_numpy(), table["hi"].to_numpy()
             twice = np.zeros(len(g), dtype=bool)
-            twice[1:] = (g[1:] == g[:-1]) & (hi[1:] == hi[:-1]) & (lo[1:] == lo[:-1])
+            twice[1:] = (g[1:] == g[:-1]) & (hi[1:] == hi[:-1])
             at = np.flatnonzero(~twice)
             new = np.ones(len(at) + 1, dtype=bool)
             new[1:-1] = g[at][1:] != g[at][:-1]
@@ -231,7 +229,7 @@ class _Rows:
         self.root = [table[c].to_numpy() for c in ("chi", "clo")]
         bands = table["bands"].combine_chunks()
         raw = b"".join(bands.to_pylist())
-        self.bands = np.frombuffer(raw, np.uint16).reshape(-1, BANDS)
+        self.bands = np.frombuffer(raw, np.uint8).reshape(-1, BANDS)
         self.full = (self.bands == _FULL).any(axis=1)
         self.percent = percent
 
@@ -381,40 +379,48 @@ def class_links(texts: DataFrame, classes: DataFrame, counts: np.ndarray, k: int
     """``(hi, lo, rhi, rlo)``: the root of every class that is linked with a lesser one."""
     spark = texts.sparkSession
     least = max(1, -(-percent // (100 - percent))) if percent < 100 else 1 << 30
-    entries = shared_table(texts.mapInArrow(_entries(spark.sparkContext.broadcast(counts), k, percent, least),
-                                            "g bigint, pos int, n int, hi bigint, lo bigint"), "entries")
-    common = _sorted(entries, _KEY).mapInArrow(_no_singles(block_rows), entries.schema)
-    common = shared_table(common.join(classes.select(*_KEY, "bands"), _KEY), "common")
-    keys = common.select(*_KEY).distinct()
-    wanted = spark.sparkContext.broadcast(_bit_map(keys, FILTER_BITS))
-    sets = texts.mapInArrow(_wanted_sets(wanted, k, FILTER_BITS), "hi bigint, lo bigint, grams array<bigint>")
-    sets = shared_table(sets.join(keys, _KEY, "left_semi").groupBy(*_KEY).agg(F.first("grams").alias("grams")), "sets")
-    n_classes = max(sets.count(), 1)
+    entries = shared_table(texts.mapInArrow(_entries(spark.sparkContext.broadcast(counts), k, percent, least), "g bigint, hi bigint, pos int"), "entries")
+    common = shared_table(_sorted(entries, ["hi"]).mapInArrow(_no_singles(block_rows), entries.schema), "common")
+    remove_table(entries)
+    n_classes = max(classes.count(), 1)
     key = lambda hi, lo: F.struct(F.col(hi).alias("hi"), F.col(lo).alias("lo"))
-    links, roots, n_links, seed = None, None, 0, 0
+    roots, seed = None, 0
 
-    def with_roots() -> DataFrame:
+    def rows() -> DataFrame:
+        """The entries with their classes' sizes and components."""
+        own = classes.select(*_KEY, F.col("n").cast("int").alias("n"), "bands")
         if roots is None:
-            return common.withColumns({"chi": F.col("hi"), "clo": F.col("lo")})
-        return common.join(roots, _KEY, "left").select(
-            *common.columns, F.coalesce("rhi", "hi").alias("chi"), F.coalesce("rlo", "lo").alias("clo"))
-
-    def merged(pairs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-        new = shared_table(_linked(pairs.dropDuplicates(), sets, percent), "links")
-        every = new if links is None else links.unionByName(new)
-        edges = every.select(key("ahi", "alo").alias("a"), key("bhi", "blo").alias("b"))
+            own = own.withColumns({"chi": F.col("hi"), "clo": F.col("lo")})
+        else:
+            own = own.join(roots, _KEY, "left").select(*own.columns, F.coalesce("rhi", "hi").alias("chi"), F.coalesce("rlo", "lo").alias("clo"))
+        return common.join(own, "hi")
+
+    def merged(found: DataFrame) -> tuple[DataFrame, int]:
+        """The roots that all links found so far give, and how many links are new."""
+        pairs = shared_table(found.dropDuplicates(), "pairs")
+        keys = pairs.select(key("ahi", "alo").alias("c")).unionByName(pairs.select(key("bhi", "blo").alias("c"))).select("c.hi", "c.lo").distinct()
+        wanted = spark.sparkContext.broadcast(_bit_map(keys, FILTER_BITS))
+        sets = texts.mapInArrow(_wanted_sets(wanted, k, FILTER_BITS), "hi bigint, lo bigint, grams array<bigint>")
+        sets = shared_table(sets.join(keys, _KEY, "left_semi").groupBy(*_KEY).agg(F.first("grams").alias("grams")), "sets")
+        new = shared_table(_linked(pairs, sets, percent), "links")
+        remove_table(sets)
+        remove_table(pairs)
+        edges = new.select(key("ahi", "alo").alias("a"), key("bhi", "blo").alias("b"))
+        if roots is not None:  # what is known already comes as stars
+            edges = edges.unionByName(roots.select(key("hi", "lo").alias("a"), key("rhi", "rlo").alias("b")))
         found = connected_components(edges).select("node.hi", "node.lo", F.col("root.hi").alias("rhi"), F.col("root.lo").alias("rlo"))
-        return every, found, new.count()
+        return found, new.count()
 
     while True:
-        ordered = with_roots().withColumn("place", F.xxhash64("hi", "lo", F.lit(seed)))
+        ordered = rows().withColumn("place", F.xxhash64("hi", "lo", F.lit(seed)))
         pairs = _sorted(ordered, ["place", *_KEY]).mapInArrow(_leaders(percent, block_rows), _PAIR)
-        links, roots, new = merged(pairs)
-        n_links, seed = n_links + new, seed + 1
-        if 50 * new < n_classes:
+        roots, new = merged(pairs)
+        seed += 1
+        if 10 * new < n_classes:
             break
     open_schema = "g bigint, block bigint, pos int, n int, hi bigint, lo bigint, chi bigint, clo bigint, bands binary"
-    found = shared_table(_sorted(with_roots(), _KEY).mapInArrow(_products(percent, block_rows), f"{_PAIR}, {open_schema}"), "products")
+    found = shared_table(_sorted(rows(), _KEY).mapInArrow(_products(percent, block_rows), f"{_PAIR}, {open_schema}"), "products")
+    remove_table(common)
     pairs = found.where("block IS NULL").select("ahi", "alo", "bhi", "blo")
     opened = found.where("block IS NOT NULL").select(*_OPEN)
     blocks = opened.groupBy("g", "block").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("chi", "clo") for f in (F.min, F.max)])
@@ -423,7 +429,7 @@ def class_links(texts: DataFrame, classes: DataFrame, counts: np.ndarray, k: int
     met = x.join(y, F.expr("x.g = y.g AND x.block < y.block")).where(~one_root).select("x.g", F.col("x.block").alias("one"), F.col("y.block").alias("two"))
     sides = [opened.join(met.withColumn("block", F.col(c)), ["g", "block"]).withColumn("side", F.lit(i)) for i, c in enumerate(("one", "two"))]
     across = sides[0].unionByName(sides[1]).groupBy("g", "one", "two").applyInArrow(_across(percent), _PAIR)
-    return merged(pairs.unionByName(across))[1]
+    return merged(pairs.unionByName(across))[0]
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90,
@@ -433,8 +439,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = id_and_text(docs, id_col, text_col)
     described = shared_table(texts.mapInArrow(_describe(k, slots), "id bigint, hi bigint, lo bigint, n bigint, bands binary, part int, counts binary"), "described")
     rows = described.where("counts IS NULL").select("id", *_KEY, "n")
-    classes = shared_table(described.where("n > 0").groupBy(*_KEY).agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows"),
-                                                                   F.first("bands").alias("bands")), "classes")
+    classes = shared_table(described.where("n > 0").groupBy(*_KEY, "n", "bands").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")), "classes")
     roots = class_links(texts.select("text"), classes, _counts(described, slots), k, percent, block_rows)
     rooted = classes.join(roots, _KEY, "left").select(*_KEY, "least", "rows", F.coalesce("rhi", "hi").alias("rhi"), F.coalesce("rlo", "lo").alias("rlo"))
     labels = rooted.join(rooted.groupBy("rhi", "rlo").agg(F.min("least").alias("component")), ["rhi", "rlo"]).select(*_KEY, "rows", "component")

@@ -46,6 +46,24 @@ def _session(app: str, stateful: bool = False):
     return spark
 
 
+def wait_for_all(queries) -> None:
+    """Until all queries have ended. The first that fails stops the others, and
+    its error is raised: a job never goes on with a part of it missing."""
+    try:
+        while running := [q for q in queries if q.isActive]:
+            running[0].awaitTermination(1)
+            for q in queries:
+                if not q.isActive:
+                    q.awaitTermination()  # raises its error
+        for q in queries:
+            q.awaitTermination()
+    except Exception:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+        raise
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="flowlens")
     p.add_argument("--kafka-option", action="append", default=[], metavar="KEY=VALUE",
@@ -59,6 +77,7 @@ def main(argv=None) -> None:
     n.add_argument("--checkpoint", required=True)
     n.add_argument("--topics", default=_env("INPUT_TOPICS", streams.RAW_TOPICS))
     n.add_argument("--output-topic", default=_env("OUTPUT_TOPIC", streams.NORMALIZED_TOPIC))
+    n.add_argument("--quarantine", default=None, help="folder of messages that do not parse")
 
     a = sub.add_parser("aggregate", help="J2: windows table (append) + alerts (update)")
     a.add_argument("--table", required=True)
@@ -77,6 +96,15 @@ def main(argv=None) -> None:
     r.add_argument("--normalized", required=True)
     r.add_argument("--windows", required=True)
     r.add_argument("--reports", required=True)
+    r.add_argument("--state", default=None, help="folder of partial aggregates: read only what is new (needs --checkpoint)")
+    r.add_argument("--checkpoint", default=None)
+    r.add_argument("--database", default=None, help="point its report tables at the new reports")
+
+    k = sub.add_parser("compact", help="copy a streaming table's files into large ones behind one view")
+    k.add_argument("--table", required=True, help="the sink's folder")
+    k.add_argument("--segments", required=True, help="folder of the compacted files")
+    k.add_argument("--kind", choices=["normalized", "windows"], default="normalized")
+    k.add_argument("--database", default=None, help="replace the table's view there")
 
     c = sub.add_parser("archive", help="J4: legacy topic -> date-partitioned Parquet")
     c.add_argument("--table", required=True)
@@ -85,6 +113,7 @@ def main(argv=None) -> None:
 
     i = sub.add_parser("ingest", help="J5: dataset files -> raw topics, once")
     i.add_argument("--data-dir", default=_env("DATA_DIR", "/app/data"))
+    i.add_argument("--checkpoint", default=None, help="ledger of published files: publish only those it does not hold")
 
     t = sub.add_parser("alert-text", help="J6: alert topic -> printed alert text")
     t.add_argument("--checkpoint", required=True)
@@ -92,10 +121,11 @@ def main(argv=None) -> None:
     t.add_argument("--output-path", default=None)
     t.add_argument("--topic", default=_env("ALERT_TOPIC", streams.ALERT_TOPIC))
 
-    for stream_cmd in (n, a, c, t):
-        stream_cmd.add_argument(
+    for stateful_cmd in (a, c, t):
+        stateful_cmd.add_argument(
             "--state-partitions", type=int, default=None,
             help="shuffle/state partitions of a new stream (fixed by its checkpoint afterwards)")
+    for stream_cmd in (n, a, c, t):
         stream_cmd.add_argument("--source-format", default="kafka",
                                 help="kafka, or a file format whose lines are messages (text)")
         stream_cmd.add_argument("--source-path", default=None, help="folder of message files")
@@ -130,12 +160,35 @@ def main(argv=None) -> None:
 
     if args.job == "report":
         from flowlens.plans.jobs import run_reports
-
-        run_reports(_session("flowlens-report"), args.normalized, args.windows, args.reports)
+        from flowlens.streaming.report_state import update_reports
+
+        if bool(args.state) != bool(args.checkpoint):
+            p.error("--state and --checkpoint go together")
+        spark = _session("flowlens-report")
+        if args.state:
+            update_reports(spark, args.normalized, args.windows, args.state, args.checkpoint, args.reports, args.database)
+        else:
+            run_reports(spark, args.normalized, args.windows, args.reports, args.database)
+        return
+    if args.job == "compact":
+        from flowlens import schemas
+        from flowlens.sinks.compaction import compact, publish_view
+
+        spark = _session("flowlens-compact")
+        name, schema, parts = {"normalized": ("normalized_logs", schemas.NORMALIZED_SCHEMA, schemas.NORMALIZED_PARTITIONS),
+                               "windows": ("aggregations_5min", schemas.WINDOW_SCHEMA, schemas.WINDOW_PARTITIONS)}[args.kind]
+        compact(spark, args.table, args.segments, schema, parts)
+        if args.database:
+            publish_view(spark, args.table, args.segments, name, args.database, schema, parts)
         return
     if args.job == "ingest":
         from flowlens.plans.jobs import run_ingest
+        from flowlens.streaming.ingest_files import start_ingest
 
+        if args.checkpoint:
+            wait_for_all([start_ingest(_session("flowlens-ingest"), args.data_dir, args.checkpoint, fmt="kafka",
+                                       options={**kafka, **INGEST_PRODUCER}, trigger={"availableNow": True})])
+            return
         run_ingest(_session("flowlens-ingest"), args.data_dir, fmt="kafka",
                    options={**kafka, **INGEST_PRODUCER})
         return
@@ -149,6 +202,9 @@ def main(argv=None) -> None:
         started.extend(jobs.start_normalizer_and_forward(
             source(spark, args.topics), args.table, args.checkpoint,
             sink(args.output_topic), trigger=trigger))
+        if args.quarantine:
+            started.append(jobs.start_quarantine(source(spark, args.topics), args.quarantine,
+                                                 f"{args.checkpoint.rstrip('/')}/quarantine", trigger=trigger))
     elif args.job == "aggregate":
         spark = _session("flowlens-aggregate", stateful=True)
         started.extend(jobs.start_aggregator(
@@ -168,8 +224,7 @@ def main(argv=None) -> None:
                                              fmt=args.output, path=args.output_path,
                                              trigger=trigger,
                                              state_partitions=args.state_partitions))
-    for q in started:
-        q.awaitTermination()
+    wait_for_all(started)
 
 
 if __name__ == "__main__":

@@ -65,7 +65,8 @@ def publish_messages(raw: DataFrame, fmt: str, path: str | None, options: dict |
         payload.write.mode(mode).partitionBy("topic").format(fmt).options(**(options or {})).save(path)
 
 
-def run_reports(spark: SparkSession, normalized_path: str, windows_path: str, reports_path: str) -> bool:
+def run_reports(spark: SparkSession, normalized_path: str, windows_path: str, reports_path: str,
+                database: str | None = None) -> bool:
     """J3, one pass over the whole history: the five reports, published as one
     version (K6). ``streaming.report_state`` does it from new rows alone.
 
@@ -93,5 +94,5 @@ def run_reports(spark: SparkSession, normalized_path: str, windows_path: str, re
     windows = read_parquet_or_none(spark, windows_path, WINDOW_SCHEMA)
     if windows is not None:
         frames["aggregation_summary"] = reports.aggregation_summary(windows)
-    publish_reports(spark, frames, reports_path)
+    publish_reports(spark, frames, reports_path, database)
     return True

@@ -8,6 +8,7 @@ Doubles are compared after ``round(cast(x as decimal(38,9)), 4)``.
 
 from __future__ import annotations
 
+from flowlens.plans.layout import layout_columns
 from flowlens.sources.events_adapter import JUNK_CELLS, TEST_LABELS
 
 AS_OF = "2024-01-30"
@@ -332,14 +333,17 @@ ALERT_TEXT = (
 )
 
 
+def _in_layout(bodies: dict[str, str]) -> str:
+    """All rows of several relations in the common layout."""
+    return " UNION ALL ".join(f"SELECT {', '.join(layout_columns(name))} FROM ({body}) AS t" for name, body in bodies.items())
+
+
 def incremental_sql() -> str:
     """The five reports over all flows, in the common layout."""
-    from flowlens.plans.stream_queries import layout_columns
-
     batch = batch_sql()
     bodies = {name: batch[name] for name in ("attack_distribution", "hourly_timeseries", "behavioral_profiles", "benign_baseline")}
     bodies["aggregation_summary"] = _with(flows_cte(), windows_cte("5 minutes", 500, 0.8)) + SUMMARY
-    return " UNION ALL ".join(f"SELECT {', '.join(layout_columns(name))} FROM ({body}) AS t" for name, body in bodies.items())
+    return _in_layout(bodies)
 
 
 def stream_sql() -> dict:
@@ -456,22 +460,17 @@ def source_sql() -> dict:
         "report_profiles": batch["behavioral_profiles"],
         "report_baseline": batch["benign_baseline"],
         "report_summary": _with(flows, five) + SUMMARY,
-        "catalog_tables": _with(flows, five) + " UNION ALL ".join(
-            f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST(sum({total}) AS BIGINT) AS total FROM ({body}) AS t"
-            for t, total, body in (
-                ("normalized_logs", "src_port", "SELECT src_port FROM flows"),
-                ("aggregations_5min", "event_count", "SELECT event_count FROM windows"),
-                ("report_attack_distribution", "event_count", batch["attack_distribution"]),
-                ("report_hourly_timeseries", "event_count", batch["hourly_timeseries"]),
-                ("report_behavioral_profiles", "attack_events", batch["behavioral_profiles"]),
-                ("report_benign_baseline", "benign_count", batch["benign_baseline"]),
-                ("report_aggregation_summary", "window_count", SUMMARY))),
-        "catalog_views": _with(flows, five) + " UNION ALL ".join(
-            f"SELECT '{v}' AS view_name, count(*) AS n_rows, CAST(coalesce(sum({total}), 0) AS BIGINT) AS total FROM ({body}) AS t"
-            for v, total, body in (
-                ("recent_attacks", "event_count", batch["recent_attacks"]), ("top_src_ips", "attack_events", batch["top_src_ips"]),
-                ("hourly_traffic", "event_count", batch["hourly_traffic"]),
-                ("active_alerts", "event_count", f"SELECT event_count FROM windows WHERE is_alert AND {_since_yesterday('window_start_date')}"))),
+        "catalog_tables": _in_layout({
+            "normalized_logs": _with(flows) + f"SELECT {norm_out} FROM flows",
+            "aggregations_5min": _with(flows, five) + f"SELECT {WINDOW_OUT} FROM windows",
+            "attack_distribution": batch["attack_distribution"], "hourly_timeseries": batch["hourly_timeseries"],
+            "behavioral_profiles": batch["behavioral_profiles"], "benign_baseline": batch["benign_baseline"],
+            "aggregation_summary": _with(flows, five) + SUMMARY}),
+        "catalog_views": _in_layout({
+            **{v: batch[v] for v in ("recent_attacks", "top_src_ips", "hourly_traffic")},
+            "active_alerts": _with(flows, five) + (
+                f"SELECT src_ip, dataset_source, alert_reason, window_start, event_count, {R('syn_flag_ratio')} AS syn_flag_ratio "
+                f"FROM windows WHERE is_alert AND {_since_yesterday('window_start_date')}")}),
         "partitioned_tables": _with(flows) + (
             "SELECT attack_category, partition_date, count(*) AS event_count, "
             "CAST(NULL AS BIGINT) AS benign_count FROM flows GROUP BY ALL UNION ALL "

@@ -7,6 +7,8 @@ the library's sources, and returns the rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from flowlens.operators.normalize import decode_json
 from flowlens.operators.windows import window_metrics
 from flowlens.plans import fixtures
 from flowlens.plans.batch_queries import ALERT_EVENTS_THRESHOLD, ALERT_WIDTH, flows, rounded
+from flowlens.plans.layout import REPORTS, TABLES, VIEWS, layout_columns
 from flowlens.plans.oracle import AS_OF
 from flowlens.plans.jobs import run_ingest, run_reports
 from flowlens.plans.stream_queries import day_splits
@@ -190,25 +193,22 @@ def _registered(spark, sf_dir, name: str) -> str:
     return db
 
 
+def _rows(spark, db: str, relations: dict) -> DataFrame:
+    """All rows of several relations of the catalog, in one layout."""
+    return rounded(reduce(DataFrame.unionByName, [spark.table(f"{db}.{t}").selectExpr(*layout_columns(name)) for t, name in relations.items()]))
+
+
 def q_catalog_tables(spark, sf_dir):
-    """S9 + C1-C2: all seven tables read through the catalog: rows and one total each."""
+    """S9 + C1-C2: all rows of all seven tables, read through the catalog."""
     db = _registered(spark, sf_dir, "catalog")
-    totals = {"normalized_logs": "sum(src_port)", "aggregations_5min": "sum(event_count)",
-              "report_attack_distribution": "sum(event_count)", "report_hourly_timeseries": "sum(event_count)",
-              "report_behavioral_profiles": "sum(attack_events)", "report_benign_baseline": "sum(benign_count)",
-              "report_aggregation_summary": "sum(window_count)"}
-    return spark.sql(" UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS n_rows, {total} AS total FROM {db}.{t}" for t, total in totals.items()))
+    return _rows(spark, db, {**{t: t for t in TABLES}, **{f"report_{r}": r for r in REPORTS}})
 
 
 def q_catalog_views(spark, sf_dir):
-    """The four views in SQL over the catalog: rows and one total each."""
+    """All rows of the four views in SQL over the catalog."""
     db = _registered(spark, sf_dir, "views")
     register_views(spark, database=db, as_of=AS_OF, persistent=True)
-    totals = {"recent_attacks": "sum(event_count)", "top_src_ips": "sum(attack_events)", "hourly_traffic": "sum(event_count)",
-              "active_alerts": "sum(event_count)"}
-    return spark.sql(" UNION ALL ".join(
-        f"SELECT '{v}' AS view_name, count(*) AS n_rows, coalesce({total}, 0) AS total FROM {db}.{v}" for v, total in totals.items()))
+    return _rows(spark, db, {v: v for v in VIEWS})
 
 
 QUERIES = {

@@ -19,6 +19,7 @@ from flowlens.functions.payload import alert_text_from_json, forward_payload, pu
 from flowlens.operators.normalize import decode_json, normalize
 from flowlens.operators.windows import alerts, latest_per_window, window_metrics
 from flowlens.plans.batch_queries import ALERT_EVENTS_THRESHOLD, ALERT_WIDTH, day_windows, rounded
+from flowlens.plans.layout import REPORTS, layout_columns
 from flowlens.schemas import (
     LEGACY_SCHEMA,
     NORMALIZED_COLUMNS,
@@ -239,24 +240,6 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.unionByName(counted, allowMissingColumns=True).unionByName(closed)
 
 
-#: One layout for the rows of all five reports: names, counts and means.
-REPORT_LAYOUT = {
-    "attack_distribution": (["attack_category", "severity_level", "dataset_source"], ["event_count"], []),
-    "hourly_timeseries": (["CAST(hour_bucket AS STRING)", "attack_category", "dataset_source"], ["event_count"], []),
-    "behavioral_profiles": (["src_ip", "dataset_source"], ["total_events", "attack_events", "total_syn_flags"], ["avg_flow_duration", "avg_flow_bytes_s"]),
-    "benign_baseline": ([], ["benign_count"], ["avg_flow_duration", "avg_flow_bytes_s", "avg_flow_packets_s", "avg_fwd_packets", "avg_bwd_packets", "max_flow_bytes_s"]),
-    "aggregation_summary": (["dataset_source", "window_start_date"], ["window_count", "total_events", "alert_windows"], ["avg_flow_bytes_s"]),
-}
-
-
-def layout_columns(name: str) -> list[str]:
-    """SQL columns of a report in the common layout."""
-    texts, counts, means = REPORT_LAYOUT[name]
-    pad = lambda own, n, kind: own + [f"CAST(NULL AS {kind})"] * (n - len(own))
-    columns = {"k": pad(texts, 3, "STRING"), "n": pad(counts, 3, "BIGINT"), "x": pad(means, 6, "DOUBLE")}
-    return [f"'{name}' AS report"] + [f"{c} AS {p}{i + 1}" for p, own in columns.items() for i, c in enumerate(own)]
-
-
 def q_incremental_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 + K6 from partial aggregates: two passes, each over what is new; all
     five reports as the second pass published them."""
@@ -270,7 +253,7 @@ def q_incremental_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         closed = window_metrics(normalize(raw_flows(own), event_time="event_time"))
         closed.write.mode("append").partitionBy(*WINDOW_PARTITIONS).parquet(windows)
         update_reports(spark, table, windows, state, f"{ckpt}/reports", out)
-    found = [read_report(spark, out, name).selectExpr(*layout_columns(name)) for name in REPORT_LAYOUT]
+    found = [read_report(spark, out, name).selectExpr(*layout_columns(name)) for name in REPORTS]
     return rounded(reduce(DataFrame.unionByName, found))
 
 

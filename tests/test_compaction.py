@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from flowlens.plans import stream_queries as sq
 from flowlens.plans.batch_queries import rounded
 from flowlens.plans.jobs import run_reports
+from flowlens.plans.layout import REPORTS
 from flowlens.schemas import NORMALIZED_PARTITIONS, NORMALIZED_SCHEMA
 from flowlens.sinks.compaction import compact, publish_view, read_live
 from flowlens.sinks.reports import publish_reports, read_report, report_path
@@ -124,7 +125,7 @@ def test_second_pass_reads_only_new_files_and_equals_a_full_one(spark, workdir):
     finally:
         report_state.fold_batch = fold
     assert run_reports(spark, f"{workdir}/norm", f"{workdir}/windows", f"{workdir}/full")
-    for name in sq.REPORT_LAYOUT:
+    for name in REPORTS:
         a, b = (rounded(read_report(spark, f"{workdir}/{d}", name).drop("generated_at")) for d in ("reports", "full"))
         assert sorted(a.columns) == sorted(b.columns)
         assert a.count() == b.count() > 0 and a.exceptAll(b.select(a.columns)).isEmpty(), name

@@ -23,6 +23,8 @@ Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. A text of fewer than
 found in documents that are that sequence. Texts without words (null, empty)
 hold and match nothing. Null ids are ids like others. Rows that repeat an id
 count as one document. Extra columns are ignored. Either table may be empty.
+A long text streams through whole; a row is kept of each of its shingles that
+may belong to an item.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ directories' ancestors to the directories that have one.
 
 Nulls: a null text has no terms; a null path has no directory and inherits
 nothing. Repeated rows get one result each. An empty table gives an empty
-table. Extra columns are ignored.
+table. Extra columns are ignored. A long text is cut into its lines, none of
+which is left out; a file is one row until then.
 """
 
 from __future__ import annotations

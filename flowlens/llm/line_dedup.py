@@ -20,7 +20,8 @@ that holds them.
 Nulls: a null text is one empty line; rows with a null id count as one
 document whose id is below every other. Rows that repeat an id count as one
 document and are all rewritten alike. An empty table gives an empty table.
-Extra columns are kept; one named like an added column is replaced by it.
+Extra columns are kept; one named like an added column is replaced by it. A long text is split whole; its lines' hashes, 8 bytes
+each, are dealt on their own, and it is rewritten in one task.
 """
 
 from __future__ import annotations

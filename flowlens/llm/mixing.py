@@ -21,7 +21,8 @@ Draws are seeded by source, level and bucket, so reruns agree. Nulls: a null
 text has 0 words; a null source is a source of its own, ordered last; null
 ids form units like others. A repeated row is a unit of its own. A document
 of a source without words is taken once. An empty table gives an empty table.
-The table of sources (one row each) is ranked in one sorted window.
+The table of sources (one row each) is ranked in one sorted window. Of a long
+text only its number of words is kept. Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ empty ones).
 
 Nulls: a null text is empty; rows with null ids come last by descending id.
 Repeated rows follow one another (ties by text). A single row is its own
-neighbour. An empty table gives an empty table. Extra columns are ignored.
+neighbour. An empty table gives an empty table. Extra columns are ignored. A long text is
+winnowed whole, in the task that holds its row.
 """
 
 from __future__ import annotations

@@ -130,9 +130,9 @@ def test_pipeline_rows_without_an_id_of_their_own(spark):
     rows = [(None if i % 3 == 0 else i // 2, t, "en", "ab"[i % 2]) for i, t in enumerate(plain)]
     rows += [(900, copy, "en", "a"), (901, copy, "en", "a"), (901, plain[0] + " tail", "en", "b"), (None, copy, "en", "a")] + [(None, copy, None, "a")] * 2
     docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    groups = {r.id: r.component for r in simhash_components(docs.select(F.monotonically_increasing_id().alias("doc_id"), "text").localCheckpoint()).collect()}
+    groups = {r.id: r.component for r in simhash_components(docs.select(F.monotonically_increasing_id().alias("doc_id"), "text").checkpoint()).collect()}
     stage = dict(corpus_pipeline.STAGES)
-    three = stage["SimHash near-dedup"](spark, docs, SF_SMALL).localCheckpoint()
+    three = stage["SimHash near-dedup"](spark, docs, SF_SMALL).checkpoint()
     assert three.columns == docs.columns and three.count() == len(set(groups.values()))
     assert set(plain[1:]) <= {r.text for r in three.collect()}
     assert [r.doc_id for r in three.where(F.col("text") == copy).collect()] == [900]

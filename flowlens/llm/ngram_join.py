@@ -54,6 +54,8 @@ SLOTS = 1 << 20
 BLOCK_ROWS = 2_048
 BANDS = 32
 FILTER_BITS = 23
+#: Contraction goes on while a round links over one in so many classes.
+MANY_LINKS = 200
 _PARTS = 16  # of the table of counts, as rows
 _FULL = 255
 _KEY = ["hi", "lo"]
@@ -401,9 +403,8 @@ def class_links(texts: DataFrame, classes: DataFrame, counts: np.ndarray, k: int
         keys = pairs.select(key("ahi", "alo").alias("c")).unionByName(pairs.select(key("bhi", "blo").alias("c"))).select("c.hi", "c.lo").distinct()
         wanted = spark.sparkContext.broadcast(_bit_map(keys, FILTER_BITS))
         sets = texts.mapInArrow(_wanted_sets(wanted, k, FILTER_BITS), "hi bigint, lo bigint, grams array<bigint>")
-        sets = shared_table(sets.join(keys, _KEY, "left_semi").groupBy(*_KEY).agg(F.first("grams").alias("grams")), "sets")
+        sets = sets.groupBy(*_KEY).agg(F.first("grams").alias("grams"))  # one shuffle, used for both ends of the pairs
         new = shared_table(_linked(pairs, sets, percent), "links")
-        remove_table(sets)
         remove_table(pairs)
         edges = new.select(key("ahi", "alo").alias("a"), key("bhi", "blo").alias("b"))
         if roots is not None:  # what is known already comes as stars
@@ -416,7 +417,7 @@ def class_links(texts: DataFrame, classes: DataFrame, counts: np.ndarray, k: int
         pairs = _sorted(ordered, ["place", *_KEY]).mapInArrow(_leaders(percent, block_rows), _PAIR)
         roots, new = merged(pairs)
         seed += 1
-        if 10 * new < n_classes:
+        if new * MANY_LINKS < n_classes:
             break
     open_schema = "g bigint, block bigint, pos int, n int, hi bigint, lo bigint, chi bigint, clo bigint, bands binary"
     found = shared_table(_sorted(rows(), _KEY).mapInArrow(_products(percent, block_rows), f"{_PAIR}, {open_schema}"), "products")

@@ -6,7 +6,8 @@ edges become one star a component whose centre is its smallest node.
 
 A hub's edges are never gathered: they are split by a hash of the other end
 into ``salts`` parts, whose number grows with the edges so that a part holds
-some ``PART_ROWS`` of them at most. The least neighbour is a minimum of the
+some ``PART_ROWS`` of them at most (one part, where there are no more edges).
+The least neighbour is a minimum of the
 parts' minima, handed back to each part. Each round's edges are written to the
 shared folder, which cuts the lineage. Nodes may be of any ordered type.
 """
@@ -19,12 +20,13 @@ from pyspark.sql import functions as F
 from flowlens.llm.common import remove_table, shared_table
 
 
-PART_ROWS = 1 << 16
-LEAST_SALTS = 16
+PART_ROWS = 1 << 14
 
 
 def _with_least(rows: DataFrame, salts: int) -> DataFrame:
     """``rows (a, b)`` with ``m``, the least ``b`` of each ``a``."""
+    if salts == 1:
+        return rows.join(rows.groupBy("a").agg(F.min("b").alias("m")), "a").select("a", "b", "m")
     salted = rows.withColumn("s", F.pmod(F.xxhash64("b"), F.lit(salts)))
     parts = salted.groupBy("a", "s").agg(F.min("b").alias("m"))
     handed = parts.select("a", "s").join(parts.groupBy("a").agg(F.min("m").alias("m")), "a")
@@ -56,7 +58,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     x, y = F.col(a), F.col(b)
     now = shared_table(edges.where(x != y).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).dropDuplicates(), "edges")
     while not _is_stars(now):
-        salts = max(LEAST_SALTS, now.count() // PART_ROWS)
+        salts = -(-now.count() // PART_ROWS)
         before, now = now, shared_table(_small_star(_large_star(now, salts), salts), "edges")
         remove_table(before)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

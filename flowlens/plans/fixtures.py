@@ -1,17 +1,20 @@
 """Dataset-shaped files written from ``events`` for the source checks.
 
-Each executor task writes its own partition as one CSV (or zip) file with
-a chosen header and file name, streaming Arrow batches to the file system
-that the folder lies on, so the rows never pass through the driver; only the
-list of written files does.
+Spark makes the CSV lines; each executor task writes its own partition as one
+CSV (or zip) file with a chosen header and file name, streaming Arrow batches
+of lines to the file system that the folder lies on, so the rows never pass
+through the driver; only the list of written files does.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.sources.files import open_output
+from flowlens.sources.files import open_output, text_bytes
 from flowlens.schemas import CICFLOW_COLUMN_MAP, UNSW_COLUMN_MAP, UNSW_COLUMNS
 
 # Header layouts of the fixture files. Layout A is CICIDS-like (leading
@@ -48,24 +51,38 @@ def write_files(df: DataFrame, directory: str, prefix: str, header: list[str] |
             if archive:
                 archive.writestr("README.txt", "fixture\n")
             member = archive.open("flows.csv", "w", force_zip64=True) if archive else out
-            text = io.StringIO(newline="")
-            writer = csv.writer(text, lineterminator="\n")
             rows = 0
             if header is not None:
-                writer.writerow(header)
+                text = io.StringIO(newline="")
+                csv.writer(text, lineterminator="\n").writerow(header)
+                member.write(text.getvalue().encode())
             for batch in batches:
-                writer.writerows(zip(*[c.to_pylist() for c in batch.columns]))
                 rows += batch.num_rows
-                member.write(text.getvalue().encode())
-                text.seek(0)
-                text.truncate()
-            member.write((text.getvalue() + ("\n  \n" if blank_lines else "")).encode())
+                member.write(text_bytes(batch.column(0)))
+            if blank_lines:
+                member.write(b"\n  \n")
             if archive:
                 member.close()
                 archive.close()
         yield pa.RecordBatch.from_pydict({"path": [path], "rows": [rows]})
 
-    return sorted(r["path"] for r in df.mapInArrow(write, "path string, rows long").collect())
+    return sorted(r["path"] for r in csv_lines(df).mapInArrow(write, "path string, rows long").collect())
+
+
+def csv_lines(df: DataFrame) -> DataFrame:
+    """Text columns as CSV lines with their line feed, as Python's ``csv.writer``
+    writes them: a cell with a comma, quote or line break is quoted, NULL is empty.
+    Cells are looked at one by one only where the line holds such a character."""
+    cells = [F.coalesce(F.col(c), F.lit("")) for c in df.columns]
+    special = lambda x: reduce(or_, [F.contains(x, F.lit(c)) for c in ',"\n\r'])
+    quoted = F.transform(F.array(*cells), lambda x: F.when(special(x), F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(x))
+    plain = F.col("__plain")
+    commas = F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit("")))
+    as_it_is = (commas == len(cells) - 1) & ~reduce(or_, [F.contains(plain, F.lit(c)) for c in '"\n\r'])
+    line = F.when(as_it_is, plain).otherwise(F.concat_ws(",", quoted))
+    if len(cells) == 1:  # else the row would be a blank line
+        line = F.when(plain == "", F.lit('""')).otherwise(line)
+    return df.withColumn("__plain", F.concat_ws(",", *cells)).select(F.concat(line, F.lit("\n")).alias("line"))
 
 
 def _filler(text: str):

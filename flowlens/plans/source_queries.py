@@ -32,7 +32,7 @@ from flowlens.session import new_work_dir
 from flowlens.sinks.reports import read_report
 from flowlens.sinks.writers import write_partitioned
 from flowlens.sources.csv_sources import as_raw_messages, read_cicflow_csv, read_unsw_csv
-from flowlens.sources.events_adapter import load_events, raw_flows
+from flowlens.sources.events_adapter import dealt_out, load_events, raw_flows
 from flowlens.sources.files import CICDOS_DIRS, CICIDS_DIR, UNSW_DIR, dataset_files
 from flowlens.sources.tables import register_tables, register_views
 from flowlens.sources.zip_source import read_zip_csv
@@ -43,7 +43,7 @@ FIXED_CLOCK = 1704067200000  # 2024-01-01T00:00:00Z, the producer clock of the c
 
 def _raw(spark: SparkSession, sf_dir: str):
     events = load_events(spark, sf_dir)
-    raw = raw_flows(events, keep=[(F.col("event_id") % 2).cast("string").alias("binary_label")])
+    raw = raw_flows(dealt_out(events), keep=[(F.col("event_id") % 2).cast("string").alias("binary_label")])
     _, mid, _ = day_splits(events)
     first_half = F.col("event_time") < F.lit(mid.isoformat()).cast("timestamp")
     return raw, first_half

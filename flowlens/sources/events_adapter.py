@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlens.session import default_parallelism
+
 # The 45 test labels, in order (index = event_id % 45).
 TEST_LABELS = [
     "BENIGN", "normal", "0", "1", "", " ", "DDoS", "DrDoS_DNS", "DrDoS_UDP", "WebDDoS",
@@ -38,6 +40,15 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.repartition(int(partitions), "event_id") if partitions else events
 
 
+def dealt_out(events: DataFrame) -> DataFrame:
+    """``events`` dealt out by their id, a part a core, for steps whose rows cost
+    far more than a shuffle of them: a scan has no more tasks than the table has
+    row groups, and a table of any size may be one."""
+    if events.sparkSession.conf.get("flowlens.events.partitions", None):
+        return events  # dealt out already
+    return events.repartition(default_parallelism(events.sparkSession), "event_id")
+
+
 def _lit(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

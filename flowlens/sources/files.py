@@ -47,6 +47,14 @@ def open_output(path: str):
     return system.open_output_stream(where)
 
 
+def text_bytes(texts: pa.Array) -> memoryview:
+    """All texts of an Arrow string array one after another, as UTF-8: a part of its own buffer."""
+    if not len(texts):
+        return memoryview(b"")
+    offsets = memoryview(texts.buffers()[1]).cast("q" if pa.types.is_large_string(texts.type) else "i")
+    return memoryview(texts.buffers()[2])[offsets[texts.offset]:offsets[texts.offset + len(texts)]]
+
+
 def list_files(spark: SparkSession, directory: str, exts=(".csv", ".zip"),
                name_contains: str | None = None) -> list[str]:
     """Files directly in ``directory`` whose lower-cased name ends with one

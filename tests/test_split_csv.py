@@ -4,9 +4,11 @@ import csv
 import io
 import os
 import random
+import tracemalloc
 
 from pyspark.sql import functions as F
 
+from flowlens.sources import split_csv
 from flowlens.sources.csv_sources import read_cicflow_csv
 from flowlens.sources.split_csv import line_ends, quoted_spans, records, split_states
 from tests.test_sources import _local, _write
@@ -75,3 +77,45 @@ def test_file_with_line_breaks_is_read_by_many_tasks(spark, workdir):
     want = {(row[0], row[2]) for row in table if row[2].strip().lower() not in ("nan", "inf")}
     assert {(r.src_ip, r.label) for r in cut.collect()} == want
     assert cut.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_blocks_give_the_records_of_whole_splits(monkeypatch):
+    """Splits read in blocks of a few bytes, quotes at block ends and bytes that are not UTF-8 included."""
+    rnd = random.Random(7)
+    for _ in range(200):
+        text, table = _text(rnd, rnd.randint(0, 12))
+        data = text.encode() + rnd.choice([b"", b'5""6,x,y', b"\xff\xfe,a\n", b'"open\n', b"r\r"])
+        whole = records(io.BytesIO(data), 0, len(data), False)
+        monkeypatch.setattr(split_csv, "BLOCK_BYTES", rnd.choice([1, 2, 3, 5, 8, 40]))
+        monkeypatch.setattr(split_csv, "PAST_BYTES", rnd.choice([1, 2, 7]))
+        cut = rnd.randint(1, max(len(data) - 1, 1))
+        while data[cut - 1:cut] == b'"':  # a split between two quotes is another matter
+            cut -= 1
+        inside = quoted_spans(data[:cut], b"\n", False)[2] if cut else False
+        got, texts = [], []
+        for start, size, state in [(0, cut, False), (cut, len(data) - cut, inside)]:
+            if size > 0:
+                got += records(io.BytesIO(data), start, size, state)
+                assert split_csv.split_states_of(io.BytesIO(data), start, size)[state] == quoted_spans(
+                    data[start:start + size], data[start - 1:start] if start else b"\n", state)[2]
+                for found in split_csv.record_blocks(io.BytesIO(data), start, size, state):
+                    texts += split_csv.record_texts(*found).to_pylist()
+        monkeypatch.undo()
+        assert got == whole
+        assert texts == [r.decode("utf-8", errors="replace") for r in whole]
+
+
+def test_memory_does_not_grow_with_the_split():
+    """What a task holds is a block, not its split."""
+    row = b'10.0.0.1,"a\nb",' + b"0," * 40 + b"x\n"
+
+    def peak(n):
+        data = io.BytesIO(row * n)
+        tracemalloc.start()
+        found = sum(len(split_csv.record_texts(*b)) for b in split_csv.record_blocks(data, 0, n * len(row), False))
+        assert found == n and split_csv.split_states_of(data, 0, n * len(row)) == [False, False]
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    assert peak(320_000) < 1.2 * peak(40_000)

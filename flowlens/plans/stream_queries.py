@@ -32,7 +32,7 @@ from flowlens.schemas import (
 from flowlens.sinks.compaction import compact, publish_view
 from flowlens.sinks.reports import read_report
 from flowlens.session import default_parallelism, new_work_dir
-from flowlens.sources.events_adapter import load_events, raw_flows
+from flowlens.sources.events_adapter import dealt_out, load_events, raw_flows
 from flowlens.sources.streams import stream_source
 from flowlens.sources.tables import refresh_tables, register_tables, register_views
 from flowlens.streaming import jobs
@@ -75,7 +75,7 @@ def run_steps(events: DataFrame, steps, to_messages, start, src: str) -> None:
     """Write each step's messages as a new folder of JSON lines under
     ``src``, then run ``start()`` (a query reading ``src``) to completion."""
     for i, cond in enumerate(steps):
-        to_messages(events.filter(cond)).select("value").write.text(f"{src}/step{i}")
+        to_messages(dealt_out(events.filter(cond))).select("value").write.text(f"{src}/step{i}")
         q = start()
         q.awaitTermination()
         if q.exception() is not None:

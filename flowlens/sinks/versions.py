@@ -43,6 +43,10 @@ class Versions:
             return []
         return sorted((f.getPath() for f in self._fs.listStatus(self._folder)), key=lambda p: p.getName())
 
+    def has(self, path: str) -> bool:
+        """Whether a folder has been written."""
+        return self._fs.exists(self._path(path))
+
     def current(self) -> Version:
         """The newest version; an empty one before the first commit. A file
         that a writer did not finish is no version."""

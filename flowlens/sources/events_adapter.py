@@ -43,10 +43,11 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dealt_out(events: DataFrame) -> DataFrame:
     """``events`` dealt out by their id, a part a core, for steps whose rows cost
     far more than a shuffle of them: a scan has no more tasks than the table has
-    row groups, and a table of any size may be one."""
+    row groups, and a table of any size may be one. Rows of a part stay in the
+    order of their ids: later sorts by time or window are cheap on such rows."""
     if events.sparkSession.conf.get("flowlens.events.partitions", None):
         return events  # dealt out already
-    return events.repartition(default_parallelism(events.sparkSession), "event_id")
+    return events.repartition(default_parallelism(events.sparkSession), "event_id").sortWithinPartitions("event_id")
 
 
 def _lit(s: str) -> str:

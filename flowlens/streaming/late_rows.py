@@ -76,14 +76,24 @@ def gate_batch(batch: DataFrame, batch_id: int, store: Versions, width: str, del
     reason = F.col("late_reason")
     dealt = batch.withColumn("late_reason", late_reason(before.latest, width, delay)).withColumn("late", reason.isNotNull())
     write_batch_partitioned(dealt, f"{store.root}/rows", ["late"], batch_id)
-    found = dealt.agg(F.count_if(reason.isNull()).alias("kept"), F.count_if(reason == "BEHIND_WATERMARK").alias("late"),
-                      F.count_if(reason == "NO_EVENT_TIME").alias("without_time"), F.max(F.unix_micros("event_timestamp")).alias("latest")).first()
+    found = _written(store, int(batch_id)).agg(
+        F.count_if(reason.isNull()).alias("kept"), F.count_if(reason == "BEHIND_WATERMARK").alias("late"),
+        F.count_if(reason == "NO_EVENT_TIME").alias("without_time"), F.max(F.unix_micros("event_timestamp")).alias("latest")).first()
     latest = [t for t in (before.latest, found["latest"]) if t is not None]
     totals = {"kept": before.kept + found["kept"], "late": before.late + found["late"],
               "without_time": before.without_time + found["without_time"], "latest": max(latest, default=None)}
     store.commit(now, [{"path": f"{store.root}/rows", "totals": totals}], int(batch_id))
 
 
+def _written(store: Versions, batch_id: int) -> DataFrame:
+    """One batch's rows as they were written: two columns of the table are read,
+    while the batch itself would be read and decoded once more."""
+    folders = [f"{store.root}/{_rows(late)}/batch_id={batch_id}" for late in (False, True)]
+    found = [f for f in folders if store.has(f)]
+    schema = "event_timestamp timestamp, late_reason string"
+    return store.spark.read.schema(schema).parquet(*found) if found else store.spark.createDataFrame([], schema)
+
+
 def start_gate(messages: DataFrame, root: str, checkpoint: str, width: str = DEFAULT_WIDTH, watermark: str = DEFAULT_WATERMARK,
                trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
     """Unified messages (P7) dealt into rows on time and late ones under ``root``."""

@@ -4,9 +4,12 @@ from pyspark.sql import functions as F
 
 from flowlens.plans import stream_queries as sq
 from flowlens.schemas import UNIFIED_SCHEMA
+from flowlens.session import default_parallelism
 from flowlens.sinks.versions import Versions
+from flowlens.sources.events_adapter import load_events
 from flowlens.streaming import jobs
 from flowlens.streaming.late_rows import GateTotals, gate_batch, gate_totals, kept_rows, late_rows
+from tests.conftest import SF_SMALL
 
 
 def _rows(spark, *times):
@@ -37,3 +40,35 @@ def test_gate_decides_by_the_batches_before(spark, workdir):
     q.awaitTermination()
     assert q.exception() is None
     assert sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"]) == 0
+
+
+def test_gate_reads_a_batch_once(spark, workdir):
+    """The totals come from the rows written; the messages are read and decoded for the write alone."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = _rows(spark, "2024-01-01 10:00:00", "2024-01-01 08:00:00", None)
+    store = Versions(spark, f"{workdir}/gate")
+    gate_batch(rows.mapInArrow(count, rows.schema), 0, store, "5 minutes", "2 minutes")
+    assert seen.value == 3 and gate_totals(spark, store.root) == GateTotals(2, 0, 1, 1704103200000000)
+    gate_batch(rows.limit(0), 1, store, "5 minutes", "2 minutes")  # a batch without rows
+    assert gate_totals(spark, store.root) == GateTotals(2, 0, 1, 1704103200000000)
+
+
+def test_messages_are_written_by_all_cores(spark, workdir):
+    events = load_events(spark, SF_SMALL).coalesce(1)
+    written = []
+    sq.run_steps(events, [F.lit(True)], lambda own: written.append(own) or sq._unified_messages(own), lambda: _Done(), f"{workdir}/src")
+    assert written[0].select(F.spark_partition_id()).distinct().count() == default_parallelism(spark) > 1
+
+
+class _Done:
+    def awaitTermination(self):  # noqa: N802
+        pass
+
+    def exception(self):
+        pass

@@ -41,3 +41,11 @@ def test_a_table_of_one_row_group_is_written_by_all_cores(spark, workdir):
     files = glob.glob(f"{_local(workdir)}/UNSW-NB15/UNSW-NB15_h*.csv")
     assert len(files) == default_parallelism(spark) > 1
     assert raw.select(F.spark_partition_id()).distinct().count() == default_parallelism(spark)
+
+
+def test_every_dataset_is_written_by_all_cores(spark, workdir):
+    """publish_payload's datasets in both layouts, from a table of one row group."""
+    raw, first_half = source_queries._raw(spark, SF_SMALL)
+    source_queries._write_cic(raw.filter(F.col("dataset_source") != "unsw"), first_half, workdir)
+    for folder in [source_queries.CICIDS_DIR, *source_queries.CICDOS_DIRS]:
+        assert len(glob.glob(f"{_local(workdir)}/{folder}/*.csv")) == default_parallelism(spark) > 1
